@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
 
 Items are grouped by size, sizes within a group differing by at most a fifth. For each group every text is cut into windows
-of the group's size, one beginning at each eighth of that size, and each window gets a 64-bit SimHash of its word shingles.
+of the group's size, one beginning at each sixth of that size, and each window gets a 64-bit SimHash of its word shingles.
 Fingerprints are cut into four blocks of 16 bits: if two differ in at most RADIUS = 15 bits, some block differs in at most 3.
 So an item is entered in each block's table under all values within 3 bits of its own, and one look-up for each block finds
 every item within the radius. Candidates are then checked exactly: the weighted Jaccard similarity of the shingle multisets
@@ -13,11 +13,11 @@ The items are a query set of bounded size (MOST_BYTES, checked) that is broadcas
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,17 +30,72 @@ RADIUS = 15
 BLOCKS = 4
 CHUNK = 16_000  # words fingerprinted at a time: short texts together, long ones in overlapping pieces
 MOST_BYTES = 64 << 20
+MOST_WORDS = 5_000
 MASKS = np.array([sum(1 << b for b in bits) for k in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), k)], np.uint16)
 
 
-class WordHash(dict):
-    """XXH64 of words, remembered; forgets all when it has a million."""
+BYTES = np.random.default_rng(42).integers(0, 1 << 64, 256, np.uint64)  # a fixed random number for each byte
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+FACTOR = 0x9E3779B97F4A7C15
+BUFFER = 1 << 18  # bytes hashed at a time
+_powers: list[np.ndarray] = []
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 42)
-        return value
+
+def powers(n: int) -> list[np.ndarray]:
+    """FACTOR ** i and its inverse modulo 2 ** 64, for i below n at least."""
+    if not _powers or len(_powers[0]) < n:
+        with np.errstate(over="ignore"):
+            _powers[:] = [np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n, f, np.uint64)))) for f in (FACTOR, pow(FACTOR, -1, 1 << 64))]
+    return _powers
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of raw, and the words' first bytes: polynomials of random numbers for the bytes, which a
+    running sum gives for all words at once."""
+    data = np.frombuffer(raw, np.uint8)
+    inside = np.concatenate(([False], ~SPACE[data], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = powers(max(len(data), BUFFER))
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(BYTES[data] * up[: len(data)], out=total[1:])
+        return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
+
+
+def hashed_texts(texts: list) -> Iterator[tuple[int, np.ndarray]]:
+    """(position, word hashes) of each text that has words, in A-Z lower case. Short texts are hashed together, and long ones
+    in slices that end at white space."""
+    waiting: list[tuple[int, bytes]] = []
+
+    def flush() -> Iterator[tuple[int, np.ndarray]]:
+        h, starts = word_hashes(b"\n".join(raw for _, raw in waiting))
+        bounds = np.searchsorted(starts, np.cumsum([0, *(len(raw) + 1 for _, raw in waiting)]))
+        for (k, _), a, b in zip(waiting, bounds, bounds[1:], strict=False):
+            if b > a:
+                yield k, h[a:b]
+        waiting.clear()
+
+    size = 0
+    for k, text in enumerate(texts):
+        raw = text.encode("utf-8", "surrogatepass").lower() if text else b""
+        if size + len(raw) > BUFFER and waiting:
+            yield from flush()
+            size = 0
+        if len(raw) > BUFFER:
+            parts, at = [], 0
+            while at < len(raw):
+                end = min(len(raw), at + BUFFER)
+                while end < len(raw) and not SPACE[raw[end]]:
+                    end += 1
+                parts.append(word_hashes(raw[at:end])[0])
+                at = end
+            if sum(map(len, parts)):
+                yield k, np.concatenate(parts)
+        else:
+            waiting.append((k, raw))
+            size += len(raw) + 1
+    yield from flush()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -94,16 +149,14 @@ class Items:
     """The benchmark's items by shingle width and size, with their block tables."""
 
     def __init__(self, items: list[tuple[int, str]], shingle: int, least: float):
-        self.least, words = least, WordHash()
+        self.least = least
         by_size: dict[tuple[int, int], list] = defaultdict(list)
-        for item_id, text in items:
-            tokens = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-            if len(tokens) > 5_000:
-                raise ValueError(f"item {item_id} has {len(tokens)} words; at most 5,000 can be searched for: split it")
-            if tokens:
-                width = min(shingle, len(tokens))
-                h = shingles(np.array([words[w] for w in tokens], np.uint64), width)
-                by_size[width, len(h)].append((item_id, h))
+        for k, words in hashed_texts([text for _, text in items]):
+            if len(words) > MOST_WORDS:
+                raise ValueError(f"item {items[k][0]} has {len(words)} words; at most {MOST_WORDS} can be searched for: split it")
+            width = min(shingle, len(words))
+            h = shingles(words, width)
+            by_size[width, len(h)].append((items[k][0], h))
         self.groups: list[tuple[int, int, list, np.ndarray, list]] = []
         open_: dict[int, list] = {}
         for (width, n), found in sorted(by_size.items()):
@@ -123,7 +176,8 @@ class Items:
             near = (value[:, None] ^ MASKS[None, :]).astype(np.int64)
             who = np.repeat(np.arange(len(fps), dtype=np.int32), len(MASKS))
             order = np.argsort(near.ravel(), kind="stable")
-            tables.append((np.concatenate(([0], np.cumsum(np.bincount(near.ravel(), minlength=1 << 16)))), who[order]))
+            many = np.bincount(near.ravel(), minlength=1 << 16).astype(np.int32)
+            tables.append((np.cumsum(many) - many, many, who[order]))
         return width, size, [(i, h, Counter(h.tolist())) for i, h in found], fps, tables
 
     def search(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, int, int]]:
@@ -141,7 +195,7 @@ class Items:
                 h = shingles(hashes, width)
                 widths[width] = (h, bit_sums(h))
             h, sums = widths[width]
-            stride = max(1, size // 8)
+            stride = max(1, size // 6)
             own = fingerprints(sums, size, stride)
             starts = np.arange(len(own)) * stride
             least = self.least * min(len(x) for _, x, _ in items)
@@ -163,12 +217,13 @@ class Items:
     def candidates(own: np.ndarray, fps: np.ndarray, tables: list) -> list[tuple[int, int]]:
         """All (window, item) within the radius."""
         found = []
-        for b, (offsets, who) in enumerate(tables):
-            value = (own >> np.uint64(16 * b)).astype(np.uint16).astype(np.int64)
-            n = offsets[value + 1] - offsets[value]
-            rows = np.repeat(np.arange(len(own)), n)
-            at = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(offsets[value], n)
-            k = who[at]
+        for b, (offsets, many, who) in enumerate(tables):
+            value = (own >> np.uint64(16 * b)).astype(np.uint16)
+            hit = np.flatnonzero(many[value])
+            value = value[hit]
+            n = many[value]
+            rows = np.repeat(hit, n)
+            k = who[np.arange(len(rows)) - np.repeat(np.cumsum(n) - n - offsets[value], n)]
             near = np.bitwise_count(own[rows] ^ fps[k]) <= RADIUS
             found.append(rows[near] * len(fps) + k[near])
         codes = np.unique(np.concatenate(found))
@@ -210,7 +265,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, out: str, text: str, ite
     arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
 
     def make():
-        items, words = Items(shared.value, shingle, least), WordHash()
+        items = Items(shared.value, shingle, least)
 
         over = max((2 * (len(h) + w) for w, _, members, *_ in items.groups for _, h, _ in members), default=0)
         piece = CHUNK + over
@@ -228,10 +283,9 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, out: str, text: str, ite
                 waiting.clear()
 
             size = 0
-            for text, value in enumerate(texts):
-                tokens = value.encode("utf-8", "surrogatepass").lower().split() if value and items.groups else []
-                for lo in range(0, max(1, len(tokens) - over) if tokens else 0, CHUNK):  # pieces overlap: no window is lost
-                    hashes = np.fromiter(map(words.__getitem__, tokens[lo : lo + piece]), np.uint64, min(piece, len(tokens) - lo))
+            for text, words in hashed_texts(texts) if items.groups else ():
+                for lo in range(0, max(1, len(words) - over), CHUNK):  # pieces overlap: no window is lost
+                    hashes = words[lo : lo + piece]
                     if size + len(hashes) > piece:
                         flush()
                         size = 0
@@ -248,7 +302,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, out: str, text: str, ite
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, contaminated, item_ids, matches) for each row of docs; matches has similarity and words of the best window.
 
-    Only the named columns are read. Items of over 5,000 words raise an error. Null and empty texts match nothing, and nothing matches null, empty or blank items. An
+    Only the named columns are read. Items of over MOST_WORDS words raise an error. Null and empty texts match nothing, and nothing matches null, empty or blank items. An
     item with fewer than `shingle` words matches a run of the same words. Repeated rows each return a row, repeated items
     each an id; ids go by size; a null doc_id stays null. A benchmark without rows leaves all rows clean.
     """
