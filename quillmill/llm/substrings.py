@@ -29,8 +29,9 @@ def normal(text: Column) -> Column:
 
 def runs(parts: Column, span: int, least_words: int) -> Column:
     """(position, two 64-bit hashes) of each run of `span` sentences."""
-    plain = F.transform(parts, normal)
-    each = F.transform(F.when(F.size(parts) >= span, F.sequence(F.lit(0), F.size(parts) - span)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(i.alias("at"), F.array_join(F.slice(plain, i + 1, span), "\n").alias("run")))
+    at = F.when(F.size(parts) >= span, F.sequence(F.lit(0), F.size(parts) - span)).otherwise(F.array().cast("array<int>"))
+    # The sentences enter as a lambda variable, so that they are made plain once and not for each run.
+    each = F.transform(F.array(F.transform(parts, normal)), lambda plain: F.transform(at, lambda i: F.struct(i.alias("at"), F.array_join(F.slice(plain, i + 1, span), "\n").alias("run"))))[0]
     long_ = F.filter(each, lambda r: F.regexp_count(r["run"], F.lit(r"\S+")) >= least_words)
     return F.transform(long_, lambda r: F.struct(r["at"].alias("at"), F.xxhash64(r["run"]).alias("h1"), F.xxhash64(r["run"], F.lit(1)).alias("h2")))
 
