@@ -28,8 +28,8 @@ RADIUS = 4
 SHINGLE = 4
 SEED = 42
 SAMPLE = 20_000  # fingerprints that shape the tree; at most these reach the driver
-LEAF = 12_000  # fingerprints a leaf should hold
-BLOCK = 20_000  # fingerprints of each side of a pair of blocks of an oversized leaf
+LEAF = 60_000  # fingerprints a leaf should hold
+BLOCK = 60_000  # fingerprints of each side of a pair of blocks of an oversized leaf
 DEPTH = 14  # so there are at most 2 ** DEPTH leaves
 ONE = np.uint64(1)
 
@@ -128,8 +128,8 @@ def linked(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray
         at = np.flatnonzero((d1[x:y] >= e.min() - radius) & (d1[x:y] <= e.max() + radius)) + x
         return at
 
-    for lo in range(0, len(fps), 256):  # which fingerprints have any neighbour
-        hi = min(lo + 256, len(fps))
+    for lo in range(0, len(fps), 64):  # which fingerprints have any neighbour
+        hi = min(lo + 64, len(fps))
         at = candidates(lo, hi)
         at = at[at >= lo]
         hit = np.bitwise_count(fps[lo:hi, None] ^ fps[None, at]) <= radius
@@ -141,7 +141,7 @@ def linked(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray
         root, left = left[0], left[1:]
         front = np.array([root])
         while len(front) and len(left):
-            part, front = front[:256], front[256:]
+            part, front = front[:64], front[64:]
             hit = np.bitwise_count(fps[part, None] ^ fps[None, left]) <= radius
             if side is not None:
                 hit &= (side[0][part, None] & side[1][None, left]) | (side[1][part, None] & side[0][None, left])
