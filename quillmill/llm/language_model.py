@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from quillmill.llm.common import append_columns, cut, table
 CLASSES = 1024
 DIM = 24
 NOISE = 64
-BATCH = 4096
+BATCH = 8192
 ROUNDS = 2
 RATE = 0.05
 TABLE = 1 << 17
@@ -101,10 +102,11 @@ class Weights:
 
 def scatter(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sum of rows by at."""
-    order = np.argsort(at, kind="stable")
-    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+    order = np.argsort(at.astype(np.int16) if n <= 1 << 15 else at, kind="stable")  # 16 bits are sorted by radix
+    at = at[order]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
     out = np.zeros((n, rows.shape[1]), np.float32)
-    out[at[order][first]] = np.add.reduceat(rows[order], first)
+    out[at[first]] = np.add.reduceat(rows[order], first)
     return out
 
 
@@ -114,16 +116,17 @@ def train_step(w: Weights, memory: np.ndarray, before, last, target, noise, shar
     q = w.query(before, last)
     data = np.einsum("ij,ij->i", q, w.O[target]) + w.b[target] - np.log(k * share[target])
     other = q @ w.O[noise].T + (w.b[noise] - np.log(k * share[noise]))
-    up = 1 / (1 + np.exp(np.clip(data, -30, 30)))  # towards the data
-    down = -1 / (1 + np.exp(-np.clip(other, -30, 30)))  # away from the noise
+    with np.errstate(over="ignore"):
+        up = 1 / (1 + np.exp(data))  # towards the data
+        down = -1 / (1 + np.exp(-other))  # away from the noise
     g = Weights(w.n, w.dim)
     dq = up[:, None] * w.O[target] + down @ w.O[noise]
-    g.O += scatter(target, up[:, None] * q, w.n)
+    g.O[:] = scatter(target, up[:, None] * q, w.n)
     np.add.at(g.O, noise, down.T @ q)
     g.b += np.bincount(target, up, w.n).astype(np.float32) + np.bincount(noise, down.sum(axis=0), w.n).astype(np.float32)
     for i, context in enumerate((before, last)):
-        g.C[i] += w.R[context].T @ dq
-        g.R += scatter(context, dq @ w.C[i].T, w.n)
+        g.C[i] = w.R[context].T @ dq
+    g.R[:] = scatter(np.concatenate([before, last]), np.concatenate([dq @ w.C[0].T, dq @ w.C[1].T]), w.n)
     memory += g.flat * g.flat
     w.flat += rate * g.flat / np.sqrt(memory)
 
@@ -135,7 +138,7 @@ def contexts(ids: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def class_ids(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((known.get(x, 0) for x in words), np.int64, len(words))
+    return np.fromiter(map(known.get, words, repeat(0)), np.int64, len(words))
 
 
 def train_round(docs: DataFrame, text: str, known, share: np.ndarray, flat: np.ndarray, dim: int, rate: float) -> np.ndarray:
@@ -167,7 +170,7 @@ def train_round(docs: DataFrame, text: str, known, share: np.ndarray, flat: np.n
                 waiting.append((*contexts(ids, known.value[END]), ids))
                 size += len(ids)
                 seen += len(ids)
-                if size >= 16 * BATCH:
+                if size >= 8 * BATCH:
                     step(waiting)
                     waiting, size = [], 0
         if waiting:
@@ -258,7 +261,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             rest: list[list] = []
             for text in texts:
                 own_words = tokens(text)
-                at = np.fromiter((place.get(x, outside) for x in own_words), np.int64, len(own_words))
+                at = np.fromiter(map(place.get, own_words, repeat(outside)), np.int64, len(own_words))
                 ids = kind[at]
                 before, last = contexts(ids, start)
                 total = 0.0
