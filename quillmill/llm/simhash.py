@@ -165,7 +165,7 @@ def near_links(distinct: DataFrame, fp: str = "fp", radius: int = RADIUS, leaf:
             k, at = route(tree, fps, radius)
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(fps[at].view(np.int64))], names=["leaf", "fp"])
 
-    dealt = distinct.select(fp).mapInArrow(deal, "leaf int, fp long")
+    dealt = cut(distinct.select(fp).mapInArrow(deal, "leaf int, fp long"))  # dealt once: for the leaves' sizes and for the search
     sizes = {r["leaf"]: r["count"] for r in dealt.groupBy("leaf").count().collect()}  # at most 2 ** DEPTH rows
     parts = {k: math.ceil(m / block) for k, m in sizes.items() if m > 2 * block}
 
