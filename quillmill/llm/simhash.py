@@ -8,6 +8,8 @@
 3. A leaf tests its own pairs exactly, skips blocks that triangle bounds rule out, and returns a star for each of its
    components, never all pairs. A leaf that grew too large (a dense group) is dealt out as pairs of blocks.
 4. Alternating large-star and small-star steps join the stars to components.
+
+near_duplicates links fingerprints alone. keep_one, which removes texts, also asks for the similarity of the shingle sets.
 """
 
 from __future__ import annotations
@@ -31,24 +33,56 @@ SAMPLE = 20_000  # fingerprints that shape the tree; at most these reach the dri
 LEAF = 60_000  # fingerprints a leaf should hold
 BLOCK = 60_000  # fingerprints of each side of a pair of blocks of an oversized leaf
 DEPTH = 14  # so there are at most 2 ** DEPTH leaves
+SIMILARITY = 0.8  # of near copies that keep_one removes, over sets of words' shingles
+NEAR_SHINGLE = 5
+NEAR_RADIUS = 18  # at similarity 0.8 fingerprints differ in 9.7 bits, give or take 2.9
+SKETCH = 256  # parts of a sketch: at similarity 0.8 its estimate has a standard error of 0.025
+SLACK = 0.05  # so far below SIMILARITY an estimate still counts
+NEAR_BLOCK = 20_000  # texts of each side of a pair of blocks of a size class
 ONE = np.uint64(1)
 
 
-def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The fingerprint as an unsigned number. Null, empty and blank texts have fingerprint zero."""
+def shingle_hashes(text: str | None, shingle: int, seed: int) -> np.ndarray:
+    """The XXH64 of each shingle, repeats included; a text of fewer words is one shingle, one without words has none."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1]))
     k = max(1, len(words) - shingle + 1)
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    first, last = starts[:k].tolist(), (ends[len(words) - k :] - 1).tolist()
-    for i in range(0, k, 1 << 15):
-        h = np.array([digest(joined[a:b], seed) for a, b in zip(first[i : i + (1 << 15)], last[i : i + (1 << 15)], strict=True)], "<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > k, bitorder="little").view("<u8")[0])
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[:k].tolist(), (ends[len(words) - k :] - 1).tolist(), strict=True)), np.uint64, k)
+
+
+def majority(h: np.ndarray) -> int:
+    """The number whose bits are set in over half of the hashes."""
+    counts = np.zeros(64, np.int64)
+    for i in range(0, len(h), 1 << 15):
+        counts += np.unpackbits(h[i : i + (1 << 15)].astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0])
+
+
+def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The fingerprint as an unsigned number. Null, empty and blank texts have fingerprint zero."""
+    return majority(shingle_hashes(text, shingle, seed))
+
+
+def sketch(distinct: np.ndarray) -> np.ndarray:
+    """SKETCH bytes of a set of hashes: one byte of the least hash of each of SKETCH parts of it, 0 for an empty part. Two
+    sets agree in a share of parts (without those that both lack) that estimates their Jaccard similarity."""
+    least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
+    part = (distinct % np.uint64(SKETCH)).astype(np.int64)
+    np.minimum.at(least, part, distinct)
+    out = (1 + (least >> np.uint64(16)) % np.uint64(255)).astype(np.uint8)
+    out[np.bincount(part, minlength=SKETCH) == 0] = 0
+    return out
+
+
+def agreement(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The estimated similarity of a sketch to each of many; two without any shingle are equal."""
+    held = ((many != 0) | (one != 0)).sum(axis=1)
+    return np.where(held > 0, ((many == one) & (one != 0)).sum(axis=1) / np.maximum(held, 1), 1.0)
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
@@ -238,13 +272,103 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return grouped(docs, doc_id, text, shingle, radius, seed, leaf, block).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
+def similar(fps: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, home: np.ndarray, side: np.ndarray | None, radius: int, least: float, accept: float) -> tuple[np.ndarray, np.ndarray]:
+    """Stars (member, root), as positions, that join whatever is similar: fingerprints within the radius, sizes within
+    `least` of each other and sketches that agree to `accept`. One of a pair is at home, and they lie on two sides if sides
+    are given. Rows come sorted by size."""
+    n = len(fps)
+    near, parent = np.zeros(n, bool), np.arange(n)
+    for lo in range(0, n, 64):  # which rows have any candidate
+        hi = min(lo + 64, n)
+        end = np.searchsorted(sizes, sizes[hi - 1] / least, "right")
+        hit = np.bitwise_count(fps[lo:hi, None] ^ fps[None, lo:end]) <= radius
+        hit[np.arange(hi - lo), np.arange(hi - lo)] = False
+        near[lo:hi] |= hit.any(axis=1)
+        near[lo:end] |= hit.any(axis=0)
+    left = np.flatnonzero(near)
+    while len(left):  # breadth first; what has been reached is not tested again
+        root, left = left[0], left[1:]
+        front = [root]
+        while front and len(left):
+            p = front.pop()
+            a, b = np.searchsorted(sizes[left], [sizes[p] * least, sizes[p] / least + 1e-9])
+            at = np.flatnonzero(np.bitwise_count(fps[left[a:b]] ^ fps[p]) <= radius) + a
+            if not home[p]:
+                at = at[home[left[at]]]
+            if side is not None:
+                at = at[side[left[at]] != side[p]]
+            if len(at) and len(at := at[agreement(sketches[p], sketches[left[at]]) >= accept]):
+                parent[left[at]] = root
+                front += left[at].tolist()
+                left = np.delete(left, at)
+    moved = np.flatnonzero(parent != np.arange(n))
+    return moved, parent[moved]
+
+
+def similar_links(distinct: DataFrame, radius: int = NEAR_RADIUS, least: float = SIMILARITY, block: int = NEAR_BLOCK) -> DataFrame:
+    """Links (a, b) between similar rows of distinct (node, fp, size, sketch); their connected components are those of all
+    similar pairs.
+
+    The Hamming radius of this similarity is so wide that vantage points prune nothing. Sizes do: sets of similarity `least`
+    have sizes within that factor, so that with classes 1 / least wide a pair lies in one class or in two that adjoin. A row
+    goes to its own class and, as a visitor, to the one below. Classes above `block` rows become pairs of blocks.
+    """
+    own = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / F.lit(math.log(1 / least))).cast("int")
+    places = F.array(F.struct(own.alias("leaf"), F.lit(True).alias("home")), F.struct((own - 1).alias("leaf"), F.lit(False).alias("home")))
+    dealt = distinct.select("node", "fp", "size", "sketch", F.explode(places).alias("p")).select("node", "fp", "size", "sketch", "p.*")
+    counts = {r["leaf"]: r["count"] for r in dealt.groupBy("leaf").count().collect()}  # one row for each class
+    parts = F.lit(1)
+    for k, m in counts.items():
+        if m > block:
+            parts = F.when(F.col("leaf") == k, F.lit(math.ceil(m / block))).otherwise(parts)
+    cells = dealt.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select("node", "fp", "size", "sketch", "home", "leaf", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).alias("side"))
+
+    def star(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["size", "node"], kind="stable")
+        node, side = pdf["node"].to_numpy(np.int64), pdf["side"].to_numpy(bool)
+        sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(-1, SKETCH)
+        a, b = similar(pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["size"].to_numpy(np.int64), sketches, pdf["home"].to_numpy(bool), side if key[1] != key[2] else None, radius, least, least - SLACK)
+        return pd.DataFrame({"a": node[a], "b": node[b]})
+
+    return cells.groupBy("leaf", "i", "j").applyInPandas(star, "a long, b long")
+
+
+def with_signature(df: DataFrame, text: str, shingle: int, seed: int) -> DataFrame:
+    """df and the columns fp, size (distinct shingles) and sketch."""
+
+    def make():
+        def one(value: str | None) -> tuple[int, int, bytes]:
+            h = shingle_hashes(value, shingle, seed)
+            distinct = np.unique(h)
+            return majority(h), len(distinct), sketch(distinct).tobytes()
+
+        def run(texts: list) -> list[pa.Array]:
+            rows = [one(t) for t in texts]
+            return [pa.array(np.array([r[0] for r in rows], np.uint64).view(np.int64)), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())]
+
+        return run
+
+    return append_columns(df, text, [("fp", T.LongType()), ("size", T.LongType()), ("sketch", T.BinaryType())], make)
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, radius: int = NEAR_RADIUS, least: float = SIMILARITY, seed: int = SEED, block: int = NEAR_BLOCK) -> DataFrame:
     """docs with one row of each group of near duplicates: that with the smallest doc_id, and of several texts with that
-    doc_id the one with the smallest hash. A group whose doc_ids are all null keeps one row as well; of repeated rows one
-    is kept."""
+    doc_id the one with the smallest hash.
+
+    Near duplicates have fingerprints within the radius and a similarity of `least` or more over their sets of shingles, as
+    their sketches estimate it (exact but for chance where all shingles fall into parts of their own). Null, empty and blank
+    texts are one group. A group whose doc_ids are all null keeps one row as well; of repeated rows one is kept.
+    """
     k, h = fresh(docs, "_kept_id"), fresh(docs, "_kept_hash")
-    kept = grouped(docs, doc_id, text, shingle, radius, seed, leaf, block).where("doc_id <=> component_id").groupBy("root").agg(F.min_by(F.struct("doc_id", "text_hash"), "text_hash").alias("kept"))
-    kept = kept.select(F.col("kept.doc_id").alias(k), F.col("kept.text_hash").alias(h)).distinct()
+    read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("node"))
+    # One row for each text: a text of many copies is hashed by many tasks, and its signature aggregated before the shuffle.
+    signed = with_signature(read, "text", shingle, seed).drop("text")
+    distinct = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("sketch").alias("sketch")))
+    roots = components(similar_links(distinct, radius, least, block))
+    rooted = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("z"), "least", "node")).alias("kept"))
+    kept = kept.select(F.col("kept.least").alias(k), F.col("kept.node").alias(h))
     own = docs.withColumn(h + "_", F.xxhash64(F.col(text))).withColumn(k + "_", F.col(doc_id))
     found = own.join(kept, own[k + "_"].eqNullSafe(kept[k]) & (own[h + "_"] == kept[h]))
     return found.dropDuplicates([k + "_", h + "_"]).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -315,6 +315,57 @@ def test_blocks_find_all_within_the_radius():
     assert found == {(i, k) for i, a in enumerate(own) for k, f in enumerate(kept) if int(np.bitwise_count(a ^ f)) <= decontamination.RADIUS}
 
 
+def brute_shingles(text, k=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def brute_groups(texts, least):
+    """The smallest id that links of similarity `least` or more reach."""
+    root, ids = {d: d for d in texts}, sorted(texts)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            both = len(texts[a] & texts[b])
+            if both >= least * (len(texts[a]) + len(texts[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: find(d) for d in ids}
+
+
+@pytest.mark.parametrize("block", [20_000, 15])
+def test_near_copies(spark, block):
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for k in range(25):
+        n = int(rng.integers(30, 400))
+        words = [f"w{x}" for x in rng.integers(0, 3000, n)]
+        for c in range(4):
+            own = list(words)
+            for at in rng.choice(n, max(1, n // 60), replace=False) if c else ():  # similarity of about 0.85
+                own[at] = f"new{rng.integers(1 << 30)}"
+            rows.append((4 * k + c, " ".join(own)))
+        rows.append((1000 + k, " ".join(words[: n // 2])))  # half a text is another text
+    texts = {d: brute_shingles(t) for d, t in rows}
+    kept = {r["doc_id"] for r in simhash.keep_one(odd(spark, rows), block=block).collect()}
+    want = brute_groups(texts, 0.8)
+    assert kept == set(want.values())
+
+
+def test_sketches():
+    rng = np.random.default_rng(2)
+    for n in (3, 40, 5000):
+        both, a, b = (rng.integers(0, 1 << 63, m).astype(np.uint64) for m in (8 * n, n, n))
+        got = simhash.agreement(simhash.sketch(np.unique(np.concatenate([both, a]))), simhash.sketch(np.unique(np.concatenate([both, b])))[None])
+        assert abs(got[0] - 0.8) < 0.1
+    assert simhash.agreement(simhash.sketch(np.zeros(0, np.uint64)), simhash.sketch(np.zeros(0, np.uint64))[None])[0] == 1
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
@@ -325,10 +376,11 @@ def test_pipeline_stages(spark):
     good = corpus_pipeline.STAGES[0][1](spark, docs, SF)
     judged = {r["doc_id"] for r in queries.QUERIES["op2_quality_rules"](spark, SF).collect() if r["kept"]}
     assert {r["doc_id"] for r in good.collect()} == judged
-    fps = {r["doc_id"]: brute_simhash(r["text"], 5) for r in good.collect()}
-    roots = brute_components(set(fps.values()), 8)
-    least = {}
-    for d in sorted(fps):
-        least.setdefault(roots[fps[d]], d)
-    assert {r["doc_id"] for r in corpus_pipeline.STAGES[1][1](spark, good, SF).collect()} == set(least.values())
+    texts = {r["doc_id"]: brute_shingles(r["text"]) for r in good.collect()}
+    kept = {r["doc_id"] for r in corpus_pipeline.STAGES[1][1](spark, good, SF).collect()}
+    alike = lambda least: brute_groups(texts, least)
+    sure, loose = alike(0.85), alike(0.7)
+    assert kept <= set(texts) and len({sure[d] for d in kept}) == len(kept)  # no two sure copies stay
+    assert {loose[d] for d in kept} == set(loose.values())  # one of each group stays
+    assert all(d in kept or min(x for x in loose if loose[x] == loose[d]) < d for d in texts)
     assert corpus_pipeline.run(spark, SF).count() > 0
