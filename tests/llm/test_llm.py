@@ -83,6 +83,12 @@ def test_op1(spark):
     assert len(by_sequence) <= math.ceil(sum(r["length"] for r in rows) / 2048) + 1
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" + "\n" * 500_000 + "b", "a b" + " \t" * 900 + " word" + "\u3000" * 1500 + "1" + " " * 999 + "x", "\n" * 4000 + " it's", "x" + " " * 1200])
+def test_long_blanks(text):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.encoder(public_tokenizers.path(packing.VOCABULARY))(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_pieces_with_ids(spark):
     got = packing.pack_documents(odd(spark), with_ids=True).collect()
     assert all(zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] for r in got)
