@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
-from quillmill.operators import answers, conversations, selection, status
-
-TURN_WEIGHTS = {4: 0.20, 6: 0.30, 8: 0.30, 10: 0.067, 12: 0.067, 14: 0.066}
+from quillmill.operators import answers, conversations, echo, selection, status
+from quillmill.plans import conversation_sql as cs
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,22 +40,35 @@ def quality(spark, sf_dir):
     return conversations.with_quality(conversations.nested(read(spark, sf_dir, "conversations"), 14))
 
 
+def j3_accepted_turns(spark, sf_dir):
+    accepted, rejected = conversations.split_by_audit(read(spark, sf_dir, "conversations"))
+    return accepted.select("conv_id", "turn", F.lit(True).alias("accepted")).unionByName(rejected.select("conv_id", "turn", F.lit(False).alias("accepted")))
+
+
 def c1_clean_rows(spark, sf_dir):
     return quality(spark, sf_dir).select("conv_id", "n_turns", "reason")
 
 
+WHOLE = "coalesce(salvaged_from_turns, 0) AS salvaged_from_turns"  # 0 where nothing was cut off
+
+
 def c2_salvage(spark, sf_dir):
-    return conversations.salvaged(quality(spark, sf_dir)).select("conv_id", "kept_turns", "salvaged_from_turns")
+    return conversations.salvaged(quality(spark, sf_dir)).selectExpr("conv_id", "kept_turns", WHOLE)
 
 
 def w5_balanced_selection(spark, sf_dir):
     rows = conversations.salvaged(quality(spark, sf_dir)).select("conv_id", "kept_turns")
-    return selection.stratified(rows, "kept_turns", selection.quotas(500, TURN_WEIGHTS), 500, "conv_id", "conv_id")
+    return selection.stratified(rows, "kept_turns", selection.quotas(500, cs.TURN_WEIGHTS), 500, "conv_id", "conv_id")
 
 
 def l3_training_records(spark, sf_dir):
     rows = conversations.salvaged(quality(spark, sf_dir))
-    return conversations.training_records(rows).select("source_id", "target_turn_index", "turns", "salvaged_from_turns", F.to_json("messages").alias("messages"))
+    return conversations.training_records(rows).select("source_id", "target_turn_index", "turns", F.expr(WHOLE), F.to_json("messages").alias("messages"))
+
+
+def e2_chat_records(spark, sf_dir):
+    rows = conversations.salvaged(quality(spark, sf_dir))
+    return conversations.training_records(rows, cs.SYSTEM, explode=False).select("source_id", "turns", F.expr(WHOLE), F.to_json("messages").alias("messages"))
 
 
 def c3_replay(spark, sf_dir):
@@ -104,52 +116,23 @@ def w7_shard_plan(spark, sf_dir):
 def r6_misassigned(spark, sf_dir):
     turns = conversations.with_previous_user(read(spark, sf_dir, "conversations")).where("role = 'assistant' AND user_text IS NOT NULL")
     items = turns.select(F.floor(F.col("conv_id") / 8).alias("batch_id"), F.format_string("%d-%d", "conv_id", "turn").alias("item_id"), F.col("user_text").alias("user"), F.lit(None).cast("string").alias("topic"), F.col("text").alias("reply"))
-    from quillmill.operators import echo
-
     return echo.misassigned(items).select("batch_id", "item_id", "own", "best_other", "suspicious")
 
 
-QUERIES = {f.__name__: f for f in (w1_first_wins_dedupe, j1_top_up, j7_previous_user, l4_echo_audit, a7_echo_rate, c1_clean_rows, c2_salvage, w5_balanced_selection, l3_training_records, c3_replay, c4_next_fit, c5_fixed_batches, p7_answer_validity, f4_significant_tokens, f19_estimate_tokens, a1_histogram, a12_profile, a11_review_counts, w7_shard_plan, r6_misassigned)}
+QUERIES = {f.__name__: f for f in (w1_first_wins_dedupe, j1_top_up, j7_previous_user, l4_echo_audit, a7_echo_rate, j3_accepted_turns, c1_clean_rows, c2_salvage, w5_balanced_selection, l3_training_records, e2_chat_records, c3_replay, c4_next_fit, c5_fixed_batches, p7_answer_validity, f4_significant_tokens, f19_estimate_tokens, a1_histogram, a12_profile, a11_review_counts, w7_shard_plan, r6_misassigned)}
 
 _KEY = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g'), '["''“”‘’]', '', 'g'), '[?.!,;:]+$', '')"""
-_in = lambda ws: ", ".join(f"'{w}'" for w in ws)
-_WORDS = "list_filter(list_transform(regexp_extract_all(lower({}), '[a-z0-9][a-z0-9'']+'), lambda w: replace(w, '''', '')), lambda w: w <> '')"
-_SINGULAR = "list_transform({}, lambda w: CASE WHEN len(w) > 4 AND w[-1] = 's' THEN w[:-2] ELSE w END)"
-_ECHO = f"list_filter({_SINGULAR}, lambda w: len(w) >= 3 AND w NOT IN ({_in(tx.ECHO_STOPWORDS)}))"
-_GRAMS = "list_transform(range(1, greatest(len({0}) - {1} + 2, 1)), lambda i: array_to_string({0}[i : i + {1} - 1], ' '))"
-_RUN = lambda a, b, n: f"list_has_any({_GRAMS.format(a, n)}, {_GRAMS.format(b, n)})"
-_PREVIOUS = "SELECT conv_id, turn, role, text, last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS user_text FROM conversations"
-_AUDIT = f"""
-WITH p AS ({_PREVIOUS}),
-w AS (SELECT conv_id, turn, {_WORDS.format("coalesce(user_text, '')")} AS un, {_WORDS.format("text")} AS rn FROM p WHERE role = 'assistant' AND coalesce(text, '') <> ''),
-e AS (SELECT *, {_ECHO.format("un")} AS uc, {_ECHO.format("rn")} AS rc FROM w),
-s AS (SELECT *, len(list_intersect(list_distinct(uc), list_distinct(rc))) AS shared, len(list_distinct(uc)) AS nu, len(list_distinct(rc)) AS nr, coalesce(rn[1] IN ({_in(tx.REFLECTIVE_LEADS)}), false) AS lead, coalesce(rn[1] IN ({_in(tx.AGREEMENT_LEADS)}), false) AS agree FROM e),
-a AS (SELECT conv_id, turn, CASE
-  WHEN len(un) = 0 OR len(rn) = 0 THEN NULL
-  WHEN len(un) <= 3 AND rn[1 : len(un)] = un THEN 'short_exact_echo'
-  WHEN {_RUN("uc", "rc", 4)} THEN 'long_common_phrase'
-  WHEN {_RUN("un", "rn", 5)} THEN 'exact_5gram'
-  WHEN {_RUN("un", "rn", 4)} THEN 'exact_4gram'
-  WHEN lead AND {_RUN("uc", "rc", 3)} THEN 'reflective_exact_3gram'
-  WHEN shared = 0 THEN NULL
-  WHEN lead AND shared >= 5 AND shared / nr >= 0.60 THEN 'reflective_high_overlap'
-  WHEN agree AND shared >= 3 AND shared / nr >= 0.45 THEN 'agreement_rephrase'
-  WHEN shared >= 5 AND shared / nu >= 0.55 AND shared / nr >= 0.45 THEN 'high_overlap' END AS reason FROM s)
-"""
-ORACLE_SQL = {
+ORACLE_SQL = cs.SQL | {
     "w1_first_wins_dedupe": f"SELECT min(doc_id) AS doc_id, dedupe_key FROM (SELECT doc_id, {_KEY} AS dedupe_key FROM documents WHERE regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') <> '') GROUP BY dedupe_key",
     "j1_top_up": f"SELECT min(doc_id) AS doc_id, dedupe_key FROM (SELECT doc_id, {_KEY} AS dedupe_key FROM documents) WHERE dedupe_key <> '' AND dedupe_key NOT IN (SELECT {_KEY} FROM benchmark) GROUP BY dedupe_key",
-    "j7_previous_user": f"SELECT conv_id, turn, user_text FROM ({_PREVIOUS}) WHERE role = 'assistant'",
-    "l4_echo_audit": _AUDIT + "SELECT conv_id, turn, reason FROM a WHERE reason IS NOT NULL",
-    "a7_echo_rate": _AUDIT + "SELECT count(*) AS checked, count(reason) AS issues, CASE WHEN count(*) > 0 THEN count(reason) / count(*) ELSE 0.0 END AS rate FROM a",
     "c4_next_fit": """WITH RECURSIVE r AS (SELECT conv_id, turn, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS cost, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
 f AS (SELECT conv_id, turn, k, 1 AS items, cost AS used, CAST(0 AS BIGINT) AS batch FROM r WHERE k = 1
 UNION ALL SELECT r.conv_id, r.turn, r.k, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN 1 ELSE f.items + 1 END, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN r.cost ELSE f.used + r.cost + 2 END, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN f.batch + 1 ELSE f.batch END FROM f JOIN r ON r.conv_id = f.conv_id AND r.k = f.k + 1)
 SELECT conv_id, turn, batch FROM f""",
     "c5_fixed_batches": "SELECT source, doc_id, (k // 10) AS batch, (k % 10) AS local_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k FROM documents)",
     "p7_answer_validity": f"""SELECT conv_id, turn, CASE WHEN bit IS NOT NULL THEN 'contains ' || bit WHEN regexp_matches(a, '[\\x{{1F300}}-\\x{{1FAFF}}]') THEN 'emoji' WHEN trim(a) = '' THEN 'empty' WHEN len(regexp_extract_all(a, '\\S+')) > 55 THEN 'too_long' ELSE 'ok' END AS reason
-FROM (SELECT conv_id, turn, a, list_filter([{", ".join("'" + b.replace("'", "''") + "'" for b in answers.BAD_BITS)}], lambda b: contains(a, b))[1] AS bit FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS a FROM conversations WHERE role = 'assistant'))""",
-    "f4_significant_tokens": f"""SELECT doc_id, len(list_distinct(list_filter({_SINGULAR.format("ws")}, lambda w: len(w) >= 4 AND w NOT IN ({_in(tx.GROUNDING_STOPWORDS)})))) AS n_tokens, len({_ECHO.format("ws")}) AS n_echo_words FROM (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents)""",
+FROM (SELECT conv_id, turn, a, list_filter([{cs.listed(answers.BAD_BITS)}], lambda b: contains(a, b))[1] AS bit FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS a FROM conversations WHERE role = 'assistant'))""",
+    "f4_significant_tokens": f"SELECT doc_id, len({cs.significant("coalesce(text, '')")}) AS n_tokens, len({cs.echo_words(cs.words("coalesce(text, '')"))}) AS n_echo_words FROM documents",
     "f19_estimate_tokens": "SELECT doc_id, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS tokens FROM documents",
     "a1_histogram": "SELECT source, count(*) AS n, min(doc_id) AS first_seen FROM documents GROUP BY source",
     "a12_profile": "SELECT count(*) AS rows, avg(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_words, count(*) FILTER (WHERE contains(text, '?')) AS with_question_mark FROM documents",
