@@ -91,9 +91,10 @@ def clean_content(c: Column) -> Column:
     return strip(F.replace(F.coalesce(c, F.lit("")), F.lit("\\n"), F.lit("\n")))
 
 
-def strip_fence(c: Column, kinds: str = "json") -> Column:
-    """Without a code fence around it."""
-    return strip(F.regexp_replace(F.regexp_replace(strip(c), rf"(?i)^```(?:{kinds})?\s*", ""), r"\s*```$", ""))
+def strip_fence(c: Column, pattern: str = "(?i)^```(?:json)?") -> Column:
+    """Without a code fence around it; a fence at the end alone stays."""
+    plain = strip(c)
+    return F.when(plain.startswith("```"), strip(F.regexp_replace(F.regexp_replace(plain, rf"{pattern}\s*", ""), r"\s*```$", ""))).otherwise(plain)
 
 
 def clean_answer(c: Column) -> Column:
@@ -123,6 +124,19 @@ def duration(seconds: Column) -> Column:
     return F.when(s < 60, F.format_string("%ds", s)).when(s < 3600, F.format_string("%dm%02ds", F.floor(s / 60), s % 60)).otherwise(F.format_string("%dh%02dm", F.floor(s / 3600), F.floor(s % 3600 / 60)))
 
 
+def eta(total: Column, completed: Column, done_now: Column, elapsed: Column) -> Column:
+    """The time left at this run's rate, as text; 0s without a rate."""
+    rate = F.greatest(F.lit(0.0), done_now / F.greatest(F.lit(0.001), elapsed))
+    return duration(F.when(rate > 0, F.greatest(F.lit(0), total - completed) / rate).otherwise(0.0))
+
+
+def user_label(spec: Column) -> Column:
+    """`user_` and ten hex digits of the SHA-1 of a map as JSON with sorted keys and a blank after each colon and comma.
+    Keys and values are plain ASCII without quotes, as in the fixed lists they are drawn from."""
+    pairs = F.transform(F.array_sort(F.map_entries(spec)), lambda e: F.concat(F.lit('"'), e["key"], F.lit('": "'), e["value"], F.lit('"')))
+    return F.concat(F.lit("user_"), F.substring(F.sha1(F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}")).cast("binary")), 1, 10))
+
+
 def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """df with new columns that are computed once for each row: a generator of one row keeps the optimizer from copying a
     costly expression to every place that uses it."""

@@ -128,3 +128,19 @@ def replay(turns: DataFrame, target_replies: int, variant: str = "generator") ->
     stop = assistant & (F.col("_bad").isNotNull() | (F.col("_n") >= target_replies) | ((F.col("_n") >= 2) & (F.length(tx.strip(F.col("text"))) < 5)))
     stopped = F.max(F.when(stop, 1).otherwise(0)).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     return judged.withColumn("_stopped", F.coalesce(stopped, F.lit(0))).where("_stopped = 0").withColumn("error", F.when(F.col("_bad").isNotNull(), F.concat(F.lit("invalid_poke_reply:"), "_bad"))).drop("_echo", "_bad", "_n", "_stopped")
+
+
+def history(turns: Column) -> Column:
+    """Turns as a prompt shows them, the assistant under its own name."""
+    return F.transform(turns, lambda t: F.struct(F.when(t["role"] == "assistant", "poke").otherwise("user").alias("role"), F.coalesce(t["content"], F.lit("")).alias("content")))
+
+
+def envelope(instruction: str, items: Column) -> Column:
+    """The JSON text of a batch: an instruction and its items."""
+    return F.to_json(F.struct(F.lit(instruction).alias("instruction"), items.alias("items")))
+
+
+def sums(turns: DataFrame) -> DataFrame:
+    """(conv_id, replies, prompt_tokens, reply_tokens) by conversation, aggregated before the shuffle."""
+    reply, cost = F.col("role") == "assistant", tx.estimate_tokens(F.coalesce("text", F.lit("")))
+    return turns.groupBy("conv_id").agg(F.count_if(reply).alias("replies"), F.sum(F.when(reply, 0).otherwise(cost)).alias("prompt_tokens"), F.sum(F.when(reply, cost).otherwise(0)).alias("reply_tokens"))

@@ -29,6 +29,19 @@ def top_up(existing: DataFrame, source: DataFrame, ordinal: str, count: int | No
     return fresh if count is None else fresh.orderBy(ordinal).limit(count)
 
 
+def at_least(df: DataFrame, n: int) -> DataFrame:
+    """df, if it has n rows; an error otherwise. Counting stops at n."""
+    found = df.limit(n).count()
+    if found < n:
+        raise ValueError(f"{found} rows where {n} are needed")
+    return df
+
+
+def lookup(df: DataFrame, key: str, options: dict[str, str], out: str, default: str) -> DataFrame:
+    """df with out, the option of the key in a fixed list, or the default."""
+    return df.withColumn(out, F.coalesce(F.create_map(*(F.lit(x) for kv in options.items() for x in kv))[F.col(key)], F.lit(default)))
+
+
 def pending(planned: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     """Planned rows without a successful one: a success has an id and no error."""
     return planned.join(done.where("coalesce(id, '') <> '' AND coalesce(error, '') = ''").select(F.col("id").alias(key)).distinct(), key, "left_anti")
@@ -79,6 +92,12 @@ def weighted_draw(seed: int, ix: Column, axis: str, weights: dict[str, float]) -
     return out.otherwise([k for k, w in weights.items() if w > 0][-1])
 
 
+def uniform_draws(seed: int, ix: Column, axes: dict[str, list[str]]) -> Column:
+    """A map with one value for each axis, each drawn alone and all values alike."""
+    pick = lambda axis, values: F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.xxhash64(F.lit(seed), ix, F.lit(axis)), F.lit(len(values))) + 1).cast("int"))
+    return F.create_map(*(x for axis, values in axes.items() for x in (F.lit(axis), pick(axis, values))))
+
+
 def plan_rows(spark: SparkSession, n: int, seed: int, categories: dict[str, float], replies: dict[str, float]) -> DataFrame:
     return spark.range(n).select(F.format_string("pilot-%d-%05d", F.lit(seed), "id").alias("id"), weighted_draw(seed, F.col("id"), "category", categories).alias("category"), weighted_draw(seed, F.col("id"), "replies", replies).cast("int").alias("target_replies"))
 

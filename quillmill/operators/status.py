@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.functions import text as tx
+
 OK = "coalesce(cast(id AS string), '') <> '' AND coalesce(error, '') = ''"
 
 
@@ -36,6 +38,26 @@ def profile(df: DataFrame, text: str) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.avg(n_words).alias("mean_words"), F.count_if(F.contains(F.col(text), F.lit("?"))).alias("with_question_mark"))
 
 
+def dedupe_counters(df: DataFrame, kept: DataFrame) -> DataFrame:
+    """(read, kept, duplicates); empty questions count as duplicates."""
+    one = df.agg(F.count("*").alias("read")).crossJoin(kept.agg(F.count("*").alias("kept")))  # one row each
+    return one.withColumn("duplicates", F.col("read") - F.col("kept"))
+
+
+def length_bands(df: DataFrame, text: str, bounds: list[int]) -> DataFrame:
+    """(band, n): how many texts have a number of words up to the first bound, the second, ..., or beyond all."""
+    n_words = F.size(tx.split_words(F.coalesce(F.col(text), F.lit(""))))
+    band = F.lit(len(bounds))
+    for k, most in reversed(list(enumerate(bounds))):
+        band = F.when(n_words <= most, k).otherwise(band)
+    return df.groupBy(band.alias("band")).agg(F.count("*").alias("n"))
+
+
 def notification(successful: Column, target: Column, now: Column, last_rows: Column, last_at: Column, started: Column, done: Column, every_rows: int, every_s: float) -> Column:
     """Which notice is due: the first call's, the end's, progress, a heartbeat, or none."""
     return F.when(~started, "started").when((successful >= target) & ~done, "done").when(successful >= last_rows + every_rows, "progress").when((successful > last_rows) & (now - last_at >= every_s), "heartbeat")
+
+
+def notice_text(label: Column, successful: Column, target: Column, rows: Column, errors: Column, shards: Column) -> Column:
+    share = 100.0 * successful / F.greatest(F.lit(1), target)
+    return F.format_string("%s: %d/%d (%.1f%%), rows=%d, errors=%d, shards_seen=%d", label, successful, target, share, rows, errors, shards)

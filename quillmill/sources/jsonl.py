@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.functions import text as tx
+
 # Schemas as DDL, so that importing them needs no session.
 TURN = "struct<role:string,content:string,messages:array<string>>"
 CONVERSATION = f"id string, user string, category string, topic string, scenario string, user_spec map<string,string>, user_prompt_profile string, turns array<{TURN}>, poke_model string, user_model string, error string, total_prompt_tokens bigint, total_completion_tokens bigint"
@@ -54,6 +59,35 @@ def output_paths(path: str) -> dict[str, str]:
     return {"accepted": f"{path}.no_echo.jsonl", "rejected": f"{path}.echo_rejected.jsonl", "raw": f"{path}.raw.jsonl", "answers_rejected": f"{path}.rejected.jsonl", "manifest": f"{path}.manifest.json"}
 
 
-def pretty(turns: Column) -> Column:
-    """A conversation as text."""
-    return F.array_join(F.transform(turns, lambda t: F.concat(F.upper(t["role"]), F.lit(": "), F.coalesce(t["content"], F.lit("")))), "\n")
+def pretty(id_: Column, file: Column, category: Column, profile: Column, topic: Column, error: Column, turns: Column) -> Column:
+    """A conversation as text: a head, then each turn under its speaker."""
+    shown = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
+    line = lambda name, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(name), c))
+    head = F.concat(F.lit("id="), shown(id_), F.lit("  file="), shown(file), F.lit("  category="), shown(category), F.lit("  profile="), shown(profile))
+    said = lambda t: F.when(tx.strip(F.coalesce(t["content"], F.lit(""))) != "", tx.strip(t["content"])).otherwise("[empty]")
+    body = F.transform(turns, lambda t: F.concat(F.lit("\n"), F.when(t["role"] == "assistant", "POKE").otherwise("USER"), F.lit(":\n"), said(t)))
+    return F.concat_ws("\n", F.lit("=" * 100), head, line("topic: ", topic), line("ERROR: ", error), F.lit("-" * 100), F.array_join(body, "\n"))
+
+
+def read_document(path: str) -> dict:
+    """A small JSON file of settings or state, read by the driver; {} where it is missing or broken."""
+    try:
+        with open(path, encoding="utf-8") as f:
+            return json.load(f)
+    except (OSError, json.JSONDecodeError):
+        return {}
+
+
+def write_document(path: str, value: dict) -> None:
+    """Written beside its place, then moved there, so that no reader sees half of it."""
+    with open(f"{path}.tmp", "w", encoding="utf-8") as f:
+        json.dump(value, f, ensure_ascii=False, indent=2)
+    os.replace(f"{path}.tmp", path)
+
+
+def read_prompt(path: str, shortest: int = 200) -> str:
+    with open(path, encoding="utf-8") as f:
+        text = f.read().strip()
+    if len(text) < shortest:
+        raise ValueError(f"{path} has {len(text)} characters; a prompt has {shortest} at least")
+    return text

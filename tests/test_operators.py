@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 from pyspark.sql import functions as F
@@ -90,15 +91,57 @@ def test_selection(spark):
     assert selection.job_grid(spark.createDataFrame([("p",)], "prompt string"), 3).count() == 3
 
 
+def replies(spark, expected, text):
+    return answers.with_batch_replies(spark.createDataFrame([(text,)], "raw string").withColumn("expected", expected), "raw", "expected").first()["replies"]
+
+
 def test_answers(spark):
     for text, reason in [("As an AI I say", "contains as an ai"), ("fine \U0001f600", "emoji"), (" ", "empty"), ("w " * 56, "too_long"), ("w " * 55, "ok")]:
         assert one(spark, answers.answer_reason(F.col("c0")), text) == reason
-    assert one(spark, answers.parse_batch_answers(F.col("c0")), 'x {"answers": [{"id": 1, "answer": "a"}, {"id": 1, "response": "b"}, {"id": 2}]}') == {"1": "b", "2": None}
-    assert one(spark, answers.parse_batch_reply(F.col("c0"), F.array(F.lit("u"))), '<item id="u"> a &amp; b </item>') == {"u": "a &amp; b"}
-    assert one(spark, answers.unescape(F.col("c0")), "a &amp; b") == "a & b"
-    assert one(spark, answers.parse_batch_reply(F.col("c0"), F.array(F.lit("u"), F.lit("v"))), '<item id="u">a</item>') is None
+    assert one(spark, answers.parse_batch_answers(F.col("c0")), 'x {"answers": [{"id": 1, "answer": "a"}, {"id": 1, "response": "b"}, {"id": 2}, {"id": 3, "assistant": 7, "answer": "c"}, {"id": 4, "assistant": "", "answer": " d "}]}') == {"1": "b", "4": "d"}
+    assert one(spark, answers.parse_batch_answers(F.col("c0")), "no json") is None
+    assert one(spark, answers.parse_batch_answers(F.col("c0")), '```json\n[{"id": "x", "answer": "a"}]\n```') == {"x": "a"}
+    assert replies(spark, F.array(F.lit("u")), '<item id="u"> a &amp; b </item>') == {"u": "a & b"}
+    both = F.array(F.lit("u"), F.lit("v"))
+    assert replies(spark, both, '<item id="u">a</item> {"items": [{"id": "v", "message": "b"}, {"id": "w", "message": "c"}]}') == {"u": "a", "v": "b"}
+    assert replies(spark, both, '{"items": [{"id": "u", "message": "a"}, {"id": "v", "message": 3}]}') is None
+    assert replies(spark, F.array(F.lit("u")), '<item id="u">open &lt;end') == {"u": "open <end"}
+    assert replies(spark, F.array(F.lit("u"), F.lit("v")), '<item id="u">a</item>') is None
     assert one(spark, answers.extract_questions(F.col("c0")), "1. one?\n- two?\n\n") == ["one?", "two?"]
     assert one(spark, answers.extract_questions(F.col("c0")), '{"questions": ["q"]}') == ["q"]
+    assert one(spark, answers.extract_questions(F.col("c0")), '{"questions": ["one?","two "yes"?","three?"') == ['{"questions": ["one?","two "yes"?","three?"']
+    assert one(spark, answers.extract_questions(F.col("c0")), '{"questions": ["one?","two "yes"?","three?",]') == ["one?", 'two "yes"?', "three?"]
+    assert one(spark, answers.provider(F.col("c0")), "o3-x") == "openai"
+    assert one(spark, answers.retryable(F.lit(None).cast("int"), F.col("c0")), "Rate limit hit") and one(spark, answers.retryable(F.lit(529), F.col("c0")), "") and not one(spark, answers.retryable(F.lit(400), F.col("c0")), "bad")
+
+
+def test_refilter(spark):
+    rows = [(0, "Hi", "as an ai"), (1, "hi ", "fine"), (2, "", "fine"), (3, "b", "good"), (4, "c", ""), (5, "d", "good"), (6, "e", "good")]
+    df = spark.createDataFrame(rows, "o int, u string, a string")
+    assert [(r["o"], r["reason"]) for r in answers.refilter(df, "u", "a", "o").orderBy("o").collect()] == [(0, "contains as an ai"), (3, "ok"), (4, "empty"), (5, "ok"), (6, "ok")]
+    assert [r["o"] for r in answers.refilter(df, "u", "a", "o", 2).orderBy("o").collect()] == [0, 3, 4, 5]
+    assert answers.refilter(df, "u", "a", "o", 9).count() == 5
+
+
+def test_documents(spark, tmp_path):
+    path = str(tmp_path / "state.json")
+    assert jsonl.read_document(path) == {}
+    jsonl.write_document(path, {"a": "ö"})
+    assert jsonl.read_document(path) == {"a": "ö"}
+    try:
+        jsonl.read_prompt(path)
+        raise AssertionError
+    except ValueError:
+        pass
+    turns = F.array(F.struct(F.lit("user").alias("role"), F.lit(" hi ").alias("content")), F.struct(F.lit("assistant").alias("role"), F.lit("").alias("content")))
+    none = F.lit(None).cast("string")
+    shown = one(spark, jsonl.pretty(F.col("c0"), F.lit("f"), none, none, F.lit("t"), none, turns), "7").split("\n")
+    assert shown[1:3] == ["id=7  file=f  category=None  profile=None", "topic: t"] and shown[4:] == ["", "USER:", "hi", "", "POKE:", "[empty]"]
+    assert one(spark, tx.user_label(F.create_map(F.lit("b"), F.lit("2"), F.lit("a"), F.col("c0"))), "1") == "user_" + hashlib.sha1(b'{"a": "1", "b": "2"}').hexdigest()[:10]
+    assert one(spark, tx.eta(F.lit(100), F.lit(50), F.lit(10), F.col("c0").cast("double")), "20") == "1m40s"
+    assert one(spark, status.notice_text(F.col("c0"), F.lit(1), F.lit(4), F.lit(2), F.lit(1), F.lit(1)), "done") == "done: 1/4 (25.0%), rows=2, errors=1, shards_seen=1"
+    drawn = one(spark, selection.uniform_draws(3, F.col("c0"), {"x": ["p", "q"], "y": ["r"]}), "1")
+    assert drawn["x"] in "pq" and drawn["y"] == "r"
 
 
 def test_status(spark):
