@@ -6,6 +6,7 @@ from quillmill.functions import text as tx
 from quillmill.operators import conversations, selection
 
 TURN_WEIGHTS = {4: 0.20, 6: 0.30, 8: 0.30, 10: 0.067, 12: 0.067, 14: 0.066}
+KEY = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g'), '["''“”‘’]', '', 'g'), '[?.!,;:]+$', '')"""
 
 
 def listed(ws: list[str]) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillmill.functions import text as tx
 from quillmill.operators import answers, conversations, echo, selection, status
 from quillmill.plans import conversation_sql as cs
+from quillmill.plans import run_queries
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,12 +120,11 @@ def r6_misassigned(spark, sf_dir):
     return echo.misassigned(items).select("batch_id", "item_id", "own", "best_other", "suspicious")
 
 
-QUERIES = {f.__name__: f for f in (w1_first_wins_dedupe, j1_top_up, j7_previous_user, l4_echo_audit, a7_echo_rate, j3_accepted_turns, c1_clean_rows, c2_salvage, w5_balanced_selection, l3_training_records, e2_chat_records, c3_replay, c4_next_fit, c5_fixed_batches, p7_answer_validity, f4_significant_tokens, f19_estimate_tokens, a1_histogram, a12_profile, a11_review_counts, w7_shard_plan, r6_misassigned)}
+QUERIES = {f.__name__: f for f in (w1_first_wins_dedupe, j1_top_up, j7_previous_user, l4_echo_audit, a7_echo_rate, j3_accepted_turns, c1_clean_rows, c2_salvage, w5_balanced_selection, l3_training_records, e2_chat_records, c3_replay, c4_next_fit, c5_fixed_batches, p7_answer_validity, f4_significant_tokens, f19_estimate_tokens, a1_histogram, a12_profile, a11_review_counts, w7_shard_plan, r6_misassigned)} | run_queries.QUERIES
 
-_KEY = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g'), '["''“”‘’]', '', 'g'), '[?.!,;:]+$', '')"""
-ORACLE_SQL = cs.SQL | {
-    "w1_first_wins_dedupe": f"SELECT min(doc_id) AS doc_id, dedupe_key FROM (SELECT doc_id, {_KEY} AS dedupe_key FROM documents WHERE regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') <> '') GROUP BY dedupe_key",
-    "j1_top_up": f"SELECT min(doc_id) AS doc_id, dedupe_key FROM (SELECT doc_id, {_KEY} AS dedupe_key FROM documents) WHERE dedupe_key <> '' AND dedupe_key NOT IN (SELECT {_KEY} FROM benchmark) GROUP BY dedupe_key",
+ORACLE_SQL = cs.SQL | run_queries.ORACLE_SQL | {
+    "w1_first_wins_dedupe": f"SELECT min(doc_id) AS doc_id, dedupe_key FROM (SELECT doc_id, {cs.KEY} AS dedupe_key FROM documents WHERE regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') <> '') GROUP BY dedupe_key",
+    "j1_top_up": f"SELECT min(doc_id) AS doc_id, dedupe_key FROM (SELECT doc_id, {cs.KEY} AS dedupe_key FROM documents) WHERE dedupe_key <> '' AND dedupe_key NOT IN (SELECT {cs.KEY} FROM benchmark) GROUP BY dedupe_key",
     "c4_next_fit": """WITH RECURSIVE r AS (SELECT conv_id, turn, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS cost, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
 f AS (SELECT conv_id, turn, k, 1 AS items, cost AS used, CAST(0 AS BIGINT) AS batch FROM r WHERE k = 1
 UNION ALL SELECT r.conv_id, r.turn, r.k, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN 1 ELSE f.items + 1 END, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN r.cost ELSE f.used + r.cost + 2 END, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN f.batch + 1 ELSE f.batch END FROM f JOIN r ON r.conv_id = f.conv_id AND r.k = f.k + 1)

@@ -6,11 +6,12 @@ import pytest
 
 from compare import same
 from quillmill.plans import conversation_sql
-from quillmill.plans.queries import QUERIES
+from quillmill.plans.queries import ORACLE_SQL, QUERIES
 
 WORDS = "purple tractor wheel broken hedgehog garden escaped yesterday morning lunar eclipse telescope visible tonight ducks swim ponds the that were you with was it one don't".split()
 ODD = ["", "  ", "ok", "Thanks", "[END]", "end", "yep", "hm", "single", "a marvelous thing", "you asked me that", "so [empty] here", "it's\\nfine then", None]
-NAMES = sorted(set(conversation_sql.SQL) & set(QUERIES))
+NAMES = sorted(set(conversation_sql.SQL) & set(QUERIES)) + """p3_user_items p5_flags p6_reply_problems p7_answer_validity k6_pretty w2_refilter w8_refilter_first_20 f8_shared_runs f13_clean_answers
+f15_batch_answers f16_batch_replies f17_questions f18_messages a9_conversation_sums c4_next_fit k1_jsonl_round_trip s2_lenient_scan t3_follow""".split()
 
 
 def text(rng, said):
@@ -49,7 +50,7 @@ def tables(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_equal(spark, tables, name):
-    same(spark, QUERIES[name], conversation_sql.SQL[name], tables)
+    same(spark, QUERIES[name], ORACLE_SQL[name], tables)
 
 
 def test_all_reasons_occur(spark, tables):
