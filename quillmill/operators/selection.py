@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
+from quillmill.sources.shared import cut
 
 
 def first_wins(df: DataFrame, key: Column, ordinal: str) -> DataFrame:
@@ -64,7 +65,8 @@ def quotas(limit: int, weights: dict) -> dict:
 
 def stratified(df: DataFrame, stratum: str, caps: dict, limit: int, ordinal: str, key: str) -> DataFrame:
     """The first rows of each stratum up to its cap, then, in order, first rows of ids not used until `limit`. The number of
-    strata is that of caps; a limited sort per stratum keeps no more than its cap in a task."""
+    strata is that of caps; a limited sort per stratum keeps no more than its cap in a task. df is computed once."""
+    df = cut(df)
     by = Window.partitionBy(stratum).orderBy(ordinal)
     cap = F.coalesce(F.create_map(*(x for k, v in caps.items() for x in (F.lit(k), F.lit(v))))[F.col(stratum)], F.lit(0))
     one = df.where(F.col(stratum).isin(list(caps))).withColumn("_k", F.row_number().over(by)).where((F.col("_k") <= max(caps.values())) & (F.col("_k") <= cap)).drop("_k").withColumn("selection_pass", F.lit(1))
@@ -107,10 +109,26 @@ def job_grid(prompts: DataFrame, calls: int) -> DataFrame:
     return prompts.withColumn("call_ix", F.explode(F.sequence(F.lit(0), F.lit(calls - 1))))
 
 
+def numbered(df: DataFrame, part: str, ordinal: str, out: str) -> DataFrame:
+    """df with out: the place (from 0) of a row in its part, by the ordinal, which must be unique in a part.
+
+    Rows are dealt by ranges of (part, ordinal), so that a part of any size is spread over tasks; a row's place is that in
+    its range, and the number of rows of the part in the ranges before, of which there is one sum for each range and part.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(df.repartitionByRange(n, part, ordinal).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range", part).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("_range").alias("_r"), F.col(part).alias("_part"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range", part).orderBy(ordinal)) - 1
+    placed = ranged.withColumn("_k", place).join(starts, (F.col("_range") == F.col("_r")) & F.col(part).eqNullSafe(F.col("_part")))
+    return placed.withColumn(out, F.col("_start") + F.col("_k")).select(*(F.col(f"`{c}`") for c in df.columns), out)
+
+
 def fixed_batches(df: DataFrame, size: int, ordinal: str, part: str) -> DataFrame:
     """Chunks of `size` rows in order within each part."""
-    k = F.row_number().over(Window.partitionBy(part).orderBy(ordinal)) - 1
-    return df.withColumns({"batch": F.floor(k / size).cast("long"), "local_id": (k % size).cast("long")})
+    rows = numbered(df, part, ordinal, "_place")
+    return rows.withColumns({"batch": F.floor(F.col("_place") / size).cast("long"), "local_id": (F.col("_place") % size).cast("long")}).drop("_place")
 
 
 def next_fit(df: DataFrame, part: str, ordinal: str, cost: str, most_items: int, budget: int, envelope: int = 0, between: int = 2) -> DataFrame:

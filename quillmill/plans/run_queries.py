@@ -6,15 +6,13 @@ turns of one conversation), documents and labels for the rows of a run in eight
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
 from quillmill.operators import answers, conversations, echo, selection, status
 from quillmill.plans import conversation_sql as cs
-from quillmill.sources import jsonl
+from quillmill.sources import jsonl, shared
 from quillmill.streaming import progress
 
 SCENARIOS = {"en": "at the station", "de": "in the kitchen", "fr": "on the way home"}
@@ -25,12 +23,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors reach: under spark.checkpoint.dir, or the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base}/{name}-{uuid.uuid4()}"
-
-
 def batches(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     """(conv_id, part, turns) with the turns of a role that have a text, at most twenty turns a part."""
     said = read(spark, sf_dir, "conversations").where((F.col("role") == role) & (tx.strip(F.coalesce("text", F.lit(""))) != ""))
@@ -183,14 +175,14 @@ def w14_job_grid(spark, sf_dir):
 
 
 def k1_jsonl_round_trip(spark, sf_dir):
-    folder = shared_folder(spark, "jsonl")
+    folder = shared.folder(spark, "jsonl")
     jsonl.write_jsonl(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), folder)
     return jsonl.read_strict(spark, folder, "conv_id bigint, turn bigint, role string, text string")
 
 
 def s2_lenient_scan(spark, sf_dir):
     """Each seventh line is broken; good rows and error rows, in order of their lines."""
-    folder = shared_folder(spark, "lines")
+    folder = shared.folder(spark, "lines")
     line = F.to_json(F.struct("conv_id", "turn"))
     rows = read(spark, sf_dir, "conversations").select(F.when(F.col("turn") % 7 == 3, F.concat(F.lit("x"), line)).otherwise(line).alias("value"))
     rows.write.text(folder)
@@ -200,7 +192,7 @@ def s2_lenient_scan(spark, sf_dir):
 
 def t3_follow(spark, sf_dir):
     """Landed rows followed until nothing is new; rows with an error stay hidden."""
-    folder = shared_folder(spark, "follow")
+    folder = shared.folder(spark, "follow")
     error = F.when(F.col("turn") % 5 == 2, "failed")
     jsonl.write_jsonl(read(spark, sf_dir, "conversations").select("conv_id", "turn", error.alias("error")), f"{folder}/in")
     schema = "conv_id bigint, turn bigint, error string"

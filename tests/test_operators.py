@@ -95,6 +95,14 @@ def replies(spark, expected, text):
     return answers.with_batch_replies(spark.createDataFrame([(text,)], "raw string").withColumn("expected", expected), "raw", "expected").first()["replies"]
 
 
+def test_numbered_with_a_hot_part(spark):
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 else "cold", i * 17 % 2003) for i in range(2003)]
+    got = selection.numbered(spark.createDataFrame(rows, "s string, o int").repartition(5), "s", "o", "k").collect()
+    for part in ("hot", "cold", None):
+        assert [r["k"] for r in sorted((r for r in got if r["s"] == part), key=lambda r: r["o"])] == list(range(sum(x == part for x, _ in rows)))
+    assert selection.numbered(spark.createDataFrame([], "s string, o int"), "s", "o", "k").count() == 0
+
+
 def test_answers(spark):
     for text, reason in [("As an AI I say", "contains as an ai"), ("fine \U0001f600", "emoji"), (" ", "empty"), ("w " * 56, "too_long"), ("w " * 55, "ok")]:
         assert one(spark, answers.answer_reason(F.col("c0")), text) == reason
