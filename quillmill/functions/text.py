@@ -17,9 +17,13 @@ AGREEMENT_LEADS = "yeah yep exactly right totally".split()
 END_SENTINELS = ["[END]", "<END>", "__END__", "END"]
 
 
+# Fixed value: Unicode's white space and the four separators.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Without white space at either end, as Unicode has it."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space at either end, as Unicode has it. A trim looks at the ends only; a pattern would at all blanks."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def first_set(*columns: Column) -> Column:
@@ -35,7 +39,7 @@ def split_words(c: Column) -> Column:
 def dedupe_key(c: Column) -> Column:
     """Lower case, single spaces, no quotes, no punctuation at the end."""
     plain = F.regexp_replace(strip(F.lower(c)), r"(?U)\s+", " ")
-    return F.regexp_replace(F.regexp_replace(plain, "[\"'“”‘’]", ""), r"[?.!,;:]+$", "")
+    return F.rtrim(F.translate(plain, "\"'“”‘’", ""), F.lit("?.!,;:"))
 
 
 def words(c: Column) -> Column:

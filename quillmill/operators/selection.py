@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quillmill.functions import text as tx
 from quillmill.sources.shared import cut
@@ -13,7 +14,9 @@ from quillmill.sources.shared import cut
 
 def first_wins(df: DataFrame, key: Column, ordinal: str) -> DataFrame:
     """The row with the smallest ordinal of each key: a grouped minimum (pre-aggregated before the shuffle, so that a hot
-    key costs nothing) and a semi-join on the ordinal, which must be unique."""
+    key costs nothing) and a semi-join on the ordinal, which must be unique. Of a text only its SHA-256 is shuffled."""
+    if isinstance(df.select(key).schema[0].dataType, StringType):
+        key = F.sha2(key, 256)
     least = df.groupBy(key.alias("_key")).agg(F.min(ordinal).alias("_least"))
     return df.join(least.select("_least"), F.col(ordinal) == F.col("_least"), "left_semi")
 
