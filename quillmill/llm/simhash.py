@@ -9,7 +9,8 @@
    components, never all pairs. A leaf that grew too large (a dense group) is dealt out as pairs of blocks.
 4. Alternating large-star and small-star steps join the stars to components.
 
-near_duplicates links fingerprints alone. keep_one, which removes texts, also asks for the similarity of the shingle sets.
+near_duplicates links fingerprints alone. keep_one, which removes texts, decides by the exact similarity of the shingle sets:
+fingerprints and sketches only choose the candidates, and only the candidates' sets of shingle hashes are shuffled.
 """
 
 from __future__ import annotations
@@ -35,10 +36,11 @@ BLOCK = 60_000  # fingerprints of each side of a pair of blocks of an oversized
 DEPTH = 14  # so there are at most 2 ** DEPTH leaves
 SIMILARITY = 0.8  # of near copies that keep_one removes, over sets of words' shingles
 NEAR_SHINGLE = 5
-NEAR_RADIUS = 18  # at similarity 0.8 fingerprints differ in 9.7 bits, give or take 2.9
+NEAR_RADIUS = 24  # at similarity 0.8 fingerprints differ in 9.7 bits, give or take 2.9: five deviations below this
 SKETCH = 256  # parts of a sketch: at similarity 0.8 its estimate has a standard error of 0.025
-SLACK = 0.05  # so far below SIMILARITY an estimate still counts
+SLACK = 0.12  # so far below SIMILARITY an estimate still makes a candidate: nearly five standard errors
 NEAR_BLOCK = 20_000  # texts of each side of a pair of blocks of a size class
+SETS = 1 << 19  # shingle hashes of a bin of candidate groups, or of each side of a pair of blocks of a larger group
 ONE = np.uint64(1)
 
 
@@ -306,8 +308,8 @@ def similar(fps: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, home: np.n
 
 
 def similar_links(distinct: DataFrame, radius: int = NEAR_RADIUS, least: float = SIMILARITY, block: int = NEAR_BLOCK) -> DataFrame:
-    """Links (a, b) between similar rows of distinct (node, fp, size, sketch); their connected components are those of all
-    similar pairs.
+    """Links (a, b) between candidates among the rows of distinct (node, fp, size, sketch): pairs whose estimate is at most
+    SLACK below `least`. Their connected components are those of all such pairs.
 
     The Hamming radius of this similarity is so wide that vantage points prune nothing. Sizes do: sets of similarity `least`
     have sizes within that factor, so that with classes 1 / least wide a pair lies in one class or in two that adjoin. A row
@@ -334,14 +336,81 @@ def similar_links(distinct: DataFrame, radius: int = NEAR_RADIUS, least: float =
     return cells.groupBy("leaf", "i", "j").applyInPandas(star, "a long, b long")
 
 
+def alike(sizes: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, least: float, accept: float) -> tuple[np.ndarray, np.ndarray]:
+    """Stars (member, root), as positions, that join whatever has an exact similarity of `least` or more, between two sides if
+    sides are given. Rows come sorted by size; sets are sorted and distinct. Sketches that agree to less than `accept` spare
+    the exact comparison."""
+    left, parent = np.arange(len(sizes)), np.arange(len(sizes))
+    while len(left):  # breadth first; what has been reached is not tested again
+        root, left = left[0], left[1:]
+        front = [root]
+        while front and len(left):
+            p = front.pop()
+            a, b = np.searchsorted(sizes[left], [sizes[p] * least, sizes[p] / least + 1e-9])
+            at = np.arange(a, b)
+            if side is not None:
+                at = at[side[left[at]] != side[p]]
+            at = at[agreement(sketches[p], sketches[left[at]]) >= accept]
+            if len(at) and sizes[p]:  # rows without shingles have candidates without shingles only, and are equal
+                many = sizes[left[at]]
+                all_ = np.concatenate([sets[q] for q in left[at]])
+                own = sets[p]
+                hit = own[np.minimum(np.searchsorted(own, all_), len(own) - 1)] == all_
+                both = np.add.reduceat(hit.astype(np.int64), np.cumsum(many) - many)
+                at = at[both >= least * (many + sizes[p] - both)]
+            parent[left[at]] = root
+            front += left[at].tolist()
+            left = np.delete(left, at)
+    moved = np.flatnonzero(parent != np.arange(len(sizes)))
+    return moved, parent[moved]
+
+
+def exact_links(docs: DataFrame, distinct: DataFrame, groups: DataFrame, shingle: int, seed: int, least: float, most: int = SETS) -> DataFrame:
+    """Links (a, b) whose connected components are those of all pairs within a group that have an exact similarity of `least`
+    or more. docs is (doc_id, text, node), groups are the candidates' components (node, root).
+
+    The sets of shingle hashes are made for the candidates only, each from the copies of its text with the least doc_id. Small
+    groups share bins of about `most` hashes; a group of more becomes pairs of blocks of about that many.
+    """
+    inside = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
+    members = cut(distinct.join(inside, "node").select("node", "root", "least", "size", "sketch"))
+    sizes = members.groupBy("root").agg(F.sum("size").alias("n"))
+    bins = max(1, math.ceil((sizes.where(F.col("n") <= most).agg(F.sum("n")).first()[0] or 0) / most))
+    hot = F.broadcast(sizes.where(F.col("n") > most).select("root", F.ceil(F.col("n") / most).cast("int").alias("parts")))  # few: each has over `most` hashes
+    own, about = docs.withColumnRenamed("doc_id", "_id"), members.select("node", "least")
+    texts = own.join(about, "node").where(F.col("_id").eqNullSafe(F.col("least"))).select("node", "text")
+
+    def make():
+        return lambda values: [pa.array([np.unique(shingle_hashes(t, shingle, seed)).astype("<u8").tobytes() for t in values], pa.binary())]
+
+    sets = append_columns(texts, "text", [("hashes", T.BinaryType())], make).groupBy("node").agg(F.first("hashes").alias("hashes"))
+    rows = members.join(sets, "node").join(hot, "root", "left")
+    cells = rows.withColumn("bin", F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.col("root"))).withColumn("hot", F.col("parts").isNotNull())
+    cells = cells.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select("root", "node", "size", "sketch", "hashes", "bin", "hot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).alias("side"))
+
+    def star(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["root", "size", "node"], kind="stable")
+        root, node, size, side = (pdf[c].to_numpy() for c in ("root", "node", "size", "side"))
+        sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(-1, SKETCH)
+        hashes = [np.frombuffer(x, "<u8") for x in pdf["hashes"]]
+        edges = np.flatnonzero(np.concatenate(([True], root[1:] != root[:-1], [True])))
+        out = [(node[:0], node[:0])]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            a, b = alike(size[lo:hi], sketches[lo:hi], hashes[lo:hi], side[lo:hi].astype(bool) if key[2] != key[3] else None, least, least - SLACK)
+            out.append((node[lo + a], node[lo + b]))
+        return pd.DataFrame({"a": np.concatenate([a for a, _ in out]), "b": np.concatenate([b for _, b in out])})
+
+    return cells.groupBy("bin", "hot", "i", "j").applyInPandas(star, "a long, b long")
+
+
 def with_signature(df: DataFrame, text: str, shingle: int, seed: int) -> DataFrame:
-    """df and the columns fp, size (distinct shingles) and sketch."""
+    """df and the columns fp, size and sketch of the set of distinct shingles."""
 
     def make():
         def one(value: str | None) -> tuple[int, int, bytes]:
-            h = shingle_hashes(value, shingle, seed)
-            distinct = np.unique(h)
-            return majority(h), len(distinct), sketch(distinct).tobytes()
+            distinct = np.unique(shingle_hashes(value, shingle, seed))
+            return majority(distinct), len(distinct), sketch(distinct).tobytes()
 
         def run(texts: list) -> list[pa.Array]:
             rows = [one(t) for t in texts]
@@ -352,20 +421,21 @@ def with_signature(df: DataFrame, text: str, shingle: int, seed: int) -> DataFra
     return append_columns(df, text, [("fp", T.LongType()), ("size", T.LongType()), ("sketch", T.BinaryType())], make)
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, radius: int = NEAR_RADIUS, least: float = SIMILARITY, seed: int = SEED, block: int = NEAR_BLOCK) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, radius: int = NEAR_RADIUS, least: float = SIMILARITY, seed: int = SEED, block: int = NEAR_BLOCK, most: int = SETS) -> DataFrame:
     """docs with one row of each group of near duplicates: that with the smallest doc_id, and of several texts with that
     doc_id the one with the smallest hash.
 
-    Near duplicates have fingerprints within the radius and a similarity of `least` or more over their sets of shingles, as
-    their sketches estimate it (exact but for chance where all shingles fall into parts of their own). Null, empty and blank
-    texts are one group. A group whose doc_ids are all null keeps one row as well; of repeated rows one is kept.
+    Near duplicates have a similarity of `least` or more over their sets of shingles, computed from the sets. A pair is compared
+    if its fingerprints are within the radius and its sketches agree to `least` - SLACK. Null, empty and blank texts are one
+    group. A group whose doc_ids are all null keeps one row as well; of repeated rows one is kept.
     """
     k, h = fresh(docs, "_kept_id"), fresh(docs, "_kept_hash")
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("node"))
     # One row for each text: a text of many copies is hashed by many tasks, and its signature aggregated before the shuffle.
     signed = with_signature(read, "text", shingle, seed).drop("text")
     distinct = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("sketch").alias("sketch")))
-    roots = components(similar_links(distinct, radius, least, block))
+    candidates = components(similar_links(distinct, radius, least, block))
+    roots = components(exact_links(read, distinct, candidates, shingle, seed, least, most))
     rooted = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("z"), "least", "node")).alias("kept"))
     kept = kept.select(F.col("kept.least").alias(k), F.col("kept.node").alias(h))

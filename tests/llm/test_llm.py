@@ -363,6 +363,20 @@ def test_near_copies(spark, block):
     assert kept == set(want.values())
 
 
+@pytest.mark.parametrize("most", [1 << 19, 5000])
+def test_near_copies_at_the_threshold(spark, most):
+    rows, hub = [], [f"hub{x}" for x in range(944)]
+    for k in range(40):
+        for kind, (n, shared) in enumerate([(90, 80), (90, 79), (90, 78), (900, 800), (900, 790)]):  # similarity 0.8, 0.782, 0.765, 0.8, 0.782
+            words = [f"w{k}k{kind}x{x}" for x in range(n + 4)]
+            rows += [(1000 * k + 2 * kind, " ".join(words)), (1000 * k + 2 * kind + 1, " ".join(words[: shared + 4] + [f"own{x}" + w for x, w in enumerate(words[shared + 4 :])]))]
+        rows.append((1000 * k + 20, " ".join(hub[: 800 + 2 * k])))  # a group of over 5,000 shingles
+        rows.append((1000 * k + 21, " ".join(f"r{k}" if x % 3 else f"r{k}x{x % 60}" for x in range(400))))  # shingles repeat
+    texts = {d: brute_shingles(t) for d, t in rows}
+    kept = {r["doc_id"] for r in simhash.keep_one(odd(spark, rows), most=most).collect()}
+    assert kept == set(brute_groups(texts, 0.8).values())
+
+
 def test_sketches():
     rng = np.random.default_rng(2)
     for n in (3, 40, 5000):
