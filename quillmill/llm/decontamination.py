@@ -7,6 +7,10 @@ So an item is entered in each block's table under all values within 3 bits of it
 every item within the radius. Candidates are then checked exactly: the weighted Jaccard similarity of the shingle multisets
 of the item and of a window of the item's own size, at every offset around the candidate.
 
+Windows can miss a match: one on the grid is up to a twelfth of its size off, and fingerprints scatter. So an index from
+shingles to items also gives every text and item with so many shingles in common as a match has at least; these are checked
+exactly over the whole stretch where such shingles lie, and no match is left to chance.
+
 The items are a query set of bounded size (MOST_BYTES, checked) that is broadcast; documents are never shuffled.
 """
 
@@ -165,6 +169,15 @@ class Items:
                 self.groups.append((width, open_[width]))
             open_[width][1] += found
         self.groups = [self.prepare(width, found) for width, (_, found) in self.groups]
+        # For each width: distinct shingles, where the items of each begin in `who`, and the items as (group, place).
+        self.index: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]] = {}
+        for width in {g[0] for g in self.groups}:
+            members = [(g, k) for g, group in enumerate(self.groups) if group[0] == width for k in range(len(group[2]))]
+            own = [np.unique(self.groups[g][2][k][1]) for g, k in members]
+            every, who = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
+            order = np.argsort(every, kind="stable")
+            keys, many = np.unique(every, return_counts=True)
+            self.index[width] = keys, np.concatenate(([0], np.cumsum(many))), who[order], members
 
     @staticmethod
     def prepare(width: int, found: list) -> tuple:
@@ -211,8 +224,39 @@ class Items:
                 if hi > lo and (best := self.best(h[lo:hi], int(starts[at]) - lo, max(stride, abs(len(ih) - size)), ih, counts)):
                     if (text, item_id) not in out or best[0] > out[text, item_id][0]:
                         out[text, item_id] = (best[0], best[1], min(len(ih), hi - lo - best[1]) + width - 1)
+        for width, (h, _) in widths.items():
+            for text, (g, k), first, last in self.common(h, bounds, width):
+                item_id, ih, counts = self.groups[g][2][k]
+                lo, hi = int(bounds[text]), int(bounds[text + 1]) - width + 1
+                middle = (first + last - len(ih)) // 2 - lo
+                if best := self.best(h[lo:hi], middle, (last - first + len(ih)) // 2 + 1, ih, counts):
+                    if (text, item_id) not in out or best[0] > out[text, item_id][0]:
+                        out[text, item_id] = (best[0], best[1], min(len(ih), hi - lo - best[1]) + width - 1)
         return [(*key, *found) for key, found in sorted(out.items())]
 
+    def common(self, h: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[tuple[int, tuple[int, int], int, int]]:
+        """(text, item, first and last place of a shared shingle) for texts with `least` times as many places with a shingle
+        of the item as the item has shingles. A window is no longer than its item, so that a match has no fewer."""
+        keys, offsets, who, members = self.index[width]
+        if not len(h):
+            return
+        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        place = np.flatnonzero(keys[at] == h)
+        text = np.searchsorted(bounds, place, "right") - 1
+        inside = place <= bounds[text + 1] - width  # no shingle that runs into the next text
+        place, text = place[inside], text[inside]
+        at = at[place]
+        n = offsets[at + 1] - offsets[at]
+        rows = np.repeat(np.arange(len(place)), n)
+        item = who[np.arange(len(rows)) - np.repeat(np.cumsum(n) - n - offsets[at], n)]
+        code = text[rows] * len(members) + item
+        order = np.argsort(code, kind="stable")
+        codes, starts, many = np.unique(code[order], return_index=True, return_counts=True)
+        for c, a, m in zip(codes.tolist(), starts.tolist(), many.tolist(), strict=True):
+            g, k = members[c % len(members)]
+            if m >= self.least * len(self.groups[g][2][k][1]):
+                yield c // len(members), (g, k), int(place[rows[order[a]]]), int(place[rows[order[a + m - 1]]])
+
     @staticmethod
     def candidates(own: np.ndarray, fps: np.ndarray, tables: list) -> list[tuple[int, int]]:
         """All (window, item) within the radius."""

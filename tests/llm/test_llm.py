@@ -321,6 +321,34 @@ def test_blocks_find_all_within_the_radius():
     assert found == {(i, k) for i, a in enumerate(own) for k, f in enumerate(kept) if int(np.bitwise_count(a ^ f)) <= decontamination.RADIUS}
 
 
+def test_items_at_the_ends_of_texts():
+    for n, other in ((100, 120), (100, 104), (61, 73)):
+        members = decontamination.Items([(k, " ".join(f"i{k}w{x}" for x in range(m + 4))) for k, m in enumerate([n, *[other] * 40])], 5, 0.8)
+        words = lambda k, m: " ".join(f"i{k}w{x}" for x in range(m + 4))
+        lost = 0
+        for at in range(40):  # the short item, verbatim, last in the last text of a buffer
+            text = " ".join(f"o{at}x{x}" for x in range(300 + 7 * at)) + " " + words(0, n)
+            hashes = next(decontamination.hashed_texts([text]))[1]
+            lost += 0 not in {item for _, item, *_ in members.search(hashes, np.array([0, len(hashes)]))}
+        assert not lost, (n, other)
+
+
+@pytest.mark.parametrize("least,changed", [(0.8, 2), (0.84, 1)])
+def test_matches_just_above_the_threshold(least, changed):
+    n = 90 if changed == 2 else 60  # each change in the middle costs five shingles: 80 of 90 (similarity 0.8) and 55 of 60 (0.846) stay
+    words = lambda k: [f"i{k}w{x}" for x in range(n + 4)]
+    members = decontamination.Items([(k, " ".join(words(k))) for k in range(60)], 5, least)
+    for k in range(60):
+        own = words(k)
+        for x in range(changed):
+            own[20 + 30 * x] = f"new{k}x{x}"
+        text = [f"o{k}x{x}" for x in range(200 + 3 * k)]
+        hashes = next(decontamination.hashed_texts([" ".join([*text, *own, *text])]))[1]
+        got = {item: (round(s, 6), first) for _, item, s, first, _ in members.search(hashes, np.array([0, len(hashes)]))}
+        both = n - 5 * changed
+        assert got == {k: (round(both / (2 * n - both), 6), len(text))}
+
+
 def brute_shingles(text, k=5):
     words = (text or "").encode().lower().split()
     return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
