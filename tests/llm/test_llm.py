@@ -173,6 +173,21 @@ def test_random_strings():
     assert secrets.redact("a token = abcdefgh12345 b", secrets.spans("a token = abcdefgh12345 b", encode)) == "a token = [SECRET] b"
 
 
+def test_random_strings_of_one_case_and_in_paths():
+    encode = packing.encoding(public_tokenizers.path(packing.VOCABULARY)).encode_ordinary
+    rng, path = np.random.default_rng(1), "/documentation/administration/configuration/"
+    found = lambda t: [t[a:b] for a, b, k in secrets.spans(t, encode) if k == 3]
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    low, base32 = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    for letters, n in ((low, 20), (low, 32), (low.upper(), 20), (low.upper(), 32), (base32, 20)):
+        assert np.mean([bool(found(f"see {draw(letters, n)} for it")) for _ in range(200)]) > 0.9
+    for n in (24, 32):
+        keys = [draw(low + low.upper() + "0123456789", n) for _ in range(200)]
+        assert np.mean([any(k in x for x in found(path + k)) for k in keys]) > 0.9
+    for clean in ("internationalization", "INTERNATIONALIZATION", "CONFIGURATION_SETTINGS_MAXIMUM_NUMBER", "getElementsByTagNameAndClassName", "Donaudampfschifffahrtsgesellschaft", "2024-01-01T00-00-00Z", path + "a/b/c/d/e/f/g/h", "keitstlichschenverpf"):
+        assert not found(clean), clean
+
+
 def test_op4_spans(spark):
     passage = " ".join(f"Sentence number {i} of the shared passage says this much." for i in range(6))
     rows = [(1, f"Own start one here. {passage} Own end."), (2, f"Another start. {passage} Another end."), (3, "Nothing shared at all. Quite clean. Very clean.")]
