@@ -1,81 +1,181 @@
-"""Substring duplicates as sliding sentence spans, in DataFrame operations.
+"""Substring duplicates as sliding sentence spans.
 
-A text is cut into sentences. Every run of SPAN consecutive sentences with at least LEAST_WORDS words is hashed; equal runs
-are found by a global aggregation and join on the hash; and sentences that lie in any run which is not the first of its
-kind are removed. The first run is that of the smallest (doc_id, text hash, position).
+A text is cut into sentences, and sentences of over LONG words (lists, texts without end marks) into parts at places that their
+words decide, so that a passage is cut alike wherever it stands. From each sentence goes a span: the shortest run of
+consecutive sentences with at least LEAST_WORDS words, and one more that ends where the text ends. Every span is hashed; equal
+spans are found by a global aggregation and a join on the hash; and sentences that lie in any span which is not the first of
+its kind are removed. The first span is that of the smallest (doc_id, text hash, position).
+
+With parts of at most LONG words a passage of LEAST_WORDS + 2 * LONG words (57) holds a whole span wherever it begins; most
+passages need far fewer. Spans of fewer than LEAST_WORDS words are no passages, so texts below that stay as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quillmill.llm.common import cut, table
-
-SPAN = 3
-LEAST_WORDS = 15
-#: A sentence ends with . ! or ? (and quotes or brackets) before white space, or with a line break.
-END = r"(?<=[.!?]|[.!?][\"')\]])[ \t\r]+|\s*\n\s*"
-
-
-def sentences(text: Column) -> Column:
-    return F.filter(F.split(text, END), lambda s: s != "")
+import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quillmill.llm.common import append_columns, cut, table
+
+LEAST_WORDS = 25  # of a span
+LONG = 16  # words of a sentence that is not cut
+BLANK = r"\x20\x09-\x0D"
+#: A sentence ends behind . ! or ? (with quotes or brackets) and white space, or behind a line break.
+END = rf"[.!?][\"')\]]*[{BLANK}]+|\n[{BLANK}]*"
+#: A long one is cut behind words that end so: about two in five words of English.
+CUT = rf"[,;:adrst05ADRST][{BLANK}]+"
+_end, _cut = re.compile(END.encode()), re.compile(CUT.encode())
+
+
+def parts_of(raw: bytes, ends: re.Pattern, start: int, stop: int) -> list[int]:
+    """Where the parts of raw[start:stop] end."""
+    found = [m.end() for m in ends.finditer(raw, start, stop)]
+    return found if found and found[-1] == stop else [*found, stop]
+
+
+def sentences(text: str | None, long_: int = LONG) -> tuple[bytes, list[int], list[list[bytes]]]:
+    """(the text in UTF-8, n + 1 bounds of its n sentences, the words of each in A-Z lower case). White space belongs to the
+    sentence before it, and that at the start of the text to none."""
+    raw = text.encode("utf-8", "surrogatepass") if text else b""
+    start = len(raw) - len(raw.lstrip())
+    bounds, words = [start], []
+    lower = raw.lower()
+    if start == len(raw):
+        return raw, bounds, words
+    at = start
+    for end in parts_of(raw, _end, start, len(raw)):
+        own = lower[at:end].split()
+        if len(own) > long_:
+            for stop in parts_of(raw, _cut, at, end):
+                bounds.append(stop)
+                words.append(lower[at:stop].split())
+                at = stop
+        else:
+            bounds.append(end)
+            words.append(own)
+        at = end
+    return raw, bounds, words
+
+
+def spans(words: list[list[bytes]], least_words: int = LEAST_WORDS) -> list[tuple[int, int, int]]:
+    """(first sentence, number of sentences, 128-bit hash) of each span."""
+    total = np.cumsum([0, *map(len, words)])
+    if total[-1] < least_words:
+        return []
+    plain = [b" ".join(w) for w in words]
+    stops = np.searchsorted(total, total[:-1] + least_words)
+    last = int(np.searchsorted(total, total[-1] - least_words, "right")) - 1  # the latest span that ends with the text
+    found = [(i, j) for i, j in enumerate(stops.tolist()) if j <= len(words)]
+    if (last, len(words)) not in found[-1:]:
+        found.append((last, len(words)))
+    digest = xxhash.xxh3_128_intdigest
+    return [(i, j - i, digest(b" ".join(plain[i:j]))) for i, j in found]
+
+
+def all_spans(read: DataFrame, least_words: int, long_: int) -> DataFrame:
+    """(doc_id, text_hash, at, n, h1, h2) of every span of read (doc_id, text, text_hash)."""
+    schema = T.StructType([read.schema["doc_id"], T.StructField("text_hash", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])
+    low = (1 << 64) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, rows = [], []
+
+            def flush() -> pa.RecordBatch:
+                at, n, h1, h2 = (np.array([r[k] for r in rows], np.uint64) for k in range(4))
+                who = pa.array(row, pa.int64())
+                out = [batch.column("doc_id").take(who), batch.column("text_hash").take(who), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))]
+                row.clear(), rows.clear()
+                return pa.RecordBatch.from_arrays(out, names=[f.name for f in schema])
+
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                for i, n, h in spans(sentences(text, long_)[2], least_words):
+                    row.append(k)
+                    rows.append((i, n, h >> 64, h & low))
+                if len(rows) > 100_000:
+                    yield flush()
+            yield flush()
+
+    return read.mapInArrow(run, schema)
+
+
+def repeated_spans(read: DataFrame, least_words: int = LEAST_WORDS, long_: int = LONG) -> DataFrame:
+    """(doc_id, text_hash, at, n) of the spans that are not the first of their kind."""
+    found = cut(all_spans(read, least_words, long_))
+    place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash", "at")
+    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h1", "h2", "first")
+    return found.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at", "n").distinct()
 
-def normal(text: Column) -> Column:
-    """Lower case, one space for each run of white space."""
-    return F.regexp_replace(F.lower(text), r"\s+", " ")
 
+def without(text: str | None, gone: list[dict] | None, long_: int) -> tuple[int, int, str | None]:
+    """(number of sentences, how many go, the text without them)."""
+    raw, bounds, words = sentences(text, long_)
+    if not gone:
+        return len(words), 0, text
+    step = np.zeros(len(words) + 1, np.int64)
+    np.add.at(step, [g["at"] for g in gone], 1)
+    np.add.at(step, [g["at"] + g["n"] for g in gone], -1)
+    stays = np.cumsum(step[:-1]) == 0
+    kept = [raw[: bounds[0]], *(raw[a:b] for a, b, s in zip(bounds, bounds[1:], stays.tolist(), strict=False) if s)]
+    return len(words), int((~stays).sum()), b"".join(kept).decode("utf-8", "surrogatepass")
 
-def runs(parts: Column, span: int, least_words: int) -> Column:
-    """(position, two 64-bit hashes) of each run of `span` sentences."""
-    at = F.when(F.size(parts) >= span, F.sequence(F.lit(0), F.size(parts) - span)).otherwise(F.array().cast("array<int>"))
-    # The sentences enter as a lambda variable, so that they are made plain once and not for each run.
-    each = F.transform(F.array(F.transform(parts, normal)), lambda plain: F.transform(at, lambda i: F.struct(i.alias("at"), F.array_join(F.slice(plain, i + 1, span), "\n").alias("run"))))[0]
-    long_ = F.filter(each, lambda r: F.regexp_count(r["run"], F.lit(r"\S+")) >= least_words)
-    return F.transform(long_, lambda r: F.struct(r["at"].alias("at"), F.xxhash64(r["run"]).alias("h1"), F.xxhash64(r["run"], F.lit(1)).alias("h2")))
 
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, long_: int = LONG) -> DataFrame:
+    """(doc_id, n_sentences, n_removed, text) for each row of docs; text is what stays, with its white space.
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, text_hash, at): where runs begin that are not the first of their kind."""
-    read = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), sentences(F.coalesce(F.col(text), F.lit(""))).alias("parts"))
-    found = cut(read.select("doc_id", "text_hash", F.explode(runs(F.col("parts"), span, least_words)).alias("r")).select("doc_id", "text_hash", "r.*"))
-    place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash", "at")
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h1", "h2", "first")
-    return found.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at").distinct()
+    Only the two named columns are read. A null text stays null with no sentences; an empty one stays empty, and one of white
+    space has no sentences. Repeated rows with equal doc_id and text are taken as one place and get the same result; of equal
+    texts under several doc_ids that of the smallest doc_id stays (null doc_ids come last). Ties within a text go by position.
+    No rows give no rows.
+    """
+    read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
+    covered = repeated_spans(read, least_words, long_).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("at", "n")).alias("gone"))
+    gone = covered.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "gone")
+    rows = read.join(gone, read["doc_id"].eqNullSafe(gone["_id"]) & (read["text_hash"] == gone["_hash"]), "left").select("doc_id", F.struct("text", "gone").alias("both"))
 
+    def make():
+        def run(values: list) -> list[pa.Array]:
+            done = [without(v["text"], v["gone"], long_) for v in values]
+            return [pa.array([r[k] for r in done], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string()))]
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, n_sentences, n_removed, text) for each row of docs; text has the sentences that stay, joined by line breaks,
-    or is the text as it was if all stay.
+        return run
 
-    Only the two named columns are read. A null text stays null with no sentences; an empty one stays empty. Repeated rows
-    with equal doc_id and text are taken as one place and get the same result; of equal texts under several doc_ids that of
-    the smallest doc_id stays (null doc_ids come last). Ties within a text go by position. No rows give no rows.
-    """
-    spans = repeated_spans(docs, doc_id, text, span, least_words)
-    covered = spans.groupBy("doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + span - 1)))).alias("gone"))
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
-    gone = covered.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "gone")
-    rows = own.join(gone, own["doc_id"].eqNullSafe(gone["_id"]) & (own["text_hash"] == gone["_hash"]), "left").withColumn("parts", sentences(F.coalesce("text", F.lit(""))))
-    stay = F.filter("parts", lambda s, i: ~F.array_contains("gone", i))
-    return rows.select("doc_id", F.size("parts").cast("long").alias("n_sentences"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n")).alias("text"))
+    return append_columns(rows, "both", [("n_sentences", T.LongType()), ("n_removed", T.LongType()), ("text", T.StringType())], make).drop("both")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-OP4_SQL = r"""
-WITH d AS (
-  SELECT doc_id, text, list_filter(string_split_regex(regexp_replace(regexp_replace(coalesce(text, ''), '\s*\n\s*', chr(1), 'g'), '([.!?]["'')\]]?)[ \t\r]+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS parts
-  FROM documents),
-r AS (
-  SELECT doc_id, pos, array_to_string(list_transform(parts[pos + 1 : pos + 3], lambda x: regexp_replace(lower(x), '\s+', ' ', 'g')), chr(10)) AS run
-  FROM (SELECT doc_id, parts, unnest(range(0, len(parts) - 2)) AS pos FROM d WHERE len(parts) >= 3)),
-f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS k FROM r WHERE len(regexp_extract_all(run, '\S+')) >= 15),
-g AS (SELECT doc_id, list(DISTINCT pos + o) AS gone FROM f, unnest([0, 1, 2]) AS t(o) WHERE k > 1 GROUP BY doc_id)
+_word = f"[^{BLANK}]+"
+_quoted = lambda pattern: pattern.replace("'", "''")
+OP4_SQL = rf"""
+WITH d AS (SELECT doc_id, text, regexp_extract(coalesce(text, ''), '^[{BLANK}]*') AS lead, regexp_replace(coalesce(text, ''), '^[{BLANK}]*', '') AS body FROM documents),
+s AS (SELECT doc_id, list_filter(string_split(regexp_replace(body, '({_quoted(END)})', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS whole FROM d),
+p AS (
+  SELECT doc_id, flatten(list_transform(whole, lambda x: CASE WHEN len(regexp_extract_all(x, '{_word}')) > {LONG}
+    THEN list_filter(string_split(regexp_replace(x, '({CUT})', '\1' || chr(1), 'g'), chr(1)), lambda y: y <> '') ELSE [x] END)) AS parts
+  FROM s),
+w AS (
+  SELECT doc_id, parts, list_transform(parts, lambda x: array_to_string(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_word}'), ' ')) AS plain
+  FROM p),
+u AS (
+  SELECT doc_id, pos, words, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto, sum(words) OVER (PARTITION BY doc_id) AS total
+  FROM (SELECT doc_id, pos, len(string_split(plain[pos], ' ')) AS words FROM (SELECT doc_id, plain, unnest(range(1, len(plain) + 1)) AS pos FROM w))),
+spans AS (
+  SELECT a.doc_id, a.pos AS i, b.pos AS j FROM (SELECT *, upto - words + {LEAST_WORDS} AS need FROM u) a ASOF JOIN u b ON a.doc_id = b.doc_id AND a.need <= b.upto
+  UNION
+  SELECT doc_id, max(pos), max(n) FROM (SELECT *, max(pos) OVER (PARTITION BY doc_id) AS n FROM u) WHERE total - upto + words >= {LEAST_WORDS} GROUP BY doc_id),
+f AS (SELECT doc_id, i, j, row_number() OVER (PARTITION BY array_to_string(plain[i : j], ' ') ORDER BY doc_id, i) AS k FROM spans JOIN w USING (doc_id)),
+g AS (SELECT doc_id, list(DISTINCT gone_at) AS gone FROM (SELECT doc_id, unnest(range(i, j + 1)) AS gone_at FROM f WHERE k > 1) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(parts) AS BIGINT) AS n_sentences, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
-  CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(0, len(parts)), lambda i: NOT list_contains(gone, i)), lambda i: parts[i + 1]), chr(10)) END AS text
-FROM d LEFT JOIN g USING (doc_id)
+  CASE WHEN gone IS NULL THEN text ELSE lead || array_to_string(list_transform(list_filter(range(1, len(parts) + 1), lambda i: NOT list_contains(gone, i)), lambda i: parts[i]), '') END AS text
+FROM d JOIN w USING (doc_id) LEFT JOIN g USING (doc_id)
 """

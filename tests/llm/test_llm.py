@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -192,7 +193,43 @@ def test_op4_spans(spark):
     passage = " ".join(f"Sentence number {i} of the shared passage says this much." for i in range(6))
     rows = [(1, f"Own start one here. {passage} Own end."), (2, f"Another start. {passage} Another end."), (3, "Nothing shared at all. Quite clean. Very clean.")]
     got = {r["doc_id"]: r for r in substrings.remove_repeats(odd(spark, rows)).collect()}
-    assert got[1]["n_removed"] == got[3]["n_removed"] == 0 and got[2]["text"] == "Another start.\nAnother end."
+    assert got[1]["n_removed"] == got[3]["n_removed"] == 0 and got[2]["text"] == "Another start. Another end."
+
+
+def test_op4_passages(spark):
+    """Passages of 60 words that begin and end within sentences, of short sentences, without end marks, and whole texts."""
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    word = lambda: "".join(rng.choice(letters, rng.integers(2, 9)))
+    prose = lambda n, each: " ".join(word() + (". " if each and i % each == each - 1 else "") for i in range(n))
+    rows = []
+    for k in range(60):
+        shared = prose(60, (1, 4, 9, 14, 0)[k % 5])
+        rows += [(10 * k, f"{prose(40, 7)} {shared} {prose(30, 11)}"), (10 * k + 1, f"{prose(23, 12)} {shared} {prose(57, 8)}"), (10 * k + 2, prose(150, 10))]
+        rows += [(10 * k + 3, whole := prose(26, (26, 13, 0)[k % 3])), (10 * k + 4, whole)]
+    got = {r["doc_id"]: r["n_removed"] for r in substrings.remove_repeats(odd(spark, rows)).collect()}
+    assert all((n > 0) == (d % 10 in (1, 4)) for d, n in got.items()), {d: n for d, n in got.items() if (n > 0) != (d % 10 in (1, 4))}
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "Word. " * 100_000, ".)" * 1_000_000, "x" * 2_000_000], ids=len)
+def test_op4_long_texts(text):
+    began = time.time()
+    raw, bounds, words = substrings.sentences(text)
+    substrings.spans(words)
+    assert time.time() - began < 10 and bounds[-1] == len(raw) and all(words)
+    assert substrings.without(text, [{"at": i, "n": 1} for i in range(len(words))], substrings.LONG)[2] == text[: bounds[0]]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["Ab", "cd", "é", ".", "!", ")", " ", "\n", ", ", "x\t"]), max_size=60).map("".join), st.integers(1, 6))
+def test_op4_spans_are_shortest(text, least):
+    raw, bounds, words = substrings.sentences(text, 3)
+    assert [w for x in words for w in x] == raw.lower().split() and b"".join(raw[a:b] for a, b in zip([0, *bounds], bounds)) == raw  # noqa: B905
+    found = {(i, n) for i, n, _ in substrings.spans(words, least)}
+    size = lambda i, n: sum(map(len, words[i : i + n]))
+    want = {(i, n) for i in range(len(words)) for n in range(1, len(words) - i + 1) if size(i, n) >= least > size(i, n - 1)}
+    ends = [i for i in range(len(words)) if size(i, len(words)) >= least]
+    assert found == want | ({(ends[-1], len(words) - ends[-1])} if ends else set())
 
 
 def test_op5_held_out(spark):
