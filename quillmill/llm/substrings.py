@@ -1,13 +1,13 @@
 """Substring duplicates as sliding sentence spans.
 
-A text is cut into sentences, and sentences of over LONG words (lists, texts without end marks) into parts at places that their
-words decide, so that a passage is cut alike wherever it stands. From each sentence goes a span: the shortest run of
+A text is cut into sentences, and those of over LONG words (lists, texts without end marks) into parts: behind commas and the
+like, and parts that are still longer behind words with certain last letters, so that a passage is cut alike wherever it stands. From each sentence goes a span: the shortest run of
 consecutive sentences with at least LEAST_WORDS words, and one more that ends where the text ends. Every span is hashed; equal
 spans are found by a global aggregation and a join on the hash; and sentences that lie in any span which is not the first of
 its kind are removed. The first span is that of the smallest (doc_id, text hash, position).
 
-With parts of at most LONG words a passage of LEAST_WORDS + 2 * LONG words (57) holds a whole span wherever it begins; most
-passages need far fewer. Spans of fewer than LEAST_WORDS words are no passages, so texts below that stay as they are.
+With sentences of k words a passage of LEAST_WORDS + 2 * k words holds a whole span wherever it begins. Spans of fewer than
+LEAST_WORDS words are no passages, so texts below that stay as they are.
 """
 
 from __future__ import annotations
@@ -25,13 +25,13 @@ from pyspark.sql import types as T
 from quillmill.llm.common import append_columns, cut, table
 
 LEAST_WORDS = 25  # of a span
-LONG = 16  # words of a sentence that is not cut
+LONG = 30  # words of a sentence that is not cut
 BLANK = r"\x20\x09-\x0D"
 #: A sentence ends behind . ! or ? (with quotes or brackets) and white space, or behind a line break.
 END = rf"[.!?][\"')\]]*[{BLANK}]+|\n[{BLANK}]*"
-#: A long one is cut behind words that end so: about two in five words of English.
-CUT = rf"[,;:adrst05ADRST][{BLANK}]+"
-_end, _cut = re.compile(END.encode()), re.compile(CUT.encode())
+#: Where long ones are cut, first so, then so: behind about two in five words of English.
+CUTS = (rf"[,;:][{BLANK}]+", rf"[adrst05ADRST][{BLANK}]+")
+_end, _cuts = re.compile(END.encode()), [re.compile(x.encode()) for x in CUTS]
 
 
 def parts_of(raw: bytes, ends: re.Pattern, start: int, stop: int) -> list[int]:
@@ -46,20 +46,23 @@ def sentences(text: str | None, long_: int = LONG) -> tuple[bytes, list[int], li
     raw = text.encode("utf-8", "surrogatepass") if text else b""
     start = len(raw) - len(raw.lstrip())
     bounds, words = [start], []
-    lower = raw.lower()
     if start == len(raw):
         return raw, bounds, words
-    at = start
-    for end in parts_of(raw, _end, start, len(raw)):
-        own = lower[at:end].split()
-        if len(own) > long_:
-            for stop in parts_of(raw, _cut, at, end):
-                bounds.append(stop)
-                words.append(lower[at:stop].split())
-                at = stop
+    lower = raw.lower()
+
+    def add(at: int, stop: int, cuts: list[re.Pattern]) -> None:
+        own = lower[at:stop].split()
+        if len(own) > long_ and cuts:
+            for end in parts_of(raw, cuts[0], at, stop):
+                add(at, end, cuts[1:])
+                at = end
         else:
-            bounds.append(end)
+            bounds.append(stop)
             words.append(own)
+
+    at = start
+    for end in parts_of(raw, _end, start, len(raw)):
+        add(at, end, _cuts)
         at = end
     return raw, bounds, words
 
@@ -109,9 +112,12 @@ def all_spans(read: DataFrame, least_words: int, long_: int) -> DataFrame:
 def repeated_spans(read: DataFrame, least_words: int = LEAST_WORDS, long_: int = LONG) -> DataFrame:
     """(doc_id, text_hash, at, n) of the spans that are not the first of their kind."""
     found = cut(all_spans(read, least_words, long_))
+    # Most spans occur once. Half of the hash tells them apart at the least cost; what is left is compared by the whole hash.
+    twice = found.groupBy("h1").agg(F.count("*").alias("k")).where("k > 1").select("h1")
+    several = cut(found.join(twice, "h1"))
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash", "at")
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h1", "h2", "first")
-    return found.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at", "n").distinct()
+    first = several.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    return several.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at", "n").distinct()
 
 
 def without(text: str | None, gone: list[dict] | None, long_: int) -> tuple[int, int, str | None]:
@@ -156,13 +162,12 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _word = f"[^{BLANK}]+"
 _quoted = lambda pattern: pattern.replace("'", "''")
+_cut_sql = lambda column, at: rf"flatten(list_transform({column}, lambda x: CASE WHEN len(regexp_extract_all(x, '{_word}')) > {LONG} THEN list_filter(string_split(regexp_replace(x, '({at})', '\1' || chr(1), 'g'), chr(1)), lambda y: y <> '') ELSE [x] END))"
 OP4_SQL = rf"""
 WITH d AS (SELECT doc_id, text, regexp_extract(coalesce(text, ''), '^[{BLANK}]*') AS lead, regexp_replace(coalesce(text, ''), '^[{BLANK}]*', '') AS body FROM documents),
 s AS (SELECT doc_id, list_filter(string_split(regexp_replace(body, '({_quoted(END)})', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS whole FROM d),
-p AS (
-  SELECT doc_id, flatten(list_transform(whole, lambda x: CASE WHEN len(regexp_extract_all(x, '{_word}')) > {LONG}
-    THEN list_filter(string_split(regexp_replace(x, '({CUT})', '\1' || chr(1), 'g'), chr(1)), lambda y: y <> '') ELSE [x] END)) AS parts
-  FROM s),
+c AS (SELECT doc_id, {_cut_sql('whole', CUTS[0])} AS pieces FROM s),
+p AS (SELECT doc_id, {_cut_sql('pieces', CUTS[1])} AS parts FROM c),
 w AS (
   SELECT doc_id, parts, list_transform(parts, lambda x: array_to_string(regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_word}'), ' ')) AS plain
   FROM p),
