@@ -1,8 +1,10 @@
 """WARC: parallel writer with revisit records, and a splittable reader.
 
-Each record is a gzip member of its own. The reader deals byte ranges of the archives to tasks. A task scans its range for
-the gzip magic, takes a hit as a record only if it decodes to a WARC header, and owns the records that start in its range,
-which it reads to their ends beyond the range. So a large archive is read by many tasks without an index.
+Each record is a gzip member of its own. The reader deals byte ranges of the archives to tasks, one range to a task. A task
+scans its range for the gzip magic, takes a hit as a record only if it decodes to a WARC header, and owns the records that
+start in its range, which it reads to their ends beyond the range. So a large archive is read by many tasks without an index.
+A header can have any length. A member that starts as a WARC record but is broken raises an error: no record is left out in
+silence. (Payloads must not hold WARC members stored without compression, as binary data could; UTF-8 text can't hold the magic.)
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ LEAST_REVISIT = 1000  # bytes of payload
 SPLIT = 16 << 20  # bytes of a range
 MAGIC = b"\x1f\x8b\x08"
 READ = 1 << 20
-LONGEST_HEADER = 1 << 16
+VERSION = b"WARC/1."
+MOST_READERS = 1 << 17  # tasks of a reading; beyond that a task takes several ranges
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -88,25 +91,29 @@ class Range:
 
 
 def member(source: Range, at: int) -> tuple[bytes, int] | None:
-    """The content of the gzip member at `at` and the position behind it, if it is a whole WARC record."""
-    decode, out, pos, checked = zlib.decompressobj(31), [], at, False
-    while not decode.eof:
-        raw = source.get(pos, 1 << 16)
-        if not raw:
-            return None
-        try:
-            out.append(decode.decompress(raw))
-        except zlib.error:
-            return None
-        pos += len(raw)
-        if not checked and (decode.eof or sum(map(len, out)) >= LONGEST_HEADER):
-            start = b"".join(out)
-            if not start.startswith(b"WARC/1.") or b"\r\n\r\n" not in start:
-                return None
-            checked = True
-    content = b"".join(out)
-    if not checked and (not content.startswith(b"WARC/1.") or b"\r\n\r\n" not in content):
+    """The content of the gzip member at `at` and the position behind it, if it is a WARC record: None as soon as it does not
+    decode or does not start as one. What starts as one and does not end as one raises an error."""
+    decode, raw = zlib.decompressobj(31), source.get(at, 1 << 16)
+    try:
+        first = decode.decompress(raw, len(VERSION))
+    except zlib.error:
+        return None
+    if first != VERSION:
         return None
+    out, pos, rest = [first], at + len(raw), decode.unconsumed_tail
+    try:
+        out.append(decode.decompress(rest))
+        while not decode.eof:
+            rest = source.get(pos, 1 << 16)
+            if not rest:
+                raise ValueError(f"the archive ends within the record at {at}")
+            out.append(decode.decompress(rest))
+            pos += len(rest)
+    except zlib.error as e:
+        raise ValueError(f"the record at {at} is broken: {e}") from e
+    content = b"".join(out)
+    if b"\r\n\r\n" not in content:
+        raise ValueError(f"the record at {at} has a header without an end")
     return content, pos - len(decode.unused_data)
 
 
@@ -151,6 +158,7 @@ def parsed(content: bytes) -> dict:
 def read_warc(files: DataFrame, split: int = SPLIT, with_payload: bool = True) -> DataFrame:
     """(page_id, url, record_type, payload_digest, payload_bytes, refers_to, path, position[, payload]) of the records in the
     archives files (path, bytes), each read by the task in whose range it starts. An empty archive has no records."""
+    readers = files.agg(F.sum(F.ceil(F.col("bytes") / split))).first()[0] or 1
     ranges = files.where("bytes > 0").select("path", "bytes", F.explode(F.expr(f"sequence(0L, bytes - 1, {split}L)")).alias("start"))
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to", pa.int64()), ("path", pa.string()), ("position", pa.int64()), *([("payload", pa.binary())] if with_payload else [])])
 
@@ -168,7 +176,8 @@ def read_warc(files: DataFrame, split: int = SPLIT, with_payload: bool = True) -
                             rows, size = [], 0
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return ranges.repartition("path", "start").mapInArrow(read, "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, path string, position long" + ", payload binary" * with_payload)
+    # A stated number of tasks, as Spark would otherwise join these tiny rows to one; ranges of the order, so that each has its share.
+    return ranges.repartitionByRange(min(int(readers), MOST_READERS), "path", "start").mapInArrow(read, "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, path string, position long" + ", payload binary" * with_payload)
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_REVISIT, split: int = SPLIT, with_payload: bool = False) -> DataFrame:
@@ -176,12 +185,17 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
 
     Only the three named columns are read. A null html is an empty payload; a null url gives no target URI. Of equal payloads
     of at least `least` bytes that with the largest page_id is the response; several rows with that page_id all are, and so
-    are all rows of a group in which every page_id is null. No rows give no rows.
+    are all rows of a group in which every page_id is null. No rows give no rows. If the archives give back another number of
+    records than were written, that is an error.
     """
     folder = checkpoint_dir(pages.sparkSession).rstrip("/")
     folder = folder if "://" in folder else "file://" + folder.removeprefix("file:")
     files = write_warc(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")), f"{folder}/warc-{uuid.uuid4()}", least)
-    return read_warc(files, split, with_payload)
+    rows = cut(read_warc(files, split, with_payload))
+    written, found = files.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], rows.count()
+    if written != found:
+        raise ValueError(f"{written} records were written, {found} were read")
+    return rows
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

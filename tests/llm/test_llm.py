@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.functions import spark_partition_id
 from tokenizers import Tokenizer
 
 from compare import same
@@ -253,6 +254,42 @@ def test_op6_splits(spark):
             assert (r["record_type"], r["refers_to"]) == (("revisit", 2) if html == body and r["page_id"] != 2 else ("response", None))
             assert r["record_type"] == "revisit" or bytes(r["payload"]).decode() == html
     assert warc.round_trip(pages.limit(0)).collect() == []
+    odd_pages = spark.createDataFrame([(1, None, "a" * 2000, "x", 5, None), (2, "u", "a" * 2000, None, None, "y")], "page_id long, url string, html string, payload_digest string, refers_to long, kind string")
+    assert {(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.round_trip(odd_pages).collect()} == {(1, "revisit", 2), (2, "response", None)}
+    assert warc.round_trip(odd_pages.limit(0)).collect() == []
+
+
+def test_op6_long_headers(spark):
+    rng = np.random.default_rng(6)
+    urls = ["http://x.example/" + "".join(rng.choice(list("abcdefgh0123456789"), n)) for n in (60_000, 100_000, 300_000)]
+    pages = spark.createDataFrame([(k, u, f"page {k}") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    for split in (10_007, 1 << 20):
+        assert {r["page_id"]: r["url"] for r in warc.round_trip(pages, split=split).collect()} == dict(enumerate(urls))
+
+
+def test_op6_spreads_ranges(spark):
+    pages = spark.createDataFrame([(k, "u", hashlib.sha256(str(k).encode()).hexdigest() * 8) for k in range(400)], "page_id long, url string, html string").coalesce(1)
+    folder = f"file://{warc.checkpoint_dir(spark).removeprefix('file:')}/spread-{time.time_ns()}"
+    files = warc.write_warc(pages, folder)
+    rows = warc.read_warc(files, split=4096, with_payload=False)
+    ranges = math.ceil(files.first()["bytes"] / 4096)
+    assert ranges > 10 and len({r[0] for r in rows.select(spark_partition_id()).collect()}) > 0.8 * ranges and rows.count() == 400
+
+
+def test_op6_broken_archives():
+    class File:
+        def __init__(self, data):
+            self.data = data
+
+        def read_at(self, n, at):
+            return self.data[at : at + n]
+
+    one = warc.record(1, "u", b"payload " * 400, "d", "response", None)
+    records = lambda data: list(warc.records(warc.Range(File(data), len(data)), 0, len(data)))
+    assert [at for at, _ in records(b"\x1f\x8b\x08junk" + one + b"\x1f\x8b" + one)] == [7, 9 + len(one)]
+    for data in (one[:-20], one[:-8] + bytes(8)):
+        with pytest.raises(ValueError):
+            records(data)
 
 
 def brute_simhash(text, k=4):
