@@ -111,12 +111,14 @@ def all_spans(read: DataFrame, least_words: int, long_: int) -> DataFrame:
 
 def repeated_spans(read: DataFrame, least_words: int = LEAST_WORDS, long_: int = LONG) -> DataFrame:
     """(doc_id, text_hash, at, n) of the spans that are not the first of their kind."""
-    found = cut(all_spans(read, least_words, long_))
-    # Most spans occur once. Half of the hash tells them apart at the least cost; what is left is compared by the whole hash.
-    twice = found.groupBy("h1").agg(F.count("*").alias("k")).where("k > 1").select("h1")
+    # Most spans occur once. Half of the hash tells them apart at the least cost; only what is left is kept and compared by the
+    # whole hash. Spans are made twice, as all of them take more room than the texts. Both right sides are checkpoints, so that
+    # Spark can split a hash that a large part of the texts share.
+    found = all_spans(read, least_words, long_)
+    twice = cut(found.groupBy("h1").agg(F.count("*").alias("k")).where("k > 1").select("h1"))
     several = cut(found.join(twice, "h1"))
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash", "at")
-    first = several.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    first = cut(several.groupBy("h1", "h2").agg(F.min(place).alias("first")))
     return several.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at", "n").distinct()
 
 
