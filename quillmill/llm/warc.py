@@ -25,7 +25,8 @@ from quillmill.llm.common import checkpoint_dir, cut, table
 LEAST_REVISIT = 1000  # bytes of payload
 SPLIT = 16 << 20  # bytes of a range
 MAGIC = b"\x1f\x8b\x08"
-READ = 1 << 20
+READ = 1 << 20  # bytes read at a time
+WINDOW = 1 << 12  # bytes searched for the magic at a time: mostly the next record starts where the last one ends
 VERSION = b"WARC/1."
 MOST_READERS = 1 << 17  # tasks of a reading; beyond that a task takes several ranges
 DATE = "1970-01-01T00:00:00Z"
@@ -121,7 +122,7 @@ def records(source: Range, start: int, end: int) -> Iterator[tuple[int, bytes]]:
     """(position, content) of each record that starts in [start, end)."""
     at = start
     while at < end:
-        window = source.get(at, min(READ, end - at) + len(MAGIC) - 1)
+        window = source.get(at, min(WINDOW, end - at) + len(MAGIC) - 1)
         hit = window.find(MAGIC)
         if hit < 0:
             at += max(1, len(window) - len(MAGIC) + 1)
