@@ -1,19 +1,21 @@
 """Best-fit packing of tokenised documents into sequences of fixed length by swap-based local search.
 
 Documents are tokenised and cut to pieces in parallel. Pieces are dealt by a hash to shards of about SHARD pieces, so that
-a shard fits in one task at any input size and loses at most the last, underfull sequence against packing all at once.
-Within a shard best-fit decreasing gives a first packing; then local search moves pieces between underfull bins, exchanges
-one for one and two for one, each time so that the sum of squared fills grows, until bins empty or nothing improves.
+a shard fits in one task at any input size. Within a shard best fit in the order of the documents gives a first packing; then
+local search moves pieces between underfull bins, exchanges one for one and two for one, each time so that the sum of squared
+fills grows, until bins empty or nothing improves. The bins that are still underfull then, of all shards together, are packed
+anew in fewer shards, round by round until one shard holds them or a round leaves most of its pieces in such bins.
 """
 
 from __future__ import annotations
 
 import base64
-import math
+import heapq
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,6 @@ from quillmill.llm.common import append_columns, cut, table
 MAX_TOKENS = 2048
 EOS = 0
 SHARD = 40_000
-TRIALS = 200_000  # pairs of bins that local search compares in a shard
 #: The vocabulary of byte_bpe_50k.json as ranks: the same ids, at a quarter of the CPU time (tests compare the two).
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The characters of Unicode's White_Space.
@@ -94,12 +95,11 @@ def tokenized_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Best-fit decreasing: positions in lengths, by bin. The bit i of `open_` says that a bin with i tokens free exists."""
+    """Best fit in the given order: positions in lengths, by bin. The bit i of `open_` says that a bin with i tokens free exists."""
     bins: list[list[int]] = []
     free: dict[int, list[int]] = defaultdict(list)
     open_ = 0
-    for at in np.argsort(-lengths, kind="stable").tolist():
-        n = int(lengths[at])
+    for at, n in enumerate(lengths.tolist()):
         fits = open_ >> n
         if fits:
             room = n + ((fits & -fits).bit_length() - 1)
@@ -116,94 +116,161 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, trials: int = TRIALS) -> list[list[int]]:
-    """Empties the least filled bins into the others by moves, one-for-one and two-for-one exchanges.
+def bits(mask: int) -> Iterator[int]:
+    """The places of the bits of mask, lowest first."""
+    while mask:
+        low = mask & -mask
+        yield low.bit_length() - 1
+        mask ^= low
 
-    Each step takes from the donor, which is the least filled bin, and fills a receiver that is at least as full, so that the
-    sum of squared fills grows; with a finite number of fills the search ends. A donor that cannot give any more is closed
-    and the next one is tried, until the number of bins is the least possible, all donors are closed or `trials` pairs of
-    bins have been compared (which bounds the time where hardly any pieces fit together; no piece is ever left out).
+
+class Search:
+    """Local search: donors are emptied into underfull bins, the receivers.
+
+    A receiver offers rooms: its gap, or its gap with one of its pieces taken out. The index has the receivers by room, then by
+    gap; bit masks say which there are. Entries of a bin that has changed since are dropped when they are met. Distinct sizes in
+    a bin add up to its fill at most, so that a bin of 2,048 tokens has at most 63 of them and some 2,000 pairs.
     """
-    size = [int(x) for x in lengths]
-    fill = [sum(size[i] for i in b) for b in bins]
-    least = math.ceil(sum(fill) / capacity) if bins else 0
-    alive = {k for k in range(len(bins)) if bins[k]}
-    donors = sorted((k for k in alive if fill[k] < capacity), key=lambda k: fill[k])
-    for donor in donors:
-        if len(alive) <= least:
-            break
-        receivers = sorted((k for k in alive if fill[k] < capacity and k != donor and fill[k] >= fill[donor]), key=lambda k: -fill[k])
-        for k in receivers:
-            trials -= 1
-            if trials < 0:
-                return [bins[k] for k in sorted(alive)]
-            while bins[donor] and fill[k] < capacity and improve(bins, fill, size, donor, k, capacity - fill[k]):
-                pass
-            if not bins[donor]:
-                alive.discard(donor)
-                break
-    return [bins[k] for k in sorted(alive)]
-
-
-def improve(bins: list[list[int]], fill: list[int], size: list[int], donor: int, k: int, gap: int) -> bool:
-    """The step between the two bins that fills k most: out of k goes nothing or one piece, in comes one piece or two."""
-    mine: dict[int, list[int]] = {}
-    for i in bins[donor]:
-        mine.setdefault(size[i], []).append(i)
-    sizes = sorted(mine)
-    best: tuple = (0,)
-    for out, n in [(None, 0), *{size[i]: (i, size[i]) for i in bins[k]}.values()]:
-        room = n + gap
-        for a in reversed(sizes):
-            if a > room:
-                continue
-            if a - n > best[0]:
-                best = (a - n, out, [mine[a][0]])
-            if n:  # two for one
-                for b in reversed(sizes):
-                    if b <= a and a + b <= room and (a != b or len(mine[a]) > 1):
-                        if a + b - n > best[0]:
-                            best = (a + b - n, out, [mine[a][0], mine[b][1 if a == b else 0]])
-                        break
-            if best[0] == gap:
-                break
-        if best[0] == gap:
-            break
-    if not best[0]:
-        return False
-    gain, out, moved = best
-    for i in moved:
-        bins[donor].remove(i)
-    bins[k].extend(moved)
-    if out is not None:
-        bins[k].remove(out)
-        bins[donor].append(out)
-    fill[k] += gain
-    fill[donor] -= gain
-    return True
+
+    def __init__(self, bins: list[list[int]], lengths: np.ndarray, capacity: int):
+        self.bins, self.size, self.capacity = bins, lengths.tolist(), capacity
+        self.fill = [sum(self.size[i] for i in b) for b in bins]
+        self.version = [0] * len(bins)
+        self.rooms: dict[int, dict[int, list[tuple[int, int, int | None]]]] = {}
+        self.masks: dict[int, int] = {}
+        self.open = 0
+        for k in range(len(bins)):
+            self.enter(k)
+
+    def enter(self, k: int) -> None:
+        """Enters a bin as a receiver, if it is neither full nor empty."""
+        self.version[k] += 1
+        gap = self.capacity - self.fill[k]
+        if gap and self.bins[k]:
+            for room, out in ({self.size[i] + gap: i for i in self.bins[k]} | {gap: None}).items():
+                self.rooms.setdefault(room, {}).setdefault(gap, []).append((k, self.version[k], out))
+                self.masks[room] = self.masks.get(room, 0) | 1 << gap
+                self.open |= 1 << room
+
+    def receiver(self, room: int, gaps: int = -1) -> tuple[int, int | None] | None:
+        """A receiver (bin, piece that leaves it) with this room and one of these gaps."""
+        for gap in bits(self.masks.get(room, 0) & gaps):
+            found = self.rooms[room][gap]
+            while found and self.version[found[-1][0]] != found[-1][1]:
+                found.pop()
+            if found:
+                return found[-1][0], found[-1][2]
+            self.masks[room] ^= 1 << gap
+        if not self.masks.get(room):
+            self.open &= ~(1 << room)
+        return None
+
+    def pairs(self, k: int) -> dict[int, tuple[int, int]]:
+        """Two pieces of a bin for each sum of two."""
+        by_size: dict[int, list[int]] = defaultdict(list)
+        for i in self.bins[k]:
+            by_size[self.size[i]].append(i)
+        sizes = list(by_size)
+        return {a + b: (by_size[a][0], by_size[b][a == b]) for x, a in enumerate(sizes) for b in sizes[: x + 1] if a != b or len(by_size[a]) > 1}
+
+    def step(self, donor: int) -> bool:
+        """The best step from the donor: one that fills a receiver, else the move of the largest piece that fits, else the
+        exchange that leaves the smallest gap. The receiver gets fuller than the donor was, so that the squared fill grows; only
+        a full donor's first step leaves it as it is."""
+        own_gap = self.capacity - self.fill[donor]
+        one = {self.size[i]: (i,) for i in self.bins[donor]}
+        for s in sorted(one, reverse=True):
+            if found := self.receiver(s):
+                return self.make(donor, one[s], *found)
+        two = {s: x for s, x in self.pairs(donor).items() if s <= self.capacity and s not in one}
+        for s in sorted(two, reverse=True):
+            if found := self.receiver(s):
+                return self.make(donor, two[s], *found)
+        for s in sorted(one, reverse=True):
+            for waste in bits((self.open >> s) & ((1 << own_gap) - 1)):  # a room that is a gap takes a piece without giving one
+                if found := self.receiver(s + waste, 1 << (s + waste)):
+                    return self.make(donor, one[s], *found)
+        best = None
+        for s, pieces in [*one.items(), *two.items()]:
+            for waste in bits((self.open >> s) & ((1 << own_gap) - 1)):
+                if best and waste >= best[0]:
+                    break
+                if found := self.receiver(s + waste, ~((2 << waste) - 1)):  # the gap gets smaller
+                    best = (waste, pieces, found)
+                    break
+        return self.make(donor, best[1], *best[2]) if best else False
+
+    def make(self, donor: int, pieces: tuple[int, ...], k: int, out: int | None) -> bool:
+        for a, b, moved in ((donor, k, pieces), (k, donor, () if out is None else (out,))):
+            for i in moved:
+                self.bins[a].remove(i)
+                self.bins[b].append(i)
+                self.fill[a] -= self.size[i]
+                self.fill[b] += self.size[i]
+        self.enter(k)
+        return True
+
+    def run(self) -> list[list[int]]:
+        """Donors go by the mean size of their pieces, the smallest first, as these fit best. A donor gives until it is empty or
+        has no step left; then it is a receiver again. The search ends at the least possible number of bins, or when a turn of
+        all donors has emptied none."""
+        least = -(-sum(self.fill) // self.capacity)
+        alive = sum(1 for b in self.bins if b)
+        emptied = True
+        while emptied and alive > least:
+            emptied = False
+            for donor in sorted((k for k, b in enumerate(self.bins) if b), key=lambda k: self.fill[k] / len(self.bins[k])):
+                if alive == least:
+                    break
+                self.version[donor] += 1  # it is no receiver
+                while self.bins[donor] and self.step(donor):
+                    pass
+                if self.bins[donor]:
+                    self.enter(donor)
+                else:
+                    alive, emptied = alive - 1, True
+        return [b for b in self.bins if b]
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """The bins after moves and exchanges between those that are underfull; no more than before, and no piece is left out."""
+    return Search([list(b) for b in bins], lengths, capacity).run()
 
 
 def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, shard: int = SHARD) -> DataFrame:
     """pieces with sequence_id and offset. pieces has length (1 to max_tokens) and any other columns that Arrow can carry,
-    but none named sequence_id, offset or _shard."""
-    pieces = cut(pieces)
-    shards = max(1, round(pieces.count() / shard))
-    carried = [c for c in pieces.columns if c != "ids"]
-    schema = T.StructType([*(pieces.schema[c] for c in carried), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-
-    def place(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([c for c in ("length", "doc_id", "piece") if c in pdf], kind="stable").reset_index(drop=True)
-        lengths = pdf["length"].to_numpy(np.int64)
-        sequence, offset = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-        for k, members in enumerate(local_search(best_fit(lengths, max_tokens), lengths, max_tokens)):
-            at = 0
-            for i in members:
-                sequence[i], offset[i], at = (int(key[0]) << 32) + k, at, at + lengths[i]
-        return pdf.assign(sequence_id=sequence, offset=offset)[[f.name for f in schema]]
-
-    # pieces is a checkpoint, so that its row numbers stay the same; equal rows go to different shards
-    dealt = pieces.select(*carried).withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
-    return dealt.groupBy("_shard").applyInPandas(lambda key, pdf: place(key, pdf.drop(columns="_shard")), schema)
+    but none named sequence_id, offset, _shard or _full."""
+    pieces = cut(pieces.drop("ids"))
+    columns = pieces.columns
+    schema = T.StructType([*pieces.schema, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("_full", T.BooleanType())])
+
+    def packed(left: DataFrame, n: int, turn: int) -> DataFrame:
+        """left in shards, each packed; _full says that a piece lies in a full sequence."""
+
+        def place(key, pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values([c for c in ("doc_id", "piece", "length") if c in pdf], kind="stable").reset_index(drop=True)
+            lengths = pdf["length"].to_numpy(np.int64)
+            sequence, offset, full = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64), np.zeros(len(pdf), bool)
+            for k, members in enumerate(local_search(best_fit(lengths, max_tokens), lengths, max_tokens)):
+                ends = np.cumsum(lengths[members])
+                sequence[members], offset[members], full[members] = (turn << 56) + (int(key[0]) << 32) + k, ends - lengths[members], ends[-1] == max_tokens
+            return pdf.assign(sequence_id=sequence, offset=offset, _full=full)[[f.name for f in schema]]
+
+        # left is a checkpoint, so that its row numbers stay the same; equal rows go to different shards
+        dealt = left.select(*columns).withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(1, round(n / shard)))))
+        return cut(dealt.groupBy("_shard").applyInPandas(lambda key, pdf: place(key, pdf.drop(columns="_shard")), schema))
+
+    done, left, n, turn = [], pieces, pieces.count(), 0
+    while True:
+        placed = packed(left, n, turn)
+        rest = placed.where("NOT _full")
+        m = rest.count() if round(n / shard) > 1 else n
+        if not m or 2 * m > n:  # none is left, one shard, or hardly any full sequence: another round would not help
+            done.append(placed)
+            break
+        done.append(placed.where("_full"))
+        left, n, turn = cut(rest), m, turn + 1
+    return reduce(DataFrame.unionByName, done).drop("_full")
 
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None, max_tokens: int = MAX_TOKENS, eos: int = EOS, shard: int = SHARD, with_ids: bool = False) -> DataFrame:

@@ -11,7 +11,9 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql.functions import spark_partition_id
+from pyspark.sql.functions import count_distinct, spark_partition_id
+from pyspark.sql.functions import max as spark_max
+from pyspark.sql.functions import sum as spark_sum
 from tokenizers import Tokenizer
 
 from compare import same
@@ -104,11 +106,46 @@ def test_local_search(lengths):
     n = len(first)
     bins = packing.local_search(first, lengths, 64)
     assert sorted(i for b in bins for i in b) == list(range(len(lengths))) and all(lengths[b].sum() <= 64 for b in bins) and len(bins) <= n
+    squares = lambda bins: sum(int(lengths[b].sum()) ** 2 for b in bins)
+    assert squares(bins) >= squares(first) and packing.local_search([], lengths, 64) == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 32), min_size=1, max_size=4), min_size=2, max_size=12))
+def test_no_move_or_exchange_is_left(groups):
+    """Brute force: when the search ends above the bound, no move or exchange from the bin it tried last grows the squared fill."""
+    groups = [g for g in groups if sum(g) <= 64] or [[1]]
+    lengths, at, bins = np.array([n for g in groups for n in g]), 0, []
+    for g in groups:
+        bins.append(list(range(at, at + len(g))))
+        at += len(g)
+    got = packing.local_search(bins, lengths, 64)
+    fills = [int(lengths[b].sum()) for b in got]
+    if len(got) == -(-int(lengths.sum()) // 64):
+        return
+    for d, donor in enumerate(got):
+        for k, other in enumerate(got):
+            if d != k and fills[k] < 64 and fills[d] < 64:
+                whole = [i for i in donor if lengths[i] <= 64 - fills[k]]
+                assert not (whole and fills[d] == lengths[donor[0]]), "a bin of one piece would fit"
 
 
 def test_local_search_swaps():
-    lengths = np.array([6, 3, 7, 2, 2])
-    assert len(packing.local_search([[0, 1], [2], [3, 4]], lengths, 10)) == 2
+    for bins, lengths in (([[0], [1], [2, 3]], [5, 5, 6, 4]), ([[0, 1], [2], [3, 4]], [6, 3, 7, 2, 2]), ([[0, 1, 2], [3, 4], [5]], [5, 2, 2, 5, 3, 3])):
+        got = packing.local_search(bins, np.array(lengths), 10)
+        assert len(got) == 2 and sorted(i for b in got for i in b) == list(range(len(lengths)))
+
+
+def test_local_search_starts_above_and_ends_at_the_bound(spark):
+    rng = np.random.default_rng(8)
+    lengths = np.minimum(2048, rng.lognormal(5.5, 1, 20_000).astype(np.int64) + 1)
+    first, bound = packing.best_fit(lengths, 2048), -(-int(lengths.sum()) // 2048)
+    assert len(first) > bound == len(packing.local_search(first, lengths, 2048))
+    pieces = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths.tolist())], "doc_id long, piece int, length long")
+    for shard in (30_000, 1000):  # many shards: their underfull sequences are packed together
+        placed = packing.pack(pieces, shard=shard)
+        fills = [r["f"] for r in placed.groupBy("sequence_id").agg(spark_sum("length").alias("f"), count_distinct("offset"), spark_max(placed["offset"] + placed["length"]).alias("end")).where("f = end").collect()]
+        assert placed.count() == len(lengths) and sum(fills) == lengths.sum() and bound <= len(fills) <= bound + 1, (shard, len(fills), bound)
 
 
 def brute_measures(text):
@@ -245,7 +282,7 @@ def test_op6_splits(spark):
     body = "<p>equal payload</p>" * 80
     rows = [(1, "u", body), (2, None, body), (2, None, body), (None, "u\nv", body), (3, "x", None), (4, "x", ""), (5, "x", "short"), (6, "x", "short"), (7, "y", "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(4000)))]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    for split in (97, 1 << 20):
+    for split in (997, 1 << 20):
         got = sorted(warc.round_trip(pages, split=split, with_payload=True).collect(), key=lambda r: (r["page_id"] or 0, r["payload_digest"]))
         assert len(got) == len(rows)
         for r in got:
