@@ -1,19 +1,23 @@
 """Language-model scoring: a log-bilinear neural model, trained in numpy with noise-contrastive estimation.
 
-Spark counts all training tokens. The CLASSES - 1 most frequent token types are classes of the neural model and all others
-share one more class; within that class a type's probability is its add-one share of the class's training tokens, with one
-place for unknown types. So P(token | two tokens before) = P(class | classes before) * P(token | class) sums to one.
-
-Training is data-parallel: every task trains on all training texts of its partition by noise-contrastive estimation, and the
-weights are averaged over the tasks (weighted by tokens) in a two-step aggregation, ROUNDS times. The normaliser of each of
-the CLASSES ** 2 contexts is then computed once, in batched matrix products that Spark deals out by rows.
-
-Scoring reads each text once. The TABLE most frequent types are known in the tasks (a broadcast of bounded size); only rarer
-tokens are joined with the counts, so that the join has no hot keys.
+Spark counts all training tokens. The HEAD most frequent types are classes of the neural model of their own; every other type,
+known or not, belongs to one of TAIL classes by its last SUFFIX bytes, which tell languages and kinds of words apart. Within such
+a class a type's probability is its add-one share of the class's training tokens, with one place for unknown types. So
+P(token | two tokens before) = P(class | classes before) * P(token | class) sums to one. The neural part has one size for any
+input; the shares within the classes grow with the vocabulary.
+
+Texts are read twice: for the counts, and to encode each as its classes, which are kept. Training is data-parallel: every task
+trains on all training rows of its partition by noise-contrastive estimation, and the weights are averaged over the tasks
+(weighted by tokens) in a two-step aggregation, ROUNDS times. The normaliser of each of the (HEAD + TAIL) ** 2 contexts is then
+computed once, in batched matrix products that Spark deals out by rows.
+
+The most frequent types, at most TABLE, are known in the tasks (a broadcast of bounded size); only rarer tokens are joined with
+the counts, so that the join has no hot keys. Which these are a histogram of the counts tells: no task sorts all types.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -21,32 +25,52 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmill.llm.common import append_columns, cut, table
 
-CLASSES = 1024
+HEAD, TAIL = 640, 384  # classes: frequent types, and groups of all others
+SUFFIX = 3  # bytes of a type that choose its group
 DIM = 24
 NOISE = 64
 BATCH = 8192
 ROUNDS = 2
 RATE = 0.05
 TABLE = 1 << 17
-LONGEST_KEY = 64  # bytes of a type in the broadcast table: so it has at most 8 MB of text
+LONGEST = 64  # bytes; a longer type goes by its digest, so that the table has at most 8 MB of text
+STEPS = 16  # buckets of the histogram for each doubling of a count
+REMEMBERED = 300_000  # types whose group a task remembers
 FLUSH = 400_000  # distinct types that a task counts before it passes them on
 END = b""
 CHUNK = 2048  # weights in a row of the averaging
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """Words, lower-cased in A-Z, and the end token."""
+    """Words, lower-cased in A-Z, and the end token. A long word is a blank and its digest, which no word can be."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if words and max(map(len, words)) > LONGEST:
+        words = [w if len(w) <= LONGEST else b" " + xxhash.xxh3_128_digest(w) for w in words]
     words.append(END)
     return words
 
 
+class Classes(dict):
+    """The class of a token: that of a frequent type (the given entries), else its group."""
+
+    def __init__(self, own: dict[bytes, int], tail: int):
+        super().__init__(own)
+        self.tail = tail
+
+    def __missing__(self, word: bytes) -> int:
+        k = zlib.crc32(word[-SUFFIX:]) % self.tail
+        if len(self) < REMEMBERED:
+            self[word] = k
+        return k
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 7 is 2; a null doc_id is in training."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
@@ -137,13 +161,9 @@ def contexts(ids: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     return before, last
 
 
-def class_ids(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter(map(known.get, words, repeat(0)), np.int64, len(words))
-
-
-def train_round(docs: DataFrame, text: str, known, share: np.ndarray, flat: np.ndarray, dim: int, rate: float) -> np.ndarray:
-    """The mean of the weights that each partition arrives at from flat."""
-    sc = docs.sparkSession.sparkContext
+def train_round(encoded: DataFrame, start_id: int, share: np.ndarray, flat: np.ndarray, dim: int, rate: float) -> np.ndarray:
+    """The mean of the weights that each partition of encoded (ids) arrives at from flat."""
+    sc = encoded.sparkSession.sparkContext
     shared = sc.broadcast((flat, share))
     n = len(share)
 
@@ -166,8 +186,8 @@ def train_round(docs: DataFrame, text: str, known, share: np.ndarray, flat: np.n
         size = 0
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                ids = class_ids(tokens(value), known.value)
-                waiting.append((*contexts(ids, known.value[END]), ids))
+                ids = np.frombuffer(value, "<u2").astype(np.int64)
+                waiting.append((*contexts(ids, start_id), ids))
                 size += len(ids)
                 seen += len(ids)
                 if size >= 8 * BATCH:
@@ -184,7 +204,7 @@ def train_round(docs: DataFrame, text: str, known, share: np.ndarray, flat: np.n
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "salt": [0], "n": [pdf["n"].sum()], "v": [total.tobytes()]})
 
     schema = "chunk int, salt int, n long, v binary"
-    sums = docs.select(text).mapInArrow(run, schema).groupBy("chunk", "salt").applyInPandas(add, schema).groupBy("chunk").applyInPandas(add, schema)
+    sums = encoded.select("ids").mapInArrow(run, schema).groupBy("chunk", "salt").applyInPandas(add, schema).groupBy("chunk").applyInPandas(add, schema)
     rows = sums.orderBy("chunk").collect()  # the weights: of one size for any input
     return np.concatenate([np.frombuffer(r["v"], np.float64) / r["n"] for r in rows]).astype(np.float32) if rows else flat
 
@@ -207,88 +227,111 @@ def normalisers(spark: SparkSession, w: Weights) -> np.ndarray:
     return np.stack([np.frombuffer(r["z"], np.float32) for r in sorted(rows, key=lambda r: r["id"])])
 
 
-def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", classes: int = CLASSES, dim: int = DIM, rounds: int = ROUNDS, rate: float = RATE, table_size: int = TABLE) -> DataFrame:
+def frequent_types(counts: DataFrame, most: int) -> tuple[pa.Table, DataFrame]:
+    """(the most frequent types (token, c), all that a histogram of the counts allows without exceeding `most`; the others)."""
+    bucket = F.floor(F.log2(F.col("c").cast("double")) * STEPS)
+    sizes = sorted(((r["b"], r["n"]) for r in counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)  # 64 * STEPS rows at most
+    total, least = 0, (sizes[0][0] + 1 if sizes else 0)
+    for b, n in sizes:
+        total += n
+        if total > most:
+            break
+        least = b
+    return counts.where(bucket >= least).toArrow(), counts.where(bucket < least)
+
+
+def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", head: int = HEAD, tail: int = TAIL, dim: int = DIM, rounds: int = ROUNDS, rate: float = RATE, table_size: int = TABLE) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs.
 
     Only the two named columns are read. Null, empty and blank texts are the end token alone. A null doc_id is in training
     and stays null. Repeated rows each count and each return a row. Token types of equal count go by their bytes. Where no
-    row is in training every token is unknown, and both models give it probability one. No rows give no rows.
+    row is in training every token is unknown, and its base probability is one. No rows give no rows.
     """
     spark = docs.sparkSession
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(F.col(doc_id)).alias("held_out"))
-    train = read.where(~F.col("held_out"))
-    counts = cut(count_tokens(train, "text"))
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.where(F.octet_length("token") <= LONGEST_KEY).orderBy(F.desc("c"), "token").limit(table_size).toArrow()
-    words, c = top.column(0).to_pylist(), np.array(top.column(1).to_pylist(), np.int64)
-    least = int(c[-1]) if len(c) == table_size else 0
-    own = words[: classes - 1]
-    if END in words and END not in own:
-        own[-1] = END
-    index = {x: i for i, x in enumerate(words)}
-    at = np.array([index[x] for x in own], np.int64)
-    frequent = int(c[at].sum()) if len(at) else 0
-    rare_n, rare_v = total["n"] - frequent, total["v"] - len(own)
-    weight = np.array([rare_n + 1, *(c[at] if len(at) else ())], np.float64)
+    counts = cut(count_tokens(read.where(~F.col("held_out")), "text"))
+    group = (F.crc32(F.substring("token", -SUFFIX, SUFFIX)) % tail).cast("int")
+    groups = counts.groupBy(group.alias("k")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()  # one row for each group
+    top, others = frequent_types(counts, table_size)
+    c_of = dict(zip(top.column(0).to_pylist(), top.column(1).to_pylist(), strict=True))
+    own = sorted(c_of, key=lambda x: (-c_of[x], x))[:head]
+    if END in c_of and END not in own:
+        own[-1:] = [END]
+    known = {x: tail + i for i, x in enumerate(own)}
+    n_of, v_of = np.zeros(tail), np.zeros(tail)  # training tokens and types of the groups
+    for r in groups:
+        n_of[r["k"]], v_of[r["k"]] = r["n"], r["v"]
+    n_all, v_all = int(n_of.sum()), int(v_of.sum())
+    for x in own:
+        k = zlib.crc32(x[-SUFFIX:]) % tail
+        n_of[k], v_of[k] = n_of[k] - c_of[x], v_of[k] - 1
+    weight = np.concatenate([n_of + 1, [c_of[x] for x in own]])
     share = weight / weight.sum()
-    known = {x: i + 1 for i, x in enumerate(own)}
-    known.setdefault(END, 0)
-    w = Weights.start(share, dim)
-    shared_known = spark.sparkContext.broadcast(known)
-    for r in range(rounds if total["n"] else 0):
-        w = Weights(len(share), dim, train_round(train, "text", shared_known, share, w.flat, dim, rate / (1 + r)))
-    z = normalisers(spark, w)
-    # Of each type in the table: its class, and log10(c + 1).
-    logs = np.log10(c + 1.0)
-    model = spark.sparkContext.broadcast((words, logs, w.flat, z))
-    n_classes = len(share)
+    model = spark.sparkContext.broadcast((c_of, known, np.log10(n_of + v_of + 1)))
     rare_struct = T.ArrayType(T.StructType([T.StructField("token", T.BinaryType()), T.StructField("n", T.LongType())]))
     arrow = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
 
-    def make():
-        words, logs, flat, z = model.value
-        own = Weights(n_classes, dim, flat.copy())
-        place = {x: i for i, x in enumerate(words)}
-        kind = np.zeros(len(words) + 1, np.int64)
-        for x, k in shared_known.value.items():
-            if x in place:
-                kind[place[x]] = k
-        value = np.append(logs, 0.0)
-        outside, start = len(words), shared_known.value[END]
+    def encode():
+        c_of, known, below = model.value
+        words = list(c_of)
+        place, outside = {x: i for i, x in enumerate(words)}, len(words)
+        value = np.append(np.log10(np.array([c_of[x] for x in words], np.float64) + 1), 0.0)
+        classes = Classes(known, tail)
+        below = np.concatenate([below, np.zeros(len(known))])
 
         def run(texts: list) -> list[pa.Array]:
             out: list[tuple] = []
             rest: list[list] = []
             for text in texts:
                 own_words = tokens(text)
-                at = np.fromiter(map(place.get, own_words, repeat(outside)), np.int64, len(own_words))
-                ids = kind[at]
-                before, last = contexts(ids, start)
-                total = 0.0
+                n = len(own_words)
+                at = np.fromiter(map(place.get, own_words, repeat(outside)), np.int64, n)
+                ids = np.fromiter(map(classes.__getitem__, own_words), np.int64, n)
+                logs, grouped = value[at], ids < tail
+                far = np.flatnonzero(at == outside)
+                out.append((ids.astype("<u2").tobytes(), n, n - len(far), float(logs.sum()), float(logs[grouped].sum() - below[ids].sum())))
+                rest.append([{"token": k, "n": n} for k, n in Counter(own_words[i] for i in far.tolist()).items()])
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            return [pa.array(x, t) for x, t in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)] + [pa.array(rest, arrow)]
+
+        return run
+
+    fields = [("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("in_table", T.LongType()), ("logs", T.DoubleType()), ("group_logs", T.DoubleType()), ("outside", rare_struct)]
+    encoded = cut(append_columns(read, "text", fields, encode).drop("text"))
+    start_id = known.get(END, zlib.crc32(END) % tail)
+    w = Weights.start(share, dim)
+    for r in range(rounds if n_all else 0):
+        w = Weights(len(share), dim, train_round(encoded.where(~F.col("held_out")), start_id, share, w.flat, dim, rate / (1 + r)))
+    trained = spark.sparkContext.broadcast((w.flat, normalisers(spark, w)))
+    n_classes = len(share)
+
+    def score():
+        flat, z = trained.value
+        own = Weights(n_classes, dim, flat.copy())
+
+        def run(rows: list) -> list[pa.Array]:
+            out = []
+            for row in rows:
+                ids, total = np.frombuffer(row, "<u2").astype(np.int64), 0.0
+                before, last = contexts(ids, start_id)
                 for lo in range(0, len(ids), 1 << 16):  # bounded memory for long texts
                     s = slice(lo, lo + (1 << 16))
                     q = own.query(before[s], last[s])
                     total += float((np.einsum("ij,ij->i", q, own.O[ids[s]]) + own.b[ids[s]] - z[before[s], last[s]]).sum(dtype=np.float64))
-                logs_of = value[at]
-                far = np.flatnonzero(at == outside)
-                out.append((len(ids), len(ids) - len(far), float(logs_of.sum()), total / np.log(10), int((ids == 0).sum()), float(logs_of[ids == 0].sum())))
-                rest.append([{"token": k, "n": n} for k, n in Counter(own_words[i] for i in far.tolist()).items()])
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            return [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64()), strict=True)] + [pa.array(rest, arrow)]
+                out.append(total / np.log(10))
+            return [pa.array(out, pa.float64())]
 
         return run
 
-    fields = [("n_tokens", T.LongType()), ("in_table", T.LongType()), ("logs", T.DoubleType()), ("class_score", T.DoubleType()), ("n_rare", T.LongType()), ("rare_logs", T.DoubleType()), ("outside", rare_struct)]
-    scored = cut(append_columns(read, "text", fields, make).drop("text").withColumn("row", F.monotonically_increasing_id()))
-    far = scored.select("row", F.explode("outside").alias("o")).select("row", "o.token", "o.n")
-    others = counts.where((F.col("c") <= least) | (F.octet_length("token") > LONGEST_KEY)) if least else counts
+    numbered = encoded.withColumn("row", F.monotonically_increasing_id())  # of a checkpoint, so always the same
+    far = numbered.select("row", F.explode("outside").alias("o")).select("row", "o.token", "o.n")
     met = far.join(others, "token").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("more_logs"))
-    rows = scored.drop("outside").join(met, "row", "left")
+    rows = append_columns(numbered.drop("outside"), "ids", [("class_score", T.DoubleType())], score).drop("ids").join(met, "row", "left")
     more, more_logs = F.coalesce("more", F.lit(0)), F.coalesce("more_logs", F.lit(0.0))
     return rows.select(
-        "doc_id", "held_out", "n_tokens", (F.col("in_table") + more).alias("n_known"), F.lit(int(total["n"])).cast("long").alias("train_tokens"),
-        (F.col("logs") + more_logs - F.col("n_tokens") * F.lit(float(np.log10(total["n"] + total["v"] + 1)))).alias("base_score"),
-        (F.col("class_score") + F.col("rare_logs") + more_logs - F.col("n_rare") * F.lit(float(np.log10(rare_n + rare_v + 1)))).alias("score"),
+        "doc_id", "held_out", "n_tokens", (F.col("in_table") + more).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
+        (F.col("logs") + more_logs - F.col("n_tokens") * F.lit(float(np.log10(n_all + v_all + 1)))).alias("base_score"),
+        (F.col("class_score") + F.col("group_logs") + more_logs).alias("score"),
     )
 
 
