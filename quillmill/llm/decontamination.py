@@ -11,7 +11,12 @@ Windows can miss a match: one on the grid is up to a twelfth of its size off, an
 shingles to items also gives every text and item with so many shingles in common as a match has at least; these are checked
 exactly over the whole stretch where such shingles lie, and no match is left to chance.
 
-The items are a query set of bounded size (MOST_BYTES, checked) that is broadcast; documents are never shuffled.
+An item of over LONGEST shingles is cut into overlapping parts, whose windows are found so; a part's candidate has the whole item
+checked at the place where it would lie.
+
+The items are a query set of bounded size (MOST_BYTES, checked) that is broadcast; documents are never shuffled. What takes room
+in a worker are the tables, with 2,788 entries for each part of an item: a worker holds those of about MOST_PARTS parts at once,
+and searches for more of them one such shard after the other.
 """
 
 from __future__ import annotations
@@ -33,8 +38,9 @@ SIMILARITY = 0.8
 RADIUS = 15
 BLOCKS = 4
 CHUNK = 16_000  # words fingerprinted at a time: short texts together, long ones in overlapping pieces
-MOST_BYTES = 64 << 20
-MOST_WORDS = 5_000
+MOST_BYTES = 64 << 20  # of items in the broadcast
+MOST_PARTS = 10_000  # parts of items whose tables (110 MB) a worker holds at once
+LONGEST = 5_000  # shingles of a part
 MASKS = np.array([sum(1 << b for b in bits) for k in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), k)], np.uint16)
 
 
@@ -138,29 +144,42 @@ def fingerprints(sums: np.ndarray, size: int, stride: int) -> np.ndarray:
     return np.packbits(sums[size::stride] - sums[:-size:stride] > size // 2, axis=1, bitorder="little").view("<u8").ravel()
 
 
+def grid(h: np.ndarray, sums: np.ndarray | None, size: int, stride: int) -> np.ndarray:
+    """The same from hashes; where these are too many for sums of all, slice by slice."""
+    if sums is not None:
+        return fingerprints(sums, size, stride)
+    step = stride * max(1, (1 << 14) // stride)
+    parts = [h[lo : lo + step + size - 1] for lo in range(0, max(0, len(h) - size + 1), step)]
+    return np.concatenate([h[:0], *(fingerprints(bit_sums(x), size, stride) for x in parts)])
+
+
 def fingerprint(h: np.ndarray) -> int:
     ones = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def similarity(window: Counter, item: Counter) -> float:
-    """Weighted Jaccard similarity of two multisets."""
-    both = sum(min(n, item[s]) for s, n in window.items() if s in item)
-    return both / (window.total() + item.total() - both) if both else 0.0
+def parts_of(n: int) -> list[tuple[int, int]]:
+    """(start, end) of the parts of an item of n shingles."""
+    if n <= LONGEST:
+        return [(0, n)]
+    return [(a, a + LONGEST) for a in [*range(0, n - LONGEST, LONGEST // 2), n - LONGEST]]
 
 
 class Items:
     """The benchmark's items by shingle width and size, with their block tables."""
 
     def __init__(self, items: list[tuple[int, str]], shingle: int, least: float):
-        self.least = least
+        self.least, self.width = least, shingle
+        self.items: list[tuple[int, np.ndarray, Counter]] = []  # (item_id, shingles, their counts)
         by_size: dict[tuple[int, int], list] = defaultdict(list)
+        by_width: dict[int, list[int]] = defaultdict(list)
         for k, words in hashed_texts([text for _, text in items]):
-            if len(words) > MOST_WORDS:
-                raise ValueError(f"item {items[k][0]} has {len(words)} words; at most {MOST_WORDS} can be searched for: split it")
             width = min(shingle, len(words))
             h = shingles(words, width)
-            by_size[width, len(h)].append((items[k][0], h))
+            for a, b in parts_of(len(h)):
+                by_size[width, b - a].append((len(self.items), a, h[a:b]))
+            by_width[width].append(len(self.items))
+            self.items.append((items[k][0], h, Counter(h.tolist())))
         self.groups: list[tuple[int, int, list, np.ndarray, list]] = []
         open_: dict[int, list] = {}
         for (width, n), found in sorted(by_size.items()):
@@ -169,11 +188,10 @@ class Items:
                 self.groups.append((width, open_[width]))
             open_[width][1] += found
         self.groups = [self.prepare(width, found) for width, (_, found) in self.groups]
-        # For each width: distinct shingles, where the items of each begin in `who`, and the items as (group, place).
-        self.index: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]] = {}
-        for width in {g[0] for g in self.groups}:
-            members = [(g, k) for g, group in enumerate(self.groups) if group[0] == width for k in range(len(group[2]))]
-            own = [np.unique(self.groups[g][2][k][1]) for g, k in members]
+        # For each width: distinct shingles, where the items of each begin in `who`, and the items.
+        self.index: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]] = {}
+        for width, members in by_width.items():
+            own = [np.unique(self.items[k][1]) for k in members]
             every, who = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
             order = np.argsort(every, kind="stable")
             keys, many = np.unique(every, return_counts=True)
@@ -181,17 +199,17 @@ class Items:
 
     @staticmethod
     def prepare(width: int, found: list) -> tuple:
-        size = round(np.median([len(h) for _, h in found]))
-        fps = np.array([fingerprint(h) for _, h in found], np.uint64)
+        """(width, size, [(item, start, shingles)], fingerprints, tables) of a group of parts."""
+        size = round(np.median([len(h) for *_, h in found]))
+        fps = np.array([fingerprint(h) for *_, h in found], np.uint64)
         tables = []
         for b in range(BLOCKS):
             value = (fps >> np.uint64(16 * b)).astype(np.uint16)
-            near = (value[:, None] ^ MASKS[None, :]).astype(np.int64)
-            who = np.repeat(np.arange(len(fps), dtype=np.int32), len(MASKS))
-            order = np.argsort(near.ravel(), kind="stable")
-            many = np.bincount(near.ravel(), minlength=1 << 16).astype(np.int32)
-            tables.append((np.cumsum(many) - many, many, who[order]))
-        return width, size, [(i, h, Counter(h.tolist())) for i, h in found], fps, tables
+            near = (value[:, None] ^ MASKS[None, :]).ravel()
+            order = np.argsort(near, kind="stable")  # 16 bits are sorted by radix
+            many = np.bincount(near, minlength=1 << 16).astype(np.int32)
+            tables.append((np.cumsum(many) - many, many, (order // len(MASKS)).astype(np.int32)))
+        return width, size, found, fps, tables
 
     def search(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, int, int]]:
         """(text, item_id, similarity, first word, number of words) of windows that match, the best for each text and item.
@@ -206,27 +224,28 @@ class Items:
         for width, size, items, fps, tables in self.groups:
             if width not in widths:
                 h = shingles(hashes, width)
-                widths[width] = (h, bit_sums(h))
+                widths[width] = (h, bit_sums(h) if len(h) < 1 << 15 else None)
             h, sums = widths[width]
             stride = max(1, size // 6)
-            own = fingerprints(sums, size, stride)
+            own = grid(h, sums, size, stride)
             starts = np.arange(len(own)) * stride
-            least = self.least * min(len(x) for _, x, _ in items)
+            least = self.least * min(len(x) for *_, x in items)
             short = np.flatnonzero((lengths - width + 1 < size) & (lengths - width + 1 >= least))
             if len(short):
                 own = np.concatenate([own, np.array([fingerprint(h[bounds[k] : bounds[k + 1] - width + 1]) for k in short], np.uint64)])
                 starts = np.concatenate([starts, bounds[short]])
             for at, k in self.candidates(own, fps, tables):
-                item_id, ih, counts = items[k]
+                number, part, ph = items[k]
+                item_id, ih, counts = self.items[number]
                 middle = int(starts[at]) + (size // 2 if at < len(own) - len(short) else 0)
                 text = int(np.searchsorted(bounds, middle, "right")) - 1
                 lo, hi = int(bounds[text]), int(bounds[text + 1]) - width + 1
-                if hi > lo and (best := self.best(h[lo:hi], int(starts[at]) - lo, max(stride, abs(len(ih) - size)), ih, counts)):
+                if hi > lo and (best := self.best(h[lo:hi], int(starts[at]) - part - lo, max(stride, abs(len(ph) - size)), ih, counts)):
                     if (text, item_id) not in out or best[0] > out[text, item_id][0]:
                         out[text, item_id] = (best[0], best[1], min(len(ih), hi - lo - best[1]) + width - 1)
         for width, (h, _) in widths.items():
-            for text, (g, k), first, last in self.common(h, bounds, width):
-                item_id, ih, counts = self.groups[g][2][k]
+            for text, number, first, last in self.common(h, bounds, width):
+                item_id, ih, counts = self.items[number]
                 lo, hi = int(bounds[text]), int(bounds[text + 1]) - width + 1
                 middle = (first + last - len(ih)) // 2 - lo
                 if best := self.best(h[lo:hi], middle, (last - first + len(ih)) // 2 + 1, ih, counts):
@@ -234,7 +253,7 @@ class Items:
                         out[text, item_id] = (best[0], best[1], min(len(ih), hi - lo - best[1]) + width - 1)
         return [(*key, *found) for key, found in sorted(out.items())]
 
-    def common(self, h: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[tuple[int, tuple[int, int], int, int]]:
+    def common(self, h: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, first and last place of a shared shingle) for texts with `least` times as many places with a shingle
         of the item as the item has shingles. A window is no longer than its item, so that a match has no fewer."""
         keys, offsets, who, members = self.index[width]
@@ -253,9 +272,9 @@ class Items:
         order = np.argsort(code, kind="stable")
         codes, starts, many = np.unique(code[order], return_index=True, return_counts=True)
         for c, a, m in zip(codes.tolist(), starts.tolist(), many.tolist(), strict=True):
-            g, k = members[c % len(members)]
-            if m >= self.least * len(self.groups[g][2][k][1]):
-                yield c // len(members), (g, k), int(place[rows[order[a]]]), int(place[rows[order[a + m - 1]]])
+            number = members[c % len(members)]
+            if m >= self.least * len(self.items[number][1]):
+                yield c // len(members), number, int(place[rows[order[a]]]), int(place[rows[order[a + m - 1]]])
 
     @staticmethod
     def candidates(own: np.ndarray, fps: np.ndarray, tables: list) -> list[tuple[int, int]]:
@@ -278,64 +297,89 @@ class Items:
         n = len(item)
         hi = min(max(0, len(h) - n), max(0, start + stride))
         lo = max(0, min(hi, start - stride))
-        inside = np.array([x in counts for x in h[lo : hi + n].tolist()])
-        if inside.sum() < self.least * n / (1 + self.least):
+        window, both, size, best = dict.fromkeys(counts, 0), 0, 0, None
+        found = h[lo : hi + n].tolist()
+        if sum(map(counts.__contains__, found)) < self.least * n / (1 + self.least):
             return None
-        inside = np.concatenate(([0], np.cumsum(inside)))
-        best = None
-        for a in range(hi - lo + 1):
-            b = min(a + n, len(inside) - 1)
-            if (inside[b] - inside[a]) * (1 + self.least) < self.least * (n + b - a):  # even if all hits count
-                continue
-            s = similarity(Counter(h[lo + a : lo + b].tolist()), counts)
-            if s >= self.least and (best is None or s > best[0]):
-                best = (s, lo + a)
+        for at, new in enumerate(found):  # the window slides: what both have in common changes by two shingles
+            if new in window:
+                window[new] += 1
+                both += window[new] <= counts[new]
+            size += 1
+            if size > n:
+                size, old = n, found[at - n]
+                if old in window:
+                    both -= window[old] <= counts[old]
+                    window[old] -= 1
+            if size == n or at == len(found) - 1:
+                s = both / (size + n - both)
+                if s >= self.least and (best is None or s > best[0]):
+                    best = (s, lo + at + 1 - size)
         return best
 
 
 def read_items(benchmark: DataFrame, item_id: str, text: str) -> list[tuple[int, str]]:
-    """The items for the broadcast; more than MOST_BYTES of them raise an error, as the tables would outgrow a worker."""
+    """The items for the broadcast; more than MOST_BYTES of them raise an error."""
     size = benchmark.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     if size > MOST_BYTES:
         raise ValueError(f"the benchmark has {size} bytes; at most {MOST_BYTES} can be searched for at once: split it")
     return [(r[0], r[1]) for r in benchmark.select(item_id, text).where(F.col(text).isNotNull()).orderBy(item_id).collect()]
 
 
+def search_texts(items: Items, texts: list, found: list[dict]) -> None:
+    """Puts the best match of each item in each text, item_id to (similarity, first word, number of words), into found."""
+    over = 2 * max((len(h) + items.width for _, h, _ in items.items), default=0)
+    piece = CHUNK + over
+    waiting: list[tuple[int, int, np.ndarray]] = []  # (text, first word, hashes)
+
+    def flush() -> None:
+        bounds = np.cumsum([0, *(len(h) for *_, h in waiting)])
+        for k, item, s, a, n in items.search(np.concatenate([h for *_, h in waiting]), bounds) if waiting else ():
+            text, first, _ = waiting[k]
+            if item not in found[text] or s > found[text][item][0]:
+                found[text][item] = (s, first + a, n)
+        waiting.clear()
+
+    size = 0
+    for text, words in hashed_texts(texts) if items.groups else ():
+        for lo in range(0, max(1, len(words) - over), CHUNK):  # pieces overlap: no window is lost
+            hashes = words[lo : lo + piece]
+            if size + len(hashes) > piece:
+                flush()
+                size = 0
+            waiting.append((text, lo, hashes))
+            size += len(hashes)
+    flush()
+
+
 MATCH = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("first_word", T.LongType()), T.StructField("n_words", T.LongType())]))
 
 
-def with_matches(docs: DataFrame, benchmark: DataFrame, out: str, text: str, item_id: str, item_text: str, shingle: int, least: float) -> DataFrame:
+def shards_of(items: list[tuple[int, str]], most: int) -> list[list[tuple[int, str]]]:
+    """items in shards of about `most` parts; there are fewer parts of an item than words and one for each 2,500 at most."""
+    out, size = [[]], 0
+    for item in items:
+        parts = 1 + len(item[1]) // LONGEST  # each shingle takes two characters at least
+        if size + parts > most and out[-1]:
+            out.append([])
+            size = 0
+        out[-1].append(item)
+        size += parts
+    return out
+
+
+def with_matches(docs: DataFrame, benchmark: DataFrame, out: str, text: str, item_id: str, item_text: str, shingle: int, least: float, most_parts: int = MOST_PARTS) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(read_items(benchmark, item_id, item_text))
     arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
 
     def make():
-        items = Items(shared.value, shingle, least)
-
-        over = max((2 * (len(h) + w) for w, _, members, *_ in items.groups for _, h, _ in members), default=0)
-        piece = CHUNK + over
+        shards = shards_of(shared.value, most_parts)
+        kept = [Items(shards[0], shingle, least)] if len(shards) == 1 else None
 
         def run(texts: list) -> list[pa.Array]:
             found: list[dict] = [{} for _ in texts]
-            waiting: list[tuple[int, int, np.ndarray]] = []  # (text, first word, hashes)
-
-            def flush() -> None:
-                bounds = np.cumsum([0, *(len(h) for *_, h in waiting)])
-                for k, item, s, a, n in items.search(np.concatenate([h for *_, h in waiting]), bounds) if waiting else ():
-                    text, first, _ = waiting[k]
-                    if item not in found[text] or s > found[text][item][0]:
-                        found[text][item] = (s, first + a, n)
-                waiting.clear()
-
-            size = 0
-            for text, words in hashed_texts(texts) if items.groups else ():
-                for lo in range(0, max(1, len(words) - over), CHUNK):  # pieces overlap: no window is lost
-                    hashes = words[lo : lo + piece]
-                    if size + len(hashes) > piece:
-                        flush()
-                        size = 0
-                    waiting.append((text, lo, hashes))
-                    size += len(hashes)
-            flush()
+            for items in kept or (Items(x, shingle, least) for x in shards):
+                search_texts(items, texts, found)
             return [pa.array([[{"item_id": i, "similarity": s, "first_word": a, "n_words": n} for i, (s, a, n) in sorted(f.items())] for f in found], arrow)]
 
         return run
@@ -346,8 +390,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, out: str, text: str, ite
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, contaminated, item_ids, matches) for each row of docs; matches has similarity and words of the best window.
 
-    Only the named columns are read. Items of over MOST_WORDS words raise an error. Null and empty texts match nothing, and nothing matches null, empty or blank items. An
-    item with fewer than `shingle` words matches a run of the same words. Repeated rows each return a row, repeated items
+    Only the named columns are read. Null and empty texts match nothing, and nothing matches null, empty or blank items. An item with fewer than `shingle` words matches a run of the same words. Repeated rows each return a row, repeated items
     each an id; ids go by size; a null doc_id stays null. A benchmark without rows leaves all rows clean.
     """
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
