@@ -106,7 +106,7 @@ def judged(docs: DataFrame, text: str, prefix: str, keep: list[str], threshold:
     c = lambda m: F.col(prefix + m)
     rules = rule_votes(c)
     voted = rows.select(*(F.col(f"`{k}`") for k in keep), *(prefix + m for m in MEASURES), base_failed(c).alias(prefix + "base_failed"), *(v.alias(f"{prefix}v_{r}") for r, v in rules.items()))
-    voted = cut(voted.drop(*(set(keep) - {"doc_id"}))) if keep == ["doc_id"] else voted
+    voted = cut(voted)  # measured once: the estimate reads all votes, then the verdict each row's
     names = [f"{prefix}v_{r}" for r in rules]
     model = fit_votes(count_patterns(voted, names), list(rules))
     voted = voted.withColumn(prefix + "quality", model.posterior([F.col(x) for x in names]))
