@@ -9,8 +9,9 @@
    components, never all pairs. A leaf that grew too large (a dense group) is dealt out as pairs of blocks.
 4. Alternating large-star and small-star steps join the stars to components.
 
-near_duplicates links fingerprints alone. keep_one, which removes texts, decides by the exact similarity of the shingle sets:
-fingerprints and sketches only choose the candidates, and only the candidates' sets of shingle hashes are shuffled.
+near_duplicates links fingerprints alone. keep_one, which removes texts, decides by the exact similarity of the shingle sets.
+Its candidates are the tree's links, and texts that agree in a band of MinHashes: at similarity 0.8 fingerprints lie 10 bits
+apart, give or take 3, beyond any radius at which triangle bounds prune. Only candidates' sets of shingle hashes are shuffled.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,12 +37,12 @@ BLOCK = 60_000  # fingerprints of each side of a pair of blocks of an oversized
 DEPTH = 14  # so there are at most 2 ** DEPTH leaves
 SIMILARITY = 0.8  # of near copies that keep_one removes, over sets of words' shingles
 NEAR_SHINGLE = 5
-NEAR_RADIUS = 24  # at similarity 0.8 fingerprints differ in 9.7 bits, give or take 2.9: five deviations below this
+BANDS, ROWS = 36, 5  # of MinHashes: 1 - (1 - 0.8 ** 5) ** 36, all but 6 in 10 million, of pairs of similarity 0.8 agree in a band
 SKETCH = 256  # parts of a sketch: at similarity 0.8 its estimate has a standard error of 0.025
-SLACK = 0.12  # so far below SIMILARITY an estimate still makes a candidate: nearly five standard errors
-NEAR_BLOCK = 20_000  # texts of each side of a pair of blocks of a size class
+SLACK = 0.12  # so far below SIMILARITY an estimate still has the sets compared: nearly five standard errors
 SETS = 1 << 19  # shingle hashes of a bin of candidate groups, or of each side of a pair of blocks of a larger group
-ONE = np.uint64(1)
+_rng = np.random.default_rng(42)
+FLIPS, FACTORS = _rng.integers(0, 1 << 64, BANDS * ROWS, np.uint64), _rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_hashes(text: str | None, shingle: int, seed: int) -> np.ndarray:
@@ -81,6 +82,17 @@ def sketch(distinct: np.ndarray) -> np.ndarray:
     return out
 
 
+def bands(distinct: np.ndarray) -> np.ndarray:
+    """A key for each band of MinHashes of a set of hashes; none for an empty set."""
+    if not len(distinct):
+        return np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        least = np.stack([((distinct[i : i + 4096, None] ^ FLIPS) * FACTORS).min(axis=0) for i in range(0, len(distinct), 4096)]).min(axis=0)
+        key = (least.reshape(BANDS, ROWS) * FACTORS[:ROWS]).sum(axis=1) + np.arange(BANDS, dtype=np.uint64)
+        key = (key ^ (key >> np.uint64(31))) * FACTORS[ROWS]
+        return (key ^ (key >> np.uint64(29))).view(np.int64)
+
+
 def agreement(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     """The estimated similarity of a sketch to each of many; two without any shingle are equal."""
     held = ((many != 0) | (one != 0)).sum(axis=1)
@@ -274,66 +286,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return grouped(docs, doc_id, text, shingle, radius, seed, leaf, block).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def similar(fps: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, home: np.ndarray, side: np.ndarray | None, radius: int, least: float, accept: float) -> tuple[np.ndarray, np.ndarray]:
-    """Stars (member, root), as positions, that join whatever is similar: fingerprints within the radius, sizes within
-    `least` of each other and sketches that agree to `accept`. One of a pair is at home, and they lie on two sides if sides
-    are given. Rows come sorted by size."""
-    n = len(fps)
-    near, parent = np.zeros(n, bool), np.arange(n)
-    for lo in range(0, n, 64):  # which rows have any candidate
-        hi = min(lo + 64, n)
-        end = np.searchsorted(sizes, sizes[hi - 1] / least, "right")
-        hit = np.bitwise_count(fps[lo:hi, None] ^ fps[None, lo:end]) <= radius
-        hit[np.arange(hi - lo), np.arange(hi - lo)] = False
-        near[lo:hi] |= hit.any(axis=1)
-        near[lo:end] |= hit.any(axis=0)
-    left = np.flatnonzero(near)
-    while len(left):  # breadth first; what has been reached is not tested again
-        root, left = left[0], left[1:]
-        front = [root]
-        while front and len(left):
-            p = front.pop()
-            a, b = np.searchsorted(sizes[left], [sizes[p] * least, sizes[p] / least + 1e-9])
-            at = np.flatnonzero(np.bitwise_count(fps[left[a:b]] ^ fps[p]) <= radius) + a
-            if not home[p]:
-                at = at[home[left[at]]]
-            if side is not None:
-                at = at[side[left[at]] != side[p]]
-            if len(at) and len(at := at[agreement(sketches[p], sketches[left[at]]) >= accept]):
-                parent[left[at]] = root
-                front += left[at].tolist()
-                left = np.delete(left, at)
-    moved = np.flatnonzero(parent != np.arange(n))
-    return moved, parent[moved]
-
-
-def similar_links(distinct: DataFrame, radius: int = NEAR_RADIUS, least: float = SIMILARITY, block: int = NEAR_BLOCK) -> DataFrame:
-    """Links (a, b) between candidates among the rows of distinct (node, fp, size, sketch): pairs whose estimate is at most
-    SLACK below `least`. Their connected components are those of all such pairs.
+def stars(df: DataFrame, key: str, node: str) -> DataFrame:
+    """Links (a, b) of each node to the smallest node with its key. The right side is a checkpoint, so that hot keys are split."""
+    least = cut(df.groupBy(key).agg(F.min(node).alias("b"), F.max(node).alias("most")).where("b < most").select(key, "b"))
+    return df.join(least, key).where(F.col(node) != F.col("b")).select(F.col(node).alias("a"), "b")
 
-    The Hamming radius of this similarity is so wide that vantage points prune nothing. Sizes do: sets of similarity `least`
-    have sizes within that factor, so that with classes 1 / least wide a pair lies in one class or in two that adjoin. A row
-    goes to its own class and, as a visitor, to the one below. Classes above `block` rows become pairs of blocks.
-    """
-    own = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / F.lit(math.log(1 / least))).cast("int")
-    places = F.array(F.struct(own.alias("leaf"), F.lit(True).alias("home")), F.struct((own - 1).alias("leaf"), F.lit(False).alias("home")))
-    dealt = distinct.select("node", "fp", "size", "sketch", F.explode(places).alias("p")).select("node", "fp", "size", "sketch", "p.*")
-    counts = {r["leaf"]: r["count"] for r in dealt.groupBy("leaf").count().collect()}  # one row for each class
-    parts = F.lit(1)
-    for k, m in counts.items():
-        if m > block:
-            parts = F.when(F.col("leaf") == k, F.lit(math.ceil(m / block))).otherwise(parts)
-    cells = dealt.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("node", "fp", "size", "sketch", "home", "leaf", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).alias("side"))
-
-    def star(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "node"], kind="stable")
-        node, side = pdf["node"].to_numpy(np.int64), pdf["side"].to_numpy(bool)
-        sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(-1, SKETCH)
-        a, b = similar(pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["size"].to_numpy(np.int64), sketches, pdf["home"].to_numpy(bool), side if key[1] != key[2] else None, radius, least, least - SLACK)
-        return pd.DataFrame({"a": node[a], "b": node[b]})
 
-    return cells.groupBy("leaf", "i", "j").applyInPandas(star, "a long, b long")
+def candidate_links(distinct: DataFrame, radius: int, leaf: int, block: int) -> DataFrame:
+    """Links (a, b) between the nodes of distinct (node, fp, bands): fingerprints within the radius, from the vantage-point
+    tree, and equal bands. Texts that share a band are linked to the smallest of them, never in pairs."""
+    fps = cut(distinct.groupBy("fp").agg(F.min("node").alias("node")))
+    end = lambda x: fps.select(F.col("fp").alias(x), F.col("node").alias(f"{x}_node"))
+    tree = near_links(fps, "fp", radius, leaf, block).join(end("a"), "a").join(end("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    return tree.unionByName(stars(distinct, "fp", "node")).unionByName(stars(distinct.select("node", F.explode("bands").alias("key")), "key", "node"))
 
 
 def alike(sizes: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, least: float, accept: float) -> tuple[np.ndarray, np.ndarray]:
@@ -405,43 +370,45 @@ def exact_links(docs: DataFrame, distinct: DataFrame, groups: DataFrame, shingle
 
 
 def with_signature(df: DataFrame, text: str, shingle: int, seed: int) -> DataFrame:
-    """df and the columns fp, size and sketch of the set of distinct shingles."""
+    """df and the columns fp, size, sketch and bands of the set of distinct shingles."""
 
     def make():
-        def one(value: str | None) -> tuple[int, int, bytes]:
+        def one(value: str | None) -> tuple[int, int, bytes, np.ndarray]:
             distinct = np.unique(shingle_hashes(value, shingle, seed))
-            return majority(distinct), len(distinct), sketch(distinct).tobytes()
+            return majority(distinct), len(distinct), sketch(distinct).tobytes(), bands(distinct)
 
         def run(texts: list) -> list[pa.Array]:
             rows = [one(t) for t in texts]
-            return [pa.array(np.array([r[0] for r in rows], np.uint64).view(np.int64)), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())]
+            return [pa.array(np.array([r[0] for r in rows], np.uint64).view(np.int64)), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))]
 
         return run
 
-    return append_columns(df, text, [("fp", T.LongType()), ("size", T.LongType()), ("sketch", T.BinaryType())], make)
+    return append_columns(df, text, [("fp", T.LongType()), ("size", T.LongType()), ("sketch", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))], make)
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, radius: int = NEAR_RADIUS, least: float = SIMILARITY, seed: int = SEED, block: int = NEAR_BLOCK, most: int = SETS) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, radius: int = RADIUS, least: float = SIMILARITY, seed: int = SEED, leaf: int = LEAF, block: int = BLOCK, most: int = SETS) -> DataFrame:
     """docs with one row of each group of near duplicates: that with the smallest doc_id, and of several texts with that
     doc_id the one with the smallest hash.
 
-    Near duplicates have a similarity of `least` or more over their sets of shingles, computed from the sets. A pair is compared
-    if its fingerprints are within the radius and its sketches agree to `least` - SLACK. Null, empty and blank texts are one
-    group. A group whose doc_ids are all null keeps one row as well; of repeated rows one is kept.
+    Near duplicates have a similarity of `least` or more over their sets of shingles, computed from the sets. Pairs are
+    compared if candidate links join them. Null, empty and blank texts are one group. A group whose doc_ids are all null keeps
+    one row as well. Of rows with equal doc_id and text one is kept: where other columns differ, that with the smallest hash of
+    these as JSON. No rows give no rows.
     """
-    k, h = fresh(docs, "_kept_id"), fresh(docs, "_kept_hash")
+    k, h, tie = fresh(docs, "_kept_id"), fresh(docs, "_kept_hash"), fresh(docs, "_tie")
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("node"))
     # One row for each text: a text of many copies is hashed by many tasks, and its signature aggregated before the shuffle.
     signed = with_signature(read, "text", shingle, seed).drop("text")
-    distinct = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("sketch").alias("sketch")))
-    candidates = components(similar_links(distinct, radius, least, block))
+    distinct = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("fp", "size", "sketch", "bands"))))
+    candidates = components(candidate_links(distinct, radius, leaf, block))
     roots = components(exact_links(read, distinct, candidates, shingle, seed, least, most))
     rooted = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("z"), "least", "node")).alias("kept"))
     kept = kept.select(F.col("kept.least").alias(k), F.col("kept.node").alias(h))
-    own = docs.withColumn(h + "_", F.xxhash64(F.col(text))).withColumn(k + "_", F.col(doc_id))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
+    own = docs.withColumn(h + "_", F.xxhash64(F.col(text))).withColumn(k + "_", F.col(doc_id)).withColumn(tie, F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0))
     found = own.join(kept, own[k + "_"].eqNullSafe(kept[k]) & (own[h + "_"] == kept[h]))
-    return found.dropDuplicates([k + "_", h + "_"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return found.withColumn(tie, F.row_number().over(Window.partitionBy(k + "_", h + "_").orderBy(tie))).where(F.col(tie) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
