@@ -42,7 +42,6 @@ RATE = 0.05
 TABLE = 1 << 17
 LONGEST = 64  # bytes; a longer type goes by its digest, so that the table has at most 8 MB of text
 STEPS = 16  # buckets of the histogram for each doubling of a count
-REMEMBERED = 300_000  # types whose group a task remembers
 FLUSH = 400_000  # distinct types that a task counts before it passes them on
 END = b""
 CHUNK = 2048  # weights in a row of the averaging
@@ -57,18 +56,8 @@ def tokens(text: str | None) -> list[bytes]:
     return words
 
 
-class Classes(dict):
-    """The class of a token: that of a frequent type (the given entries), else its group."""
-
-    def __init__(self, own: dict[bytes, int], tail: int):
-        super().__init__(own)
-        self.tail = tail
-
-    def __missing__(self, word: bytes) -> int:
-        k = zlib.crc32(word[-SUFFIX:]) % self.tail
-        if len(self) < REMEMBERED:
-            self[word] = k
-        return k
+def group_of(word: bytes, tail: int) -> int:
+    return zlib.crc32(word[-SUFFIX:]) % tail
 
 
 def held_out(doc_id: Column) -> Column:
@@ -263,7 +252,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         n_of[r["k"]], v_of[r["k"]] = r["n"], r["v"]
     n_all, v_all = int(n_of.sum()), int(v_of.sum())
     for x in own:
-        k = zlib.crc32(x[-SUFFIX:]) % tail
+        k = group_of(x, tail)
         n_of[k], v_of[k] = n_of[k] - c_of[x], v_of[k] - 1
     weight = np.concatenate([n_of + 1, [c_of[x] for x in own]])
     share = weight / weight.sum()
@@ -276,7 +265,8 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         words = list(c_of)
         place, outside = {x: i for i, x in enumerate(words)}, len(words)
         value = np.append(np.log10(np.array([c_of[x] for x in words], np.float64) + 1), 0.0)
-        classes = Classes(known, tail)
+        kind = np.array([*(known.get(x, -1) for x in words), -1], np.int64)
+        kind[:-1] = np.where(kind[:-1] < 0, [group_of(x, tail) for x in words], kind[:-1])
         below = np.concatenate([below, np.zeros(len(known))])
 
         def run(texts: list) -> list[pa.Array]:
@@ -286,11 +276,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 own_words = tokens(text)
                 n = len(own_words)
                 at = np.fromiter(map(place.get, own_words, repeat(outside)), np.int64, n)
-                ids = np.fromiter(map(classes.__getitem__, own_words), np.int64, n)
+                ids, far = kind[at], np.flatnonzero(at == outside)
+                rare = Counter(own_words[i] for i in far.tolist())
+                ids[far] = [group_of(own_words[i], tail) for i in far.tolist()]
                 logs, grouped = value[at], ids < tail
-                far = np.flatnonzero(at == outside)
                 out.append((ids.astype("<u2").tobytes(), n, n - len(far), float(logs.sum()), float(logs[grouped].sum() - below[ids].sum())))
-                rest.append([{"token": k, "n": n} for k, n in Counter(own_words[i] for i in far.tolist()).items()])
+                rest.append([{"token": k, "n": n} for k, n in rare.items()])
             columns = list(zip(*out, strict=True)) or [()] * 5
             return [pa.array(x, t) for x, t in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)] + [pa.array(rest, arrow)]
 
@@ -298,7 +289,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     fields = [("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("in_table", T.LongType()), ("logs", T.DoubleType()), ("group_logs", T.DoubleType()), ("outside", rare_struct)]
     encoded = cut(append_columns(read, "text", fields, encode).drop("text"))
-    start_id = known.get(END, zlib.crc32(END) % tail)
+    start_id = known.get(END, group_of(END, tail))
     w = Weights.start(share, dim)
     for r in range(rounds if n_all else 0):
         w = Weights(len(share), dim, train_round(encoded.where(~F.col("held_out")), start_id, share, w.flat, dim, rate / (1 + r)))
