@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -15,14 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's spark.checkpoint.dir, or a new one where that is unset (tests)."""
+    """The folder all executors share: the session's spark.checkpoint.dir, or a new one where that is unset and the master is
+    local (tests)."""
     sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        found = sc.getCheckpointDir()
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(found)
+    if not sc.getCheckpointDir():
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 
@@ -33,6 +34,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+MOST_BROADCAST = 32 << 20  # bytes
+
+
+def small(df: DataFrame, row_bytes: int, most: int = MOST_BROADCAST) -> DataFrame | None:
+    """df, to be broadcast, if its rows (counted; df should be a checkpoint) of row_bytes each are no more than `most` bytes."""
+    return F.broadcast(df) if df.count() * row_bytes <= most else None
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """name, or name with underscores before it, so that no column of df has it."""
     taken = {c.lower() for c in df.columns}

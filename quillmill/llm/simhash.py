@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.common import append_columns, cut, fresh, table
+from quillmill.llm.common import append_columns, cut, fresh, small, table
 
 RADIUS = 4
 SHINGLE = 4
@@ -343,6 +343,7 @@ def exact_links(docs: DataFrame, distinct: DataFrame, groups: DataFrame, shingle
     bins = max(1, math.ceil((sizes.where(F.col("n") <= most).agg(F.sum("n")).first()[0] or 0) / most))
     hot = F.broadcast(sizes.where(F.col("n") > most).select("root", F.ceil(F.col("n") / most).cast("int").alias("parts")))  # few: each has over `most` hashes
     own, about = docs.withColumnRenamed("doc_id", "_id"), members.select("node", "least")
+    about = small(about, 16) or about  # few candidates are broadcast, so that no text is shuffled
     texts = own.join(about, "node").where(F.col("_id").eqNullSafe(F.col("least"))).select("node", "text")
 
     def make():
@@ -395,20 +396,26 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     one row as well. Of rows with equal doc_id and text one is kept: where other columns differ, that with the smallest hash of
     these as JSON. No rows give no rows.
     """
-    k, h, tie = fresh(docs, "_kept_id"), fresh(docs, "_kept_hash"), fresh(docs, "_tie")
+    k, h, tie, stays, open_ = (fresh(docs, x) for x in ("_kept_id", "_kept_hash", "_tie", "_stays", "_open"))
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("node"))
     # One row for each text: a text of many copies is hashed by many tasks, and its signature aggregated before the shuffle.
     signed = with_signature(read, "text", shingle, seed).drop("text")
-    distinct = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("fp", "size", "sketch", "bands"))))
+    distinct = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("fp", "size", "sketch", "bands"))))
     candidates = components(candidate_links(distinct, radius, leaf, block))
     roots = components(exact_links(read, distinct, candidates, shingle, seed, least, most))
     rooted = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("z"), "least", "node")).alias("kept"))
-    kept = kept.select(F.col("kept.least").alias(k), F.col("kept.node").alias(h))
+    kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("z"), "least", "node")).alias("kept")).select("kept.node", F.lit(True).alias("stays"))
+    # A verdict for each text that goes or has several rows; any other row stays.
+    several = F.col("n") > 1
+    verdict = cut(distinct.select("node", "least", "n").join(kept, "node", "left").where("stays IS NULL OR n > 1").select(F.col("node").alias(h), F.col("least").alias(k), (F.col("stays") & several).alias(stays)))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
-    own = docs.withColumn(h + "_", F.xxhash64(F.col(text))).withColumn(k + "_", F.col(doc_id)).withColumn(tie, F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0))
-    found = own.join(kept, own[k + "_"].eqNullSafe(kept[k]) & (own[h + "_"] == kept[h]))
-    return found.withColumn(tie, F.row_number().over(Window.partitionBy(k + "_", h + "_").orderBy(tie))).where(F.col(tie) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
+    own = docs.withColumn(tie, F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)).withColumn(h + "_", F.xxhash64(F.col(text)))
+    few = small(verdict, 17)
+    judged = own.join(verdict if few is None else few, own[h + "_"] == verdict[h], "left").withColumn(open_, F.col(h).isNull())
+    one = lambda df: df.where(F.col(open_) | (F.coalesce(F.col(stays), F.lit(False)) & F.col(doc_id).eqNullSafe(F.col(k)))).withColumn(tie, F.row_number().over(Window.partitionBy(h + "_", open_).orderBy(tie))).where(F.col(open_) | (F.col(tie) == 1))
+    # With a broadcast only rows of texts with several rows are shuffled; else the join has brought a text's rows together.
+    rows = one(judged) if few is None else judged.where(open_).unionByName(one(judged.where(~F.col(open_))))
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
