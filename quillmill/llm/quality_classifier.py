@@ -4,11 +4,16 @@ Two tasks, quality and toxicity, each with labellers of its own that vote or abs
 expectation-maximisation over the counts of vote patterns of all rows gives the labellers' accuracies and the posterior of
 each row. The posteriors, as soft labels, train a logistic scorer over hashed words and word shapes, on a sample of at most
 TRAIN_ROWS rows. The scorer rates every row; a row is kept if it is likely good and unlikely toxic.
+
+Two labellers of toxicity go by lists of English words and abstain where a text isn't English and has none of them. Two others go
+by terms (words and beginnings of words, in any language) that are far more common in toxic rows of a table of labels, if there
+is one: at most LABELLED of its rows are read, and at most TERMS terms kept.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,21 +28,45 @@ from quillmill.llm.weak import count_patterns, fit_votes
 
 BUCKETS = 1 << 15
 TRAIN_ROWS = 2_000  # rows each scorer is fitted on: the one bound of this operator
+LABELLED = 20_000  # labelled rows from which terms of toxicity are learned
+TERMS = 4_096
+TIMES = 15  # so many times as common in toxic rows as in others is a term
+SEEN = 4  # toxic rows that have it
 EPOCHS = 5
 RATE = 0.5
 QUALITY = ("words", "symbol_words", "letter_share", "repeated_windows", "repeated_lines", "shouting", "separators", "sentences", "word_lengths", "variety")
-TOXICITY = ("insult", "insults_dense", "abuse", "many_kinds")
+TOXICITY = ("insult", "insults_dense", "abuse", "many_kinds", "terms", "terms_dense")
 #: Common English insults, in two lists that overlap in use but not in words.
 INSULTS = frozenset(b"idiot idiots moron morons imbecile stupid dumb loser losers clown clowns fool fools jerk jerks dimwit halfwit".split())
 ABUSE = frozenset(b"trash garbage scum vermin filth filthy pathetic worthless disgusting despicable vile wretch hate loathe pig swine".split())
+#: The most common English words.
+ENGLISH = frozenset(b"the and of to in is that for it was".split())
 _edges = b".,;:!?\"'()[]{}*#$%&|<>"
 
 
-def labeller_votes(text: str | None) -> tuple[list[int], list[int]]:
+def features(word: bytes) -> set[bytes]:
+    """A word and its beginnings of 4 to 8 bytes."""
+    return {word, *(word[:n] for n in range(4, min(9, len(word))))}
+
+
+class Terms(dict):
+    """Whether a word has one of the terms among its features, remembered; forgets all when it has a million."""
+
+    def __init__(self, terms: frozenset[bytes]):
+        super().__init__()
+        self.terms = terms
+
+    def __missing__(self, word: bytes) -> bool:
+        if len(self) >= 1_000_000:
+            self.clear()
+        value = self[word] = not self.terms.isdisjoint(features(word))
+        return value
+
+
+def labeller_votes(text: str | None, terms: Terms) -> tuple[list[int], list[int]]:
     """The votes for quality (1 good) and for being free of toxicity (1 clean, -1 toxic)."""
     raw = text.encode("utf-8", "surrogatepass") if text else b""
     n, chars, symbols, dup, repeat, lines, ended, alpha, upper, letters, bars, distinct = measures(text)
-    words = raw.lower().split()
     v = lambda good, bad: 1 if good else -1 if bad else 0
     per, some = max(n, 1), n >= 20
     quality = [
@@ -45,13 +74,44 @@ def labeller_votes(text: str | None) -> tuple[list[int], list[int]]:
         v(some and repeat < 0.1 * per, repeat > 0.4 * per), v(lines >= 3 and not dup, lines >= 5 and dup > 0.3 * lines), v(letters >= 60 and upper < 0.15 * letters, letters >= 20 and upper > 0.5 * letters),
         v(some and not bars, bars > 0.1 * per), v(ended >= 2 and ended >= 0.6 * lines, lines >= 3 and ended < 0.2 * lines), v(some and 3 * per <= chars <= 9 * per, some and not 2 * per <= chars <= 14 * per), v(n >= 50 and distinct > 0.3 * per, n >= 50 and distinct < 0.1 * per),
     ]
-    found = [w for w in (x.strip(_edges) for x in words) if w in INSULTS or w in ABUSE] if words else []
+    words = [x.strip(_edges) for x in raw.lower().split()]
+    found = [w for w in words if w in INSULTS or w in ABUSE]
     a, b, kinds = sum(w in INSULTS for w in found), sum(w in ABUSE for w in found), len(set(found))
+    english = bool(found) or not n or 25 * sum(map(ENGLISH.__contains__, words)) >= n
     # A single hit can be a word of another language: it takes two, or a large share of a short text
-    toxicity = [v(not a, a >= 2), v(not found, len(found) > 0.01 * per and (len(found) >= 2 or n < 20)), v(not b, b >= 2), v(not kinds, kinds >= 2)]
+    toxicity = [v(not a and english, a >= 2), v(not found and english, len(found) > 0.01 * per and (len(found) >= 2 or n < 20)), v(not b and english, b >= 2), v(not kinds and english, kinds >= 2), 0, 0]
+    if terms.terms:
+        own = set(words)
+        hits = sum(map(terms.__getitem__, own))
+        toxicity[4:] = [v(not hits, hits >= 2), v(not hits, hits >= 2 and 50 * hits >= len(own))]
     return quality, toxicity
 
 
+def toxic_terms(read: DataFrame, labels: DataFrame | None, doc_id: str, toxic: str, labelled: int) -> frozenset[bytes]:
+    """The terms, from the `labelled` rows of labels with the smallest hashes of doc_id. Rows without a label count for nothing."""
+    if labels is None:
+        return frozenset()
+    some = labels.select(F.col(doc_id).alias("_id"), F.col(toxic).cast("int").alias("_toxic")).where("_id IS NOT NULL AND _toxic IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id", "_toxic").limit(labelled)
+    marked = read.join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("text", "_toxic")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms, toxic = [], []
+            for text, mark in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = {x.strip(_edges) for x in text.encode("utf-8", "surrogatepass").lower().split()} if text else set()
+                own = set().union(*map(features, words)) - {b""}
+                terms += [b"", *own]  # the empty term counts rows
+                toxic += [mark] * (len(own) + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array(toxic, pa.int32())], names=["term", "toxic"])
+
+    counts = cut(marked.mapInArrow(run, "term binary, toxic int").groupBy("term").agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") != 1).alias("good")))
+    rows = counts.where(F.octet_length("term") == 0).first()
+    if not rows or not rows["bad"]:
+        return frozenset()
+    often = F.col("bad") / rows["bad"] >= TIMES * (F.col("good") + 0.5) / max(1, rows["good"])
+    return frozenset(bytes(r["term"]) for r in counts.where((F.col("bad") >= SEEN) & often & (F.octet_length("term") > 0)).orderBy(F.desc("bad"), "term").limit(TERMS).collect())
+
+
 class Features(dict):
     """The bucket of a word, remembered; forgets all when it has a million."""
 
@@ -103,14 +163,15 @@ def train_scorer(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> np.ndarray
 
 
 def with_bags(df: DataFrame) -> DataFrame:
-    """df and the columns at and x, the bag of its column text, as little-endian int64 and float32."""
+    """df and the columns at and x, the bag of its column text, as little-endian uint16 and float16: the sample has at most
+    TRAIN_ROWS bags of BUCKETS entries for each task, 262 MB in all."""
 
     def make():
         words, shapes = Features(), Shapes()
 
         def run(texts: list) -> list[pa.Array]:
             bags = [bag(t, words, shapes) for t in texts]
-            return [pa.array([at.tobytes() for at, _ in bags], pa.binary()), pa.array([x.tobytes() for _, x in bags], pa.binary())]
+            return [pa.array([at.astype("<u2").tobytes() for at, _ in bags], pa.binary()), pa.array([x.astype("<f2").tobytes() for _, x in bags], pa.binary())]
 
         return run
 
@@ -124,23 +185,28 @@ def fit_task(read: DataFrame, posterior: DataFrame, task: str, train_rows: int)
     picked = F.broadcast(sides[0].unionByName(sides[1]))
     rows = with_bags(read.withColumn("hash", F.xxhash64("doc_id", "text")).join(picked, "hash")).drop("text").dropDuplicates(["hash"]).select("hash", "label", "at", "x").collect()
     rows.sort(key=lambda r: r["hash"])
-    return train_scorer([(np.frombuffer(r["at"], np.int64), np.frombuffer(r["x"], np.float32), r["label"]) for r in rows])
+    return train_scorer([(np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], "<f2").astype(np.float32), r["label"]) for r in rows])
 
 
-def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
+def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS, labels: DataFrame | None = None, toxic: str = "toxic", labelled: int = LABELLED) -> DataFrame:
     """(doc_id, quality_score, clean_score, quality_posterior, clean_posterior, kept) for each row of docs.
 
     Scores are the linear scorers' probabilities of good quality and of no toxicity, posteriors those of the vote models;
     kept asks that for both tasks the mean of their log-odds is not negative. Only the two named columns are read. A null,
     empty or blank text has no words: its votes call it bad. Repeated rows each return a row and count as often; a null
-    doc_id stays null; ties are kept; no rows give no rows. A scorer without any sure row answers one half.
+    doc_id stays null; ties are kept; no rows give no rows. A scorer without any sure row answers one half. Of labels only
+    doc_id and `toxic` (1 or not) are read, and no more than `labelled` rows.
     """
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     names = [f"q_{x}" for x in QUALITY] + [f"t_{x}" for x in TOXICITY]
 
+    terms = read.sparkSession.sparkContext.broadcast(toxic_terms(read, labels, doc_id, toxic, labelled))
+
     def vote_columns():
+        known = Terms(terms.value)
+
         def run(texts: list) -> list[pa.Array]:
-            votes = np.array([sum(labeller_votes(t), []) for t in texts], np.int32).reshape(-1, len(names))
+            votes = np.array([sum(labeller_votes(t, known), []) for t in texts], np.int32).reshape(-1, len(names))
             return [pa.array(votes[:, i]) for i in range(len(names))]
 
         return run
@@ -170,4 +236,4 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(table(spark, sf_dir, "documents"))
+    return classify(table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))

@@ -282,6 +282,26 @@ def test_op5_held_out(spark):
     assert {r["doc_id"]: r["kept"] for r in insulted}[1] is False
 
 
+def test_op5_by_language(spark):
+    """Terms are learned from one half of the labels; the other half has the toxic rows found and the others left alone."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_classifier.classify(docs, labels=labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    odds = lambda r: sum(math.log(max(r[x], 1e-9) / max(1 - r[x], 1e-9)) for x in ("clean_score", "clean_posterior"))
+    found = lambda lang: np.mean([odds(r) < 0 for r in rows if r["toxic"] and r["lang"] == lang])
+    assert [lang for lang in ("en", "de", "fr") if found(lang) < 0.85] == [] and np.mean([odds(r) < 0 for r in rows if not r["toxic"]]) < 0.02
+    assert np.mean([r["kept"] for r in rows if r["quality"] and not r["toxic"]]) > 0.95 and np.mean([r["kept"] for r in rows if not r["quality"] or r["toxic"]]) < 0.15
+
+
+def test_op5_terms(spark):
+    rows = [(k, f"{'grzimm grzork' if k % 4 == 0 else 'plain words'} number{k} and so on") for k in range(80)]
+    labels = spark.createDataFrame([*((k, 1 if k % 4 == 0 else 0) for k in range(80)), (None, 1), (3, None), (900, 1)], "doc_id long, toxic int")
+    read = odd(spark, rows).select("doc_id", "text")
+    assert quality_classifier.toxic_terms(read, labels, "doc_id", "toxic", 1000) == {b"grzimm", b"grzork", b"grzi", b"grzim", b"grzo", b"grzor"}
+    for none in (None, labels.limit(0)):
+        assert quality_classifier.toxic_terms(read, none, "doc_id", "toxic", 1000) == frozenset()
+
+
 def test_op6_splits(spark):
     body = "<p>equal payload</p>" * 80
     rows = [(1, "u", body), (2, None, body), (2, None, body), (None, "u\nv", body), (3, "x", None), (4, "x", ""), (5, "x", "short"), (6, "x", "short"), (7, "y", "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(4000)))]
