@@ -5,10 +5,11 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
+from quillmill.sources.shared import cut
 
 # Schemas as DDL, so that importing them needs no session.
 TURN = "struct<role:string,content:string,messages:array<string>>"
@@ -22,10 +23,17 @@ def read_strict(spark: SparkSession, paths: str | list[str], schema: str) -> Dat
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(source_file, source_line from 1, line) of the lines that are not blank. A file is read whole by one task, as line
-    numbers need; shards are written with a bounded number of rows."""
-    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("source_file"), F.posexplode(F.split("value", "\n")).alias("k", "line"))
-    return whole.where(F.trim("line") != "").select("source_file", (F.col("k") + 1).cast("long").alias("source_line"), "line")
+    """(source_file, source_line from 1, line) of the lines that are not blank, in files of any size.
+
+    Spark splits files into blocks and reads a block's lines in order, in one task; ids that grow by one from line to line give
+    the place in the block, and sums over the blocks before, of which there is one row each, the place in the file.
+    """
+    block = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")]
+    read = spark.read.option("lineSep", "\n").text(paths).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("source_file"), *block, F.monotonically_increasing_id().alias("_id"))
+    blocks = read.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut(blocks.select("_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    return read.join(starts, ["_path", "_block"]).where(F.trim("line") != "").select("source_file", (F.col("_start") + F.col("_id") - F.col("_first") + 1).alias("source_line"), "line")
 
 
 def read_lenient(spark: SparkSession, paths: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
@@ -37,8 +45,8 @@ def read_lenient(spark: SparkSession, paths: str | list[str], schema: str) -> tu
 
 
 def read_in_order(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """Several inputs as one, with input_ix, the place of the argument."""
-    parts = [spark.read.schema(schema).json(p).withColumn("input_ix", F.lit(k)) for k, p in enumerate(paths)]
+    """Several inputs as one, with input_ix, the place of the argument; a malformed line fails the job."""
+    parts = [read_strict(spark, p, schema).withColumn("input_ix", F.lit(k)) for k, p in enumerate(paths)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
@@ -49,10 +57,19 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_split(df: DataFrame, flag: str, accepted: str, rejected: str) -> None:
-    """Two outputs by a boolean column."""
-    write_jsonl(df.where(F.col(flag)), accepted)
-    write_jsonl(df.where(~F.coalesce(F.col(flag), F.lit(False))), rejected)
+def write_split(df: DataFrame, outputs: dict[str, Column], mode: str = "errorifexists") -> None:
+    """The rows that meet a condition go to its path; a row can go to several. df is computed once."""
+    df = cut(df)
+    for path, condition in outputs.items():
+        write_jsonl(df.where(condition), path, mode)
+
+
+def write_answers(judged: DataFrame, path: str) -> dict[str, str]:
+    """Three outputs of judged answers (ok, ...): all as they came, those kept and those rejected; returns their paths."""
+    paths = output_paths(path)
+    ok = F.coalesce(F.col("ok"), F.lit(False))
+    write_split(judged, {path: ok, paths["raw"]: F.lit(True), paths["answers_rejected"]: ~ok})
+    return {"kept": path, "raw": paths["raw"], "rejected": paths["answers_rejected"]}
 
 
 def output_paths(path: str) -> dict[str, str]:

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir, or a new one where that is unset (tests)."""
+    """The session's spark.checkpoint.dir, or a new one where that is unset and the master is local (tests)."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 

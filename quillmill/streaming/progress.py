@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,13 +19,48 @@ def follow(spark: SparkSession, folder: str, schema: T.StructType, include_error
     return rows if include_errors else rows.where("coalesce(error, '') = ''")
 
 
-def notices(events: DataFrame, every_rows: int, every_s: float, targets: str = "target") -> DataFrame:
+def follow_until(rows: DataFrame, out: str, state: str, need: int, every_s: float = 15.0, longest_s: float | None = None) -> int:
+    """Appends the streaming rows to the Parquet table `out`, until it has `need` rows; returns how many it has.
+
+    The stream looks for new files each every_s seconds. Its state is kept, so that a later call goes on where one ended, after
+    a loss or a stop, and takes no file twice; rows that were there before count. Too few rows after longest_s are an error.
+    """
+    spark, began = rows.sparkSession, time.monotonic()
+
+    def have() -> int:
+        try:
+            return spark.read.schema(rows.schema).parquet(out).count()
+        except AnalysisException:  # nothing written yet
+            return 0
+
+    query = rows.writeStream.format("parquet").option("checkpointLocation", state).trigger(processingTime=f"{max(1, round(every_s * 1000))} milliseconds").start(out)
+    try:
+        while (n := have()) < need:
+            if query.awaitTermination(min(every_s, 1.0)):  # raises what the stream failed of
+                break
+            if longest_s is not None and time.monotonic() - began > longest_s:
+                raise ValueError(f"{n} rows after {longest_s} seconds, {need} are needed")
+    finally:
+        query.stop()
+    return have()
+
+
+def notices(events: DataFrame, every_rows: int, every_s: float, targets: str = "target", timer: bool = True) -> DataFrame:
     """From rows (run_id, at double, ok boolean, target) the notices due, by state for each run: started, done once,
-    progress after every_rows, heartbeat after every_s with any growth."""
+    progress after every_rows, heartbeat after every_s with any growth. A timer gives the heartbeat where no further row comes
+    within every_s; without `timer` there is none, as a stream that is to end with its data (availableNow) needs. Rows of a run in one micro-batch are put in order in memory, so a source should bound its batches
+    (maxFilesPerTrigger)."""
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         n, last_n, last_at, started, done = state.get if state.exists else (0, 0, 0.0, False, False)
         out = []
+        if state.hasTimedOut:
+            if n > last_n:
+                last_n, last_at = n, last_at + every_s
+                out.append((key[0], "heartbeat", n, last_at))
+            state.update((n, last_n, last_at, started, done))
+            yield pd.DataFrame(out, columns=["run_id", "label", "successful", "at"])
+            return
         for at, ok, target in sorted((r.at, r.ok, r.target) for pdf in batches for r in pdf.itertuples()):
             n += bool(ok)
             due = "started" if not started else "done" if n >= target and not done else "progress" if n >= last_n + every_rows else "heartbeat" if n > last_n and at - last_at >= every_s else None
@@ -32,7 +69,9 @@ def notices(events: DataFrame, every_rows: int, every_s: float, targets: str = "
                 last_n, last_at = n, at
                 out.append((key[0], due, n, at))
         state.update((n, last_n, last_at, started, done))
+        if timer and n > last_n:
+            state.setTimeoutDuration(max(1, round(every_s * 1000)))
         yield pd.DataFrame(out, columns=["run_id", "label", "successful", "at"])
 
     rows = events.select("run_id", F.col("at").cast("double").alias("at"), "ok", F.col(targets).alias("target"))
-    return rows.groupBy("run_id").applyInPandasWithState(step, "run_id string, label string, successful long, at double", "n long, last_n long, last_at double, started boolean, done boolean", "append", "NoTimeout")
+    return rows.groupBy("run_id").applyInPandasWithState(step, "run_id string, label string, successful long, at double", "n long, last_n long, last_at double, started boolean, done boolean", "append", "ProcessingTimeTimeout" if timer else "NoTimeout")
