@@ -38,7 +38,7 @@ def split_words(c: Column) -> Column:
 
 def dedupe_key(c: Column) -> Column:
     """Lower case, single spaces, no quotes, no punctuation at the end."""
-    plain = F.regexp_replace(strip(F.lower(c)), r"(?U)\s+", " ")
+    plain = F.regexp_replace(F.translate(strip(F.lower(c)), BLANKS, " " * len(BLANKS)), " {2,}", " ")
     return F.rtrim(F.translate(plain, "\"'“”‘’", ""), F.lit("?.!,;:"))
 
 

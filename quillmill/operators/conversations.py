@@ -51,11 +51,11 @@ def split_by_audit(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return turns.join(bad, key == F.col("_bad"), "left_anti"), turns.join(bad, key == F.col("_bad"), "left_semi")
 
 
-def nested(turns: DataFrame, most: int) -> DataFrame:
-    """(conv_id, n_turns, turns): turns as an array in order, of the first `most` turns at most."""
+def nested(turns: DataFrame, most: int | None = None) -> DataFrame:
+    """(conv_id, n_turns, turns): turns as an array in order; with `most` (for rules that look no further) only the first."""
     in_order = Window.partitionBy("conv_id").orderBy("turn")
     n = turns.groupBy("conv_id").agg(F.count("*").alias("n_turns"))
-    head = turns.withColumn("_k", F.row_number().over(in_order)).where(F.col("_k") <= most)
+    head = turns.withColumn("_k", F.row_number().over(in_order)).where(F.lit(True) if most is None else F.col("_k") <= most)
     arrays = head.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(F.col("_k").alias("k"), "role", tx.clean_content(F.col("text")).alias("content")))).alias("turns"))
     return n.join(arrays, "conv_id")
 
@@ -135,9 +135,39 @@ def history(turns: Column) -> Column:
     return F.transform(turns, lambda t: F.struct(F.when(t["role"] == "assistant", "poke").otherwise("user").alias("role"), F.coalesce(t["content"], F.lit("")).alias("content")))
 
 
+def user_item(turns: str = "turns", **columns: str) -> Column:
+    """What the user's side of a conversation is asked with. Columns have the fields' names, or those given for them."""
+    field = lambda k: F.col(columns.get(k, k)).alias(k)
+    fields = [field(k) for k in ("id", "topic", "category", "scenario", "user_spec", "user_prompt_profile")]
+    return F.struct(*fields, (F.size(turns) == 0).alias("is_opener"), history(F.col(turns)).alias("history"))
+
+
+def reply_item(turns: str = "turns", **columns: str) -> Column:
+    """What the assistant's side is asked with."""
+    return F.struct(*(F.col(columns.get(k, k)).alias(k) for k in ("id", "topic", "category")), history(F.col(turns)).alias("history"))
+
+
+#: Fixed value: the fields of a stored conversation, in order.
+ROW_FIELDS = "id user category topic scenario user_spec user_prompt_profile turns poke_model user_model error total_prompt_tokens total_completion_tokens".split()
+
+
+def stored_row(df: DataFrame, poke_model: str, user_model: str) -> DataFrame:
+    """The fields of a stored conversation in their order; the models are those of the run, a field that df lacks is null."""
+    models = {"poke_model": F.lit(poke_model), "user_model": F.lit(user_model)}
+    return df.select(*(models.get(c, F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in ROW_FIELDS))
+
+
+def token_shares(batches: DataFrame, members: str, prompt: str, completion: str) -> DataFrame:
+    """(member, prompt_share, completion_share): a batch's tokens in even whole shares for its members; the rest is dropped."""
+    n = F.greatest(F.lit(1), F.size(members))
+    share = lambda c: F.floor(F.col(c) / n).cast("long")
+    each = batches.select(F.explode(members).alias("member"), share(prompt).alias("p"), share(completion).alias("c"))
+    return each.groupBy("member").agg(F.sum("p").alias("prompt_share"), F.sum("c").alias("completion_share"))
+
+
 def envelope(instruction: str, items: Column) -> Column:
     """The JSON text of a batch: an instruction and its items."""
-    return F.to_json(F.struct(F.lit(instruction).alias("instruction"), items.alias("items")))
+    return F.to_json(F.struct(F.lit(instruction).alias("instruction"), items.alias("items")), {"ignoreNullFields": "false"})
 
 
 def sums(turns: DataFrame) -> DataFrame:

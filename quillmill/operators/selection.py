@@ -12,25 +12,41 @@ from quillmill.functions import text as tx
 from quillmill.sources.shared import cut
 
 
+def digest(key: Column, df: DataFrame) -> Column:
+    """A text key as its SHA-256, any other as it is."""
+    return F.sha2(key, 256) if isinstance(df.select(key).schema[0].dataType, StringType) else key
+
+
 def first_wins(df: DataFrame, key: Column, ordinal: str) -> DataFrame:
     """The row with the smallest ordinal of each key: a grouped minimum (pre-aggregated before the shuffle, so that a hot
     key costs nothing) and a semi-join on the ordinal, which must be unique. Of a text only its SHA-256 is shuffled."""
-    if isinstance(df.select(key).schema[0].dataType, StringType):
-        key = F.sha2(key, 256)
-    least = df.groupBy(key.alias("_key")).agg(F.min(ordinal).alias("_least"))
+    least = df.groupBy(digest(key, df).alias("_key")).agg(F.min(ordinal).alias("_least"))
     return df.join(least.select("_least"), F.col(ordinal) == F.col("_least"), "left_semi")
 
 
-def dedupe_questions(docs: DataFrame, text: str, ordinal: str) -> DataFrame:
-    """docs with question and dedupe_key, the first of each key; empty questions go."""
-    rows = docs.withColumn("question", tx.first_set(F.col(text))).where("question <> ''").withColumn("dedupe_key", tx.dedupe_key(F.col("question")))
+def dedupe_questions(docs: DataFrame, text: str | list[str], ordinal: str) -> DataFrame:
+    """docs with question and dedupe_key, the first of each key; empty questions go. Of several columns the first that is set
+    is the question: `question, prompt` for a set of questions, `prompt, question` for a source of new ones."""
+    columns = [text] if isinstance(text, str) else text
+    rows = docs.withColumn("question", tx.first_set(*map(F.col, columns))).where("question <> ''").withColumn("dedupe_key", tx.dedupe_key(F.col("question")))
     return first_wins(rows, F.col("dedupe_key"), ordinal)
 
 
-def top_up(existing: DataFrame, source: DataFrame, ordinal: str, count: int | None = None) -> DataFrame:
-    """Rows of source (with dedupe_key) whose key is not among existing's, the first of each key, the first `count`."""
-    fresh = first_wins(source.where("dedupe_key <> ''").join(existing.select("dedupe_key").distinct(), "dedupe_key", "left_anti"), F.col("dedupe_key"), ordinal)
-    return fresh if count is None else fresh.orderBy(ordinal).limit(count)
+def top_up(existing: DataFrame, source: DataFrame, ordinal: str, count: int | None = None, exact: bool = False) -> DataFrame:
+    """Rows of source (with dedupe_key) whose key is not among existing's, the first of each key, the first `count`; with
+    `exact` fewer are an error.
+
+    Only (ordinal, digest of the key) goes through the anti-join and the grouped minimum; the rows themselves meet the chosen
+    ordinals once. An existing null key excludes nothing.
+    """
+    key = digest(F.col("dedupe_key"), source)
+    narrow = source.where("dedupe_key <> ''").select(F.col(ordinal).alias("_ordinal"), key.alias("_key"))
+    old = existing.select(key.alias("_key")).distinct()
+    least = narrow.join(old, "_key", "left_anti").groupBy("_key").agg(F.min("_ordinal").alias("_least")).select("_least")
+    if count is not None:
+        least = cut(least.orderBy("_least").limit(count))
+        least = at_least(least, count) if exact else least
+    return source.join(least, F.col(ordinal) == F.col("_least"), "left_semi")
 
 
 def at_least(df: DataFrame, n: int) -> DataFrame:
@@ -66,14 +82,18 @@ def quotas(limit: int, weights: dict) -> dict:
     return caps
 
 
-def stratified(df: DataFrame, stratum: str, caps: dict, limit: int, ordinal: str, key: str) -> DataFrame:
-    """The first rows of each stratum up to its cap, then, in order, first rows of ids not used until `limit`. The number of
-    strata is that of caps; a limited sort per stratum keeps no more than its cap in a task. df is computed once."""
+def stratified(df: DataFrame, stratum: str, caps: dict, limit: int, ordinal: str, key: str, exact: bool = False) -> DataFrame:
+    """The first rows of each stratum up to its cap, then, in order, first rows of ids not used until `limit`; with `exact` a
+    df of fewer rows is an error. Ranks come from `numbered`, so that a stratum of any size, under any cap, is spread over
+    tasks. A null id is an id as any other. df is computed once."""
     df = cut(df)
-    by = Window.partitionBy(stratum).orderBy(ordinal)
+    if exact:
+        at_least(df, limit)
     cap = F.coalesce(F.create_map(*(x for k, v in caps.items() for x in (F.lit(k), F.lit(v))))[F.col(stratum)], F.lit(0))
-    one = df.where(F.col(stratum).isin(list(caps))).withColumn("_k", F.row_number().over(by)).where((F.col("_k") <= max(caps.values())) & (F.col("_k") <= cap)).drop("_k").withColumn("selection_pass", F.lit(1))
-    rest = first_wins(df.join(one.select(key).distinct(), key, "left_anti"), F.col(key), ordinal)
+    ranked = numbered(df.where(F.col(stratum).isin(list(caps))), stratum, ordinal, "_k")
+    one = cut(ranked.where(F.col("_k") < cap).drop("_k").withColumn("selection_pass", F.lit(1)))
+    used = one.select(F.col(key).alias("_used")).distinct()
+    rest = first_wins(df.join(used, F.col(key).eqNullSafe(F.col("_used")), "left_anti"), F.col(key), ordinal)
     more = max(0, limit - one.count())
     return one.unionByName(rest.orderBy(ordinal).limit(more).withColumn("selection_pass", F.lit(2)))
 
@@ -85,10 +105,15 @@ def shard_plan(spark: SparkSession, total: int, shards: int, profiles: list[str]
     return spark.range(shards).select(F.col("id").alias("ix")).select("ix", profile.alias("profile"), (F.lit(share) + (F.col("ix") < extra).cast("int")).cast("long").alias("target"), (F.lit(seed) + F.col("ix")).alias("seed")).withColumn("name", F.format_string("shard_%04d_%s", "ix", "profile"))
 
 
+def draw(seed: int, ix: Column, axis: str) -> Column:
+    """A number below 2 ** 52 for a row and axis: the first 13 hex digits of an MD5."""
+    return F.conv(F.left(F.md5(F.concat_ws("|", F.lit(str(seed)), ix.cast("string"), F.lit(axis)).cast("binary")), F.lit(13)), 16, 10).cast("long")
+
+
 def weighted_draw(seed: int, ix: Column, axis: str, weights: dict[str, float]) -> Column:
     """A category by weight from a hash of (seed, ix, axis): the same for the same row on any cluster; zero weights never."""
     total, below = sum(weights.values()), 0.0
-    unit = F.pmod(F.xxhash64(F.lit(seed), ix, F.lit(axis)), F.lit(1 << 53)) / float(1 << 53)
+    unit = draw(seed, ix, axis) / float(1 << 52)
     out = None
     for k, w in weights.items():
         if w > 0:
@@ -99,7 +124,7 @@ def weighted_draw(seed: int, ix: Column, axis: str, weights: dict[str, float]) -
 
 def uniform_draws(seed: int, ix: Column, axes: dict[str, list[str]]) -> Column:
     """A map with one value for each axis, each drawn alone and all values alike."""
-    pick = lambda axis, values: F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.xxhash64(F.lit(seed), ix, F.lit(axis)), F.lit(len(values))) + 1).cast("int"))
+    pick = lambda axis, values: F.element_at(F.array(*map(F.lit, values)), (draw(seed, ix, axis) % len(values) + 1).cast("int"))
     return F.create_map(*(x for axis, values in axes.items() for x in (F.lit(axis), pick(axis, values))))
 
 
@@ -134,23 +159,35 @@ def fixed_batches(df: DataFrame, size: int, ordinal: str, part: str) -> DataFram
     return rows.withColumns({"batch": F.floor(F.col("_place") / size).cast("long"), "local_id": (F.col("_place") % size).cast("long")}).drop("_place")
 
 
-def next_fit(df: DataFrame, part: str, ordinal: str, cost: str, most_items: int, budget: int, envelope: int = 0, between: int = 2) -> DataFrame:
-    """df with batch: items join the open batch in order until one more would make it too many or too dear; an item over the
-    budget is a batch of its own. The fold is state over an ordered group, so it is written as grouped pandas; groups are the
-    caller's shards, which bound them."""
+def next_fit(df: DataFrame, part: str, ordinal: str, cost: str, most_items: int, budget: int, envelope: int = 0, between: int = 2, per: int = 1, before: int = 0, output_each: int = 0, output_budget: int = 0) -> DataFrame:
+    """df with batch: items join the open batch in order until one more would make it too many or too dear; an item over a
+    budget is a batch of its own.
+
+    The costs of a batch add up with an envelope and what stands between two items; `per` units (characters, say) are a token
+    of the budget, on top of `before` tokens. Each item has output_each tokens of another budget. The fold is state over an
+    ordered group, so it is written as grouped pandas, in one task for each part: parts are the caller's shards, which bound
+    them (`fixed_batches` first, if they don't).
+    """
     from pyspark.sql import types as T
 
     schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
+    most = min(most_items, output_budget // output_each) if output_each else most_items
 
     def fold(pdf):
         pdf = pdf.sort_values(ordinal, kind="stable")
         out, batch, items, used = [], 0, 0, envelope
         for c in pdf[cost].tolist():
             more = c + (between if items else 0)
-            if items and (items + 1 > most_items or used + more > budget):
+            tokens = used + more if per == 1 else before + max(1, math.ceil((used + more) / per))
+            if items and (items + 1 > most or tokens > budget):
                 batch, items, used, more = batch + 1, 0, envelope, c
             items, used = items + 1, used + more
             out.append(batch)
         return pdf.assign(batch=out)
 
     return df.groupBy(part).applyInPandas(fold, schema)
+
+
+def rows_from(df: DataFrame, ordinal: str, start: int, n: int) -> DataFrame:
+    """The n rows from the start-th (from 0) on, in order."""
+    return df.orderBy(ordinal).offset(start).limit(n)

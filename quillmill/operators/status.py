@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +34,26 @@ def histogram(df: DataFrame, column: str, ordinal: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n"), F.min(ordinal).alias("first_seen")).orderBy(F.desc("n"), "first_seen")
 
 
-def profile(df: DataFrame, text: str) -> DataFrame:
-    """Rows, mean words, and how many have a question mark."""
-    n_words = F.size(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
-    return df.agg(F.count("*").alias("rows"), F.avg(n_words).alias("mean_words"), F.count_if(F.contains(F.col(text), F.lit("?"))).alias("with_question_mark"))
+def n_words(c: Column) -> Column:
+    return F.size(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+
+
+def profile(df: DataFrame, text: str, answer: str | None = None) -> DataFrame:
+    """Rows, mean words (of the answers too, if there are any), and how many texts have a question mark."""
+    means = [F.avg(n_words(F.col(text))).alias("mean_words"), *([F.avg(n_words(F.col(answer))).alias("mean_answer_words")] if answer else [])]
+    return df.agg(F.count("*").alias("rows"), *means, F.count_if(F.contains(F.col(text), F.lit("?"))).alias("with_question_mark"))
+
+
+def common_starts(df: DataFrame, text: str, words: int, most: int) -> DataFrame:
+    """(start, n): the `most` most common beginnings of so many words, in lower case; ties in the order of the letters."""
+    first = F.slice(F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, words)
+    starts = df.select(first.alias("w")).where(F.size("w") == words).groupBy(F.array_join("w", " ").alias("start")).agg(F.count("*").alias("n"))
+    return starts.orderBy(F.desc("n"), "start").limit(most)
+
+
+def combinations(axes: dict[str, list]) -> int:
+    """How many rows can be drawn that differ."""
+    return math.prod(len(set(v)) for v in axes.values())
 
 
 def dedupe_counters(df: DataFrame, kept: DataFrame) -> DataFrame:
@@ -53,11 +71,6 @@ def length_bands(df: DataFrame, text: str, bounds: list[int]) -> DataFrame:
     return df.groupBy(band.alias("band")).agg(F.count("*").alias("n"))
 
 
-def notification(successful: Column, target: Column, now: Column, last_rows: Column, last_at: Column, started: Column, done: Column, every_rows: int, every_s: float) -> Column:
-    """Which notice is due: the first call's, the end's, progress, a heartbeat, or none."""
-    return F.when(~started, "started").when((successful >= target) & ~done, "done").when(successful >= last_rows + every_rows, "progress").when((successful > last_rows) & (now - last_at >= every_s), "heartbeat")
-
-
 def notice_text(label: Column, successful: Column, target: Column, rows: Column, errors: Column, shards: Column) -> Column:
     share = 100.0 * successful / F.greatest(F.lit(1), target)
     return F.format_string("%s: %d/%d (%.1f%%), rows=%d, errors=%d, shards_seen=%d", label, successful, target, share, rows, errors, shards)

@@ -102,7 +102,7 @@ def a1_histogram(spark, sf_dir):
 
 
 def a12_profile(spark, sf_dir):
-    return status.profile(read(spark, sf_dir, "documents"), "text")
+    return status.profile(read(spark, sf_dir, "documents"), "text", "lang")
 
 
 def a11_review_counts(spark, sf_dir):
@@ -135,7 +135,7 @@ FROM (SELECT conv_id, turn, a, list_filter([{cs.listed(answers.BAD_BITS)}], lamb
     "f4_significant_tokens": f"SELECT doc_id, len({cs.significant("coalesce(text, '')")}) AS n_tokens, len({cs.echo_words(cs.words("coalesce(text, '')"))}) AS n_echo_words FROM documents",
     "f19_estimate_tokens": "SELECT doc_id, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS tokens FROM documents",
     "a1_histogram": "SELECT source, count(*) AS n, min(doc_id) AS first_seen FROM documents GROUP BY source",
-    "a12_profile": "SELECT count(*) AS rows, avg(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_words, count(*) FILTER (WHERE contains(text, '?')) AS with_question_mark FROM documents",
+    "a12_profile": "SELECT count(*) AS rows, avg(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_words, avg(len(regexp_extract_all(coalesce(lang, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_answer_words, count(*) FILTER (WHERE contains(text, '?')) AS with_question_mark FROM documents",
     "a11_review_counts": "SELECT coalesce(CASE WHEN quality = 1 THEN 'accept' WHEN quality IS NOT NULL THEN 'reject' END, 'absent') AS decision, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1",
     "w7_shard_plan": "SELECT ix, profile, 50000 // 48 + (ix < 50000 % 48)::BIGINT AS target, 1000 + ix AS seed, format('shard_{:04d}_{}', ix, profile) AS name FROM (SELECT ix, ['casual', 'curious', 'terse', 'warm', 'dry'][ix % 5 + 1] AS profile FROM range(48) t(ix))",
 }

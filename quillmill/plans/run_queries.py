@@ -16,6 +16,10 @@ from quillmill.sources import jsonl, shared
 from quillmill.streaming import progress
 
 SCENARIOS = {"en": "at the station", "de": "in the kitchen", "fr": "on the way home"}
+LANGUAGES = {"en": 0.3, "de": 0.3, "fr": 0.25, "es": 0.15}
+PLAN = {"work": 0.5, "home": 0.3, "travel": 0.2, "never": 0.0}
+REPLIES = {"2": 0.2, "3": 0.3, "4": 0.3, "5": 0.2}
+AXES = {"mood": ["calm", "rushed"], "style": ["plain", "odd", "short"]}
 ORDINAL = "conv_id * 1000000 + turn"  # of a turn among all turns
 
 
@@ -83,18 +87,45 @@ def p6_reply_problems(spark, sf_dir):
     return seen.where("role = 'assistant'").select("conv_id", "turn", echo.reply_problem(F.col("text"), F.col("_echo"), F.col("user_text").isNotNull()).alias("problem"))
 
 
+def trajectories(spark, sf_dir):
+    """Whole conversations with the fields of a run; topics and the like are made from the id."""
+    rows = conversations.nested(read(spark, sf_dir, "conversations"))
+    c = F.col("conv_id")
+    return rows.select("conv_id", c.cast("string").alias("id"), F.concat(F.lit("topic "), c % 7).alias("topic"), F.lit("chat").alias("category"), F.lit(None).cast("string").alias("scenario"), F.create_map(F.lit("mood"), F.concat(F.lit("m"), c % 3)).alias("user_spec"), F.lit("casual").alias("user_prompt_profile"), "turns")
+
+
 def p3_user_items(spark, sf_dir):
-    rows = conversations.nested(read(spark, sf_dir, "conversations"), 14)
-    item = F.struct(F.col("conv_id").cast("string").alias("id"), (F.size("turns") == 0).alias("is_opener"), conversations.history(F.col("turns")).alias("history"))
-    return rows.select("conv_id", conversations.envelope("Write the next text.", F.array(item)).alias("payload"))
+    return trajectories(spark, sf_dir).select("conv_id", conversations.envelope("Write the next text.", F.array(conversations.user_item())).alias("payload"))
+
+
+def p3_reply_items(spark, sf_dir):
+    return trajectories(spark, sf_dir).select("conv_id", conversations.envelope("Answer each.", F.array(conversations.reply_item())).alias("payload"))
+
+
+def p4_stored_rows(spark, sf_dir):
+    rows = conversations.stored_row(trajectories(spark, sf_dir).withColumn("turns", F.size("turns")), "model-a", "model-b")
+    return rows.select("id", F.to_json(F.struct(*(c for c in rows.columns if c != "user_spec")), {"ignoreNullFields": "false"}).alias("row"))
 
 
 def k6_pretty(spark, sf_dir):
     none = F.lit(None).cast("string")
-    rows = conversations.nested(read(spark, sf_dir, "conversations"), 14)
+    rows = conversations.nested(read(spark, sf_dir, "conversations"))
     return rows.select("conv_id", jsonl.pretty(F.col("conv_id"), F.lit("conversations"), none, none, none, none, F.col("turns")).alias("shown"))
 
 
+def c3_token_shares(spark, sf_dir):
+    """Batches of eight conversations, whose tokens are shared evenly."""
+    batch = read(spark, sf_dir, "conversations").groupBy(F.floor(F.col("conv_id") / 8).alias("b")).agg(F.collect_set("conv_id").alias("members"), F.sum(F.length(F.coalesce("text", F.lit("")))).alias("p"), F.count("*").alias("c"))
+    return conversations.token_shares(batch, "members", "p", "c")
+
+
+def c4_pack_batches(spark, sf_dir):
+    """Items by the length of their JSON, under bounds of items, of prompt tokens and of reply tokens."""
+    said = F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.length(F.to_json(said)).alias("cost"))
+    return selection.next_fit(rows, "conv_id", "turn", "cost", 6, 500, envelope=40, between=1, per=4, before=100, output_each=50, output_budget=260).select("conv_id", "turn", "batch")
+
+
 def raw_answers(spark, sf_dir):
     turns = conversations.with_previous_user(read(spark, sf_dir, "conversations")).where("role = 'assistant'")
     return turns.select("conv_id", "turn", F.expr(ORDINAL).alias("ordinal"), "user_text", "text")
@@ -108,6 +139,72 @@ def w8_refilter_first_20(spark, sf_dir):
     return answers.refilter(raw_answers(spark, sf_dir), "user_text", "text", "ordinal", 20).select("conv_id", "turn", "reason", "ok")
 
 
+def p8_unfiltered(spark, sf_dir):
+    kept, rejected = answers.split_answers(read(spark, sf_dir, "conversations").where("role = 'assistant'"), "text", filtered=False)
+    return kept.unionByName(rejected).select("conv_id", "turn", "ok", "reason")
+
+
+def k3_split_answers(spark, sf_dir):
+    """Judged answers in three outputs, read back."""
+    kept, rejected = answers.split_answers(read(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", "text"), "text")
+    paths = jsonl.write_answers(kept.unionByName(rejected), shared.folder(spark, "answers") + "/out.jsonl")
+    parts = [jsonl.read_strict(spark, path, "conv_id bigint, turn bigint, reason string").withColumn("output", F.lit(name)) for name, path in paths.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def s4_numbered_lines(spark, sf_dir):
+    """Two files, each in order, of which every ninth line is blank; lines with their file's folder and number."""
+    folder, out = shared.folder(spark, "numbered"), []
+    for role in ("user", "assistant"):
+        line = F.when(F.col("turn") % 9 == 4, "").otherwise(F.concat_ws(":", "conv_id", "turn"))
+        said = read(spark, sf_dir, "conversations").where(F.col("role") == role).repartition(1).sortWithinPartitions("conv_id", "turn")
+        said.select(line.alias("value")).write.text(f"{folder}/{role}")
+        out.append(jsonl.lines(spark, f"{folder}/{role}").select(F.lit(role).alias("role"), F.left("source_file", F.lit(10)).alias("file"), "source_line", "line"))
+    return out[0].unionByName(out[1])
+
+
+def s6_in_order(spark, sf_dir):
+    """Inputs that have a conversation in common; of each the first input wins."""
+    folder = shared.folder(spark, "inputs")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn")
+    for k in (2, 3, 5):
+        jsonl.write_jsonl(turns.where(F.col("conv_id") % k == 0), f"{folder}/{k}")
+    rows = jsonl.read_in_order(spark, [f"{folder}/{k}" for k in (5, 2, 3)], "conv_id bigint, turn bigint")
+    return rows.groupBy("conv_id", "turn").agg(F.min("input_ix").cast("long").alias("first_input"), F.count("*").alias("n"))
+
+
+def p1_question_orders(spark, sf_dir):
+    """Two columns, either of which can be empty, read in either order."""
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 4 > 0, F.left("text", F.lit(60))).alias("question"), F.when(F.col("doc_id") % 3 > 0, F.right("text", F.lit(60))).otherwise("").alias("prompt"))
+    both = [selection.dedupe_questions(rows, order, "doc_id").select("doc_id", "dedupe_key", F.lit(k).alias("order_ix")) for k, order in enumerate((["question", "prompt"], ["prompt", "question"]))]
+    return both[0].unionByName(both[1])
+
+
+def w5_by_language(spark, sf_dir):
+    """A selection of 10,000 with caps of up to 3,000, as an export has them."""
+    rows = read(spark, sf_dir, "documents").select("doc_id", "lang")
+    return selection.stratified(rows, "lang", selection.quotas(10_000, LANGUAGES), 10_000, "doc_id", "doc_id")
+
+
+def w9_slice(spark, sf_dir):
+    return selection.rows_from(read(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 20, 30)
+
+
+def a12_common_starts(spark, sf_dir):
+    return status.common_starts(read(spark, sf_dir, "conversations"), "text", 2, 25)
+
+
+def t1_follow_until(spark, sf_dir):
+    """Rows that land are followed until all clean ones are there."""
+    folder = shared.folder(spark, "until")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 5 == 2, "failed").alias("error"))
+    jsonl.write_jsonl(turns, f"{folder}/in")
+    schema = "conv_id bigint, turn bigint, error string"
+    need = turns.where("error IS NULL").count()
+    progress.follow_until(progress.follow(spark, f"{folder}/in", schema), f"{folder}/out", f"{folder}/state", need, 0.5, 300)
+    return spark.read.schema(schema).parquet(f"{folder}/out").select("conv_id", "turn")
+
+
 def run_rows(spark, sf_dir):
     """Rows of a run: id, error, shard and ordinal; a third of the documents have an id in common with the one before."""
     error = F.when(F.col("doc_id") % 11 == 0, "failed").otherwise("")
@@ -165,8 +262,8 @@ def f24_progress(spark, sf_dir):
 
 
 def w13_plan_rows(spark, sf_dir):
-    rows = selection.plan_rows(spark, 10_000, 7, {"work": 0.5, "home": 0.3, "travel": 0.2, "never": 0.0}, {"2": 0.2, "3": 0.3, "4": 0.3, "5": 0.2})
-    spec = selection.uniform_draws(7, F.col("id"), {"mood": ["calm", "rushed"], "style": ["plain", "odd", "short"]})
+    rows = selection.plan_rows(spark, 10_000, 7, PLAN, REPLIES)
+    spec = selection.uniform_draws(7, F.col("id"), AXES)
     return rows.withColumn("user", tx.user_label(spec))
 
 
@@ -207,6 +304,8 @@ QUERIES = {
         f2_words, f8_shared_runs, f13_clean_answers, f15_batch_answers, f16_batch_replies, f17_questions, f18_messages, f21_user_labels, f24_progress, p3_user_items, p5_flags, p6_reply_problems, k6_pretty,
         w2_refilter, w8_refilter_first_20, j2_pending, w3_combine, a4_shard_status, a5_run_totals, a6_notifier_status, a8_dedupe_counters, a9_conversation_sums, w15_length_bands, j8_scenarios, w13_plan_rows,
         w14_job_grid, k1_jsonl_round_trip, s2_lenient_scan, t3_follow,
+        p3_reply_items, p4_stored_rows, c3_token_shares, c4_pack_batches, p8_unfiltered, k3_split_answers, s4_numbered_lines, s6_in_order, p1_question_orders, w5_by_language, w9_slice, a12_common_starts,
+        t1_follow_until,
     )
 }
 
@@ -223,6 +322,27 @@ z AS (SELECT *, list_filter([{cs.listed(answers.BAD_BITS)}], lambda b: contains(
 y AS (SELECT conv_id, turn, {_ANSWER} AS reason FROM z),
 x AS (SELECT *, reason = 'ok' AS ok, count(*) FILTER (WHERE reason = 'ok') OVER (ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM y)"""
 _HEAD = f"WITH k AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, {cs.strip("replace(coalesce(text, ''), '\\n', chr(10))")} AS c FROM conversations)"
+_HISTORY = "list({role: CASE WHEN role = 'assistant' THEN 'poke' ELSE 'user' END, content: c} ORDER BY k)"
+_FULL = "f.items + 1 > 5 OR 100 + greatest(1, CAST(ceil((f.used + r.cost + 1) / 4) AS BIGINT)) > 500"
+
+
+def _draw(axis: str, ix: str = "i") -> str:
+    return f"('0x' || left(md5('7|' || {ix} || '|{axis}'), 13))::BIGINT"
+
+
+def _drawn(axis: str, weights: dict[str, float]) -> str:
+    below, cases = 0.0, []
+    for k, w in weights.items():
+        if w > 0:
+            below += w / sum(weights.values())
+            cases.append(f"WHEN {_draw(axis)} / 4503599627370496.0::DOUBLE < {below!r}::DOUBLE THEN '{k}'")
+    return f"CASE {' '.join(cases)} ELSE '{[k for k, w in weights.items() if w > 0][-1]}' END"
+
+
+def _picked(axis: str) -> str:
+    return f"[{cs.listed(AXES[axis])}][{_draw(axis, "format('pilot-7-{:05d}', i)")} % {len(AXES[axis])} + 1]"
+
+
 _LEFT = "(CASE WHEN completed > 0 THEN (total - completed) * 90.0 / completed ELSE 0 END)"
 ORACLE_SQL = {
     "f2_words": f"SELECT doc_id, len({cs.words("coalesce(text, '')")}) AS n_words, len({_KEPT}) AS n_words_kept, len(list_distinct(list_filter({_KEPT}, lambda w: len(w) > 2 AND w NOT IN ({cs.listed(tx.CONTENT_STOPWORDS)})))) AS n_content FROM documents",
@@ -240,11 +360,41 @@ SELECT conv_id, turn, unnest(range(len(parts))) AS k, unnest(parts) AS message F
 e AS (SELECT *, CAST(floor({_LEFT}) AS BIGINT) AS s FROM b)
 SELECT source, total, completed, round(100.0 * completed / total, 6)::DOUBLE AS pct, CASE WHEN s < 60 THEN format('{{}}s', s) WHEN s < 3600 THEN format('{{}}m{{:02d}}s', s // 60, s % 60) ELSE format('{{}}h{{:02d}}m', s // 3600, s % 3600 // 60) END AS eta FROM e""",
     "p3_user_items": f"""{_HEAD}
-SELECT conv_id, to_json({{instruction: 'Write the next text.', items: [{{id: conv_id::VARCHAR, is_opener: false, history: list({{role: CASE WHEN role = 'assistant' THEN 'poke' ELSE 'user' END, content: c}} ORDER BY k)}}]}})::VARCHAR AS payload FROM k WHERE k <= 14 GROUP BY conv_id""",
+SELECT conv_id, to_json({{instruction: 'Write the next text.', items: [{{id: conv_id::VARCHAR, topic: 'topic ' || conv_id % 7, category: 'chat', scenario: NULL::VARCHAR, user_spec: MAP {{'mood': 'm' || conv_id % 3}},
+  user_prompt_profile: 'casual', is_opener: false, history: {_HISTORY}}}]}})::VARCHAR AS payload FROM k GROUP BY conv_id""",
+    "p3_reply_items": f"""{_HEAD}
+SELECT conv_id, to_json({{instruction: 'Answer each.', items: [{{id: conv_id::VARCHAR, topic: 'topic ' || conv_id % 7, category: 'chat', history: {_HISTORY}}}]}})::VARCHAR AS payload FROM k GROUP BY conv_id""",
+    "p4_stored_rows": """SELECT conv_id::VARCHAR AS id, to_json({id: conv_id::VARCHAR, user: NULL::VARCHAR, category: 'chat', topic: 'topic ' || conv_id % 7, scenario: NULL::VARCHAR, user_prompt_profile: 'casual', turns: count(*),
+  poke_model: 'model-a', user_model: 'model-b', error: NULL::VARCHAR, total_prompt_tokens: NULL::VARCHAR, total_completion_tokens: NULL::VARCHAR})::VARCHAR AS row FROM conversations GROUP BY conv_id""",
+    "c3_token_shares": """WITH b AS (SELECT conv_id // 8 AS b, count(DISTINCT conv_id) AS n, sum(len(coalesce(text, ''))) AS p, count(*) AS c FROM conversations GROUP BY 1)
+SELECT member, (p // n)::BIGINT AS prompt_share, (c // n)::BIGINT AS completion_share FROM (SELECT DISTINCT conv_id AS member FROM conversations) m JOIN b ON b.b = member // 8""",
+    "c4_pack_batches": f"""WITH RECURSIVE r AS (SELECT conv_id, turn, len(to_json({{turn: turn, text: coalesce(text, '')}})::VARCHAR) AS cost, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
+f AS (SELECT conv_id, turn, k, 1 AS items, 40 + cost AS used, CAST(0 AS BIGINT) AS batch FROM r WHERE k = 1
+UNION ALL SELECT r.conv_id, r.turn, r.k, CASE WHEN {_FULL} THEN 1 ELSE f.items + 1 END, CASE WHEN {_FULL} THEN 40 + r.cost ELSE f.used + r.cost + 1 END, CASE WHEN {_FULL} THEN f.batch + 1 ELSE f.batch END
+FROM f JOIN r ON r.conv_id = f.conv_id AND r.k = f.k + 1)
+SELECT conv_id, turn, batch FROM f""",
+    "p8_unfiltered": f"SELECT conv_id, turn, {cs.strip("coalesce(text, '')")} <> '' AS ok, CASE WHEN {cs.strip("coalesce(text, '')")} = '' THEN 'empty' ELSE 'unfiltered' END AS reason FROM conversations WHERE role = 'assistant'",
+    "k3_split_answers": f"""WITH z AS (SELECT conv_id, turn, a, list_filter([{cs.listed(answers.BAD_BITS)}], lambda b: contains(a, b))[1] AS bit FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS a FROM conversations WHERE role = 'assistant')),
+y AS (SELECT conv_id, turn, {_ANSWER} AS reason FROM z)
+SELECT conv_id, turn, reason, 'raw' AS output FROM y UNION ALL SELECT conv_id, turn, reason, CASE WHEN reason = 'ok' THEN 'kept' ELSE 'rejected' END FROM y""",
+    "s4_numbered_lines": "SELECT role, 'part-00000' AS file, source_line, line FROM (SELECT role, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS source_line, turn, conv_id || ':' || turn AS line FROM conversations WHERE role IN ('user', 'assistant')) WHERE turn % 9 <> 4",
+    "s6_in_order": "SELECT conv_id, turn, min(k) AS first_input, count(*) AS n FROM (SELECT conv_id, turn, unnest(list_filter([0, 1, 2], lambda i: conv_id % [5, 2, 3][i + 1] = 0)) AS k FROM conversations) GROUP BY ALL",
+    "p1_question_orders": f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN left(text, 60) END AS question, CASE WHEN doc_id % 3 > 0 THEN right(text, 60) ELSE '' END AS prompt FROM documents),
+q AS (SELECT doc_id, 0 AS order_ix, coalesce(nullif(question, ''), nullif(prompt, ''), '') AS text FROM r UNION ALL SELECT doc_id, 1, coalesce(nullif(prompt, ''), nullif(question, ''), '') FROM r)
+SELECT min(doc_id) AS doc_id, {cs.KEY} AS dedupe_key, order_ix FROM q WHERE {cs.strip("text")} <> '' GROUP BY 2, 3""",
+    "w5_by_language": f"""WITH caps(lang, cap) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in selection.quotas(10_000, LANGUAGES).items())}),
+one AS (SELECT doc_id, lang FROM (SELECT doc_id, lang, cap, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS i FROM documents JOIN caps USING (lang)) WHERE i <= cap),
+two AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS i FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM one))
+SELECT doc_id, lang, 1 AS selection_pass FROM one UNION ALL SELECT doc_id, lang, 2 FROM two WHERE i <= 10000 - (SELECT count(*) FROM one)""",
+    "w9_slice": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 30 OFFSET 20",
+    "a12_common_starts": "SELECT start, count(*) AS n FROM (SELECT array_to_string(w[1:2], ' ') AS start FROM (SELECT regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w FROM conversations) WHERE len(w) >= 2) GROUP BY start ORDER BY n DESC, start LIMIT 25",
+    "t1_follow_until": "SELECT conv_id, turn FROM conversations WHERE turn % 5 <> 2",
+    "w13_plan_rows": f"""SELECT format('pilot-7-{{:05d}}', i) AS id, {_drawn("category", PLAN)} AS category, CAST({_drawn("replies", REPLIES)} AS INT) AS target_replies,
+  'user_' || left(sha1('{{"mood": "' || {_picked("mood")} || '", "style": "' || {_picked("style")} || '"}}'), 10) AS user FROM range(10000) t(i)""",
     "p5_flags": f"SELECT conv_id, turn, upper({cs.strip("coalesce(text, '')")}) IN ({cs.listed(tx.END_SENTINELS)}) AS is_end, {cs.contains_any("lower(coalesce(text, ''))", conversations.IDENTITY_LEAKS)} AS identity_leak, {cs.contains_any("lower(coalesce(text, ''))", conversations.TRANSCRIPT_META)} AS transcript_meta, contains(coalesce(text, ''), 'User:') AS has_user, contains(coalesce(text, ''), 'Assistant:') AS has_assistant, {cs.strip("coalesce(text, '')")} = '' AS is_empty FROM conversations",
     "p6_reply_problems": cs.REPLAY[: cs.REPLAY.index(",\nn AS")] + " SELECT conv_id, turn, bad AS problem FROM b WHERE role = 'assistant'",
     "k6_pretty": f"""{_HEAD}
-SELECT conv_id, repeat('=', 100) || chr(10) || 'id=' || conv_id || '  file=conversations  category=None  profile=None' || chr(10) || repeat('-', 100) || chr(10) || string_agg(chr(10) || CASE WHEN role = 'assistant' THEN 'POKE' ELSE 'USER' END || ':' || chr(10) || CASE WHEN c = '' THEN '[empty]' ELSE c END, chr(10) ORDER BY k) AS shown FROM k WHERE k <= 14 GROUP BY conv_id""",
+SELECT conv_id, repeat('=', 100) || chr(10) || 'id=' || conv_id || '  file=conversations  category=None  profile=None' || chr(10) || repeat('-', 100) || chr(10) || string_agg(chr(10) || CASE WHEN role = 'assistant' THEN 'POKE' ELSE 'USER' END || ':' || chr(10) || CASE WHEN c = '' THEN '[empty]' ELSE c END, chr(10) ORDER BY k) AS shown FROM k GROUP BY conv_id""",
     "w2_refilter": f"{_REFILTER} SELECT conv_id, turn, reason, ok FROM x",
     "w8_refilter_first_20": f"{_REFILTER} SELECT conv_id, turn, reason, ok FROM x WHERE before < 20",
     "j2_pending": f"WITH {_RUN_ROWS} SELECT doc_id::VARCHAR AS id FROM documents WHERE doc_id::VARCHAR NOT IN (SELECT id FROM r WHERE error = '')",

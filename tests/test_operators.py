@@ -1,6 +1,9 @@
 import hashlib
 import json
+import threading
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
@@ -175,6 +178,92 @@ def test_notices(spark, tmp_path):
     source.mkdir()
     (source / "a.jsonl").write_text("\n".join(json.dumps({"run_id": "r", "at": t, "ok": True, "target": 5}) for t in range(6)))
     stream = spark.readStream.schema("run_id string, at double, ok boolean, target long").json(str(source))
-    q = progress.notices(stream, 2, 100).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(out))
+    q = progress.notices(stream, 2, 100, timer=False).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(out))
     q.awaitTermination()
     assert [r["label"] for r in spark.read.parquet(str(out)).orderBy("at").collect()] == ["started", "progress", "done"]
+
+
+def test_heartbeat_without_rows(spark, tmp_path):
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "a.jsonl").write_text("\n".join(json.dumps({"run_id": "r", "at": t, "ok": True, "target": 50}) for t in range(3)))
+    stream = spark.readStream.schema("run_id string, at double, ok boolean, target long").json(str(source))
+    q = progress.notices(stream, 10, 2).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="500 milliseconds").start(str(out))
+    found, began = [], time.time()
+    while len(found) < 2 and time.time() - began < 60:
+        time.sleep(1)
+        found = [(r["label"], r["successful"]) for r in spark.read.schema("run_id string, label string, successful long, at double").parquet(str(out)).orderBy("at").collect()] if out.exists() and list(out.glob("*.parquet")) else []
+    q.stop()
+    assert found == [("started", 1), ("heartbeat", 3)]
+
+
+def test_follow_until(spark, tmp_path):
+    source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    source.mkdir()
+    land = lambda name, ids: (source / name).write_text("\n".join(json.dumps({"id": i, "error": "bad" if i % 4 == 3 else None}) for i in ids))
+    rows = lambda: progress.follow(spark, str(source), "id long, error string")
+    land("a.jsonl", range(4))
+    assert progress.follow_until(rows(), out, state, 3, 0.2, 60) == 3
+    with pytest.raises(ValueError, match="3 rows"):
+        progress.follow_until(rows(), out, state, 5, 0.2, 2)
+    threading.Timer(1.0, land, ("b.jsonl", range(4, 8))).start()
+    assert progress.follow_until(rows(), out, state, 5, 0.2, 60) == 6  # goes on where it ended, and takes no file twice
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 4, 5, 6]
+
+
+def test_too_few_rows(spark):
+    old, new = spark.createDataFrame([("a",), (None,)], "dedupe_key string"), spark.createDataFrame([(0, "a"), (1, "b"), (2, "b"), (3, ""), (4, "c")], "o int, dedupe_key string")
+    assert [r["o"] for r in selection.top_up(old, new, "o", 2, exact=True).orderBy("o").collect()] == [1, 4]
+    assert selection.top_up(old, new, "o", 1, exact=True).count() == 1
+    for short in (lambda: selection.top_up(old, new, "o", 3, exact=True), lambda: selection.stratified(new, "o", {0: 1}, 6, "o", "dedupe_key", exact=True)):
+        with pytest.raises(ValueError, match="are needed"):
+            short()
+
+
+def test_selection_of_null_ids_and_large_caps(spark):
+    df = spark.createDataFrame([(i, i % 2, None if i % 3 == 0 else i) for i in range(12)], "o int, s int, k int")
+    got = selection.stratified(df, "s", {0: 1}, 6, "o", "k").orderBy("o").collect()
+    assert [(r["o"], r["selection_pass"]) for r in got] == [(0, 1), (1, 2), (2, 2), (4, 2), (5, 2), (7, 2)]
+    many = spark.range(20_000).select(F.col("id").alias("o"), (F.col("id") % 2).alias("s"))
+    ranked = selection.numbered(many, "s", "o", "k").where("k < 3000")
+    assert "WindowGroupLimit" not in ranked._jdf.queryExecution().toString() and "_range" in ranked._jdf.queryExecution().toString()  # ranks within ranges
+    assert selection.stratified(many, "s", {0: 3000, 1: 3000}, 10_000, "o", "o").groupBy("selection_pass").count().orderBy("selection_pass").collect() == [(1, 6000), (2, 4000)]
+
+
+def test_lines_over_blocks(spark, tmp_path):
+    text = [f'{{"id": "{i}"}}' if i % 10 else "" for i in range(3000)]
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(text) + "\n")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = jsonl.lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+        want = [(f"{n}.jsonl", i + 1, text[i]) for n in "ab" for i in range(3000) if text[i]]
+        assert sorted(map(tuple, rows.collect())) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    good, bad = jsonl.read_lenient(spark, str(tmp_path), "id string")
+    assert good.count() == 5400 and bad.count() == 0
+    (tmp_path / "c.jsonl").write_text("broken\n")
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        jsonl.read_in_order(spark, [str(tmp_path / "a.jsonl"), str(tmp_path / "c.jsonl")], "id string").collect()
+
+
+def test_outputs(spark, tmp_path):
+    judged = spark.createDataFrame([(0, True), (1, False), (2, None)], "ix int, ok boolean")
+    paths = jsonl.write_answers(judged, str(tmp_path / "x"))
+    ids = {k: sorted(r["ix"] for r in spark.read.json(p).collect()) for k, p in paths.items()}
+    assert ids == {"kept": [0], "raw": [0, 1, 2], "rejected": [1, 2]} and paths["rejected"] == f"{tmp_path}/x.rejected.jsonl"
+    kept, rejected = answers.split_answers(spark.createDataFrame([("as an ai",), (" ",), (None,)], "a string"), "a", filtered=False)
+    assert [r["reason"] for r in kept.collect()] == ["unfiltered"] and {r["reason"] for r in rejected.collect()} == {"empty"}
+
+
+def test_batches_and_shares(spark):
+    df = spark.createDataFrame([(0, i, c) for i, c in enumerate([30, 30, 500, 30, 30, 30])], "p int, o int, c int")
+    ids = lambda **k: [r["batch"] for r in selection.next_fit(df, "p", "o", "c", **k).orderBy("o").collect()]
+    assert ids(most_items=9, budget=100, per=4, before=80, envelope=10) == [0, 0, 1, 2, 2, 3]  # 80 + ceil(72 / 4) is 98
+    assert ids(most_items=9, budget=9999, output_each=50, output_budget=110) == [0, 0, 1, 1, 2, 2]
+    shares = conversations.token_shares(spark.createDataFrame([([1, 2, 3], 10, 4), ([3], 5, 5)], "m array<int>, p int, c int"), "m", "p", "c").collect()
+    assert {(r["member"], r["prompt_share"], r["completion_share"]) for r in shares} == {(1, 3, 1), (2, 3, 1), (3, 8, 6)}
+    assert status.combinations({"a": [1, 2, 2], "b": [1, 2, 3]}) == 6
