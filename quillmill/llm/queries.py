@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-from quillmill.llm import decontamination, language_model, licenses, packing, quality_classifier, quality_rules, secrets, simhash, substrings, warc
+from quillmill.llm import decontamination, language_model, licenses, packing, pipeline, quality_classifier, quality_rules, secrets, simhash, substrings, warc
 
 QUERIES = {
     f.__name__: f
@@ -11,8 +10,8 @@ QUERIES = {
         packing.op1_best_fit_packing, quality_rules.op2_quality_rules, secrets.op3_secret_scans, substrings.op4_substring_dedup, quality_classifier.op5_quality_classifier,
         warc.op6_warc, simhash.op7_simhash_near_dedup, licenses.op8_license_scans, language_model.op9_lm_scoring, decontamination.op10_benchmark_decontamination,
     )
-} | {"pipeline": corpus_pipeline.run}
+} | {"pipeline": pipeline.run}
 
 ORACLE_SQL = {"op4_substring_dedup": substrings.OP4_SQL, "op6_warc": warc.OP6_SQL, "op8_license_scans": licenses.OP8_SQL}
-if corpus_pipeline.ORACLE_SQL:
-    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+if pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = pipeline.ORACLE_SQL

@@ -18,7 +18,7 @@ from pyspark.sql.functions import sum as spark_sum
 from tokenizers import Tokenizer
 
 from compare import same
-from quillmill.llm import decontamination, language_model, licenses, packing, quality_classifier, quality_rules, queries, secrets, simhash, substrings, warc
+from quillmill.llm import decontamination, language_model, licenses, packing, pipeline, quality_classifier, quality_rules, queries, secrets, simhash, substrings, warc
 from quillmill.llm.weak import fit_votes
 
 SF = "/root/testdata/sf0.001"
@@ -464,14 +464,12 @@ def test_normalised(spark):
         assert np.allclose(np.exp(q @ w.O.T + w.b - z[a][:, None]).sum(axis=1), 1, atol=1e-5)
 
 
-def test_op10(spark):
-    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+def brute_matches(texts, items):
     grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
-    got = {r["doc_id"]: set(r["item_ids"]) for r in queries.QUERIES["op10_benchmark_decontamination"](spark, SF).collect()}
     want = defaultdict(set)
     split = [(i, t.lower().split()) for i, t in items]
-    for d, t in documents(spark):
-        words = t.encode().decode().lower().split()
+    for d, t in texts:
+        words = t.lower().split()
         for i, w in split:
             own = grams(w)
             if len(set(own) & set(grams(words))) < 0.4 * len(own):
@@ -481,7 +479,13 @@ def test_op10(spark):
                 both = (s & own).total()
                 if both >= 0.8 * (s | own).total():
                     want[d].add(i)
-    assert {d: x for d, x in got.items() if x} == dict(want)
+    return dict(want)
+
+
+def test_op10(spark):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    got = {r["doc_id"]: set(r["item_ids"]) for r in queries.QUERIES["op10_benchmark_decontamination"](spark, SF).collect()}
+    assert {d: x for d, x in got.items() if x} == brute_matches(documents(spark), items)
 
 
 def test_blocks_find_all_within_the_radius():
@@ -622,20 +626,52 @@ def test_sketches():
 
 
 def test_pipeline_stages(spark):
-    import corpus_pipeline
-
+    """Each stage against a brute-force version on what the stage before kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        kept = stage(spark, docs, SF)
-        assert kept.columns == docs.columns and 0 < kept.count() <= docs.count(), name
-    good = corpus_pipeline.STAGES[0][1](spark, docs, SF)
-    judged = {r["doc_id"] for r in queries.QUERIES["op2_quality_rules"](spark, SF).collect() if r["kept"]}
-    assert {r["doc_id"] for r in good.collect()} == judged
-    texts = {r["doc_id"]: brute_shingles(r["text"]) for r in good.collect()}
-    kept = {r["doc_id"] for r in corpus_pipeline.STAGES[1][1](spark, good, SF).collect()}
-    alike = lambda least: brute_groups(texts, least)
-    sure, loose = alike(0.85), alike(0.7)
-    assert kept <= set(texts) and len({sure[d] for d in kept}) == len(kept)  # no two sure copies stay
-    assert {loose[d] for d in kept} == set(loose.values())  # one of each group stays
-    assert all(d in kept or min(x for x in loose if loose[x] == loose[d]) < d for d in texts)
-    assert corpus_pipeline.run(spark, SF).count() > 0
+    rows = lambda df: {r["doc_id"]: r["text"] for r in df.collect()}
+    stages = [f for _, f in pipeline.STAGES]
+    good = stages[0](spark, docs, SF)
+    kept = rows(good)
+    assert set(kept) == {r["doc_id"] for r in queries.QUERIES["op2_quality_rules"](spark, SF).collect() if r["kept"]}
+    single = stages[1](spark, good, SF)
+    groups = brute_groups({d: brute_shingles(t) for d, t in kept.items()}, 0.8)
+    assert rows(single) == {d: kept[d] for d in set(groups.values())} and len(groups) > len(set(groups.values()))
+    clean = stages[2](spark, single, SF)
+    found = brute_matches(rows(single).items(), [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
+    assert found and rows(clean) == {d: t for d, t in rows(single).items() if d not in found}
+    safe = stages[3](spark, clean, SF)
+    encode = packing.encoding(public_tokenizers.path(packing.VOCABULARY)).encode_ordinary
+    assert rows(safe) == {d: secrets.redact(t, secrets.spans(t, encode)) for d, t in rows(clean).items()}
+    assert all(r["n_chars"] == len(r["text"]) for r in safe.collect() if "[SECRET]" in r["text"])
+    for df in (good, single, clean, safe):
+        assert df.columns == docs.columns
+    encode, packed = packing.encoder(public_tokenizers.path(packing.VOCABULARY)), stages[4](spark, safe, SF).collect()
+    assert {d: len(encode(t)) + 1 for d, t in rows(safe).items()} == {d: sum(r["length"] for r in packed if r["doc_id"] == d) for d in {r["doc_id"] for r in packed}}
+    place = lambda r: (r["doc_id"], r["piece"], r["ids_crc32"], r["length"])
+    assert sorted(map(place, pipeline.run(spark, SF).collect())) == sorted(map(place, packed))
+
+
+def test_pipeline_on_empty_and_odd_tables(spark, tmp_path):
+    good = [r for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 500").limit(40).collect()]
+    table = spark.createDataFrame([*((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in good), *((d, t, None, None, None) for d, t in ODD)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, df in (("odd", table), ("empty", table.limit(0))):
+        df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(1, None), (2, ""), (3, "not in any text at all")], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    assert pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    packed = {r["doc_id"] for r in pipeline.run(spark, f"{tmp_path}/odd").collect()}
+    assert 10 < len(packed) <= 42 and packed <= {r["doc_id"] for r in good} | {4, 5, 6, None}
+
+
+def test_rows_of_one_text(spark):
+    """Rows that differ in other columns only: the smallest doc_id stays, and of equal ids one row, always the same."""
+    rows = [(d, "one two three four five six", "en", s, n) for d, s, n in ((5, "b", 1), (3, "b", 2), (3, "a", 9), (3, "a", 9), (None, "c", 4))] + [(8, "something else that is not like it", "en", "z", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    first = [tuple(r) for r in simhash.keep_one(df).orderBy("doc_id").collect()]
+    assert [r[0] for r in first] == [3, 8]
+    assert first == [tuple(r) for r in simhash.keep_one(df.repartition(5)).orderBy("doc_id").collect()]
+    limits = simhash.small
+    simhash.small = lambda df, row_bytes: None  # as where the verdicts are too many for a broadcast
+    try:
+        assert first == [tuple(r) for r in simhash.keep_one(df).orderBy("doc_id").collect()]
+    finally:
+        simhash.small = limits
