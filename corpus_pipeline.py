@@ -1,54 +1,8 @@
-"""The corpus pipeline: documents to packed training sequences in five stages.
+"""The corpus pipeline: documents to packed training sequences, in the five stages of STAGES.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes it as Parquet in the shared checkpoint folder
-and reads it again as the next stage's docs. All but the last return the columns of documents.
+The stages and run() are in quillmill.llm.pipeline, so that the package works when it is shipped alone.
 """
 
-from __future__ import annotations
+from quillmill.llm.pipeline import ORACLE_SQL, STAGES, run
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-from quillmill.llm import decontamination, packing, quality_rules, secrets, simhash
-from quillmill.llm.common import checkpoint_dir, table
-
-
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly supervised rules keep."""
-    return quality_rules.keep_good(docs)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash.keep_one(docs)
-
-
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
-
-
-def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in them replaced."""
-    return secrets.redact_secrets(docs)
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in which sequence."""
-    return packing.pack_documents(docs)
-
-
-STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_dedup), ("benchmark_decontamination", decontaminate), ("secret_scans", redact), ("best_fit_packing", pack)]
-
-#: The fingerprints, posteriors and token ids have no SQL form; tests compare each stage with a brute-force version.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}"
-    for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(f"{folder}/{k}-{name}")
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
