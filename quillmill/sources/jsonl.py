@@ -95,6 +95,17 @@ def read_document(path: str) -> dict:
         return {}
 
 
+def read_settings(path: str) -> dict[str, str]:
+    """KEY=VALUE lines of a settings file, quotes stripped; comments and other lines are skipped. Variables of the environment
+    that are set win."""
+    found = {}
+    with open(path, encoding="utf-8") as f:
+        for key, given, value in (line.strip().partition("=") for line in f):
+            if given and not key.startswith("#"):
+                found[key.strip()] = os.environ.get(key.strip(), value.strip().strip("\"'"))
+    return found
+
+
 def write_document(path: str, value: dict) -> None:
     """Written beside its place, then moved there, so that no reader sees half of it."""
     with open(f"{path}.tmp", "w", encoding="utf-8") as f:

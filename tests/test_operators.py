@@ -1,5 +1,6 @@
 import hashlib
 import json
+import os
 import threading
 import time
 
@@ -144,6 +145,8 @@ def test_documents(spark, tmp_path):
         raise AssertionError
     except ValueError:
         pass
+    (tmp_path / ".env").write_text("# note\nA='one two'\nHOME = x\nnothing\nB=\"3=4\"\n")
+    assert jsonl.read_settings(str(tmp_path / ".env")) == {"A": "one two", "HOME": os.environ["HOME"], "B": "3=4"}
     turns = F.array(F.struct(F.lit("user").alias("role"), F.lit(" hi ").alias("content")), F.struct(F.lit("assistant").alias("role"), F.lit("").alias("content")))
     none = F.lit(None).cast("string")
     shown = one(spark, jsonl.pretty(F.col("c0"), F.lit("f"), none, none, F.lit("t"), none, turns), "7").split("\n")
