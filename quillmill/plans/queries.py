@@ -123,19 +123,38 @@ def r6_misassigned(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (w1_first_wins_dedupe, j1_top_up, j7_previous_user, l4_echo_audit, a7_echo_rate, j3_accepted_turns, c1_clean_rows, c2_salvage, w5_balanced_selection, l3_training_records, e2_chat_records, c3_replay, c4_next_fit, c5_fixed_batches, p7_answer_validity, f4_significant_tokens, f19_estimate_tokens, a1_histogram, a12_profile, a11_review_counts, w7_shard_plan, r6_misassigned)} | run_queries.QUERIES
 
 ORACLE_SQL = cs.SQL | run_queries.ORACLE_SQL | {
-    "w1_first_wins_dedupe": f"SELECT min(doc_id) AS doc_id, dedupe_key FROM (SELECT doc_id, {cs.KEY} AS dedupe_key FROM documents WHERE regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') <> '') GROUP BY dedupe_key",
-    "j1_top_up": f"SELECT min(doc_id) AS doc_id, dedupe_key FROM (SELECT doc_id, {cs.KEY} AS dedupe_key FROM documents) WHERE dedupe_key <> '' AND dedupe_key NOT IN (SELECT {cs.KEY} FROM benchmark) GROUP BY dedupe_key",
+    "w1_first_wins_dedupe": f"""SELECT min(doc_id) AS doc_id, dedupe_key
+  FROM (SELECT doc_id, {cs.KEY} AS dedupe_key
+  FROM documents
+  WHERE regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') <> '')
+  GROUP BY dedupe_key""",
+    "j1_top_up": f"""SELECT min(doc_id) AS doc_id, dedupe_key
+  FROM (SELECT doc_id, {cs.KEY} AS dedupe_key
+  FROM documents)
+  WHERE dedupe_key <> '' AND dedupe_key NOT IN (SELECT {cs.KEY}
+  FROM benchmark)
+  GROUP BY dedupe_key""",
     "c4_next_fit": """WITH RECURSIVE r AS (SELECT conv_id, turn, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS cost, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations),
 f AS (SELECT conv_id, turn, k, 1 AS items, cost AS used, CAST(0 AS BIGINT) AS batch FROM r WHERE k = 1
 UNION ALL SELECT r.conv_id, r.turn, r.k, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN 1 ELSE f.items + 1 END, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN r.cost ELSE f.used + r.cost + 2 END, CASE WHEN f.items + 1 > 4 OR f.used + r.cost + 2 > 400 THEN f.batch + 1 ELSE f.batch END FROM f JOIN r ON r.conv_id = f.conv_id AND r.k = f.k + 1)
 SELECT conv_id, turn, batch FROM f""",
-    "c5_fixed_batches": "SELECT source, doc_id, (k // 10) AS batch, (k % 10) AS local_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k FROM documents)",
+    "c5_fixed_batches": """SELECT source, doc_id, (k // 10) AS batch, (k % 10) AS local_id
+  FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k
+  FROM documents)""",
     "p7_answer_validity": f"""SELECT conv_id, turn, CASE WHEN bit IS NOT NULL THEN 'contains ' || bit WHEN regexp_matches(a, '[\\x{{1F300}}-\\x{{1FAFF}}]') THEN 'emoji' WHEN trim(a) = '' THEN 'empty' WHEN len(regexp_extract_all(a, '\\S+')) > 55 THEN 'too_long' ELSE 'ok' END AS reason
 FROM (SELECT conv_id, turn, a, list_filter([{cs.listed(answers.BAD_BITS)}], lambda b: contains(a, b))[1] AS bit FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS a FROM conversations WHERE role = 'assistant'))""",
-    "f4_significant_tokens": f"SELECT doc_id, len({cs.significant("coalesce(text, '')")}) AS n_tokens, len({cs.echo_words(cs.words("coalesce(text, '')"))}) AS n_echo_words FROM documents",
+    "f4_significant_tokens": f"""SELECT doc_id, len({cs.significant("coalesce(text, '')")}) AS n_tokens, len({cs.echo_words(cs.words("coalesce(text, '')"))}) AS n_echo_words
+  FROM documents""",
     "f19_estimate_tokens": "SELECT doc_id, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS tokens FROM documents",
     "a1_histogram": "SELECT source, count(*) AS n, min(doc_id) AS first_seen FROM documents GROUP BY source",
-    "a12_profile": "SELECT count(*) AS rows, avg(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_words, avg(len(regexp_extract_all(coalesce(lang, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_answer_words, count(*) FILTER (WHERE contains(text, '?')) AS with_question_mark FROM documents",
-    "a11_review_counts": "SELECT coalesce(CASE WHEN quality = 1 THEN 'accept' WHEN quality IS NOT NULL THEN 'reject' END, 'absent') AS decision, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1",
-    "w7_shard_plan": "SELECT ix, profile, 50000 // 48 + (ix < 50000 % 48)::BIGINT AS target, 1000 + ix AS seed, format('shard_{:04d}_{}', ix, profile) AS name FROM (SELECT ix, ['casual', 'curious', 'terse', 'warm', 'dry'][ix % 5 + 1] AS profile FROM range(48) t(ix))",
+    "a12_profile": """SELECT count(*) AS rows, avg(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_words, avg(len(regexp_extract_all(coalesce(lang, ''),
+    '[^\\x20\\x09-\\x0D]+'))) AS mean_answer_words, count(*) FILTER (WHERE contains(text, '?')) AS with_question_mark
+  FROM documents""",
+    "a11_review_counts": """SELECT coalesce(CASE WHEN quality = 1 THEN 'accept' WHEN quality IS NOT NULL THEN 'reject' END, 'absent') AS decision, count(*) AS n
+  FROM documents
+  LEFT JOIN labels USING (doc_id)
+  GROUP BY 1""",
+    "w7_shard_plan": """SELECT ix, profile, 50000 // 48 + (ix < 50000 % 48)::BIGINT AS target, 1000 + ix AS seed, format('shard_{:04d}_{}', ix, profile) AS name
+  FROM (SELECT ix, ['casual', 'curious', 'terse', 'warm', 'dry'][ix % 5 + 1] AS profile
+  FROM range(48) t(ix))""",
 }

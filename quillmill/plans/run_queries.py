@@ -311,17 +311,21 @@ QUERIES = {
 
 _SAID = f"FROM conversations WHERE role = '{{}}' AND {cs.strip("coalesce(text, '')")} <> ''"
 _KEPT = "regexp_extract_all(lower(replace(coalesce(text, ''), '\\n', chr(10))), '[a-z0-9'']+')"
-_RUN_ROWS = "r AS (SELECT CAST(CASE WHEN doc_id % 3 = 1 THEN doc_id - 1 ELSE doc_id END AS VARCHAR) AS id, CASE WHEN doc_id % 11 = 0 THEN 'failed' ELSE '' END AS error, doc_id % 8 AS shard, doc_id AS ordinal FROM documents)"
+_RUN_ROWS = """r AS (SELECT CAST(CASE WHEN doc_id % 3 = 1 THEN doc_id - 1 ELSE doc_id END AS VARCHAR) AS id, CASE WHEN doc_id % 11 = 0 THEN 'failed' ELSE '' END AS error, doc_id % 8 AS shard,
+    doc_id AS ordinal
+  FROM documents)"""
 _STATUS = f"""{_RUN_ROWS},
 n AS (SELECT shard, count(*) AS rows, count(DISTINCT id) FILTER (WHERE error = '') AS successful FROM r GROUP BY shard),
 s AS (SELECT ix, ['casual', 'terse'][ix % 2 + 1] AS profile, 100 AS target, coalesce(rows, 0) AS rows, coalesce(successful, 0) AS successful, greatest(0, coalesce(rows, 0) - coalesce(successful, 0)) AS errors, coalesce(successful, 0) >= 100 AS done FROM range(8) t(ix) LEFT JOIN n ON shard = ix)"""
-_ANSWER = f"CASE WHEN bit IS NOT NULL THEN 'contains ' || bit WHEN regexp_matches(a, '[\\x{{1F300}}-\\x{{1FAFF}}]') THEN 'emoji' WHEN trim(a) = '' THEN 'empty' WHEN len(regexp_extract_all(a, '\\S+')) > 55 THEN 'too_long' ELSE 'ok' END"
+_ANSWER = f"""CASE WHEN bit IS NOT NULL THEN 'contains ' || bit WHEN regexp_matches(a, '[\\x{{1F300}}-\\x{{1FAFF}}]') THEN 'emoji' WHEN trim(a) = '' THEN 'empty' WHEN len(regexp_extract_all(a,
+    '\\S+')) > 55 THEN 'too_long' ELSE 'ok' END"""
 _REFILTER = f"""WITH p AS ({cs.PREVIOUS}),
 q AS (SELECT *, row_number() OVER (PARTITION BY lower({cs.strip("user_text")}) ORDER BY conv_id, turn) AS i, lower({cs.strip("coalesce(text, '')")}) AS a FROM p WHERE role = 'assistant' AND {cs.strip("coalesce(user_text, '')")} <> ''),
 z AS (SELECT *, list_filter([{cs.listed(answers.BAD_BITS)}], lambda b: contains(a, b))[1] AS bit FROM q WHERE i = 1),
 y AS (SELECT conv_id, turn, {_ANSWER} AS reason FROM z),
 x AS (SELECT *, reason = 'ok' AS ok, count(*) FILTER (WHERE reason = 'ok') OVER (ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM y)"""
-_HEAD = f"WITH k AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, {cs.strip("replace(coalesce(text, ''), '\\n', chr(10))")} AS c FROM conversations)"
+_HEAD = f"""WITH k AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, {cs.strip("replace(coalesce(text, ''), '\\n', chr(10))")} AS c
+  FROM conversations)"""
 _HISTORY = "list({role: CASE WHEN role = 'assistant' THEN 'poke' ELSE 'user' END, content: c} ORDER BY k)"
 _FULL = "f.items + 1 > 5 OR 100 + greatest(1, CAST(ceil((f.used + r.cost + 1) / 4) AS BIGINT)) > 500"
 
@@ -345,12 +349,17 @@ def _picked(axis: str) -> str:
 
 _LEFT = "(CASE WHEN completed > 0 THEN (total - completed) * 90.0 / completed ELSE 0 END)"
 ORACLE_SQL = {
-    "f2_words": f"SELECT doc_id, len({cs.words("coalesce(text, '')")}) AS n_words, len({_KEPT}) AS n_words_kept, len(list_distinct(list_filter({_KEPT}, lambda w: len(w) > 2 AND w NOT IN ({cs.listed(tx.CONTENT_STOPWORDS)})))) AS n_content FROM documents",
-    "f8_shared_runs": f"SELECT conv_id, turn, {", ".join(f"{cs.run('u', 'r', n)} AS run_{n}" for n in (1, 2, 3))} FROM (SELECT conv_id, turn, {cs.words("user_text")} AS u, {cs.words("coalesce(text, '')")} AS r FROM ({cs.PREVIOUS}) WHERE role = 'assistant' AND user_text IS NOT NULL)",
+    "f2_words": f"""SELECT doc_id, len({cs.words("coalesce(text, '')")}) AS n_words, len({_KEPT}) AS n_words_kept, len(list_distinct(list_filter({_KEPT},
+    lambda w: len(w) > 2 AND w NOT IN ({cs.listed(tx.CONTENT_STOPWORDS)})))) AS n_content
+  FROM documents""",
+    "f8_shared_runs": f"""SELECT conv_id, turn, {", ".join(f"{cs.run('u', 'r', n)} AS run_{n}" for n in (1, 2, 3))}
+  FROM (SELECT conv_id, turn, {cs.words("user_text")} AS u, {cs.words("coalesce(text, '')")} AS r
+  FROM ({cs.PREVIOUS})
+  WHERE role = 'assistant' AND user_text IS NOT NULL)""",
     "f13_clean_answers": f"""SELECT conv_id, turn, CASE WHEN text IS NULL AND turn % 3 = 1 THEN '{{"assistant":1}}' ELSE {cs.strip("text")} END AS answer FROM conversations""",
     "f15_batch_answers": f"SELECT conv_id, turn::VARCHAR AS id, {cs.strip("text")} AS answer {_SAID.format('assistant')}",
     "f16_batch_replies": f"SELECT conv_id, turn::VARCHAR AS id, {cs.strip("text")} AS reply {_SAID.format('assistant')}",
-    "f17_questions": f"SELECT conv_id, turn // 20 AS part, row_number() OVER (PARTITION BY conv_id, turn // 20 ORDER BY turn) - 1 AS k, {cs.strip("text")} AS question {_SAID.format('user')}",
+    "f17_questions": f"""SELECT conv_id, turn // 20 AS part, row_number() OVER (PARTITION BY conv_id, turn // 20 ORDER BY turn) - 1 AS k, {cs.strip("text")} AS question {_SAID.format('user')}""",
     "f18_messages": f"""WITH m AS (SELECT conv_id, turn, {cs.strip("replace(coalesce(text, ''), '\\n', chr(10))")} AS c FROM conversations),
 p AS (SELECT conv_id, turn, c, list_filter(list_transform(string_split(c, chr(10) || chr(10)), lambda x: {cs.strip("x")}), lambda x: x <> '') AS parts FROM m),
 q AS (SELECT conv_id, turn, CASE WHEN len(parts) > 0 THEN parts ELSE [c] END AS parts FROM p)
@@ -373,12 +382,21 @@ f AS (SELECT conv_id, turn, k, 1 AS items, 40 + cost AS used, CAST(0 AS BIGINT)
 UNION ALL SELECT r.conv_id, r.turn, r.k, CASE WHEN {_FULL} THEN 1 ELSE f.items + 1 END, CASE WHEN {_FULL} THEN 40 + r.cost ELSE f.used + r.cost + 1 END, CASE WHEN {_FULL} THEN f.batch + 1 ELSE f.batch END
 FROM f JOIN r ON r.conv_id = f.conv_id AND r.k = f.k + 1)
 SELECT conv_id, turn, batch FROM f""",
-    "p8_unfiltered": f"SELECT conv_id, turn, {cs.strip("coalesce(text, '')")} <> '' AS ok, CASE WHEN {cs.strip("coalesce(text, '')")} = '' THEN 'empty' ELSE 'unfiltered' END AS reason FROM conversations WHERE role = 'assistant'",
+    "p8_unfiltered": f"""SELECT conv_id, turn, {cs.strip("coalesce(text, '')")} <> '' AS ok, CASE WHEN {cs.strip("coalesce(text, '')")} = '' THEN 'empty' ELSE 'unfiltered' END AS reason
+  FROM conversations
+  WHERE role = 'assistant'""",
     "k3_split_answers": f"""WITH z AS (SELECT conv_id, turn, a, list_filter([{cs.listed(answers.BAD_BITS)}], lambda b: contains(a, b))[1] AS bit FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS a FROM conversations WHERE role = 'assistant')),
 y AS (SELECT conv_id, turn, {_ANSWER} AS reason FROM z)
 SELECT conv_id, turn, reason, 'raw' AS output FROM y UNION ALL SELECT conv_id, turn, reason, CASE WHEN reason = 'ok' THEN 'kept' ELSE 'rejected' END FROM y""",
-    "s4_numbered_lines": "SELECT role, 'part-00000' AS file, source_line, line FROM (SELECT role, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS source_line, turn, conv_id || ':' || turn AS line FROM conversations WHERE role IN ('user', 'assistant')) WHERE turn % 9 <> 4",
-    "s6_in_order": "SELECT conv_id, turn, min(k) AS first_input, count(*) AS n FROM (SELECT conv_id, turn, unnest(list_filter([0, 1, 2], lambda i: conv_id % [5, 2, 3][i + 1] = 0)) AS k FROM conversations) GROUP BY ALL",
+    "s4_numbered_lines": """SELECT role, 'part-00000' AS file, source_line, line
+  FROM (SELECT role, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS source_line, turn, conv_id || ':' || turn AS line
+  FROM conversations
+  WHERE role IN ('user', 'assistant'))
+  WHERE turn % 9 <> 4""",
+    "s6_in_order": """SELECT conv_id, turn, min(k) AS first_input, count(*) AS n
+  FROM (SELECT conv_id, turn, unnest(list_filter([0, 1, 2], lambda i: conv_id % [5, 2, 3][i + 1] = 0)) AS k
+  FROM conversations)
+  GROUP BY ALL""",
     "p1_question_orders": f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN left(text, 60) END AS question, CASE WHEN doc_id % 3 > 0 THEN right(text, 60) ELSE '' END AS prompt FROM documents),
 q AS (SELECT doc_id, 0 AS order_ix, coalesce(nullif(question, ''), nullif(prompt, ''), '') AS text FROM r UNION ALL SELECT doc_id, 1, coalesce(nullif(prompt, ''), nullif(question, ''), '') FROM r)
 SELECT min(doc_id) AS doc_id, {cs.KEY} AS dedupe_key, order_ix FROM q WHERE {cs.strip("text")} <> '' GROUP BY 2, 3""",
@@ -387,24 +405,48 @@ one AS (SELECT doc_id, lang FROM (SELECT doc_id, lang, cap, row_number() OVER (P
 two AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS i FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM one))
 SELECT doc_id, lang, 1 AS selection_pass FROM one UNION ALL SELECT doc_id, lang, 2 FROM two WHERE i <= 10000 - (SELECT count(*) FROM one)""",
     "w9_slice": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 30 OFFSET 20",
-    "a12_common_starts": "SELECT start, count(*) AS n FROM (SELECT array_to_string(w[1:2], ' ') AS start FROM (SELECT regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w FROM conversations) WHERE len(w) >= 2) GROUP BY start ORDER BY n DESC, start LIMIT 25",
+    "a12_common_starts": """SELECT start, count(*) AS n
+  FROM (SELECT array_to_string(w[1:2], ' ') AS start
+  FROM (SELECT regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM conversations)
+  WHERE len(w) >= 2)
+  GROUP BY start
+  ORDER BY n DESC, start LIMIT 25""",
     "t1_follow_until": "SELECT conv_id, turn FROM conversations WHERE turn % 5 <> 2",
     "w13_plan_rows": f"""SELECT format('pilot-7-{{:05d}}', i) AS id, {_drawn("category", PLAN)} AS category, CAST({_drawn("replies", REPLIES)} AS INT) AS target_replies,
   'user_' || left(sha1('{{"mood": "' || {_picked("mood")} || '", "style": "' || {_picked("style")} || '"}}'), 10) AS user FROM range(10000) t(i)""",
-    "p5_flags": f"SELECT conv_id, turn, upper({cs.strip("coalesce(text, '')")}) IN ({cs.listed(tx.END_SENTINELS)}) AS is_end, {cs.contains_any("lower(coalesce(text, ''))", conversations.IDENTITY_LEAKS)} AS identity_leak, {cs.contains_any("lower(coalesce(text, ''))", conversations.TRANSCRIPT_META)} AS transcript_meta, contains(coalesce(text, ''), 'User:') AS has_user, contains(coalesce(text, ''), 'Assistant:') AS has_assistant, {cs.strip("coalesce(text, '')")} = '' AS is_empty FROM conversations",
+    "p5_flags": f"""SELECT conv_id, turn, upper({cs.strip("coalesce(text, '')")}) IN ({cs.listed(tx.END_SENTINELS)}) AS is_end, {cs.contains_any("lower(coalesce(text, ''))",
+    conversations.IDENTITY_LEAKS)} AS identity_leak, {cs.contains_any("lower(coalesce(text, ''))", conversations.TRANSCRIPT_META)} AS transcript_meta, contains(coalesce(text, ''),
+    'User:') AS has_user, contains(coalesce(text, ''), 'Assistant:') AS has_assistant, {cs.strip("coalesce(text, '')")} = '' AS is_empty
+  FROM conversations""",
     "p6_reply_problems": cs.REPLAY[: cs.REPLAY.index(",\nn AS")] + " SELECT conv_id, turn, bad AS problem FROM b WHERE role = 'assistant'",
     "k6_pretty": f"""{_HEAD}
 SELECT conv_id, repeat('=', 100) || chr(10) || 'id=' || conv_id || '  file=conversations  category=None  profile=None' || chr(10) || repeat('-', 100) || chr(10) || string_agg(chr(10) || CASE WHEN role = 'assistant' THEN 'POKE' ELSE 'USER' END || ':' || chr(10) || CASE WHEN c = '' THEN '[empty]' ELSE c END, chr(10) ORDER BY k) AS shown FROM k GROUP BY conv_id""",
     "w2_refilter": f"{_REFILTER} SELECT conv_id, turn, reason, ok FROM x",
     "w8_refilter_first_20": f"{_REFILTER} SELECT conv_id, turn, reason, ok FROM x WHERE before < 20",
     "j2_pending": f"WITH {_RUN_ROWS} SELECT doc_id::VARCHAR AS id FROM documents WHERE doc_id::VARCHAR NOT IN (SELECT id FROM r WHERE error = '')",
-    "w3_combine": f"WITH {_RUN_ROWS} SELECT id, error, shard, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY id, error ORDER BY ordinal) AS i FROM r) WHERE i = 1 OR error <> ''",
+    "w3_combine": f"""WITH {_RUN_ROWS} SELECT id, error, shard, ordinal
+  FROM (SELECT *, row_number() OVER (PARTITION BY id, error ORDER BY ordinal) AS i
+  FROM r)
+  WHERE i = 1 OR error <> ''""",
     "a4_shard_status": f"WITH {_STATUS} SELECT * FROM s",
-    "a5_run_totals": f"WITH {_STATUS} SELECT sum(target) AS target, sum(rows) AS rows, sum(successful) AS successful, sum(errors) AS errors, count(*) FILTER (WHERE done) AS done_shards, count(*) AS total_shards FROM s",
-    "a6_notifier_status": f"WITH {_RUN_ROWS} SELECT count(*) AS rows, count(*) FILTER (WHERE error = '') AS successful, count(*) FILTER (WHERE error <> '') AS errors, (100.0 * count(*) FILTER (WHERE error = '') / 800)::DOUBLE AS pct FROM r",
-    "a8_dedupe_counters": f"SELECT count(*) AS read, count(DISTINCT k) FILTER (WHERE s <> '') AS kept, count(*) - count(DISTINCT k) FILTER (WHERE s <> '') AS duplicates FROM (SELECT {cs.strip("coalesce(text, '')")} AS s, {cs.KEY} AS k FROM documents)",
-    "a9_conversation_sums": "WITH c AS (SELECT conv_id, role = 'assistant' AS reply, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS cost FROM conversations) SELECT conv_id, count(*) FILTER (WHERE reply) AS replies, sum(CASE WHEN reply THEN 0 ELSE cost END)::BIGINT AS prompt_tokens, sum(CASE WHEN reply THEN cost ELSE 0 END)::BIGINT AS reply_tokens FROM c GROUP BY conv_id",
-    "w15_length_bands": "SELECT CASE WHEN n <= 12 THEN 0 WHEN n <= 40 THEN 1 WHEN n <= 400 THEN 2 ELSE 3 END AS band, count(*) AS n FROM (SELECT len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS n FROM documents) GROUP BY 1",
+    "a5_run_totals": f"""WITH {_STATUS} SELECT sum(target) AS target, sum(rows) AS rows, sum(successful) AS successful, sum(errors) AS errors, count(*) FILTER (WHERE done) AS done_shards, count(*) AS total_shards
+  FROM s""",
+    "a6_notifier_status": f"""WITH {_RUN_ROWS} SELECT count(*) AS rows, count(*) FILTER (WHERE error = '') AS successful, count(*) FILTER (WHERE error <> '') AS errors,
+    (100.0 * count(*) FILTER (WHERE error = '') / 800)::DOUBLE AS pct
+  FROM r""",
+    "a8_dedupe_counters": f"""SELECT count(*) AS read, count(DISTINCT k) FILTER (WHERE s <> '') AS kept, count(*) - count(DISTINCT k) FILTER (WHERE s <> '') AS duplicates
+  FROM (SELECT {cs.strip("coalesce(text, '')")} AS s, {cs.KEY} AS k
+  FROM documents)""",
+    "a9_conversation_sums": """WITH c AS (SELECT conv_id, role = 'assistant' AS reply, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS cost
+  FROM conversations) SELECT conv_id, count(*) FILTER (WHERE reply) AS replies, sum(CASE WHEN reply THEN 0 ELSE cost END)::BIGINT AS prompt_tokens,
+    sum(CASE WHEN reply THEN cost ELSE 0 END)::BIGINT AS reply_tokens
+  FROM c
+  GROUP BY conv_id""",
+    "w15_length_bands": """SELECT CASE WHEN n <= 12 THEN 0 WHEN n <= 40 THEN 1 WHEN n <= 400 THEN 2 ELSE 3 END AS band, count(*) AS n
+  FROM (SELECT len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS n
+  FROM documents)
+  GROUP BY 1""",
     "j8_scenarios": f"SELECT doc_id, lang, CASE lang {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SCENARIOS.items())} ELSE 'anywhere' END AS scenario FROM documents",
     "w14_job_grid": "SELECT item_id, call_ix, format('{}-{:04d}', item_id, call_ix) AS id FROM benchmark, range(3) t(call_ix)",
     "k1_jsonl_round_trip": "SELECT conv_id, turn, role, text FROM conversations",
