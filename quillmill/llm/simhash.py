@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.common import append_columns, cut, fresh, small, table
+from quillmill.llm.common import append_columns, cut, fresh, small, smallest, table
 
 RADIUS = 4
 SHINGLE = 4
@@ -204,7 +204,7 @@ def linked(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray
 def near_links(distinct: DataFrame, fp: str = "fp", radius: int = RADIUS, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
     """Links (a, b) whose connected components are those of all pairs of distinct fingerprints within the radius."""
     n = distinct.count()
-    sample = [r[0] for r in distinct.select(fp).orderBy(F.xxhash64(fp), fp).limit(SAMPLE).collect()]
+    sample = [r[0] for r in smallest(distinct.select(fp), SAMPLE, fp).collect()]
     tree = build_tree(np.array(sample, np.int64).view(np.uint64), n, radius, leaf)
 
     def deal(batches):
@@ -240,11 +240,12 @@ def near_links(distinct: DataFrame, fp: str = "fp", radius: int = RADIUS, leaf:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for each node of links (a, b), root the smallest node of its component; nodes that are roots are not
     returned. Alternates large-star and small-star steps, each a grouped minimum and a join on the node, until a step
-    changes nothing; a hub's rows meet only its one minimum, so AQE can split them."""
+    changes nothing. A large-star step keeps its minima in a checkpoint: so its join has two sides that are dealt for it alone,
+    and Spark can split the rows of a hub."""
 
     def larger(e: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         return both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
     def smaller(e: DataFrame) -> DataFrame:
@@ -270,8 +271,8 @@ def grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int,
     signed = cut(with_fingerprint(read, "text", "fp", shingle, seed).drop("text"))
     distinct = cut(signed.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(near_links(distinct, "fp", radius, leaf, block))
-    rooted = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    by_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = cut(distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    by_root = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id")))  # so that a large component is split in the join
     known = rooted.join(by_root, "root").select("fp", "root", "component_id")
     return signed.join(known, "fp")
 
