@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.common import append_columns, cut, table
+from quillmill.llm.common import append_columns, cut, smallest, table
 from quillmill.llm.quality_rules import measures
 from quillmill.llm.weak import count_patterns, fit_votes
 
@@ -91,7 +91,8 @@ def toxic_terms(read: DataFrame, labels: DataFrame | None, doc_id: str, toxic: s
     """The terms, from the `labelled` rows of labels with the smallest hashes of doc_id. Rows without a label count for nothing."""
     if labels is None:
         return frozenset()
-    some = labels.select(F.col(doc_id).alias("_id"), F.col(toxic).cast("int").alias("_toxic")).where("_id IS NOT NULL AND _toxic IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id", "_toxic").limit(labelled)
+    some = labels.select(F.col(doc_id).alias("_id"), F.col(toxic).cast("int").alias("_toxic")).where("_id IS NOT NULL AND _toxic IS NOT NULL").distinct()
+    some = smallest(some, labelled, "_id", "_toxic")
     marked = read.join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("text", "_toxic")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +182,7 @@ def with_bags(df: DataFrame) -> DataFrame:
 def fit_task(read: DataFrame, posterior: DataFrame, task: str, train_rows: int) -> np.ndarray:
     """The scorer's weights from at most train_rows rows with sure posteriors, half of them from each side: those with the
     smallest hashes, so the same on every run. A bag has at most BUCKETS entries, which bounds what the driver gets."""
-    sides = [posterior.where(s).select("hash", F.col(task).alias("label")).distinct().orderBy(F.xxhash64("hash"), "hash").limit(train_rows // 2) for s in (F.col(task) < 0.2, F.col(task) > 0.8)]
+    sides = [smallest(posterior.where(s).select("hash", F.col(task).alias("label")), train_rows // 2, "hash") for s in (F.col(task) < 0.2, F.col(task) > 0.8)]
     picked = F.broadcast(sides[0].unionByName(sides[1]))
     rows = with_bags(read.withColumn("hash", F.xxhash64("doc_id", "text")).join(picked, "hash")).drop("text").dropDuplicates(["hash"]).select("hash", "label", "at", "x").collect()
     rows.sort(key=lambda r: r["hash"])

@@ -12,13 +12,14 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql.functions import count_distinct, spark_partition_id
+from pyspark.sql.functions import count_distinct, spark_partition_id, xxhash64
 from pyspark.sql.functions import max as spark_max
 from pyspark.sql.functions import sum as spark_sum
 from tokenizers import Tokenizer
 
 from compare import same
 from quillmill.llm import decontamination, language_model, licenses, packing, pipeline, quality_classifier, quality_rules, queries, secrets, simhash, substrings, warc
+from quillmill.llm.common import smallest
 from quillmill.llm.weak import fit_votes
 
 SF = "/root/testdata/sf0.001"
@@ -616,6 +617,12 @@ def test_near_copies_at_the_threshold(spark, most):
     assert kept == set(brute_groups(texts, 0.8).values())
 
 
+def test_smallest(spark):
+    df = spark.range(20_000).select("id").repartition(7)
+    want = [r["id"] for r in df.orderBy(xxhash64("id"), "id").limit(300).collect()]
+    assert [r["id"] for r in smallest(df, 300, "id").collect()] == want and smallest(df.limit(50), 300, "id").count() == 50 and smallest(df.limit(0), 5, "id").count() == 0
+
+
 def test_sketches():
     rng = np.random.default_rng(2)
     for n in (3, 40, 5000):
