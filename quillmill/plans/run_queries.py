@@ -50,21 +50,41 @@ def f13_clean_answers(spark, sf_dir):
     return read(spark, sf_dir, "conversations").select("conv_id", "turn", tx.clean_answer(raw).alias("answer"))
 
 
+def by_kind(*kinds):
+    """Conversations take turns at the kinds of a reply."""
+    k = F.col("conv_id") % len(kinds)
+    out = F.when(k == 0, kinds[0])
+    for i, kind in enumerate(kinds[1:], 1):
+        out = out.when(k == i, kind)
+    return out
+
+
 def f15_batch_answers(spark, sf_dir):
-    item = lambda t: F.struct(t["turn"].alias("id"), t["text"].alias("assistant"))
-    raw = F.to_json(F.struct(F.transform("said", item).alias("answers")))
+    """An object; a fenced list; words before an object in which an id comes twice and one is missing."""
+    item = lambda id_, text: F.struct(id_.cast("bigint").alias("id"), text.alias("assistant"))
+    items = F.transform("said", lambda t: item(t["turn"], t["text"]))
+    more = F.concat(F.array(item(F.col("said")[0]["turn"], F.lit("an older answer"))), items, F.array(item(F.lit(None), F.lit("whose?"))))
+    whole = lambda x: F.to_json(F.struct(x.alias("answers")))
+    raw = by_kind(whole(items), F.concat(F.lit("```json\n"), F.to_json(items), F.lit("\n```")), F.concat(F.lit("Here they are: "), whole(more)))
     return batches(spark, sf_dir, "assistant").select("conv_id", F.explode(answers.parse_batch_answers(raw)).alias("id", "answer"))
 
 
 def f16_batch_replies(spark, sf_dir):
+    """Tagged items; a JSON list; one tagged, one that nobody asked for, and a list of the rest."""
     escaped = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
-    item = lambda t: F.concat(F.lit('<item id="'), t["turn"].cast("string"), F.lit('">'), escaped(t["text"]), F.lit("</item>"))
-    rows = batches(spark, sf_dir, "assistant").select("conv_id", F.array_join(F.transform("said", item), "\n").alias("raw"), F.transform("said", lambda t: t["turn"].cast("string")).alias("expected"))
+    tag = lambda id_, text: F.concat(F.lit('<item id="'), id_.cast("string"), F.lit('">'), escaped(text), F.lit("</item>"))
+    listed = lambda x: F.to_json(F.struct(F.transform(x, lambda t: F.struct(t["turn"].cast("string").alias("id"), t["text"].alias("message"))).alias("items")))
+    first = F.col("said")[0]
+    mixed = F.concat(tag(first["turn"], first["text"]), tag(F.lit("none"), F.lit("not asked for")), F.lit("\n"), listed(F.slice("said", F.lit(2), F.greatest(F.size("said") - 1, F.lit(1)))))
+    raw = by_kind(F.array_join(F.transform("said", lambda t: tag(t["turn"], t["text"])), "\n"), listed(F.col("said")), mixed)
+    rows = batches(spark, sf_dir, "assistant").select("conv_id", raw.alias("raw"), F.transform("said", lambda t: t["turn"].cast("string")).alias("expected"))
     return answers.with_batch_replies(rows, "raw", "expected").select("conv_id", F.explode("replies").alias("id", "reply"))
 
 
 def f17_questions(spark, sf_dir):
-    raw = F.to_json(F.struct(F.transform("said", lambda t: t["text"]).alias("questions")))
+    """An object; a fenced list; an object under another name."""
+    texts = F.transform("said", lambda t: t["text"])
+    raw = by_kind(F.to_json(F.struct(texts.alias("questions"))), F.concat(F.lit("```\n"), F.to_json(texts), F.lit("\n```")), F.to_json(F.struct(texts.alias("prompts"))))
     return batches(spark, sf_dir, "user").select("conv_id", "part", F.posexplode(answers.extract_questions(raw)).alias("k", "question"))
 
 
