@@ -229,12 +229,13 @@ def frequent_types(counts: DataFrame, most: int) -> tuple[pa.Table, DataFrame]:
     return counts.where(bucket >= least).toArrow(), counts.where(bucket < least)
 
 
-def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", head: int = HEAD, tail: int = TAIL, dim: int = DIM, rounds: int = ROUNDS, rate: float = RATE, table_size: int = TABLE) -> DataFrame:
+def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", head: int = HEAD, tail: int = TAIL, dim: int = DIM, rounds: int = ROUNDS, rate: float = RATE, table_size: int = TABLE, model_out: dict | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs.
 
     Only the two named columns are read. Null, empty and blank texts are the end token alone. A null doc_id is in training
     and stays null. Repeated rows each count and each return a row. Token types of equal count go by their bytes. Where no
-    row is in training every token is unknown, and its base probability is one. No rows give no rows.
+    row is in training every token is unknown, and its base probability is one. No rows give no rows. A dictionary given as
+    model_out gets the model: weights, the classes of frequent types, and the groups' training tokens and types.
     """
     spark = docs.sparkSession
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(F.col(doc_id)).alias("held_out"))
@@ -293,6 +294,8 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     w = Weights.start(share, dim)
     for r in range(rounds if n_all else 0):
         w = Weights(len(share), dim, train_round(encoded.where(~F.col("held_out")), start_id, share, w.flat, dim, rate / (1 + r)))
+    if model_out is not None:
+        model_out |= {"weights": w, "classes": known, "group_tokens": n_of, "group_types": v_of}
     trained = spark.sparkContext.broadcast((w.flat, normalisers(spark, w)))
     n_classes = len(share)
 

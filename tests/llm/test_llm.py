@@ -184,6 +184,55 @@ def test_votes():
     assert fit_votes({}, list("ab")).prior == 0.8
 
 
+def brute_em(rows, prior, detection, accuracy=0.99, strength=0.05):
+    """Posteriors of rows of votes, row by row: what weak.fit_votes computes from counts of patterns."""
+    k, pi, extra = len(rows[0]), prior, max(1.0, strength * len(rows))
+    good, bad = [accuracy] * k, [detection] * k
+
+    def posterior(votes):
+        up, down = pi, 1 - pi
+        for v, g, b in zip(votes, good, bad, strict=True):
+            up, down = (up * g, down * (1 - b)) if v == 1 else (up * (1 - g), down * b) if v == -1 else (up, down)
+        return up / (up + down)
+
+    for _ in range(100):
+        p = [posterior(r) for r in rows]
+        was = [*good, *bad, pi]
+        for j in range(k):
+            said = [(x, r[j]) for x, r in zip(p, rows, strict=True) if r[j]]
+            good[j] = min(0.9999, max(0.5, (sum(x for x, v in said if v == 1) + accuracy * extra) / (sum(x for x, _ in said) + extra)))
+            bad[j] = min(0.99, max(0.01, (sum(1 - x for x, v in said if v == -1) + detection * extra) / (sum(1 - x for x, _ in said) + extra)))
+        pi = min(1 - 1e-3, max(1e-3, (sum(p) + prior * extra) / (len(rows) + extra)))
+        if max(abs(a - b) for a, b in zip(was, [*good, *bad, pi], strict=True)) < 1e-7:
+            break
+    return [posterior(r) for r in rows]
+
+
+def test_op2_verdicts(spark):
+    rows = quality_rules.quality_rules(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    names = list(rows[0]["votes"])
+    want = brute_em([[r["votes"][n] for n in names] for r in rows], 0.8, 0.2)
+    assert all(math.isclose(r["quality"], p, abs_tol=1e-5) and r["kept"] == (not r["base_failed"] and p >= 0.5) for r, p in zip(rows, want, strict=True))
+    for r in rows:  # the votes, by the rules as they are written down
+        n, lines = max(1, r["n_words"]), max(1, r["n_lines"])
+        some, v = r["n_words"] >= 20, r["votes"]
+        assert v["length"] == (1 if r["n_words"] >= 100 else -1 if r["n_words"] < 30 else 0)
+        assert v["symbols"] == (1 if some and r["n_symbols"] / n < 0.05 else -1 if r["n_symbols"] / n > 0.2 else 0)
+        assert v["dup_lines"] == (1 if r["n_lines"] >= 3 and r["n_dup_lines"] / lines < 0.05 else -1 if r["n_lines"] >= 5 and r["n_dup_lines"] / lines > 0.3 else 0)
+        assert v["repeats"] == (1 if some and r["n_repeat_words"] / n < 0.1 else -1 if r["n_repeat_words"] / n > 0.3 else 0)
+
+
+def test_op5_posteriors(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r["doc_id"]: r for r in quality_classifier.classify(docs, labels=labels).collect()}
+    terms = quality_classifier.Terms(quality_classifier.toxic_terms(docs.select("doc_id", "text"), labels, "doc_id", "toxic", 20_000))
+    texts = documents(spark)
+    votes = [quality_classifier.labeller_votes(t, terms) for _, t in texts]
+    for part, name, prior, detection in ((0, "quality", 0.8, 0.2), (1, "clean", 0.9, 0.8)):
+        for (d, _), p in zip(texts, brute_em([v[part] for v in votes], prior, detection), strict=True):
+            assert math.isclose(got[d][f"{name}_posterior"], p, abs_tol=1e-5)
+
+
 def brute_spans(text):
     out = [(m.start(), m.end(), 0) for m in re.finditer(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text, re.ASCII) if len(m[2]) >= 12]
     out += [(m.start(), m.end(), 1) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
@@ -457,6 +506,33 @@ def test_op9(spark):
         assert sum(r["score"] for r in rows.values() if r["held_out"]) > sum(r["base_score"] for r in rows.values() if r["held_out"])
 
 
+def test_op9_score(spark):
+    """The score by its definition: a softmax over all classes for each token, and the add-one share within a group."""
+    docs, model = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    rows = {r["doc_id"]: r for r in language_model.score_documents(docs, head=48, tail=16, dim=8, table_size=300, model_out=model).collect()}
+    counts = Counter(x for d, t in documents(spark) if zlib.crc32(str(d).encode()) % 7 != 2 for x in language_model.tokens(t))
+    group = lambda x: zlib.crc32(x[-3:]) % 16
+    rare = {x: c for x, c in counts.items() if x not in model["classes"]}
+    size = [sum(c + 1 for x, c in rare.items() if group(x) == k) + 1 for k in range(16)]
+    w, kind = model["weights"], lambda x: model["classes"].get(x, group(x))
+    assert len(model["classes"]) == 48 and list(model["group_tokens"] + model["group_types"] + 1) == size
+
+    def probability(before, last, x):
+        e = np.exp((w.R[before] @ w.C[0] + w.R[last] @ w.C[1]) @ w.O.T.astype(np.float64) + w.b)
+        return e[kind(x)] / e.sum() * (1 if x in model["classes"] else (rare.get(x, 0) + 1) / size[group(x)])
+
+    start = kind(b"")
+    for d, t in documents(spark)[:60]:
+        words = language_model.tokens(t)[-400:] if t and len(t) < 4000 else None
+        if words is None or len(language_model.tokens(t)) > 400:
+            continue
+        ids = [start, start, *map(kind, words)]
+        want = sum(math.log10(probability(ids[i], ids[i + 1], x)) for i, x in enumerate(words))
+        assert math.isclose(rows[d]["score"], want, rel_tol=1e-4), d
+    total = sum(probability(3, 5, x) for x in counts) + sum(probability(3, 5, x) for x in {group(x): x for x in (b"unseen%d" % i for i in range(2000))}.values())
+    assert math.isclose(total, 1, rel_tol=1e-5)
+
+
 def test_normalised(spark):
     w = language_model.Weights.start(np.full(9, 1 / 9), 4)
     z = language_model.normalisers(spark, w)
