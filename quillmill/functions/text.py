@@ -37,9 +37,9 @@ def split_words(c: Column) -> Column:
 
 
 def dedupe_key(c: Column) -> Column:
-    """Lower case, single spaces, no quotes, no punctuation at the end."""
-    plain = F.regexp_replace(F.translate(strip(F.lower(c)), BLANKS, " " * len(BLANKS)), " {2,}", " ")
-    return F.rtrim(F.translate(plain, "\"'“”‘’", ""), F.lit("?.!,;:"))
+    """Lower case, single spaces, no quotes, no punctuation at the end. (Patterns, as they are faster here than translate.)"""
+    plain = F.regexp_replace(strip(F.lower(c)), r"(?U)[\s\x1c-\x1f]+", " ")
+    return F.rtrim(F.regexp_replace(plain, "[\"'“”‘’]", ""), F.lit("?.!,;:"))
 
 
 def words(c: Column) -> Column:
