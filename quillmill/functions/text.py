@@ -26,9 +26,19 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
+def first_of(*columns: Column) -> Column:
+    """The first that is neither null nor empty; '' if there is none."""
+    return F.coalesce(*(F.when(c != "", c) for c in columns), F.lit(""))
+
+
 def first_set(*columns: Column) -> Column:
-    """The first that is neither null nor empty, stripped; '' if there is none."""
-    return strip(F.coalesce(*(F.when(c != "", c) for c in columns), F.lit("")))
+    """The same, stripped."""
+    return strip(first_of(*columns))
+
+
+def is_blank(c: Column) -> Column:
+    """Whether nothing but white space is in a text; it looks no further than the first other character."""
+    return ~c.rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def split_words(c: Column) -> Column:

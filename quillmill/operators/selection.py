@@ -27,9 +27,10 @@ def first_wins(df: DataFrame, key: Column, ordinal: str) -> DataFrame:
 def dedupe_questions(docs: DataFrame, text: str | list[str], ordinal: str) -> DataFrame:
     """docs with question and dedupe_key, the first of each key; empty questions go. Of several columns the first that is set
     is the question: `question, prompt` for a set of questions, `prompt, question` for a source of new ones."""
-    columns = [text] if isinstance(text, str) else text
-    rows = docs.withColumn("question", tx.first_set(*map(F.col, columns))).where("question <> ''").withColumn("dedupe_key", tx.dedupe_key(F.col("question")))
-    return first_wins(rows, F.col("dedupe_key"), ordinal)
+    raw = tx.first_of(*map(F.col, [text] if isinstance(text, str) else text))
+    # Keys are made once for the grouped minimum and once for the rows that stay, each time from the text as it is.
+    first = first_wins(docs.where(~tx.is_blank(raw)), tx.dedupe_key(raw), ordinal)
+    return first.withColumns({"question": tx.strip(raw), "dedupe_key": tx.dedupe_key(raw)})
 
 
 def top_up(existing: DataFrame, source: DataFrame, ordinal: str, count: int | None = None, exact: bool = False) -> DataFrame:

@@ -20,7 +20,7 @@ def w1_first_wins_dedupe(spark, sf_dir):
 
 
 def j1_top_up(spark, sf_dir):
-    keyed = lambda df: df.withColumn("dedupe_key", tx.dedupe_key(tx.first_set(F.col("text"))))
+    keyed = lambda df: df.withColumn("dedupe_key", tx.dedupe_key(tx.first_of(F.col("text"))))
     source = keyed(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return selection.top_up(keyed(read(spark, sf_dir, "benchmark")), source, "doc_id").select("doc_id", "dedupe_key")
 
