@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +37,11 @@ def cut(df: DataFrame) -> DataFrame:
 MOST_BROADCAST = 32 << 20  # bytes
 
 
-def small(df: DataFrame, row_bytes: int, most: int = MOST_BROADCAST) -> DataFrame | None:
-    """df, to be broadcast, if its rows (counted; df should be a checkpoint) of row_bytes each are no more than `most` bytes."""
-    return F.broadcast(df) if df.count() * row_bytes <= most else None
+def small(df: DataFrame, row_bytes: int | Column, most: int = MOST_BROADCAST) -> DataFrame | None:
+    """df, to be broadcast, if its rows of row_bytes each come to no more than `most` bytes; df should be a checkpoint, as it is
+    read for the sum. None otherwise: the caller joins by a shuffle."""
+    size = df.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))).first()[0] or 0
+    return F.broadcast(df) if size <= most else None
 
 
 def smallest(df: DataFrame, n: int, *columns: str) -> DataFrame:

@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.common import append_columns, cut, table
+from quillmill.llm.common import append_columns, cut, small, table
 
 LEAST_WORDS = 25  # of a span
+SPAN_CODE = 1 << 20  # a span has fewer sentences: no more than LEAST_WORDS
 LONG = 30  # words of a sentence that is not cut
 BLANK = r"\x20\x09-\x0D"
 #: A sentence ends behind . ! or ? (with quotes or brackets) and white space, or behind a line break.
@@ -122,14 +123,15 @@ def repeated_spans(read: DataFrame, least_words: int = LEAST_WORDS, long_: int =
     return several.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at", "n").distinct()
 
 
-def without(text: str | None, gone: list[dict] | None, long_: int) -> tuple[int, int, str | None]:
-    """(number of sentences, how many go, the text without them)."""
+def without(text: str | None, gone: list[int] | None, long_: int) -> tuple[int, int, str | None]:
+    """(number of sentences, how many go, the text without them). gone has first sentence * SPAN_CODE + number of sentences of
+    each span."""
     raw, bounds, words = sentences(text, long_)
     if not gone:
         return len(words), 0, text
-    step = np.zeros(len(words) + 1, np.int64)
-    np.add.at(step, [g["at"] for g in gone], 1)
-    np.add.at(step, [g["at"] + g["n"] for g in gone], -1)
+    step, (at, n) = np.zeros(len(words) + 1, np.int64), np.divmod(np.array(gone, np.int64), SPAN_CODE)
+    np.add.at(step, at, 1)
+    np.add.at(step, at + n, -1)
     stays = np.cumsum(step[:-1]) == 0
     kept = [raw[: bounds[0]], *(raw[a:b] for a, b, s in zip(bounds, bounds[1:], stays.tolist(), strict=False) if s)]
     return len(words), int((~stays).sum()), b"".join(kept).decode("utf-8", "surrogatepass")
@@ -143,9 +145,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts under several doc_ids that of the smallest doc_id stays (null doc_ids come last). Ties within a text go by position.
     No rows give no rows.
     """
+    if least_words >= SPAN_CODE:
+        raise ValueError(f"least_words is {least_words}; it must be below {SPAN_CODE}")
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
-    covered = repeated_spans(read, least_words, long_).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("at", "n")).alias("gone"))
-    gone = covered.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "gone")
+    covered = repeated_spans(read, least_words, long_).groupBy("doc_id", "text_hash").agg(F.collect_list(F.col("at").cast("long") * SPAN_CODE + F.col("n")).alias("gone"))
+    gone = cut(covered.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "gone"))
+    gone = small(gone, 48 + 8 * F.size("gone")) or gone  # if they are few, no text is shuffled
     rows = read.join(gone, read["doc_id"].eqNullSafe(gone["_id"]) & (read["text_hash"] == gone["_hash"]), "left").select("doc_id", F.struct("text", "gone").alias("both"))
 
     def make():
