@@ -13,6 +13,7 @@ is one: at most LABELLED of its rows are read, and at most TERMS terms kept.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,14 +75,16 @@ def labeller_votes(text: str | None, terms: Terms) -> tuple[list[int], list[int]
         v(some and repeat < 0.1 * per, repeat > 0.4 * per), v(lines >= 3 and not dup, lines >= 5 and dup > 0.3 * lines), v(letters >= 60 and upper < 0.15 * letters, letters >= 20 and upper > 0.5 * letters),
         v(some and not bars, bars > 0.1 * per), v(ended >= 2 and ended >= 0.6 * lines, lines >= 3 and ended < 0.2 * lines), v(some and 3 * per <= chars <= 9 * per, some and not 2 * per <= chars <= 14 * per), v(n >= 50 and distinct > 0.3 * per, n >= 50 and distinct < 0.1 * per),
     ]
-    words = [x.strip(_edges) for x in raw.lower().split()]
-    found = [w for w in words if w in INSULTS or w in ABUSE]
-    a, b, kinds = sum(w in INSULTS for w in found), sum(w in ABUSE for w in found), len(set(found))
-    english = bool(found) or not n or 25 * sum(map(ENGLISH.__contains__, words)) >= n
+    own: Counter = Counter()
+    for word, c in Counter(raw.lower().split()).items():  # a text has far fewer words than tokens
+        own[word.strip(_edges)] += c
+    insults, abuse = own.keys() & INSULTS, own.keys() & ABUSE
+    a, b, kinds = sum(own[w] for w in insults), sum(own[w] for w in abuse), len(insults) + len(abuse)
+    found = a + b
+    english = bool(found) or not n or 25 * sum(own[w] for w in own.keys() & ENGLISH) >= n
     # A single hit can be a word of another language: it takes two, or a large share of a short text
-    toxicity = [v(not a and english, a >= 2), v(not found and english, len(found) > 0.01 * per and (len(found) >= 2 or n < 20)), v(not b and english, b >= 2), v(not kinds and english, kinds >= 2), 0, 0]
+    toxicity = [v(not a and english, a >= 2), v(not found and english, found > 0.01 * per and (found >= 2 or n < 20)), v(not b and english, b >= 2), v(not kinds and english, kinds >= 2), 0, 0]
     if terms.terms:
-        own = set(words)
         hits = sum(map(terms.__getitem__, own))
         toxicity[4:] = [v(not hits, hits >= 2), v(not hits, hits >= 2 and 50 * hits >= len(own))]
     return quality, toxicity
