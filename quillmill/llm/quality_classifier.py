@@ -29,7 +29,7 @@ from quillmill.llm.weak import count_patterns, fit_votes
 
 BUCKETS = 1 << 15
 TRAIN_ROWS = 2_000  # rows each scorer is fitted on: the one bound of this operator
-LABELLED = 20_000  # labelled rows from which terms of toxicity are learned
+LABELLED = 10_000  # labelled rows from which terms of toxicity are learned
 TERMS = 4_096
 TIMES = 15  # so many times as common in toxic rows as in others is a term
 SEEN = 4  # toxic rows that have it
@@ -50,21 +50,24 @@ def features(word: bytes) -> set[bytes]:
     return {word, *(word[:n] for n in range(4, min(9, len(word))))}
 
 
-class Terms(dict):
-    """Whether a word has one of the terms among its features, remembered; forgets all when it has a million."""
+class Kinds(dict):
+    """What the labellers of toxicity make of a word, remembered: None for nearly all words, else its plain form and whether it
+    is an insult, abuse, common English, and one of the terms. Forgets all when it has half a million."""
 
     def __init__(self, terms: frozenset[bytes]):
         super().__init__()
         self.terms = terms
 
-    def __missing__(self, word: bytes) -> bool:
-        if len(self) >= 1_000_000:
+    def __missing__(self, word: bytes) -> tuple[bytes, bool, bool, bool, bool] | None:
+        if len(self) >= 500_000:
             self.clear()
-        value = self[word] = not self.terms.isdisjoint(features(word))
+        plain = word.strip(_edges)
+        found = (plain in INSULTS, plain in ABUSE, plain in ENGLISH, bool(self.terms) and not self.terms.isdisjoint(features(plain)))
+        value = self[word] = (plain, *found) if any(found) else None
         return value
 
 
-def labeller_votes(text: str | None, terms: Terms) -> tuple[list[int], list[int]]:
+def labeller_votes(text: str | None, kinds: Kinds) -> tuple[list[int], list[int]]:
     """The votes for quality (1 good) and for being free of toxicity (1 clean, -1 toxic)."""
     raw = text.encode("utf-8", "surrogatepass") if text else b""
     n, chars, symbols, dup, repeat, lines, ended, alpha, upper, letters, bars, distinct = measures(text)
@@ -75,18 +78,16 @@ def labeller_votes(text: str | None, terms: Terms) -> tuple[list[int], list[int]
         v(some and repeat < 0.1 * per, repeat > 0.4 * per), v(lines >= 3 and not dup, lines >= 5 and dup > 0.3 * lines), v(letters >= 60 and upper < 0.15 * letters, letters >= 20 and upper > 0.5 * letters),
         v(some and not bars, bars > 0.1 * per), v(ended >= 2 and ended >= 0.6 * lines, lines >= 3 and ended < 0.2 * lines), v(some and 3 * per <= chars <= 9 * per, some and not 2 * per <= chars <= 14 * per), v(n >= 50 and distinct > 0.3 * per, n >= 50 and distinct < 0.1 * per),
     ]
-    own: Counter = Counter()
-    for word, c in Counter(raw.lower().split()).items():  # a text has far fewer words than tokens
-        own[word.strip(_edges)] += c
-    insults, abuse = own.keys() & INSULTS, own.keys() & ABUSE
-    a, b, kinds = sum(own[w] for w in insults), sum(own[w] for w in abuse), len(insults) + len(abuse)
-    found = a + b
-    english = bool(found) or not n or 25 * sum(own[w] for w in own.keys() & ENGLISH) >= n
+    count = Counter(raw.lower().split())  # a text has far fewer words than tokens
+    said = [(c, *kind) for c, kind in zip(count.values(), map(kinds.__getitem__, count), strict=True) if kind]
+    a, b, common = (sum(x[0] for x in said if x[k]) for k in (2, 3, 4))
+    found, several = a + b, len({x[1] for x in said if x[2] or x[3]}) >= 2
+    english = bool(found) or not n or 25 * common >= n
     # A single hit can be a word of another language: it takes two, or a large share of a short text
-    toxicity = [v(not a and english, a >= 2), v(not found and english, found > 0.01 * per and (found >= 2 or n < 20)), v(not b and english, b >= 2), v(not kinds and english, kinds >= 2), 0, 0]
-    if terms.terms:
-        hits = sum(map(terms.__getitem__, own))
-        toxicity[4:] = [v(not hits, hits >= 2), v(not hits, hits >= 2 and 50 * hits >= len(own))]
+    toxicity = [v(not a and english, a >= 2), v(not found and english, found > 0.01 * per and (found >= 2 or n < 20)), v(not b and english, b >= 2), v(not found and english, several), 0, 0]
+    if kinds.terms:
+        hits = len({x[1] for x in said if x[5]})
+        toxicity[4:] = [v(not hits, hits >= 2), v(not hits, hits >= 2 and 50 * hits >= len(count))]
     return quality, toxicity
 
 
@@ -207,7 +208,7 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_
     terms = read.sparkSession.sparkContext.broadcast(toxic_terms(read, labels, doc_id, toxic, labelled))
 
     def vote_columns():
-        known = Terms(terms.value)
+        known = Kinds(terms.value)
 
         def run(texts: list) -> list[pa.Array]:
             votes = np.array([sum(labeller_votes(t, known), []) for t in texts], np.int32).reshape(-1, len(names))
