@@ -331,44 +331,91 @@ def alike(sizes: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray], side:
     return moved, parent[moved]
 
 
+def shared(one: np.ndarray, other: np.ndarray) -> int:
+    """How many hashes two sorted sets have in common."""
+    if not len(one) or not len(other):
+        return 0
+    return int((other[np.minimum(np.searchsorted(other, one), len(other) - 1)] == one).sum())
+
+
 def exact_links(docs: DataFrame, distinct: DataFrame, groups: DataFrame, shingle: int, seed: int, least: float, most: int = SETS) -> DataFrame:
     """Links (a, b) whose connected components are those of all pairs within a group that have an exact similarity of `least`
     or more. docs is (doc_id, text, node), groups are the candidates' components (node, root).
 
     The sets of shingle hashes are made for the candidates only, each from the copies of its text with the least doc_id. Small
-    groups share bins of about `most` hashes; a group of more becomes pairs of blocks of about that many.
+    groups share bins of about `most` hashes. Of a larger group each member is first compared with its root alone, which links
+    most members of a dense group; what is left over then meets itself and the linked ones, in pairs of blocks of about `most`
+    hashes. Two members that are both linked to the root need no comparison.
     """
     inside = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
     members = cut(distinct.join(inside, "node").select("node", "root", "least", "size", "sketch"))
-    sizes = members.groupBy("root").agg(F.sum("size").alias("n"))
+    sizes = cut(members.groupBy("root").agg(F.sum("size").alias("n")))
     bins = max(1, math.ceil((sizes.where(F.col("n") <= most).agg(F.sum("n")).first()[0] or 0) / most))
-    hot = F.broadcast(sizes.where(F.col("n") > most).select("root", F.ceil(F.col("n") / most).cast("int").alias("parts")))  # few: each has over `most` hashes
-    own, about = docs.withColumnRenamed("doc_id", "_id"), members.select("node", "least")
-    about = small(about, 16) or about  # few candidates are broadcast, so that no text is shuffled
-    texts = own.join(about, "node").where(F.col("_id").eqNullSafe(F.col("least"))).select("node", "text")
+    hot = cut(sizes.where(F.col("n") > most).select("root"))
+    hot = small(hot, 8) or hot
+    own = docs.withColumnRenamed("doc_id", "_id")
 
     def make():
         return lambda values: [pa.array([np.unique(shingle_hashes(t, shingle, seed)).astype("<u8").tobytes() for t in values], pa.binary())]
 
-    sets = append_columns(texts, "text", [("hashes", T.BinaryType())], make).groupBy("node").agg(F.first("hashes").alias("hashes"))
-    rows = members.join(sets, "node").join(hot, "root", "left")
-    cells = rows.withColumn("bin", F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.col("root"))).withColumn("hot", F.col("parts").isNotNull())
-    cells = cells.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("root", "node", "size", "sketch", "hashes", "bin", "hot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).alias("side"))
+    def with_sets(some: DataFrame) -> DataFrame:
+        about = some.select("node", "least")
+        about = small(about, 16) or about  # few candidates are broadcast, so that no text is shuffled
+        texts = own.join(about, "node").where(F.col("_id").eqNullSafe(F.col("least"))).select("node", "text")
+        sets = append_columns(texts, "text", [("hashes", T.BinaryType())], make).groupBy("node").agg(F.first("hashes").alias("hashes"))
+        return some.join(sets, "node").select("node", "root", "size", "sketch", "hashes")
+
+    cells = with_sets(cut(members.join(hot, "root", "left_anti"))).select(F.lit("bin").alias("kind"), F.pmod(F.xxhash64("root"), F.lit(bins)).alias("bin"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(False).alias("side"), "root", "node", "size", "sketch", "hashes")
+    if sizes.where(F.col("n") > most).limit(1).count() == 0:
+        return cells.groupBy("kind", "bin", "i", "j").applyInPandas(star_of(least), "a long, b long")
+
+    def near_head():
+        def run(pairs: list) -> list[pa.Array]:
+            out = []
+            for x in pairs:
+                one, head = np.frombuffer(x["hashes"], "<u8"), np.frombuffer(x["head"], "<u8")
+                both = shared(one, head)
+                out.append(both >= least * (len(one) + len(head) - both))
+            return [pa.array(out, pa.bool_())]
+
+        return run
+
+    large = cut(with_sets(cut(members.join(hot, "root", "left_semi"))))
+    heads = cut(large.where("node = root").select("root", F.col("hashes").alias("head")))
+    heads = small(heads, 16 + F.octet_length("head")) or heads
+    paired = large.join(heads, "root").select("node", "root", "size", "sketch", F.struct("hashes", "head").alias("pair"))
+    judged = cut(append_columns(paired, "pair", [("near", T.BooleanType())], near_head).select("node", "root", "size", "sketch", "pair.hashes", "near"))
+    count = lambda c: F.ceil(F.coalesce(F.sum(F.when(c, F.col("size"))), F.lit(0)) / most).cast("int")
+    parts = cut(judged.groupBy("root").agg(count(F.col("near")).alias("linked"), count(~F.col("near")).alias("left")).where(F.col("left") > 0))
+    dealt = judged.join(small(parts, 16) or parts, "root")
+    mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["root", "node", "size", "sketch", "hashes"]
+    rest = dealt.where(~F.col("near")).withColumn("mine", mine("left"))
+    among = rest.withColumn("other", each("left")).select(F.lit("left").alias("kind"), F.col("root").alias("bin"), F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).alias("side"), *columns)
+    out = rest.withColumn("other", each("linked")).select(F.lit("both").alias("kind"), F.col("root").alias("bin"), F.col("mine").alias("i"), F.col("other").alias("j"), F.lit(False).alias("side"), *columns)
+    back = dealt.where("near").withColumn("mine", mine("linked")).withColumn("other", each("left")).select(F.lit("both").alias("kind"), F.col("root").alias("bin"), F.col("other").alias("i"), F.col("mine").alias("j"), F.lit(True).alias("side"), *columns)
+    found = cells.unionByName(among).unionByName(out).unionByName(back).groupBy("kind", "bin", "i", "j").applyInPandas(star_of(least), "a long, b long")
+    return found.unionByName(judged.where("near AND node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+
+
+def star_of(least: float):
+    """For a cell (kind, bin, i, j): stars within each of its groups, between its two sides where it has two."""
 
     def star(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["root", "size", "node"], kind="stable")
         root, node, size, side = (pdf[c].to_numpy() for c in ("root", "node", "size", "side"))
+        two = key[0] == "both" or key[2] != key[3]
         sketches = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(-1, SKETCH)
         hashes = [np.frombuffer(x, "<u8") for x in pdf["hashes"]]
         edges = np.flatnonzero(np.concatenate(([True], root[1:] != root[:-1], [True])))
         out = [(node[:0], node[:0])]
         for lo, hi in zip(edges, edges[1:], strict=False):
-            a, b = alike(size[lo:hi], sketches[lo:hi], hashes[lo:hi], side[lo:hi].astype(bool) if key[2] != key[3] else None, least, least - SLACK)
+            a, b = alike(size[lo:hi], sketches[lo:hi], hashes[lo:hi], side[lo:hi].astype(bool) if two else None, least, least - SLACK)
             out.append((node[lo + a], node[lo + b]))
         return pd.DataFrame({"a": np.concatenate([a for a, _ in out]), "b": np.concatenate([b for _, b in out])})
 
-    return cells.groupBy("bin", "hot", "i", "j").applyInPandas(star, "a long, b long")
+    return star
 
 
 def with_signature(df: DataFrame, text: str, shingle: int, seed: int) -> DataFrame:

@@ -225,7 +225,7 @@ def test_op2_verdicts(spark):
 def test_op5_posteriors(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     got = {r["doc_id"]: r for r in quality_classifier.classify(docs, labels=labels).collect()}
-    terms = quality_classifier.Terms(quality_classifier.toxic_terms(docs.select("doc_id", "text"), labels, "doc_id", "toxic", 20_000))
+    terms = quality_classifier.Kinds(quality_classifier.toxic_terms(docs.select("doc_id", "text"), labels, "doc_id", "toxic", 10_000))
     texts = documents(spark)
     votes = [quality_classifier.labeller_votes(t, terms) for _, t in texts]
     for part, name, prior, detection in ((0, "quality", 0.8, 0.2), (1, "clean", 0.9, 0.8)):
@@ -706,6 +706,18 @@ def test_smallest(spark):
     assert [r["id"] for r in smallest(df, 300, "id").collect()] == want and smallest(df.limit(50), 300, "id").count() == 50 and smallest(df.limit(0), 5, "id").count() == 0
 
 
+@pytest.mark.parametrize("most", [1 << 19, 6000])
+def test_near_copies_in_chains(spark, most):
+    """Texts that are like their neighbours only: most of a large group is not like its root."""
+    rows = []
+    for chain in range(3):
+        words = [f"c{chain}x{x}" for x in range(3200)]
+        rows += [(100 * chain + k, " ".join(words[40 * k : 40 * k + 800])) for k in range(60)]
+        rows += [(1000 + 100 * chain + k, " ".join([*words[:700], *(f"own{chain}y{k}y{x}" for x in range(60))])) for k in range(20)]
+    kept = {r["doc_id"] for r in simhash.keep_one(odd(spark, rows), most=most).collect()}
+    assert kept == set(brute_groups({d: brute_shingles(t) for d, t in rows}, 0.8).values())
+
+
 def test_sketches():
     rng = np.random.default_rng(2)
     for n in (3, 40, 5000):
