@@ -42,6 +42,7 @@ INSULTS = frozenset(b"idiot idiots moron morons imbecile stupid dumb loser loser
 ABUSE = frozenset(b"trash garbage scum vermin filth filthy pathetic worthless disgusting despicable vile wretch hate loathe pig swine".split())
 #: The most common English words.
 ENGLISH = frozenset(b"the and of to in is that for it was".split())
+MARKED = INSULTS | ABUSE | ENGLISH
 _edges = b".,;:!?\"'()[]{}*#$%&|<>"
 
 
@@ -50,24 +51,17 @@ def features(word: bytes) -> set[bytes]:
     return {word, *(word[:n] for n in range(4, min(9, len(word))))}
 
 
-class Kinds(dict):
-    """What the labellers of toxicity make of a word, remembered: None for nearly all words, else its plain form and whether it
-    is an insult, abuse, common English, and one of the terms. Forgets all when it has half a million."""
+class Terms:
+    """The terms, and their first four bytes, which tell nearly all other words by one look into a small set."""
 
     def __init__(self, terms: frozenset[bytes]):
-        super().__init__()
-        self.terms = terms
+        self.terms, self.heads = terms, frozenset(t[:4] for t in terms)
 
-    def __missing__(self, word: bytes) -> tuple[bytes, bool, bool, bool, bool] | None:
-        if len(self) >= 500_000:
-            self.clear()
-        plain = word.strip(_edges)
-        found = (plain in INSULTS, plain in ABUSE, plain in ENGLISH, bool(self.terms) and not self.terms.isdisjoint(features(plain)))
-        value = self[word] = (plain, *found) if any(found) else None
-        return value
+    def __contains__(self, word: bytes) -> bool:
+        return word[:4] in self.heads and not self.terms.isdisjoint(features(word))
 
 
-def labeller_votes(text: str | None, kinds: Kinds) -> tuple[list[int], list[int]]:
+def labeller_votes(text: str | None, terms: Terms) -> tuple[list[int], list[int]]:
     """The votes for quality (1 good) and for being free of toxicity (1 clean, -1 toxic)."""
     raw = text.encode("utf-8", "surrogatepass") if text else b""
     n, chars, symbols, dup, repeat, lines, ended, alpha, upper, letters, bars, distinct = measures(text)
@@ -79,14 +73,15 @@ def labeller_votes(text: str | None, kinds: Kinds) -> tuple[list[int], list[int]
         v(some and not bars, bars > 0.1 * per), v(ended >= 2 and ended >= 0.6 * lines, lines >= 3 and ended < 0.2 * lines), v(some and 3 * per <= chars <= 9 * per, some and not 2 * per <= chars <= 14 * per), v(n >= 50 and distinct > 0.3 * per, n >= 50 and distinct < 0.1 * per),
     ]
     count = Counter(raw.lower().split())  # a text has far fewer words than tokens
-    said = [(c, *kind) for c, kind in zip(count.values(), map(kinds.__getitem__, count), strict=True) if kind]
-    a, b, common = (sum(x[0] for x in said if x[k]) for k in (2, 3, 4))
-    found, several = a + b, len({x[1] for x in said if x[2] or x[3]}) >= 2
+    plain, heads = [w.strip(_edges) for w in count], terms.heads
+    said = [(w, c) for w, c in zip(plain, count.values(), strict=True) if w in MARKED or w[:4] in heads]
+    a, b, common = (sum(c for w, c in said if w in words) for words in (INSULTS, ABUSE, ENGLISH))
+    found, several = a + b, len({w for w, _ in said if w in INSULTS or w in ABUSE}) >= 2
     english = bool(found) or not n or 25 * common >= n
     # A single hit can be a word of another language: it takes two, or a large share of a short text
     toxicity = [v(not a and english, a >= 2), v(not found and english, found > 0.01 * per and (found >= 2 or n < 20)), v(not b and english, b >= 2), v(not found and english, several), 0, 0]
-    if kinds.terms:
-        hits = len({x[1] for x in said if x[5]})
+    if terms.terms:
+        hits = len({w for w, _ in said if w in terms})
         toxicity[4:] = [v(not hits, hits >= 2), v(not hits, hits >= 2 and 50 * hits >= len(count))]
     return quality, toxicity
 
@@ -208,7 +203,7 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_
     terms = read.sparkSession.sparkContext.broadcast(toxic_terms(read, labels, doc_id, toxic, labelled))
 
     def vote_columns():
-        known = Kinds(terms.value)
+        known = Terms(terms.value)
 
         def run(texts: list) -> list[pa.Array]:
             votes = np.array([sum(labeller_votes(t, known), []) for t in texts], np.int32).reshape(-1, len(names))

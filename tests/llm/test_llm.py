@@ -225,7 +225,7 @@ def test_op2_verdicts(spark):
 def test_op5_posteriors(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     got = {r["doc_id"]: r for r in quality_classifier.classify(docs, labels=labels).collect()}
-    terms = quality_classifier.Kinds(quality_classifier.toxic_terms(docs.select("doc_id", "text"), labels, "doc_id", "toxic", 10_000))
+    terms = quality_classifier.Terms(quality_classifier.toxic_terms(docs.select("doc_id", "text"), labels, "doc_id", "toxic", 10_000))
     texts = documents(spark)
     votes = [quality_classifier.labeller_votes(t, terms) for _, t in texts]
     for part, name, prior, detection in ((0, "quality", 0.8, 0.2), (1, "clean", 0.9, 0.8)):
