@@ -303,13 +303,6 @@ def test_op4_passages(spark):
     assert all((n > 0) == (d % 10 in (1, 4)) for d, n in got.items()), {d: n for d, n in got.items() if (n > 0) != (d % 10 in (1, 4))}
 
 
-def test_op4_without_a_broadcast(spark, monkeypatch):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    want = sorted(map(tuple, substrings.remove_repeats(docs).collect()))
-    monkeypatch.setattr(substrings, "small", lambda df, row_bytes: None)
-    assert sorted(map(tuple, substrings.remove_repeats(docs).collect())) == want
-
-
 @pytest.mark.parametrize("text", [" " * 2_000_000, "a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "Word. " * 100_000, ".)" * 1_000_000, "x" * 2_000_000], ids=len)
 def test_op4_long_texts(text):
     began = time.time()
