@@ -468,6 +468,14 @@ def test_op8_inheritance(spark):
     assert got == {0: ("MIT", "file"), 1: ("MIT", "inherited"), 2: ("Apache-2.0", "header"), 3: (None, "none"), 4: ("CC-BY-NC-4.0", "file"), 5: ("CC-BY-NC-4.0", "inherited"), 6: (None, "none")}
 
 
+def test_op8_odd_files(spark):
+    rows = [(0, "a/LICENSE", None), (1, "a/x", "text"), (2, "LICENSE", "Released under the MIT License."), (2, "LICENSE", "Released under the MIT License."), (3, None, "plain"), (4, "b/LICENSE", ""), (None, "b/y", "copyright " * 20_000), (5, "c/LICENSE", "SPDX-License-Identifier: Apache-2.0"), (6, "c/LICENSE", "Released under the MIT License.")]
+    files = spark.createDataFrame([(*r, "x", 1.0, None) for r in rows], "doc_id long, path string, text string, license string, score double, given string")
+    got = sorted((str(r["doc_id"]), r["license"], r["origin"]) for r in licenses.scan_licenses(files).collect())
+    assert [g for g in got if g[0] not in ("None", "5", "6")] == [("0", "MIT", "inherited"), ("1", "MIT", "inherited"), ("2", "MIT", "file"), ("2", "MIT", "file"), ("3", "MIT", "inherited"), ("4", "MIT", "inherited")]
+    assert {g for g in got if g[0] in "56"} == {("5", "Apache-2.0", "file"), ("6", "MIT", "file")} and len(got) == len(rows)
+
+
 def names(spark, texts, path="src/x{}.c"):
     files = spark.createDataFrame([(i, path.format(i), t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
     return [r["license"] for r in licenses.scan_licenses(files).orderBy("doc_id").collect()]
