@@ -13,7 +13,6 @@ is one: at most LABELLED of its rows are read, and at most TERMS terms kept.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmill.llm.common import append_columns, cut, smallest, table
-from quillmill.llm.quality_rules import measures
+from quillmill.llm.quality_rules import measures_and_words
 from quillmill.llm.weak import count_patterns, fit_votes
 
 BUCKETS = 1 << 15
@@ -63,8 +62,7 @@ class Terms:
 
 def labeller_votes(text: str | None, terms: Terms) -> tuple[list[int], list[int]]:
     """The votes for quality (1 good) and for being free of toxicity (1 clean, -1 toxic)."""
-    raw = text.encode("utf-8", "surrogatepass") if text else b""
-    n, chars, symbols, dup, repeat, lines, ended, alpha, upper, letters, bars, distinct = measures(text)
+    (n, chars, symbols, dup, repeat, lines, ended, alpha, upper, letters, bars, distinct), count = measures_and_words(text)
     v = lambda good, bad: 1 if good else -1 if bad else 0
     per, some = max(n, 1), n >= 20
     quality = [
@@ -72,8 +70,7 @@ def labeller_votes(text: str | None, terms: Terms) -> tuple[list[int], list[int]
         v(some and repeat < 0.1 * per, repeat > 0.4 * per), v(lines >= 3 and not dup, lines >= 5 and dup > 0.3 * lines), v(letters >= 60 and upper < 0.15 * letters, letters >= 20 and upper > 0.5 * letters),
         v(some and not bars, bars > 0.1 * per), v(ended >= 2 and ended >= 0.6 * lines, lines >= 3 and ended < 0.2 * lines), v(some and 3 * per <= chars <= 9 * per, some and not 2 * per <= chars <= 14 * per), v(n >= 50 and distinct > 0.3 * per, n >= 50 and distinct < 0.1 * per),
     ]
-    count = Counter(raw.lower().split())  # a text has far fewer words than tokens
-    plain, heads = [w.strip(_edges) for w in count], terms.heads
+    plain, heads = [w.lower().strip(_edges) for w in count], terms.heads
     said = [(w, c) for w, c in zip(plain, count.values(), strict=True) if w in MARKED or w[:4] in heads]
     a, b, common = (sum(c for w, c in said if w in words) for words in (INSULTS, ABUSE, ENGLISH))
     found, several = a + b, len({w for w, _ in said if w in INSULTS or w in ABUSE}) >= 2

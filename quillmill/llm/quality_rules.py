@@ -47,10 +47,15 @@ def repeat_words(ids: np.ndarray, n_distinct: int, width: int = 3) -> int:
 
 def measures(text: str | None) -> tuple[int, ...]:
     """The counts MEASURES of one text; of a null or empty text all are zero."""
+    return measures_and_words(text)[0]
+
+
+def measures_and_words(text: str | None) -> tuple[tuple[int, ...], Counter]:
+    """The same, and how often each word occurs, for further rules."""
     raw = text.encode("utf-8", "surrogatepass") if text else b""
     words = raw.split()
     if not words:
-        return (0, 0, len(_symbols.findall(raw)), 0, 0, 0, 0, 0, 0, 0, 0, 0)
+        return (0, 0, len(_symbols.findall(raw)), 0, 0, 0, 0, 0, 0, 0, 0, 0), Counter()
     number: dict[bytes, int] = {}
     ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
     joined = np.frombuffer(b"".join(words), np.uint8)
@@ -58,8 +63,9 @@ def measures(text: str | None) -> tuple[int, ...]:
     upper = int(np.count_nonzero((joined >= 65) & (joined <= 90)))
     letters = int(np.count_nonzero(((joined | 32) >= 97) & ((joined | 32) <= 122))) + int(np.count_nonzero(joined >= 0xC0))
     lines = [x for x in raw.split(b"\n") if x.split(None, 1)]
-    alpha = sum(c for w, c in Counter(words).items() if w.isalpha() or any(97 <= (x | 32) <= 122 or x >= 128 for x in w))
-    return (len(words), word_chars, len(_symbols.findall(raw)), len(lines) - len(set(lines)), repeat_words(ids, len(number)), len(lines), sum(1 for x in lines if _ended.search(x)), alpha, upper, letters, len(_bars.findall(raw)), len(number))
+    count = Counter(words)
+    alpha = sum(c for w, c in count.items() if w.isalpha() or any(97 <= (x | 32) <= 122 or x >= 128 for x in w))
+    return (len(words), word_chars, len(_symbols.findall(raw)), len(lines) - len(set(lines)), repeat_words(ids, len(number)), len(lines), sum(1 for x in lines if _ended.search(x)), alpha, upper, letters, len(_bars.findall(raw)), len(number)), count
 
 
 def vote(good: Column, bad: Column) -> Column:
