@@ -34,6 +34,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a table of intermediate results that a later one has replaced."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 MOST_BROADCAST = 32 << 20  # bytes
 
 
