@@ -97,6 +97,24 @@ def share_run(a: Column, b: Column, n: Column | int) -> Column:
     return F.arrays_overlap(ngrams(a, n), ngrams(b, n))
 
 
+def longest_run(a: Column, b: Column) -> Column:
+    """The longest run of consecutive words that a and b share, as (length, start): its first place in a, from 0, or -1 for none.
+
+    Whether there is one of n words falls with n, so that n is found by bisection, each step comparing the hashes of the n-word
+    runs of both (64 bits, compared within one pair of texts).
+    """
+    hashed = lambda ws, n: F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - n + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(ws, i, n)))
+    both = lambda n: (F.size(a) >= n) & (F.size(b) >= n) & F.arrays_overlap(hashed(a, n), hashed(b, n))
+    most = F.least(F.size(a), F.size(b))
+    middle = lambda s: ((s["lo"] + s["hi"] + 1) / 2).cast("int")
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(most, F.lit(1)) + 1)).cast("int"))
+    halve = lambda s, _: F.when(s["lo"] >= s["hi"], s).when(both(middle(s)), F.struct(middle(s).alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), (middle(s) - 1).alias("hi")))
+    by_hash = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), most.alias("hi")), halve)["lo"]
+    found = lambda n: F.struct(n.alias("length"), F.when(n > 0, F.array_min(F.transform(F.array_intersect(hashed(a, n), hashed(b, n)), lambda h: F.array_position(hashed(a, n), h))) - 1).otherwise(-1).cast("int").alias("start"))
+    none = F.struct(F.lit(0).alias("length"), F.lit(-1).alias("start"))
+    return F.coalesce(F.element_at(F.transform(F.array(by_hash), found), 1), none)
+
+
 def starts_with(ws: Column, head: Column) -> Column:
     return (F.size(ws) >= F.size(head)) & (F.slice(ws, 1, F.greatest(F.size(head), F.lit(1))) == head)
 

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -99,6 +103,91 @@ def stratified(df: DataFrame, stratum: str, caps: dict, limit: int, ordinal: str
     return one.unionByName(rest.orderBy(ordinal).limit(more).withColumn("selection_pass", F.lit(2)))
 
 
+def fitted(available: dict[tuple, int], targets: list[dict], rounds: int = 200) -> dict[tuple, int]:
+    """How many of each cell to take, so that every margin meets its targets, or comes as near as the cells allow.
+
+    available: rows of each cell, a cell being one value for each margin; targets: for each margin the number wanted by value. Proportional
+    fitting starts from what is there, so that a cell's share among those with its values is kept, and never goes over it.
+    Whole parts are taken; the rest is dealt one by one: to a cell with rows left all of whose margins are short, or, of two margins, along
+    a chain of cells that takes from some what it gives to others (a shortest augmenting path, so that the total is the
+    largest that both margins and the cells allow). Values without a target get nothing.
+    """
+    cells = sorted((c for c, n in available.items() if n > 0 and all(t.get(v, 0) > 0 for v, t in zip(c, targets, strict=True))), key=repr)
+    x = {c: float(available[c]) for c in cells}
+    for _ in range(rounds):
+        for m, target in enumerate(targets):
+            sums: dict = {}
+            for c in cells:
+                sums[c[m]] = sums.get(c[m], 0.0) + x[c]
+            for c in cells:
+                x[c] = min(x[c] * target[c[m]] / sums[c[m]], float(available[c])) if sums[c[m]] else 0.0
+    taken = {c: math.floor(x[c] + 1e-9) for c in cells}
+    short = [dict(t) for t in targets]
+    for c in cells:
+        for m, v in enumerate(c):
+            short[m][v] -= taken[c]
+    for c in cells:  # fitting under the cells' bounds may end a little over a target
+        while any(short[m][v] < 0 for m, v in enumerate(c)) and taken[c]:
+            taken[c] -= 1
+            for m, v in enumerate(c):
+                short[m][v] += 1
+    by_rest = sorted(cells, key=lambda c: (taken[c] - x[c], repr(c)))
+    while True:
+        give = next((c for c in by_rest if taken[c] < available[c] and all(short[m][v] > 0 for m, v in enumerate(c))), None)
+        path = [give] if give else chain(by_rest, available, taken, short) if len(targets) == 2 else None
+        if not path:
+            return taken
+        for k, c in enumerate(path):
+            taken[c] += 1 if k % 2 == 0 else -1
+            for m, v in enumerate(c):
+                short[m][v] -= 1 if k % 2 == 0 else -1
+        by_rest.sort(key=lambda c: (taken[c] - x[c], repr(c)))
+
+
+def chain(cells: list[tuple], available: dict, taken: dict, short: list[dict]) -> list[tuple] | None:
+    """Cells to add to, take from, add to, ... that leads from a short value of the first margin to a short one of the second."""
+    came: dict = {("a", v): None for v, n in short[0].items() if n > 0}
+    queue = list(came)
+    for side, value in queue:
+        for c in cells:
+            if side == "a" and c[0] == value and taken[c] < available[c] and ("b", c[1]) not in came:
+                came["b", c[1]] = (side, value), c
+                if short[1][c[1]] > 0:
+                    path, at = [], ("b", c[1])
+                    while came[at]:
+                        at, cell = came[at]
+                        path.append(cell)
+                    return path[::-1]
+                queue.append(("b", c[1]))
+            elif side == "b" and c[1] == value and taken[c] > 0 and ("a", c[0]) not in came:
+                came["a", c[0]] = (side, value), c
+                queue.append(("a", c[0]))
+    return None
+
+
+def mix(df: DataFrame, margins: dict[str, dict], limit: int, ordinal: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, report): about `limit` rows whose shares meet several margins at once, {column: {value: share}}; of each cell (a
+    value for each column) the first rows by the ordinal. The report, (margin, value, target, got, shortfall), tells what the
+    rows of df didn't allow. Shares that don't add up to one are taken as they stand; other values and nulls get nothing.
+
+    The driver sees one count for each cell. Ranks come from `numbered`, so that a cell of any size is spread over tasks.
+    """
+    spark, columns = df.sparkSession, list(margins)
+    # One type for all values, as a cell's name.
+    text = [F.col(f"`{c}`").cast("string") for c in columns]
+    df = cut(df)
+    named = [{str(v): n for v, n in quotas(limit, margins[c]).items()} for c in columns]
+    wanted = [t.isin(list(n)) for t, n in zip(text, named, strict=True)]
+    inside = df.where(reduce(lambda a, b: a & b, wanted))
+    counts = {tuple(r[:-1]): r[-1] for r in inside.groupBy(*(t.alias(f"_{k}") for k, t in enumerate(text))).agg(F.count("*")).collect()}  # a row for each cell
+    taken = fitted(counts, named)
+    cap = spark.createDataFrame([("\x1f".join(c), n) for c, n in taken.items() if n], "cell string, cap long")
+    named_rows = inside.select(F.struct("*").alias("row"), F.concat_ws("\x1f", *text).alias("of"), F.col(f"`{ordinal}`").alias("place"))
+    rows = numbered(named_rows, "of", "place", "k").join(F.broadcast(cap), F.col("of") == F.col("cell")).where("k < cap").select("row.*")
+    got = [(c, v, n, sum(x for cell, x in taken.items() if cell[m] == v)) for m, c in enumerate(columns) for v, n in named[m].items()]
+    return rows, spark.createDataFrame([(*g, g[2] - g[3]) for g in got], "margin string, value string, target long, got long, shortfall long")
+
+
 def shard_plan(spark: SparkSession, total: int, shards: int, profiles: list[str], seed: int) -> DataFrame:
     """(ix, profile, target, seed, name): even shares, profiles in turn."""
     share, extra = divmod(total, shards)
@@ -160,33 +249,78 @@ def fixed_batches(df: DataFrame, size: int, ordinal: str, part: str) -> DataFram
     return rows.withColumns({"batch": F.floor(F.col("_place") / size).cast("long"), "local_id": (F.col("_place") % size).cast("long")}).drop("_place")
 
 
-def next_fit(df: DataFrame, part: str, ordinal: str, cost: str, most_items: int, budget: int, envelope: int = 0, between: int = 2, per: int = 1, before: int = 0, output_each: int = 0, output_budget: int = 0) -> DataFrame:
+def jumps(cost: np.ndarray, most: int, room: float, between: int) -> np.ndarray:
+    """For each place the place at which the next batch begins, if one begins there: up to `most` items whose costs, and `between`
+    for each but the first, come to `room` at most; an item that is dearer goes alone. By bisection over running sums."""
+    sums = np.concatenate(([0], np.cumsum(cost + between)))
+    begin = np.arange(len(cost))
+    fits = np.searchsorted(sums, sums[:-1] + room + between, side="right") - 1
+    return np.maximum(begin + 1, np.minimum(begin + most, fits))
+
+
+def next_fit(df: DataFrame, part: str, ordinal: str, cost: str, most_items: int, budget: int, envelope: int = 0, between: int = 2, per: int = 1, before: int = 0, output_each: int = 0, output_budget: int = 0, chunk: int = 50_000) -> DataFrame:
     """df with batch: items join the open batch in order until one more would make it too many or too dear; an item over a
-    budget is a batch of its own.
+    budget is a batch of its own. Costs are whole numbers from 0; ordinals are unique in a part.
 
     The costs of a batch add up with an envelope and what stands between two items; `per` units (characters, say) are a token
-    of the budget, on top of `before` tokens. Each item has output_each tokens of another budget. The fold is state over an
-    ordered group, so it is written as grouped pandas, in one task for each part: parts are the caller's shards, which bound
-    them (`fixed_batches` first, if they don't).
-    """
-    from pyspark.sql import types as T
+    of the budget, on top of `before` tokens. Each item has output_each tokens of another budget.
 
-    schema = T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())])
+    Where a batch ends depends on where it began and nothing else. So a part is cut into chunks of places; a chunk, with the
+    `most` items after it, says for each place among its first `most` (where the first batch of a chunk can begin) at which place of
+    the next chunk the batches from there arrive, and how many they are. These jump tables, a few rows for a chunk, are squared until
+    they reach over the whole part, in log n joins, and followed from the part's first item. Then each chunk numbers its items on
+    its own. No task has more than a chunk, however large a part is; parts of one chunk have no tables.
+    """
     most = min(most_items, output_budget // output_each) if output_each else most_items
-
-    def fold(pdf):
-        pdf = pdf.sort_values(ordinal, kind="stable")
-        out, batch, items, used = [], 0, 0, envelope
-        for c in pdf[cost].tolist():
-            more = c + (between if items else 0)
-            tokens = used + more if per == 1 else before + max(1, math.ceil((used + more) / per))
-            if items and (items + 1 > most or tokens > budget):
-                batch, items, used, more = batch + 1, 0, envelope, c
-            items, used = items + 1, used + more
-            out.append(batch)
-        return pdf.assign(batch=out)
-
-    return df.groupBy(part).applyInPandas(fold, schema)
+    most = max(1, most)
+    room = (budget if per == 1 else per * (budget - before) if budget - before >= 1 else -1) - envelope
+    size = max(chunk, 2 * most)
+    rows = numbered(df, part, ordinal, "_at").withColumns({"_chunk": F.floor(F.col("_at") / size), "_in": (F.col("_at") % size).cast("long")})
+    lean = cut(rows.select(F.col(part).alias("part"), F.col("_chunk").alias("chunk"), F.col("_in").alias("at"), F.coalesce(F.col(cost), F.lit(0)).cast("long").alias("cost")))
+    part_type = lean.schema["part"].dataType.simpleString()
+    large = lean.groupBy("part").agg(F.max("chunk").alias("last")).where("last > 0")
+    # A chunk's last batch may take the first items of the next one.
+    some = lean.join(cut(large), lean["part"].eqNullSafe(large["part"]), "left_semi")
+    after = some.where((F.col("at") < most) & (F.col("chunk") > 0)).select("part", (F.col("chunk") - 1).alias("chunk"), (F.col("at") + size).alias("at"), "cost")
+
+    def table(key, pdf):
+        pdf = pdf.sort_values("at", kind="stable")
+        n, to = int((pdf["at"] < size).sum()), jumps(pdf["cost"].to_numpy(), most, room, between)
+        goal, steps = np.empty(n, np.int64), np.empty(n, np.int64)
+        for i in range(n - 1, -1, -1):
+            j = to[i]
+            goal[i], steps[i] = (goal[j], steps[j] + 1) if j < n else (j - size, 1)
+        k = min(n, most)
+        return pd.DataFrame({"part": [key[0]] * k, "chunk": key[1], "begin": np.arange(k), "goal": goal[:k], "steps": steps[:k]})
+
+    begins = lean.where("chunk = 0 AND at = 0").select("part", "chunk", F.lit(0).cast("long").alias("begin"), F.lit(0).cast("long").alias("batch"))
+    reach = large.agg(F.max("last")).first()[0] or 0
+    if reach:
+        levels = [cut(some.unionByName(after).groupBy("part", "chunk").applyInPandas(table, f"part {part_type}, chunk long, begin long, goal long, steps long"))]
+        while 1 << len(levels) <= reach:
+            a, b = levels[-1].alias("a"), levels[-1].alias("b")
+            both = F.col("a.part").eqNullSafe(F.col("b.part")) & (F.col("b.chunk") == F.col("a.chunk") + (1 << len(levels) - 1)) & (F.col("b.begin") == F.col("a.goal"))
+            levels.append(cut(a.join(b, both).select("a.part", "a.chunk", "a.begin", "b.goal", (F.col("a.steps") + F.col("b.steps")).alias("steps"))))
+        for k in reversed(range(len(levels))):
+            a, b = begins.alias("a"), levels[k].alias("b")
+            both = F.col("a.part").eqNullSafe(F.col("b.part")) & (F.col("a.chunk") == F.col("b.chunk")) & (F.col("a.begin") == F.col("b.begin"))
+            begins = cut(begins.unionByName(a.join(b, both).select("a.part", (F.col("a.chunk") + (1 << k)).alias("chunk"), F.col("b.goal").alias("begin"), (F.col("a.batch") + F.col("b.steps")).alias("batch"))))
+
+    def number(key, pdf):
+        pdf = pdf.sort_values("at", kind="stable")
+        to = jumps(pdf["cost"].to_numpy(), most, room, between)
+        out, i, n = np.empty(len(pdf), np.int64), int(pdf["begin"].iloc[0]), int(pdf["first"].iloc[0])
+        out[:i] = n - 1
+        while i < len(out):
+            out[i : to[i]] = n
+            i, n = int(to[i]), n + 1
+        return pd.DataFrame({"part": [key[0]] * len(out), "chunk": key[1], "at": pdf["at"].to_numpy(), "batch": out})
+
+    first = begins.select(F.col("part").alias("_p"), F.col("chunk").alias("_c"), "begin", F.col("batch").alias("first"))
+    named = lean.join(first, lean["part"].eqNullSafe(F.col("_p")) & (lean["chunk"] == F.col("_c"))).select("part", "chunk", "at", "cost", "begin", "first")
+    found = named.groupBy("part", "chunk").applyInPandas(number, f"part {part_type}, chunk long, at long, batch long")
+    back = rows.join(found, rows[part].eqNullSafe(found["part"]) & (rows["_chunk"] == found["chunk"]) & (rows["_in"] == found["at"]))
+    return back.select(*(rows[c] for c in df.columns), "batch")
 
 
 def rows_from(df: DataFrame, ordinal: str, start: int, n: int) -> DataFrame:

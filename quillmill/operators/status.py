@@ -74,3 +74,25 @@ def length_bands(df: DataFrame, text: str, bounds: list[int]) -> DataFrame:
 def notice_text(label: Column, successful: Column, target: Column, rows: Column, errors: Column, shards: Column) -> Column:
     share = 100.0 * successful / F.greatest(F.lit(1), target)
     return F.format_string("%s: %d/%d (%.1f%%), rows=%d, errors=%d, shards_seen=%d", label, successful, target, share, rows, errors, shards)
+
+
+def reviewed(rows: DataFrame, decisions: DataFrame, ordinal: str, start: int = 1, key: str = "id") -> dict[str, DataFrame]:
+    """Rows by what reviewers decided: accepted (as they came), rejected (with review_note), reviews (id, decision, profile,
+    category, note) and remaining (from the start-th row on, without a decision).
+
+    decisions is an append log (id, decision, note, at): of several on a row the latest counts, of two at the same time the
+    rejection, then the later note; `skip` and an unknown decision count as none. A null id has decisions of its own.
+    The log is pre-aggregated to one entry for each id before it meets the rows.
+    """
+    known = decisions.where(F.col("decision").isin("accept", "reject"))
+    latest = known.groupBy(F.col(key).alias("_key")).agg(F.max(F.struct(F.col("at"), (F.col("decision") == "reject").alias("no"), F.coalesce("note", F.lit("")).alias("note"))).alias("_last"))
+    at = rows.join(latest, F.col(key).eqNullSafe(F.col("_key")), "left")
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    profile = F.coalesce(*(F.col(c) for c in ("sweep_profile", "user_prompt_profile") if c in rows.columns), F.lit(None).cast("string"))
+    category = F.col("category") if "category" in rows.columns else F.lit(None).cast("string")
+    return {
+        "accepted": at.where("NOT _last.no").select(*own),
+        "rejected": at.where("_last.no").select(*own, F.col("_last.note").alias("review_note")),
+        "reviews": at.where("_last IS NOT NULL").select(F.col(key).alias("id"), F.when(F.col("_last.no"), "reject").otherwise("accept").alias("decision"), profile.alias("profile"), category.alias("category"), F.when(F.col("_last.no"), F.col("_last.note")).otherwise("").alias("note")),
+        "remaining": at.where(F.col("_last").isNull() & (F.col(ordinal) >= start)).select(*own),
+    }

@@ -6,13 +6,16 @@ turns of one conversation), documents and labels for the rows of a run in eight
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
 from quillmill.operators import answers, conversations, echo, selection, status
 from quillmill.plans import conversation_sql as cs
-from quillmill.sources import jsonl, shared
+from quillmill.sources import commits, growing, jsonl, shared
+from quillmill.sources.shared import cut
 from quillmill.streaming import progress
 
 SCENARIOS = {"en": "at the station", "de": "in the kitchen", "fr": "on the way home"}
@@ -20,6 +23,8 @@ LANGUAGES = {"en": 0.3, "de": 0.3, "fr": 0.25, "es": 0.15}
 PLAN = {"work": 0.5, "home": 0.3, "travel": 0.2, "never": 0.0}
 REPLIES = {"2": 0.2, "3": 0.3, "4": 0.3, "5": 0.2}
 AXES = {"mood": ["calm", "rushed"], "style": ["plain", "odd", "short"]}
+MIX = {"lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}, "band": {"short": 0.35, "middle": 0.4, "long": 0.25}}
+MIX_LIMIT = 40
 ORDINAL = "conv_id * 1000000 + turn"  # of a turn among all turns
 
 
@@ -225,6 +230,115 @@ def t1_follow_until(spark, sf_dir):
     return spark.read.schema(schema).parquet(f"{folder}/out").select("conv_id", "turn")
 
 
+def f7_longest_runs(spark, sf_dir):
+    """The longest run that a reply has in common with the user's text before it: how many words, and where it begins there."""
+    turns = conversations.with_previous_user(read(spark, sf_dir, "conversations")).where("role = 'assistant' AND user_text IS NOT NULL")
+    rows = tx.computed(turns, {"u": tx.words(F.col("user_text")), "r": tx.words(F.coalesce("text", F.lit("")))})
+    return rows.select("conv_id", "turn", tx.longest_run(F.col("u"), F.col("r")).alias("run")).select("conv_id", "turn", "run.length", "run.start")
+
+
+def c4_one_shard(spark, sf_dir):
+    """All turns as one shard of many chunks: next-fit over the whole table, whose batches go on from chunk to chunk."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.lit(0).alias("part"), F.expr(ORDINAL).alias("ordinal"), tx.estimate_tokens(F.coalesce("text", F.lit(""))).alias("cost"))
+    return selection.next_fit(rows, "part", "ordinal", "cost", 5, 120, chunk=100).select("conv_id", "turn", "batch")
+
+
+def w15_mix(spark, sf_dir):
+    """A mix by language and by length at once: how much of each was wanted and got, as the chosen rows say."""
+    n = F.size(tx.split_words(F.coalesce("text", F.lit(""))))
+    band = F.when(n <= 100, "short").when(n <= 300, "middle").otherwise("long")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", band.alias("band"))
+    rows, report = selection.mix(docs, MIX, MIX_LIMIT, "doc_id")
+    rows = cut(rows)
+    counts = [rows.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n")).withColumn("margin", F.lit(c)) for c in MIX]
+    return report.join(counts[0].unionByName(counts[1]), ["margin", "value"], "left").select("margin", "value", "target", F.coalesce("n", F.lit(0)).alias("got"), "shortfall")
+
+
+def c11_review(spark, sf_dir):
+    """Decisions on documents in two rounds, the later of which counts; rows by what became of them."""
+    labels = read(spark, sf_dir, "labels")
+    first = labels.select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "accept").otherwise("reject").alias("decision"), F.lit("first look").alias("note"), F.lit(1).alias("at"))
+    second = labels.where("doc_id % 3 = 0").select(F.col("doc_id").alias("id"), F.when(F.col("toxic") == 1, "reject").when(F.col("doc_id") % 2 == 0, "skip").otherwise("accept").alias("decision"), F.concat(F.lit("toxic: "), F.col("toxic").cast("string")).alias("note"), F.lit(2).alias("at"))
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("category"))
+    found = status.reviewed(docs, first.unionByName(second), "id", start=50)
+    whole = lambda k: found[k].select("id", F.lit(k).alias("output"), "category", F.col("review_note" if k == "rejected" else "note").alias("note") if k in ("rejected", "reviews") else F.lit(None).cast("string").alias("note"))
+    return reduce(DataFrame.unionByName, map(whole, found))
+
+
+def s4_total_order(spark, sf_dir):
+    """Three files of very unequal size in a folder and one before it among the arguments: the place of each line among all,
+    and whether it is the first of its language."""
+    folder = shared.folder(spark, "shards")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang")
+    shard = F.when(F.col("doc_id") % 50 == 0, "a").when(F.col("doc_id") % 10 < 8, "b").otherwise("c")
+    for name in ("z", "a", "b", "c"):
+        mine = docs.where(F.col("doc_id") % 7 == 0) if name == "z" else docs.where((F.col("doc_id") % 7 > 0) & (shard == name))
+        jsonl.write_jsonl(mine.repartition(1).sortWithinPartitions("doc_id"), f"{folder}/{'first' if name == 'z' else f'rest/{name}'}")
+    rows = jsonl.read_ordered(spark, [f"{folder}/first", *[f"{folder}/rest/*"]], "doc_id bigint, lang string")
+    rows = cut(rows)
+    firsts = selection.first_wins(rows, F.col("lang"), "ordinal").select("doc_id", F.lit(True).alias("first"))
+    return selection.numbered(rows, "input_ix", "ordinal", "k").join(firsts, "doc_id", "left").select("doc_id", F.col("input_ix").cast("long").alias("input_ix"), F.col("source_line"), F.col("k").alias("place"), F.coalesce("first", F.lit(False)).alias("first"))
+
+
+def t3_growing_files(spark, sf_dir):
+    """Files that grow in three steps, the last line of a step cut in two; a stream that is restarted after each step."""
+    folder = shared.folder(spark, "growing")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 5 == 2, "failed").alias("error"))
+    line = F.when(F.col("turn") % 9 == 4, F.concat(F.lit("x"), F.to_json(F.struct("conv_id")))).otherwise(F.to_json(F.struct("conv_id", "turn", "error")))
+    rows = turns.select((F.col("conv_id") % 4).alias("file"), (F.col("turn") % 3).alias("step"), line.alias("line"))
+
+    def grow(step: int):
+        def run(key, pdf):
+            """Appends a file's lines; of the last one, half now and half with the next step."""
+            store, path = growing.place(f"{folder}/in")
+            store.create_dir(path)
+            text = "".join(f"{x}\n" for x in sorted(pdf.loc[pdf["step"] == step, "line"]))
+            held = "".join(f"{x}\n" for x in sorted(pdf.loc[pdf["step"] == step - 1, "line"]))[-10:] if step else ""
+            with store.open_append_stream(f"{path}/{key[0]}.jsonl") as out:
+                out.write((held + (text[:-10] if step < 2 else text)).encode())
+            return pdf[["file"]].head(1)
+
+        return run
+
+    for step in range(3):
+        rows.groupBy("file").applyInPandas(grow(step), "file long").collect()  # a row for each file
+        stream = growing.follow_growing(spark, f"{folder}/in", "conv_id bigint, turn bigint, error string", include_errors=True)
+        commits.write_stream(stream, f"{folder}/out", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    found = commits.read(spark, f"{folder}/out", "source_file string, position long, error string, conv_id long, turn long, line string")
+    return found.select("source_file", "conv_id", "turn", "error", "line")
+
+
+def k2_append_resume(spark, sf_dir):
+    """A run in four batches, of which the second was killed after its files were written and before they counted, and the third
+    was sent twice; then what is still pending, as the last batch."""
+    folder = shared.folder(spark, "appended")
+    planned = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("ordinal"))
+    work = lambda df: df.select("id", F.when(F.col("ordinal") % 11 == 0, "failed").alias("error"), (F.col("ordinal") * 2).alias("result"))
+    part = lambda k: work(planned.where(F.col("ordinal") % 4 == k))
+    schema = "id string, error string, result long"
+    commits.append(part(0), folder, "run", 0)
+    part(1).write.parquet(f"{folder}/staged/run-{1:020d}-killed")
+    for k in (1, 2, 2):
+        commits.append(part(k), folder, "run", k)
+    commits.resume(planned, commits.read(spark, folder, schema), lambda df: df.select("id", F.lit(None).cast("string").alias("error"), (F.col("ordinal") * 2).alias("result")), folder, "run", 3)
+    commits.vacuum(spark, folder)
+    total = commits.count(spark, folder)
+    return commits.read(spark, folder, schema).select("id", "error", "result", F.lit(total).cast("long").alias("rows"))
+
+
+def t2_notices(spark, sf_dir):
+    """Notices of the runs of all sources, whose rows land in two parts, with a restart between them: none comes twice."""
+    folder = shared.folder(spark, "notices")
+    rows = read(spark, sf_dir, "documents").select(F.col("source").alias("run_id"), F.col("doc_id").cast("double").alias("at"), (F.col("doc_id") % 11 > 0).alias("ok"), F.lit(40).cast("long").alias("target"))
+    half = rows.agg(F.max("at")).first()[0] // 2
+    for part in (rows.where(F.col("at") <= half), rows.where(F.col("at") > half), None):  # the third time nothing is new
+        if part is not None:
+            part.repartition(1).write.mode("append").parquet(f"{folder}/in")
+        due = progress.notices(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), 15, 60.0, timer=False)
+        progress.deliver(due, f"{folder}/log", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return commits.read(spark, f"{folder}/log", "run_id string, label string, successful long, at double")
+
+
 def run_rows(spark, sf_dir):
     """Rows of a run: id, error, shard and ordinal; a third of the documents have an id in common with the one before."""
     error = F.when(F.col("doc_id") % 11 == 0, "failed").otherwise("")
@@ -326,6 +440,7 @@ QUERIES = {
         w14_job_grid, k1_jsonl_round_trip, s2_lenient_scan, t3_follow,
         p3_reply_items, p4_stored_rows, c3_token_shares, c4_pack_batches, p8_unfiltered, k3_split_answers, s4_numbered_lines, s6_in_order, p1_question_orders, w5_by_language, w9_slice, a12_common_starts,
         t1_follow_until,
+        f7_longest_runs, c4_one_shard, w15_mix, c11_review, s4_total_order, t3_growing_files, k2_append_resume, t2_notices,
     )
 }
 
@@ -472,4 +587,34 @@ SELECT conv_id, repeat('=', 100) || chr(10) || 'id=' || conv_id || '  file=conve
     "k1_jsonl_round_trip": "SELECT conv_id, turn, role, text FROM conversations",
     "s2_lenient_scan": """SELECT CASE WHEN turn % 7 = 3 THEN 'x' ELSE '' END || '{"conv_id":' || conv_id || ',"turn":' || turn || '}' AS line, CASE WHEN turn % 7 = 3 THEN 'invalid json' ELSE '' END AS error FROM conversations""",
     "t3_follow": "SELECT conv_id, turn FROM conversations WHERE turn % 5 <> 2",
+    "f7_longest_runs": f"""WITH r AS (SELECT conv_id, turn, {cs.words("user_text")} AS u, {cs.words("coalesce(text, '')")} AS r FROM ({cs.PREVIOUS}) WHERE role = 'assistant' AND user_text IS NOT NULL),
+m AS (SELECT conv_id, turn, i, i - j AS d FROM (SELECT conv_id, turn, unnest(u) AS w, unnest(range(len(u))) AS i FROM r) JOIN (SELECT conv_id, turn, unnest(r) AS w, unnest(range(len(r))) AS j FROM r) USING (conv_id, turn, w)),
+g AS (SELECT conv_id, turn, count(*) AS n, min(i) AS i FROM (SELECT *, i - row_number() OVER (PARTITION BY conv_id, turn, d ORDER BY i) AS k FROM m) GROUP BY conv_id, turn, d, k)
+SELECT conv_id, turn, coalesce(max(n), 0)::INTEGER AS length, coalesce(arg_max(i, (n, -i)) FILTER (WHERE n IS NOT NULL), -1)::INTEGER AS start FROM r LEFT JOIN g USING (conv_id, turn) GROUP BY ALL""",
+    "c4_one_shard": """WITH RECURSIVE r AS MATERIALIZED (SELECT conv_id, turn, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS cost, row_number() OVER (ORDER BY conv_id, turn) AS k FROM conversations),
+f AS (SELECT conv_id, turn, k, 1 AS items, cost AS used, CAST(0 AS BIGINT) AS batch FROM r WHERE k = 1
+UNION ALL SELECT r.conv_id, r.turn, r.k, CASE WHEN f.items + 1 > 5 OR f.used + r.cost + 2 > 120 THEN 1 ELSE f.items + 1 END, CASE WHEN f.items + 1 > 5 OR f.used + r.cost + 2 > 120 THEN r.cost ELSE f.used + r.cost + 2 END, CASE WHEN f.items + 1 > 5 OR f.used + r.cost + 2 > 120 THEN f.batch + 1 ELSE f.batch END FROM f JOIN r ON r.k = f.k + 1)
+SELECT conv_id, turn, batch FROM f""",
+    "w15_mix": f"SELECT * FROM (VALUES {', '.join(f"('{c}', '{v}', {n}::BIGINT, {n}::BIGINT, 0::BIGINT)" for c, shares in MIX.items() for v, n in selection.quotas(MIX_LIMIT, shares).items())}) t(margin, value, target, got, shortfall)",
+    "c11_review": """WITH d AS (SELECT doc_id AS id, CASE WHEN quality = 1 THEN 'accept' ELSE 'reject' END AS decision, 'first look' AS note, 1 AS k FROM labels
+UNION ALL SELECT doc_id, CASE WHEN toxic = 1 THEN 'reject' WHEN doc_id % 2 = 0 THEN 'skip' ELSE 'accept' END, 'toxic: ' || toxic, 2 FROM labels WHERE doc_id % 3 = 0),
+l AS (SELECT id, decision, note FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k DESC, decision DESC, note DESC) AS i FROM d WHERE decision <> 'skip') WHERE i = 1),
+r AS (SELECT doc_id AS id, lang AS category, decision, note FROM documents LEFT JOIN l ON l.id = doc_id)
+SELECT id, 'accepted' AS output, category, NULL::VARCHAR AS note FROM r WHERE decision = 'accept' UNION ALL SELECT id, 'rejected', category, note FROM r WHERE decision = 'reject'
+UNION ALL SELECT id, 'reviews', category, CASE WHEN decision = 'reject' THEN note ELSE '' END FROM r WHERE decision IS NOT NULL UNION ALL SELECT id, 'remaining', category, NULL FROM r WHERE decision IS NULL AND id >= 50""",
+    "s4_total_order": """WITH r AS (SELECT doc_id, lang, CASE WHEN doc_id % 7 = 0 THEN 0 ELSE 1 END AS input_ix, CASE WHEN doc_id % 7 = 0 THEN 'z' WHEN doc_id % 50 = 0 THEN 'a' WHEN doc_id % 10 < 8 THEN 'b' ELSE 'c' END AS shard FROM documents)
+SELECT doc_id, input_ix::BIGINT AS input_ix, row_number() OVER (PARTITION BY input_ix, shard ORDER BY doc_id) AS source_line, row_number() OVER (PARTITION BY input_ix ORDER BY shard, doc_id) - 1 AS place,
+    row_number() OVER (PARTITION BY lang ORDER BY input_ix, shard, doc_id) = 1 AS first FROM r""",
+    "t3_growing_files": """SELECT conv_id % 4 || '.jsonl' AS source_file, CASE WHEN turn % 9 <> 4 THEN conv_id END AS conv_id, CASE WHEN turn % 9 <> 4 THEN turn END AS turn,
+    CASE WHEN turn % 9 = 4 THEN 'invalid_json' WHEN turn % 5 = 2 THEN 'failed' END AS error, CASE WHEN turn % 9 = 4 THEN 'x{"conv_id":' || conv_id || '}' END AS line
+  FROM conversations""",
+    "k2_append_resume": """WITH d AS (SELECT doc_id::VARCHAR AS id, CASE WHEN doc_id % 4 < 3 AND doc_id % 11 = 0 THEN 'failed' END AS error, doc_id * 2 AS result FROM documents),
+a AS (SELECT * FROM d UNION ALL SELECT id, NULL, result FROM d WHERE error IS NOT NULL)
+SELECT id, error, result, (SELECT count(*) FROM a) AS rows FROM a""",
+    "t2_notices": """WITH RECURSIVE r AS MATERIALIZED (SELECT source AS run_id, doc_id::DOUBLE AS t, doc_id % 11 > 0 AS ok, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
+f AS (SELECT run_id, 0::BIGINT AS k, NULL::DOUBLE AS t, 0::BIGINT AS n, 0::BIGINT AS last_n, 0::DOUBLE AS last_at, false AS started, false AS done, NULL::VARCHAR AS due FROM (SELECT DISTINCT run_id FROM r)
+UNION ALL SELECT run_id, k, t, n, CASE WHEN due IS NOT NULL THEN n ELSE last_n END, CASE WHEN due IS NOT NULL THEN t ELSE last_at END, started OR due IS NOT NULL, done OR coalesce(due = 'done', false), due
+  FROM (SELECT *, CASE WHEN NOT started THEN 'started' WHEN n >= 40 AND NOT done THEN 'done' WHEN n >= last_n + 15 THEN 'progress' WHEN n > last_n AND t - last_at >= 60 THEN 'heartbeat' END AS due
+  FROM (SELECT f.run_id, r.k, r.t, f.n + r.ok::BIGINT AS n, f.last_n, f.last_at, f.started, f.done FROM f JOIN r ON r.run_id = f.run_id AND r.k = f.k + 1)))
+SELECT run_id, due AS label, n AS successful, t AS "at" FROM f WHERE due IS NOT NULL""",
 }

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -28,3 +29,9 @@ def cut(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the shared folder: for results that several branches or jobs use."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if(df: DataFrame, row_bytes: int, most: int = 32 << 20) -> DataFrame:
+    """df, to be broadcast if its rows of row_bytes each come to no more than `most` bytes (df should be a cut, as it is counted);
+    else df as it is, for a shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= most else df

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillmill.sources import commits
+
 
 def follow(spark: SparkSession, folder: str, schema: T.StructType, include_errors: bool = False) -> DataFrame:
     """Rows of new files; rows with an error are hidden unless asked for. Lines appended to a file already read are not seen:
@@ -24,6 +26,8 @@ def follow_until(rows: DataFrame, out: str, state: str, need: int, every_s: floa
 
     The stream looks for new files each every_s seconds. Its state is kept, so that a later call goes on where one ended, after
     a loss or a stop, and takes no file twice; rows that were there before count. Too few rows after longest_s are an error.
+    The table is counted at the start and once the rows that batches report, as they are written, seem enough; a batch that
+    comes again after a failure reports its rows again, so that only the count decides.
     """
     spark, began = rows.sparkSession, time.monotonic()
 
@@ -33,13 +37,22 @@ def follow_until(rows: DataFrame, out: str, state: str, need: int, every_s: floa
         except AnalysisException:  # nothing written yet
             return 0
 
-    query = rows.writeStream.format("parquet").option("checkpointLocation", state).trigger(processingTime=f"{max(1, round(every_s * 1000))} milliseconds").start(out)
+    n, reported, counted = have(), {}, set()
+    query = rows.observe("followed", F.count(F.lit(1)).alias("n")).writeStream.format("parquet").option("checkpointLocation", state).trigger(processingTime=f"{max(1, round(every_s * 1000))} milliseconds").start(out)
     try:
-        while (n := have()) < need:
-            if query.awaitTermination(min(every_s, 1.0)):  # raises what the stream failed of
-                break
-            if longest_s is not None and time.monotonic() - began > longest_s:
+        while n < need:
+            over = query.awaitTermination(min(every_s, 1.0))  # raises what the stream failed of
+            for p in query.recentProgress:
+                if "followed" in p.observedMetrics and p.batchId not in counted:
+                    reported[p.batchId] = p.observedMetrics["followed"].n
+            late = longest_s is not None and time.monotonic() - began > longest_s
+            if n + sum(reported.values()) >= need or over or late:
+                counted |= set(reported)
+                n, reported = have(), {}
+            if n < need and late:
                 raise ValueError(f"{n} rows after {longest_s} seconds, {need} are needed")
+            if over:
+                break
     finally:
         query.stop()
     return have()
@@ -75,3 +88,10 @@ def notices(events: DataFrame, every_rows: int, every_s: float, targets: str = "
 
     rows = events.select("run_id", F.col("at").cast("double").alias("at"), "ok", F.col(targets).alias("target"))
     return rows.groupBy("run_id").applyInPandasWithState(step, "run_id string, label string, successful long, at double", "n long, last_n long, last_at double, started boolean, done boolean", "append", "ProcessingTimeTimeout" if timer else "NoTimeout")
+
+
+def deliver(due: DataFrame, log: str, state: str, run: str = "notices"):
+    """A writer of streaming notices into a delivery log (sources.commits), each once: after a restart the state of `notices` goes on,
+    and a micro-batch that comes again is not delivered again. The log's manifests count the notices by label."""
+    labels = {k: F.count_if(F.col("label") == k) for k in ("started", "progress", "heartbeat", "done")}
+    return commits.write_stream(due, log, state, run, labels)
