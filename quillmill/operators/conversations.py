@@ -87,21 +87,32 @@ def with_quality(rows: DataFrame, min_turns: int = 4, max_turns: int = 14, stric
     first_bad = F.least(*(F.coalesce(x, F.size("_t").cast("long")) for x in at))
     error = F.coalesce(F.col("error"), F.lit("")) if "error" in rows.columns else F.lit("")
     reason = (
-        F.when(error != "", "source_error").when(F.coalesce("n_turns", F.lit(0)) == 0, "missing_turns").when((F.col("n_turns") < min_turns) | (F.col("n_turns") > max_turns) | (F.col("n_turns") % 2 == 1), "bad_turn_count")
+        F.when(error != "", "source_error").when(F.coalesce("n_turns", F.lit(0)) == 0, F.when(F.col("n_turns") == 0, "bad_turn_count").otherwise("missing_turns")).when((F.col("n_turns") < min_turns) | (F.col("n_turns") > max_turns) | (F.col("n_turns") % 2 == 1), "bad_turn_count")
         .when(first(F.col("_r")) > 0, F.try_element_at("_r", first(F.col("_r")).cast("int"))).when(F.array_contains("_s", "user_self_repeat"), "user_self_repeat").when(F.array_contains("_s", "assistant_self_repeat"), "assistant_self_repeat").otherwise("ok")
     )
     return tx.computed(prepared, {"reason": reason, "first_bad": first_bad}).drop("_w", "_t", "_r", "_s")
 
 
-def salvaged(rows: DataFrame, min_turns: int = 4, max_turns: int = 14) -> DataFrame:
-    """rows of with_quality that are ok, or have a clean even prefix, with kept_turns and salvaged_from_turns."""
+def of_rows(rows: DataFrame, max_turns: int = 14) -> DataFrame:
+    """rows with turns, an array of (role, content, ...), as `nested` makes them, in place: n_turns, null without an array, and the first
+    max_turns turns. No turn is shuffled."""
+    turn = lambda t, i: F.struct((i + 1).alias("k"), t["role"].alias("role"), tx.clean_content(t["content"]).alias("content"))
+    return rows.withColumn("n_turns", F.when(F.col("turns").isNotNull(), F.size("turns"))).withColumn("turns", F.transform(F.slice("turns", 1, max_turns), turn))
+
+
+def with_salvage(rows: DataFrame, min_turns: int = 4, max_turns: int = 14) -> DataFrame:
+    """rows of with_quality with kept_turns, null where nothing can be kept, and salvaged_from_turns where a prefix is."""
     start = F.least(F.lit(max_turns), F.col("n_turns"))
     start = start - start % 2
     start = F.when(start >= F.col("n_turns"), start - 2).otherwise(start)
     length = F.least(start, F.col("first_bad") - F.col("first_bad") % 2)
     usable = ~F.col("reason").isin("ok", "source_error", "missing_turns") & (length >= min_turns)
-    out = tx.computed(rows, {"kept_turns": F.when(F.col("reason") == "ok", F.col("n_turns")).when(usable, length).cast("int"), "salvaged_from_turns": F.when(usable, F.col("n_turns"))})
-    return out.where("kept_turns IS NOT NULL").withColumn("turns", F.slice("turns", F.lit(1), F.col("kept_turns")))
+    return tx.computed(rows, {"kept_turns": F.when(F.col("reason") == "ok", F.col("n_turns")).when(usable, length).cast("int"), "salvaged_from_turns": F.when(usable, F.col("n_turns"))})
+
+
+def salvaged(rows: DataFrame, min_turns: int = 4, max_turns: int = 14) -> DataFrame:
+    """rows of with_quality that are ok, or have a clean even prefix, with kept_turns and salvaged_from_turns."""
+    return with_salvage(rows, min_turns, max_turns).where("kept_turns IS NOT NULL").withColumn("turns", F.slice("turns", F.lit(1), F.col("kept_turns")))
 
 
 def training_records(rows: DataFrame, system: str | None = None, explode: bool = True) -> DataFrame:
@@ -116,6 +127,21 @@ def training_records(rows: DataFrame, system: str | None = None, explode: bool =
     return each.select(F.format_string("%s#assistant_turn_%d", F.col("conv_id").cast("string"), F.col("ix")).alias("source_id"), F.col("ix").alias("target_turn_index"), (F.col("ix") + 1).alias("turns"), "salvaged_from_turns", made(F.slice("t", F.lit(1), F.col("ix") + 1)).alias("messages"))
 
 
+def export_records(rows: DataFrame, system: str | None, explode: bool) -> DataFrame:
+    """Rows (id, category, topic, turns, salvaged_from_turns, source_file, source_line) as records of training, one for each conversation
+    or each assistant turn, with the fields of an exported line. No shuffle, so that their order is that of rows."""
+    lead = F.array(F.struct(F.lit("system").alias("role"), F.lit(system).alias("content"))) if system else F.array().cast("array<struct<role:string,content:string>>")
+    made = lambda t: F.concat(lead, F.transform(t, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))))
+    after = ["salvaged_from_turns", "source_file", "source_line"]
+    if not explode:
+        return rows.select(made(F.col("turns")).alias("messages"), F.col("id").alias("source_id"), "category", "topic", F.size("turns").alias("turns"), *after)
+    each = rows.withColumn("_all", F.col("turns")).select("*", F.posexplode("turns").alias("_ix", "_turn")).where("_turn.role = 'assistant'")
+    return each.select(
+        made(F.slice("_all", F.lit(1), F.col("_ix") + 1)).alias("messages"), F.concat("id", F.lit("#assistant_turn_"), F.col("_ix").cast("string")).alias("source_id"), "category", "topic", (F.col("_ix") + 1).alias("turns"), *after,
+        F.col("id").alias("source_conversation_id"), F.col("_ix").alias("target_turn_index"), F.size("_all").alias("source_total_turns"),
+    )
+
+
 def replay(turns: DataFrame, target_replies: int, variant: str = "generator") -> DataFrame:
     """turns up to where a run would have stopped, with error on a stopping invalid reply: after an invalid reply, at the
     target number of replies, or with a reply under five characters once there are two."""

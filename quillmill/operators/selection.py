@@ -78,6 +78,11 @@ def combine(shards: DataFrame, ordinal: str) -> DataFrame:
     return first_wins(shards.where(ok), F.coalesce(F.col("id").cast("string"), F.lit("")), ordinal).unionByName(shards.where(~ok))
 
 
+def union_tagged(parts: dict[str, DataFrame], tag: str) -> DataFrame:
+    """All rows of several tables with the name of theirs; a column that a table lacks is null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (df.withColumn(tag, F.lit(name)) for name, df in parts.items()))
+
+
 def quotas(limit: int, weights: dict) -> dict:
     """limit dealt out by weight: whole shares, then one more to the largest fractions; ties in the given order."""
     exact = {k: limit * w for k, w in weights.items()}

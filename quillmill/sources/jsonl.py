@@ -24,7 +24,7 @@ def read_strict(spark: SparkSession, paths: str | list[str], schema: str) -> Dat
 
 
 def ordered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(ordinal, input_ix, source, source_file, source_line from 1, line) of the lines that are not blank, in files of any size.
+    """(ordinal, input_ix, source_path, source_file, source_line from 1, line) of the lines that are not blank, in files of any size.
 
     The ordinal is the place of a line among all: by the place of the argument, then by the file's path (folders are read in sorted
     order), then by the line. Spark deals files to tasks by size, and splits them, so its own order says nothing; but it reads a
@@ -35,11 +35,11 @@ def ordered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     one = lambda k, path: spark.read.option("lineSep", "\n").text(path).select(F.lit(k).alias("input_ix"), F.col("value").alias("line"), F.col("_metadata.file_name").alias("source_file"), *block)
     read = reduce(DataFrame.unionByName, (one(k, path) for k, path in enumerate(paths))).withColumn("_id", F.monotonically_increasing_id())
     blocks = read.groupBy("input_ix", "_path", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
-    named = blocks.withColumn("source", F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B"))))
+    named = blocks.withColumn("source_path", F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B"))))
     before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first")
-    starts = cut(named.withColumns({"_line": before(Window.partitionBy("input_ix", "source").orderBy("_block")), "_all": before(Window.orderBy("input_ix", "source", "_block"))}).drop("_first", "_n"))
+    starts = cut(named.withColumns({"_line": before(Window.partitionBy("input_ix", "source_path").orderBy("_block")), "_all": before(Window.orderBy("input_ix", "source_path", "_block"))}).drop("_first", "_n"))
     placed = read.join(broadcast_if(starts, 400), ["input_ix", "_path", "_block"]).where(F.trim("line") != "")
-    return placed.select((F.col("_all") + F.col("_id")).alias("ordinal"), "input_ix", "source", "source_file", (F.col("_line") + F.col("_id") + 1).alias("source_line"), "line")
+    return placed.select((F.col("_all") + F.col("_id")).alias("ordinal"), "input_ix", "source_path", "source_file", (F.col("_line") + F.col("_id") + 1).alias("source_line"), "line")
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -47,25 +47,41 @@ def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return ordered_lines(spark, [paths] if isinstance(paths, str) else paths).select("source_file", "source_line", "line")
 
 
-PLACE = ["ordinal", "input_ix", "source", "source_file", "source_line"]
+PLACE = ["ordinal", "input_ix", "source_path", "source_file", "source_line"]
 
 
-def _judged(found: DataFrame) -> DataFrame:
+def judged(found: DataFrame) -> DataFrame:
+    """found with _ok: whether its line is a JSON object."""
     return found.withColumn("_ok", F.coalesce(F.schema_of_variant(F.try_parse_json("line")).startswith("OBJECT"), F.lit(False)))
 
 
 def read_ordered(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """Rows with their place: ordinal, input_ix, source, source_file and source_line. A line that is no JSON object is an error, which
+    """Rows with their place: ordinal, input_ix, source_path, source_file, source_line and the line. A line that is no JSON object is an error, which
     names it."""
-    place = F.concat(F.lit("invalid json in "), "source", F.lit(":"), F.col("source_line").cast("string"))
+    place = F.concat(F.lit("invalid json in "), "source_path", F.lit(":"), F.col("source_line").cast("string"))
     whole = F.when(F.col("_ok"), F.col("line")).otherwise(F.raise_error(place).cast("string"))
-    return _judged(ordered_lines(spark, paths)).select(F.from_json(whole, schema).alias("_r"), *PLACE).select("_r.*", *PLACE)
+    return judged(ordered_lines(spark, paths)).select(F.from_json(whole, schema).alias("_r"), *PLACE, "line").select("_r.*", *PLACE, "line")
 
 
 def read_ordered_lenient(spark: SparkSession, paths: list[str], schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows with their place, error rows with their place and the line that is no JSON object)."""
-    found = _judged(ordered_lines(spark, paths))
-    return found.where("_ok").select(F.from_json("line", schema).alias("_r"), *PLACE).select("_r.*", *PLACE), found.where("NOT _ok").select(*PLACE, F.lit("invalid json").alias("error"), F.trim("line").alias("line"))
+    found = judged(ordered_lines(spark, paths))
+    return found.where("_ok").select(F.from_json("line", schema).alias("_r"), *PLACE, "line").select("_r.*", *PLACE, "line"), found.where("NOT _ok").select(*PLACE, F.lit("invalid json").alias("error"), F.trim("line").alias("line"))
+
+
+def merged(line: Column, fields: dict[str, Column]) -> Column:
+    """A JSON object's text with further fields at its end, in place of those of the same name; all others stay as they are, nested
+    ones too. Of a name that comes twice the later stays."""
+    bare = lambda c: F.regexp_extract(F.to_json(F.array(c), {"ignoreNullFields": "false"}), r"(?s)^\[(.*)\]$", 1)
+    entries = F.map_entries(F.from_json(line, "map<string,variant>"))
+    kept = F.filter(entries, lambda e, i: ~e["key"].isin(*fields) & ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda later: later["key"] == e["key"]))
+    old = F.transform(kept, lambda e: F.concat(bare(e["key"]), F.lit(":"), F.to_json(e["value"])))
+    return F.concat(F.lit("{"), F.array_join(F.concat(old, F.array(*(F.concat(bare(F.lit(k)), F.lit(":"), bare(c)) for k, c in fields.items()))), ","), F.lit("}"))
+
+
+def write_lines(df: DataFrame, path: str, line: str = "line") -> None:
+    """Lines as they are."""
+    df.select(F.col(line).alias("value")).write.text(path)
 
 
 def read_lenient(spark: SparkSession, paths: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:

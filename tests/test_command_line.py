@@ -49,3 +49,78 @@ def test_answers(spark, tmp_path, capsys):
     pairs = write(tmp_path / "p.jsonl", [{"user": "a hedgehog escaped the garden", "reply": "a hedgehog escaped the garden"}, {"user": "so", "reply": "what now"}])
     main(["replies", "--input", pairs, "--out", str(tmp_path / "judged")])
     assert [r["reason"] is None for r in read(spark, str(tmp_path / "judged"))] == [False, True]
+
+
+SAID = ["the purple tractor wheel broke", "mine did last week", "a hedgehog escaped the garden", "did you find where"]
+
+
+def turns(texts):
+    return [{"role": ["user", "assistant"][i % 2], "content": t} for i, t in enumerate(texts)]
+
+
+def result(capsys):
+    return json.loads(capsys.readouterr().out.splitlines()[-1])
+
+
+def test_audit_rejects_all_rows_of_an_id(spark, tmp_path, capsys):
+    echo = turns([*SAID[:3], "a hedgehog escaped the garden"])
+    rows = [{"id": "x", "turns": turns(SAID), "more": {"kept": [1, None]}}, {"id": "x", "turns": echo}, {"turns": turns(SAID)}, {"id": "y", "turns": turns(SAID)}]
+    source = write(tmp_path / "c.jsonl", rows)
+    with pytest.raises(SystemExit):
+        main(["audit", "--input", source, "--out", str(tmp_path / "c"), "--fail-on-issues", "--issues", str(tmp_path / "issues"), "--rejected", str(tmp_path / "bad")])
+    assert result(capsys) == {"checked": 8, "issues": 1}
+    assert read(spark, str(tmp_path / "bad")) == rows[:2] and read(spark, f"{tmp_path}/c.no_echo.jsonl") == rows[2:]  # as they came
+    (issue,) = read(spark, str(tmp_path / "issues"))
+    assert issue["source"].endswith("/c.jsonl") and (issue["id"], issue["line"], issue["turn"], issue["reason"], issue["user"]) == ("x", 2, 3, "exact_4gram", SAID[2])
+    write(tmp_path / "d.jsonl", [{"turns": echo}, {"id": None, "turns": turns(SAID)}, {"id": "z", "turns": turns(SAID)}])
+    main(["audit", "--input", str(tmp_path / "d.jsonl"), "--out", str(tmp_path / "d")])
+    assert [r.get("id") for r in read(spark, f"{tmp_path}/d.no_echo.jsonl")] == ["z"]  # rows without an id go together
+
+
+def test_export_by_ids_over_shards(spark, tmp_path, capsys):
+    """Shards in the order of their names, broken lines skipped; the second pass takes an id once, and none that the first took."""
+    row = lambda i, texts=SAID, **more: {"id": i, "turns": turns(texts), "category": "chat", **more}
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in/a.jsonl", [row("p")])
+    write(tmp_path / "in/b.jsonl", [*[row("p", category="old")] * 30, row("q"), row("bad", error="failed"), row("cut", [*SAID, "again", "again"])])
+    write(tmp_path / "in/c.jsonl", [row("p"), row("r"), row("short", SAID[:2])])
+    with open(tmp_path / "in/b.jsonl", "a") as f:
+        f.write("broken\n")
+    out = str(tmp_path / "records")
+    main(["export", "--input", str(tmp_path / "in"), "--limit", "3", "--out", out])
+    assert [(r["source_id"], r["source_file"], r["source_line"]) for r in read(spark, out)] == [("p", "a.jsonl", 1), ("q", "b.jsonl", 31), ("cut", "b.jsonl", 33)]
+    made = json.load(open(f"{out}.manifest.json"))
+    assert made["rejects"] == {"source_error": 1, "bad_turn_count": 1} and made["salvaged"] == {"too_short_assistant": 1} and made["turns"] == {"4": 3} and made["categories"] == {"chat": 3}
+    assert (made["eligible"], made["selected"], made["records_written"]) == (35, 3, 3)
+    out = str(tmp_path / "all")
+    main(["export", "--input", str(tmp_path / "in"), "--limit", "3", "--no-balance-turns", "--explode", "--out", out, "--manifest", str(tmp_path / "m.json")])
+    got = read(spark, out)
+    assert [(r["source_id"], r["target_turn_index"], r["turns"], r["source_total_turns"], len(r["messages"])) for r in got[:2]] == [("p#assistant_turn_1", 1, 2, 4, 2), ("p#assistant_turn_3", 3, 4, 4, 4)]
+    assert len(got) == 6 and json.load(open(tmp_path / "m.json"))["records_written"] == 6 and json.load(open(tmp_path / "m.json"))["categories"] == {"old": 2, "chat": 1}
+    with pytest.raises(ValueError, match="only 35 clean rows"):
+        main(["export", "--input", str(tmp_path / "in"), "--limit", "50", "--wait", "--poll-seconds", "0.1", "--longest", "1", "--out", str(tmp_path / "no")])
+
+
+def test_combine(spark, tmp_path, capsys):
+    (tmp_path / "s").mkdir()
+    write(tmp_path / "s/shard_0001_dry.jsonl", [{"id": "a", "n": 2}, {"id": "b", "error": "failed"}, {"n": 3}, {"n": 4}])
+    write(tmp_path / "s/shard_0000_very_warm.jsonl", [{"id": "a", "n": [1, {"x": None}]}])
+    with open(tmp_path / "s/shard_0000_very_warm.jsonl", "a") as f:
+        f.write(' {"id": \n[3]\n')
+    main(["combine", "--input", str(tmp_path / "s"), "--run-id", "r", "--out", str(tmp_path / "out")])
+    assert read(spark, f"{tmp_path}/out/dataset.jsonl") == [{"id": "a", "n": [1, {"x": None}], "run_id": "r", "shard": 0, "shard_profile": "very_warm"}, {"n": 3, "run_id": "r", "shard": 1, "shard_profile": "dry"}]
+    broken = {"shard": 0, "profile": "very_warm", "error": "invalid json"}
+    assert read(spark, f"{tmp_path}/out/errors.jsonl") == [{**broken, "line": '{"id":'}, {**broken, "line": "[3]"}, {"id": "b", "error": "failed", "run_id": "r", "shard": 1, "shard_profile": "dry"}]
+    assert {k: result(capsys)[k] for k in ("run_id",)} == {"run_id": "r"} and json.load(open(f"{tmp_path}/out/combined_status.json"))["errors_count"] == 3
+
+
+def test_review_and_follow(spark, tmp_path, capsys):
+    rows = write(tmp_path / "r.jsonl", [{"id": "a", "z": 1}, {"id": "b", "z": {"y": 2}}, {"id": "c"}])
+    log = write(tmp_path / "log.jsonl", [{"id": "a", "decision": "reject", "note": "no"}, {"id": "b", "decision": "accept"}, {"id": "b", "decision": "reject", "note": 'too "dull"'}, {"id": "a", "decision": "accept"}])
+    main(["review", "--input", rows, "--decisions", log, "--out", str(tmp_path / "r")])
+    assert result(capsys) == {"accepted": 1, "rejected": 1, "remaining": 1}
+    assert read(spark, f"{tmp_path}/r.accepted.jsonl") == [{"id": "a", "z": 1}] and read(spark, f"{tmp_path}/r.rejected.jsonl") == [{"id": "b", "z": {"y": 2}, "review_note": 'too "dull"'}]
+    write(tmp_path / "f.jsonl", [{"id": "a", "turns": turns(SAID[:2])}, {"id": "e", "error": "failed"}])
+    main(["follow", "--input", str(tmp_path / "f.jsonl"), "--once", "--out", str(tmp_path / "state")])
+    shown = capsys.readouterr().out
+    assert "id=a  file=f.jsonl" in shown and "POKE:\nmine did last week" in shown and "id=e" not in shown

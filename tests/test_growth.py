@@ -26,7 +26,7 @@ def test_order_of_files(spark, tmp_path):
     put(tmp_path / "z.jsonl", ["z0", "z1"])
     rows = jsonl.read_ordered(spark, [str(tmp_path / "z.jsonl"), str(tmp_path / "in")], "id string").orderBy("ordinal").collect()
     assert [r["id"] for r in rows] == ["z0", "z1", "a0", *(f"b{i}" for i in range(50)), *(f"c{i}" for i in range(5))]
-    assert len({r["ordinal"] for r in rows}) == 58 and [r["source_line"] for r in rows[-5:]] == [1, 2, 3, 4, 5] and rows[-1]["source"].endswith("/in/c +%.jsonl")
+    assert len({r["ordinal"] for r in rows}) == 58 and [r["source_line"] for r in rows[-5:]] == [1, 2, 3, 4, 5] and rows[-1]["source_path"].endswith("/in/c +%.jsonl")
     with open(tmp_path / "in/b.jsonl", "a") as f:
         f.write('\n[1]\n{"id": broken\n')
     good, bad = jsonl.read_ordered_lenient(spark, [str(tmp_path / "in")], "id string")
