@@ -130,3 +130,9 @@ def retryable(status: Column, message: Column) -> Column:
 
 def sample_flags(c: Column) -> list[Column]:
     return [F.contains(c, F.lit("User:")).alias("has_user"), F.contains(c, F.lit("Assistant:")).alias("has_assistant"), (tx.strip(c) == "").alias("is_empty")]
+
+
+def by_id(rows: DataFrame, replies: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the replies to each, by id; a row with several replies comes as often. What nobody asked for, and what nobody
+    answered, falls out."""
+    return rows.join(replies, keys)

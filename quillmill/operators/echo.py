@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,15 +56,52 @@ def user_repeats(w: Column, s: Column, earlier_w: Column) -> Column:
     return (F.size(w) >= 4) & (F.size(earlier_w) >= 4) & ((w == earlier_w) | ((F.size(s) >= 4) & tx.share_run(w, earlier_w, run)))
 
 
-def misassigned(items: DataFrame) -> DataFrame:
+BLOCK = 4_096  # items of a batch that one task looks through
+
+
+def _best(index: pd.DataFrame, probes: pd.DataFrame) -> list[int]:
+    """Of each probe the most tokens that one item of the index, not its own, has in common with it."""
+    listed: dict[str, list[int]] = {}
+    for k, tokens in enumerate(index["tokens"]):
+        for t in tokens:
+            listed.setdefault(t, []).append(k)
+    lists = {t: np.array(v) for t, v in listed.items()}
+    own: dict = {}
+    for k, i in enumerate(index["item_id"]):
+        own.setdefault(i, []).append(k)
+    out = []
+    for i, tokens in zip(probes["item_id"], probes["tokens"], strict=True):
+        hits = [lists[t] for t in tokens if t in lists]
+        n = np.bincount(np.concatenate(hits), minlength=len(index)) if hits else np.zeros(1, np.int64)
+        if hits and i in own:
+            n[own[i]] = 0
+        out.append(int(n.max()))
+    return out
+
+
+def misassigned(items: DataFrame, block: int = BLOCK) -> DataFrame:
     """items (batch_id, item_id, user, topic, reply) with own, best_other and suspicious: whether the reply fits another item
-    of its batch better than its own. Tokens are joined on (batch_id, token): no pair without a shared token is made."""
+    of its batch better than its own. item_id is unique in a batch.
+
+    A batch is cut into blocks of about `block` items, which are indexed by their tokens; each item's reply is looked up in all blocks
+    of its batch, and the best of all counts. No pair is made, however common a token is; a batch of n items has n * n / block
+    look-ups, dealt over its blocks. A batch of up to `block` items, as batches are, is one group.
+    """
     ground = F.when(F.size(tx.significant_tokens(F.col("user"))) < 3, F.array_union(tx.significant_tokens(F.col("user")), tx.significant_tokens(F.coalesce("topic", F.lit(""))))).otherwise(tx.significant_tokens(F.col("user")))
-    rows = items.withColumns({"_ground": ground, "_said": tx.significant_tokens(F.coalesce("reply", F.lit("")))})
-    said = rows.select("batch_id", "item_id", F.explode("_said").alias("token"))
-    known = rows.select("batch_id", F.col("item_id").alias("other"), F.explode("_ground").alias("token"))
-    score = said.join(known, ["batch_id", "token"]).groupBy("batch_id", "item_id", "other").agg(F.count("*").alias("n"))
-    best = score.groupBy("batch_id", "item_id").agg(F.max(F.when(F.col("other") == F.col("item_id"), F.col("n"))).alias("own"), F.max(F.when(F.col("other") != F.col("item_id"), F.col("n"))).alias("best_other"))
-    out = rows.join(best, ["batch_id", "item_id"], "left").withColumns({"own": F.coalesce("own", F.lit(0)), "best_other": F.coalesce("best_other", F.lit(0))})
+    rows = items.withColumns({"_ground": F.coalesce(ground, F.array().cast("array<string>")), "_said": tx.significant_tokens(F.coalesce("reply", F.lit("")))})
+    sizes = items.groupBy(F.col("batch_id").alias("_batch")).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    dealt = rows.select("batch_id", "item_id", "_ground", "_said").join(sizes, F.col("batch_id").eqNullSafe(F.col("_batch")))
+    index = dealt.where(F.size("_ground") > 0).select("batch_id", F.pmod(F.xxhash64("item_id"), F.col("_blocks")).cast("int").alias("block"), F.lit(False).alias("probe"), "item_id", F.col("_ground").alias("tokens"))
+    probes = dealt.where(F.size("_said") > 0).select("batch_id", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"), F.lit(True).alias("probe"), "item_id", F.col("_said").alias("tokens"))
+    kind = {c: items.schema[c].dataType.simpleString() for c in ("batch_id", "item_id")}
+
+    def look(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        probes = pdf[pdf["probe"]]
+        return pd.DataFrame({"b": [key[0]] * len(probes), "i": probes["item_id"].tolist(), "best": _best(pdf[~pdf["probe"]], probes)})
+
+    found = index.unionByName(probes).groupBy("batch_id", "block").applyInPandas(look, f"b {kind['batch_id']}, i {kind['item_id']}, best long")
+    best = found.groupBy("b", "i").agg(F.max("best").alias("_best"))
+    out = rows.join(best, F.col("batch_id").eqNullSafe(F.col("b")) & F.col("item_id").eqNullSafe(F.col("i")), "left").drop("b", "i")
+    out = out.withColumns({"own": F.size(F.array_intersect("_said", "_ground")).cast("long"), "best_other": F.coalesce("_best", F.lit(0))})
     hit = (F.size("_said") > 0) & (((F.col("best_other") >= 2) & (F.col("best_other") >= F.col("own") + 2)) | ((F.col("own") == 0) & (F.size("_ground") >= 4) & (F.col("best_other") >= 2)))
-    return out.withColumn("suspicious", hit).drop("_ground", "_said")
+    return out.withColumn("suspicious", hit).drop("_ground", "_said", "_best")

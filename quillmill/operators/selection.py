@@ -23,7 +23,8 @@ def digest(key: Column, df: DataFrame) -> Column:
 
 def first_wins(df: DataFrame, key: Column, ordinal: str) -> DataFrame:
     """The row with the smallest ordinal of each key: a grouped minimum (pre-aggregated before the shuffle, so that a hot
-    key costs nothing) and a semi-join on the ordinal, which must be unique. Of a text only its SHA-256 is shuffled."""
+    key costs nothing) and a semi-join on the ordinal, which must be unique. For the minimum only the SHA-256 of a text is shuffled;
+    the semi-join shuffles df once, by the ordinal, where the winners are too many to be broadcast."""
     least = df.groupBy(digest(key, df).alias("_key")).agg(F.min(ordinal).alias("_least"))
     return df.join(least.select("_least"), F.col(ordinal) == F.col("_least"), "left_semi")
 
@@ -200,6 +201,12 @@ def shard_plan(spark: SparkSession, total: int, shards: int, profiles: list[str]
     return spark.range(shards).select(F.col("id").alias("ix")).select("ix", profile.alias("profile"), (F.lit(share) + (F.col("ix") < extra).cast("int")).cast("long").alias("target"), (F.lit(seed) + F.col("ix")).alias("seed")).withColumn("name", F.format_string("shard_%04d_%s", "ix", "profile"))
 
 
+def shard_of(total: int, shards: int, place: Column) -> Column:
+    """The shard of `shard_plan` that takes the row at a place (from 0): the first shards have one more where it doesn't come out even."""
+    share, extra = divmod(total, shards)
+    return F.when(place < extra * (share + 1), F.floor(place / (share + 1))).otherwise(extra + F.floor((place - extra * (share + 1)) / max(1, share)))
+
+
 def draw(seed: int, ix: Column, axis: str) -> Column:
     """A number below 2 ** 52 for a row and axis: the first 13 hex digits of an MD5."""
     return F.conv(F.left(F.md5(F.concat_ws("|", F.lit(str(seed)), ix.cast("string"), F.lit(axis)).cast("binary")), F.lit(13)), 16, 10).cast("long")

@@ -102,7 +102,9 @@ def a1_histogram(spark, sf_dir):
 
 
 def a12_profile(spark, sf_dir):
-    return status.profile(read(spark, sf_dir, "documents"), "text", "lang")
+    """User texts with the assistant's answers to them."""
+    pairs = conversations.with_previous_user(read(spark, sf_dir, "conversations")).where("role = 'assistant' AND user_text IS NOT NULL")
+    return status.profile(pairs.select(F.col("user_text").alias("text"), F.col("text").alias("answer")), "text", "answer")
 
 
 def a11_review_counts(spark, sf_dir):
@@ -110,8 +112,16 @@ def a11_review_counts(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id").join(labels, "doc_id", "left").groupBy(F.coalesce("decision", F.lit("absent")).alias("decision")).agg(F.count("*").alias("n"))
 
 
+PROFILES = ["casual", "curious", "terse", "warm", "dry"]
+
+
 def w7_shard_plan(spark, sf_dir):
-    return selection.shard_plan(spark, 50_000, 48, ["casual", "curious", "terse", "warm", "dry"], 1000)
+    """A plan of as many rows as there are documents, and which documents each shard takes, in order."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("part"))
+    n = docs.count()
+    plan = selection.shard_plan(spark, n, 48, PROFILES, 1000)
+    placed = selection.numbered(docs, "part", "doc_id", "place").withColumn("ix", selection.shard_of(n, 48, F.col("place")))
+    return placed.join(F.broadcast(plan), "ix").select("doc_id", "ix", "profile", "target", "seed", "name")
 
 
 def r6_misassigned(spark, sf_dir):
@@ -147,14 +157,16 @@ FROM (SELECT conv_id, turn, a, list_filter([{cs.listed(answers.BAD_BITS)}], lamb
   FROM documents""",
     "f19_estimate_tokens": "SELECT doc_id, greatest(1, CAST(ceil(len(coalesce(text, '')) / 4) AS BIGINT)) AS tokens FROM documents",
     "a1_histogram": "SELECT source, count(*) AS n, min(doc_id) AS first_seen FROM documents GROUP BY source",
-    "a12_profile": """SELECT count(*) AS rows, avg(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_words, avg(len(regexp_extract_all(coalesce(lang, ''),
-    '[^\\x20\\x09-\\x0D]+'))) AS mean_answer_words, count(*) FILTER (WHERE contains(text, '?')) AS with_question_mark
-  FROM documents""",
+    "a12_profile": f"""SELECT count(*) AS rows, avg(len(regexp_extract_all(user_text, '[^\\x20\\x09-\\x0D]+'))) AS mean_words, avg(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS mean_answer_words,
+    count(*) FILTER (WHERE contains(user_text, '?')) AS with_question_mark
+  FROM ({cs.PREVIOUS})
+  WHERE role = 'assistant' AND user_text IS NOT NULL""",
     "a11_review_counts": """SELECT coalesce(CASE WHEN quality = 1 THEN 'accept' WHEN quality IS NOT NULL THEN 'reject' END, 'absent') AS decision, count(*) AS n
   FROM documents
   LEFT JOIN labels USING (doc_id)
   GROUP BY 1""",
-    "w7_shard_plan": """SELECT ix, profile, 50000 // 48 + (ix < 50000 % 48)::BIGINT AS target, 1000 + ix AS seed, format('shard_{:04d}_{}', ix, profile) AS name
-  FROM (SELECT ix, ['casual', 'curious', 'terse', 'warm', 'dry'][ix % 5 + 1] AS profile
-  FROM range(48) t(ix))""",
+    "w7_shard_plan": f"""WITH n AS (SELECT count(*) AS n FROM documents),
+p AS (SELECT ix, [{cs.listed(PROFILES)}][ix % 5 + 1] AS profile, n // 48 + (ix < n % 48)::BIGINT AS target, 1000 + ix AS seed FROM n, range(48) t(ix)),
+b AS (SELECT *, format('shard_{{:04d}}_{{}}', ix, profile) AS name, sum(target) OVER (ORDER BY ix) AS e FROM p)
+SELECT doc_id, ix, profile, target, seed, name FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS k FROM documents) JOIN b ON k > e - target AND k <= e""",
 }

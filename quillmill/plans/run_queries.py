@@ -199,8 +199,8 @@ def s6_in_order(spark, sf_dir):
 
 
 def p1_question_orders(spark, sf_dir):
-    """Two columns, either of which can be empty, read in either order."""
-    rows = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 4 > 0, F.left("text", F.lit(60))).alias("question"), F.when(F.col("doc_id") % 3 > 0, F.right("text", F.lit(60))).otherwise("").alias("prompt"))
+    """Two whole columns, either of which can be empty, read in either order."""
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 4 > 0, F.col("text")).alias("question"), F.when(F.col("doc_id") % 3 > 0, F.concat_ws(" ", "source", "lang")).otherwise("").alias("prompt"))
     both = [selection.dedupe_questions(rows, order, "doc_id").select("doc_id", "dedupe_key", F.lit(k).alias("order_ix")) for k, order in enumerate((["question", "prompt"], ["prompt", "question"]))]
     return both[0].unionByName(both[1])
 
@@ -396,9 +396,30 @@ def f24_progress(spark, sf_dir):
 
 
 def w13_plan_rows(spark, sf_dir):
-    rows = selection.plan_rows(spark, 10_000, 7, PLAN, REPLIES)
-    spec = selection.uniform_draws(7, F.col("id"), AXES)
-    return rows.withColumn("user", tx.user_label(spec))
+    """A row of a run for each document: its category, number of replies and user are drawn by its number."""
+    ix = F.col("doc_id")
+    spec = selection.uniform_draws(7, F.format_string("pilot-7-%05d", ix), AXES)
+    return read(spark, sf_dir, "documents").select(F.format_string("pilot-7-%05d", ix).alias("id"), selection.weighted_draw(7, ix, "category", PLAN).alias("category"), selection.weighted_draw(7, ix, "replies", REPLIES).cast("int").alias("target_replies"), tx.user_label(spec).alias("user"))
+
+
+def f22_question_ids(spark, sf_dir):
+    """Questions of replies, with the ids of the prompt, the call and their place."""
+    found = f17_questions(spark, sf_dir)
+    return found.select(F.format_string("%s-%04d-%03d", F.col("conv_id").cast("string"), "part", "k").alias("id"), "question")
+
+
+def u1_union_tagged(spark, sf_dir):
+    """Tables of different columns as one, each row with the name of its table."""
+    parts = {"documents": read(spark, sf_dir, "documents").select("doc_id", "lang"), "labels": read(spark, sf_dir, "labels").select("doc_id", "quality"), "benchmark": read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"))}
+    return selection.union_tagged(parts, "part")
+
+
+def j6_lookup(spark, sf_dir):
+    """Parsed replies joined to the rows they answer; replies to no row, and rows without one, fall out."""
+    said = read(spark, sf_dir, "conversations")
+    replies = said.where("role = 'assistant'").select(F.col("conv_id").alias("c"), (F.col("turn") - 1).cast("string").alias("id"), F.col("text").alias("reply"))
+    asked = said.where("role = 'user'").select("conv_id", "turn", F.col("turn").cast("string").alias("id"), F.col("text").alias("question"))
+    return answers.by_id(asked, replies.withColumnRenamed("c", "conv_id"), ["conv_id", "id"]).select("conv_id", "turn", "question", "reply")
 
 
 def w14_job_grid(spark, sf_dir):
@@ -440,7 +461,7 @@ QUERIES = {
         w14_job_grid, k1_jsonl_round_trip, s2_lenient_scan, t3_follow,
         p3_reply_items, p4_stored_rows, c3_token_shares, c4_pack_batches, p8_unfiltered, k3_split_answers, s4_numbered_lines, s6_in_order, p1_question_orders, w5_by_language, w9_slice, a12_common_starts,
         t1_follow_until,
-        f7_longest_runs, c4_one_shard, w15_mix, c11_review, s4_total_order, t3_growing_files, k2_append_resume, t2_notices,
+        f7_longest_runs, c4_one_shard, w15_mix, c11_review, s4_total_order, t3_growing_files, k2_append_resume, t2_notices, f22_question_ids, u1_union_tagged, j6_lookup,
     )
 }
 
@@ -532,7 +553,7 @@ SELECT conv_id, turn, reason, 'raw' AS output FROM y UNION ALL SELECT conv_id, t
   FROM (SELECT conv_id, turn, unnest(list_filter([0, 1, 2], lambda i: conv_id % [5, 2, 3][i + 1] = 0)) AS k
   FROM conversations)
   GROUP BY ALL""",
-    "p1_question_orders": f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN left(text, 60) END AS question, CASE WHEN doc_id % 3 > 0 THEN right(text, 60) ELSE '' END AS prompt FROM documents),
+    "p1_question_orders": f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN text END AS question, CASE WHEN doc_id % 3 > 0 THEN concat_ws(' ', source, lang) ELSE '' END AS prompt FROM documents),
 q AS (SELECT doc_id, 0 AS order_ix, coalesce(nullif(question, ''), nullif(prompt, ''), '') AS text FROM r UNION ALL SELECT doc_id, 1, coalesce(nullif(prompt, ''), nullif(question, ''), '') FROM r)
 SELECT min(doc_id) AS doc_id, {cs.KEY} AS dedupe_key, order_ix FROM q WHERE {cs.strip("text")} <> '' GROUP BY 2, 3""",
     "w5_by_language": f"""WITH caps(lang, cap) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in selection.quotas(10_000, LANGUAGES).items())}),
@@ -549,7 +570,7 @@ SELECT doc_id, lang, 1 AS selection_pass FROM one UNION ALL SELECT doc_id, lang,
   ORDER BY n DESC, start LIMIT 25""",
     "t1_follow_until": "SELECT conv_id, turn FROM conversations WHERE turn % 5 <> 2",
     "w13_plan_rows": f"""SELECT format('pilot-7-{{:05d}}', i) AS id, {_drawn("category", PLAN)} AS category, CAST({_drawn("replies", REPLIES)} AS INT) AS target_replies,
-  'user_' || left(sha1('{{"mood": "' || {_picked("mood")} || '", "style": "' || {_picked("style")} || '"}}'), 10) AS user FROM range(10000) t(i)""",
+  'user_' || left(sha1('{{"mood": "' || {_picked("mood")} || '", "style": "' || {_picked("style")} || '"}}'), 10) AS user FROM (SELECT doc_id AS i FROM documents)""",
     "p5_flags": f"""SELECT conv_id, turn, upper({cs.strip("coalesce(text, '')")}) IN ({cs.listed(tx.END_SENTINELS)}) AS is_end, {cs.contains_any("lower(coalesce(text, ''))",
     conversations.IDENTITY_LEAKS)} AS identity_leak, {cs.contains_any("lower(coalesce(text, ''))", conversations.TRANSCRIPT_META)} AS transcript_meta, contains(coalesce(text, ''),
     'User:') AS has_user, contains(coalesce(text, ''), 'Assistant:') AS has_assistant, {cs.strip("coalesce(text, '')")} = '' AS is_empty
@@ -617,4 +638,7 @@ UNION ALL SELECT run_id, k, t, n, CASE WHEN due IS NOT NULL THEN n ELSE last_n E
   FROM (SELECT *, CASE WHEN NOT started THEN 'started' WHEN n >= 40 AND NOT done THEN 'done' WHEN n >= last_n + 15 THEN 'progress' WHEN n > last_n AND t - last_at >= 60 THEN 'heartbeat' END AS due
   FROM (SELECT f.run_id, r.k, r.t, f.n + r.ok::BIGINT AS n, f.last_n, f.last_at, f.started, f.done FROM f JOIN r ON r.run_id = f.run_id AND r.k = f.k + 1)))
 SELECT run_id, due AS label, n AS successful, t AS "at" FROM f WHERE due IS NOT NULL""",
+    "f22_question_ids": f"""SELECT format('{{}}-{{:04d}}-{{:03d}}', conv_id, turn // 20, row_number() OVER (PARTITION BY conv_id, turn // 20 ORDER BY turn) - 1) AS id, {cs.strip("text")} AS question {_SAID.format('user')}""",
+    "u1_union_tagged": """SELECT doc_id, lang, NULL AS quality, 'documents' AS part FROM documents UNION ALL SELECT doc_id, NULL, quality, 'labels' FROM labels UNION ALL SELECT item_id, NULL, NULL, 'benchmark' FROM benchmark""",
+    "j6_lookup": """SELECT u.conv_id, u.turn, u.text AS question, a.text AS reply FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
 }

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
-from quillmill.operators import selection, status
+from quillmill.operators import echo, selection, status
 from quillmill.sources import commits, growing, jsonl
 
 
@@ -222,3 +222,26 @@ def test_reviews(spark):
     got = {k: sorted((tuple(r) for r in df.collect()), key=repr) for k, df in found.items()}
     assert got["accepted"] == [(1, "a", "p"), (5, None, "p")] and got["rejected"] == [(2, "b", "p", "later")]
     assert got["remaining"] == [(4, "d", None), (6, "e", "p")] and ("b", "reject", "p", None, "later") in got["reviews"] and len(got["reviews"]) == 3
+
+
+def test_misassigned_in_blocks(spark):
+    """As by all pairs of a batch, whatever the blocks; a batch with a token that all items have is no square."""
+    rng = random.Random(9)
+    words = [f"topic{a}{b}" for a in "abcdefgh" for b in "klmnop"]
+    pick = lambda n: " ".join(["common", *(rng.choice(words) for _ in range(n))])
+    rows = [(b, f"{b}-{i}", pick(rng.randrange(0, 6)), None, rng.choice([None, "", pick(rng.randrange(0, 8))])) for b, n in ((0, 60), (1, 1), (None, 5)) for i in range(n)]
+    df = spark.createDataFrame(rows, "batch_id int, item_id string, user string, topic string, reply string")
+    tokens = df.select("batch_id", "item_id", tx.significant_tokens(F.col("user")).alias("g"), tx.significant_tokens(F.coalesce("reply", F.lit(""))).alias("s")).collect()
+    want = {r["item_id"]: (len({*r["s"]} & {*r["g"]}), max([0, *(len({*r["s"]} & {*o["g"]}) for o in tokens if o["batch_id"] == r["batch_id"] and o["item_id"] != r["item_id"])])) for r in tokens}
+    for block in (4096, 7, 1):
+        assert {r["item_id"]: (r["own"], r["best_other"]) for r in echo.misassigned(df, block).collect()} == want
+    many = spark.range(20_000).select(F.lit(1).alias("batch_id"), "id", F.concat(F.lit("common shared "), F.col("id"), F.lit("word token"), F.col("id") % 100).alias("user"))
+    items = many.select("batch_id", F.col("id").cast("string").alias("item_id"), "user", F.lit(None).cast("string").alias("topic"), F.col("user").alias("reply"))
+    assert echo.misassigned(items).agg(F.count_if("suspicious").alias("n"), F.min("own").alias("own"), F.min("best_other").alias("best")).first() == (0, 4, 3)
+
+
+def test_shards_of_places(spark):
+    for total, shards in ((10, 3), (48, 48), (7, 9), (0, 2), (1000, 48)):
+        plan = [r["target"] for r in selection.shard_plan(spark, total, shards, ["x"], 0).orderBy("ix").collect()]
+        got = Counter(r["ix"] for r in spark.range(total).select(selection.shard_of(total, shards, F.col("id")).alias("ix")).collect())
+        assert [got[i] for i in range(shards)] == plan
