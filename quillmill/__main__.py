@@ -49,65 +49,49 @@ def audit(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Conversations are judged as they lie in the rows: each assistant turn against the user turn before it. All rows of an id
     with an echo are rejected; rows without an id go together."""
     rows = in_order(spark, args.input, "id string, turns array<struct<role:string,content:string>>")
-    turns = rows.select(F.col("ordinal").alias("conv_id"), F.posexplode("turns").alias("turn", "t")).select("conv_id", "turn", "t.role", F.col("t.content").alias("text"))
-    found = cut(conversations.audit(turns))
-    name = F.coalesce("id", F.lit("None"))
-    where = rows.select(F.col("ordinal").alias("conv_id"), name.alias("id"), F.col("source_path").alias("source"), F.col("source_line").alias("line"))
-    issues = cut(found.where("reason IS NOT NULL").join(where, "conv_id").select("conv_id", "id", "source", "line", "turn", "reason", F.col("user_text").alias("user"), F.col("text").alias("assistant")))
+    issues, checked = conversations.row_issues(rows)
+    name, issues = F.coalesce("id", F.lit("None")), cut(issues)
     judged = cut(rows.join(issues.select(F.col("id").alias("_bad")).distinct(), name == F.col("_bad"), "left").select("ordinal", "line", F.col("_bad").isNotNull().alias("echo")))
     paths = jsonl.output_paths(args.out)
     for path, echoes in ((args.accepted or paths["accepted"], False), (args.rejected or paths["rejected"], True)):
         jsonl.write_lines(judged.where(F.col("echo") == echoes).orderBy("ordinal"), path)
-    listed = issues.orderBy("conv_id", "turn").drop("conv_id")
+    listed = issues.orderBy("ordinal", "turn").drop("ordinal")
     if args.issues:
         jsonl.write_jsonl(listed, args.issues)
-    counts = found.agg(F.count("*").alias("checked"), F.count("reason").alias("issues")).first().asDict()
+    counts = checked.first().asDict()
     for r in listed.limit(args.max_examples).collect():
         print(json.dumps(r.asDict(), ensure_ascii=False))
     args.exit = int(args.fail_on_issues and counts["issues"] > 0)
     return counts
 
 
-MOST_CATEGORIES = 10_000  # a histogram that the writing pass gathers holds so many values exactly; more are counted by a scan
-
-
-def _top(values: list) -> dict:
-    return {str(r["item"]): r["count"] for r in sorted((r for r in values if r["item"] is not None), key=lambda r: (-r["count"], str(r["item"])))}
-
-
 def export(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Clean conversations, or their clean beginnings, in the balance of turns asked for, as records of training; a manifest beside
     them. Broken lines are skipped. The manifest's counts are observed while the rows are judged and the records written."""
     folder, began = shared.folder(spark, "export"), time.monotonic()
     while True:
         rows, _ = jsonl.read_ordered_lenient(spark, args.input, jsonl.CONVERSATION)
-        judged = conversations.with_salvage(conversations.with_quality(conversations.of_rows(rows.select("ordinal", "id", "category", "topic", "source_file", "source_line", "error", "turns"), args.max_turns), args.min_turns, args.max_turns, args.strict_quality), args.min_turns, args.max_turns)
-        kept, seen, out = F.col("kept_turns").isNotNull(), Observation(), f"{folder}/{time.monotonic_ns()}"
-        judged = judged.withColumns({"rejected_": F.when(~kept, F.col("reason")), "salvaged_": F.when(F.col("salvaged_from_turns").isNotNull(), F.col("reason"))})
-        judged.observe(seen, F.count_if(kept).alias("eligible"), F.expr("approx_top_k(rejected_, 64, 1024)").alias("rejects"), F.expr("approx_top_k(salvaged_, 64, 1024)").alias("salvaged")).where(kept).write.parquet(out)
-        if seen.get["eligible"] >= args.limit or not args.wait or (args.longest is not None and time.monotonic() - began > args.longest):
+        whole = conversations.of_rows(rows.select("ordinal", "id", "category", "topic", "source_file", "source_line", "error", "turns"), args.max_turns)
+        out = f"{folder}/{time.monotonic_ns()}"
+        seen = conversations.write_clean(whole, out, args.min_turns, args.max_turns, args.strict_quality)
+        if seen["eligible"] >= args.limit or not args.wait or (args.longest is not None and time.monotonic() - began > args.longest):
             break
         time.sleep(args.poll_seconds)
-    if seen.get["eligible"] < args.limit:
-        raise ValueError(f"only {seen.get['eligible']} clean rows available, {args.limit} are needed")
+    if seen["eligible"] < args.limit:
+        raise ValueError(f"only {seen['eligible']} clean rows available, {args.limit} are needed")
     clean = spark.read.parquet(out).withColumns({"turns": F.slice("turns", F.lit(1), F.col("kept_turns")), "id_": F.coalesce("id", F.lit("None"))})
     if args.balance_turns:
         chosen = selection.stratified(clean, "kept_turns", selection.quotas(args.limit, TURN_WEIGHTS), args.limit, "ordinal", "id_")
     else:
         chosen = clean.orderBy("ordinal").limit(args.limit).withColumn("selection_pass", F.lit(1))
     system = jsonl.read_prompt(args.system_prompt) if args.system_prompt else None
-    wrote, written = Observation(), Observation()
-    ordered = cut(chosen).orderBy("selection_pass", "ordinal").observe(wrote, F.count(F.lit(1)).alias("selected"), F.expr("approx_top_k(kept_turns, 64, 1024)").alias("turns"), F.expr(f"approx_top_k(coalesce(category, 'None'), {MOST_CATEGORIES}, 131072)").alias("categories"))
+    ordered, counts = conversations.observe_selection(cut(chosen).orderBy("selection_pass", "ordinal"))
+    written = Observation()
     records = conversations.export_records(ordered, system, args.explode)
     jsonl.write_jsonl(records.observe(written, F.count(F.lit(1)).alias("records")), args.out)
-    categories = _top(wrote.get["categories"])
-    if len(categories) >= MOST_CATEGORIES:
-        categories = {r["category"]: r["count"] for r in chosen.groupBy(F.coalesce("category", F.lit("None")).alias("category")).count().orderBy(F.desc("count"), "category").collect()}
     manifest = {
-        "output": args.out, "source_shards": args.input, "limit": args.limit, "selected": wrote.get["selected"], "records_written": written.get["records"], "eligible": seen.get["eligible"],
-        "balance_turns": args.balance_turns, "explode_assistant_turns": args.explode, "include_system": bool(system), "strict_quality": args.strict_quality,
-        "turns": {str(k): n for k, n in sorted((r["item"], r["count"]) for r in wrote.get["turns"])}, "categories": categories, "rejects": _top(seen.get["rejects"]), "salvaged": _top(seen.get["salvaged"]),
-        "created_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()),
+        "output": args.out, "source_shards": args.input, "limit": args.limit, "records_written": written.get["records"], "balance_turns": args.balance_turns, "explode_assistant_turns": args.explode,
+        "include_system": bool(system), "strict_quality": args.strict_quality, **counts(), **seen, "created_at": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()),
     }
     jsonl.write_document(args.manifest or jsonl.output_paths(args.out)["manifest"], manifest)
     return manifest

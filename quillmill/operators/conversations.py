@@ -6,13 +6,15 @@ a conversation of any length is no burden for one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quillmill.functions import text as tx
 from quillmill.operators import echo
+from quillmill.sources.shared import cut
 
 # Fixed values.
 GENERIC_REPLIES = ["thanks", "ok", "okay", "yeah", "yep", "sure"]
@@ -51,6 +53,16 @@ def split_by_audit(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return turns.join(bad, key == F.col("_bad"), "left_anti"), turns.join(bad, key == F.col("_bad"), "left_semi")
 
 
+def row_issues(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(issues, checked) of rows (ordinal, id, source_path, source_line, turns) as they lie in files: each assistant turn against the
+    user turn before it; issues are (ordinal, id, source, line, turn, reason, user, assistant), checked counts the turns."""
+    turns = rows.select(F.col("ordinal").alias("conv_id"), F.posexplode("turns").alias("turn", "t")).select("conv_id", "turn", "t.role", F.col("t.content").alias("text"))
+    found = cut(audit(turns))
+    where = rows.select("ordinal", F.coalesce("id", F.lit("None")).alias("id"), F.col("source_path").alias("source"), F.col("source_line").alias("line"))
+    issues = found.where("reason IS NOT NULL").join(where, found["conv_id"] == where["ordinal"])
+    return issues.select("ordinal", "id", "source", "line", "turn", "reason", F.col("user_text").alias("user"), F.col("text").alias("assistant")), found.agg(F.count("*").alias("checked"), F.count("reason").alias("issues"))
+
+
 def nested(turns: DataFrame, most: int | None = None) -> DataFrame:
     """(conv_id, n_turns, turns): turns as an array in order; with `most` (for rules that look no further) only the first."""
     in_order = Window.partitionBy("conv_id").orderBy("turn")
@@ -127,6 +139,38 @@ def training_records(rows: DataFrame, system: str | None = None, explode: bool =
     return each.select(F.format_string("%s#assistant_turn_%d", F.col("conv_id").cast("string"), F.col("ix")).alias("source_id"), F.col("ix").alias("target_turn_index"), (F.col("ix") + 1).alias("turns"), "salvaged_from_turns", made(F.slice("t", F.lit(1), F.col("ix") + 1)).alias("messages"))
 
 
+def _listed(values: list) -> dict[str, int]:
+    """A histogram that was observed, the most common first."""
+    return {str(r["item"]): r["count"] for r in sorted((r for r in values if r["item"] is not None), key=lambda r: (-r["count"], str(r["item"])))}
+
+
+def write_clean(rows: DataFrame, path: str, min_turns: int = 4, max_turns: int = 14, strict: bool = True) -> dict:
+    """Writes the rows (n_turns, turns[, error]) that are clean, or have a clean beginning, as Parquet, and returns what is observed on
+    that pass: eligible (how many), rejects and salvaged (how many of each reason, of which there are fewer than are tracked)."""
+    judged = with_salvage(with_quality(rows, min_turns, max_turns, strict), min_turns, max_turns)
+    kept, seen = F.col("kept_turns").isNotNull(), Observation()
+    judged = judged.withColumns({"rejected_": F.when(~kept, F.col("reason")), "salvaged_": F.when(F.col("salvaged_from_turns").isNotNull(), F.col("reason"))})
+    top = lambda c: F.expr(f"approx_top_k({c}, 64, 1024)")  # noqa: E731  exact up to 768 values
+    judged.observe(seen, F.count_if(kept).alias("eligible"), top("rejected_").alias("rejects"), top("salvaged_").alias("salvaged")).where(kept).drop("rejected_", "salvaged_").write.parquet(path)
+    return {"eligible": seen.get["eligible"], "rejects": _listed(seen.get["rejects"]), "salvaged": _listed(seen.get["salvaged"])}
+
+
+def observe_selection(rows: DataFrame, most: int = 10_000) -> tuple[DataFrame, Callable[[], dict]]:
+    """(rows, counts): once rows are written, counts() has selected, turns (how many of each kept_turns) and categories; more than
+    `most` categories, beyond which the histogram would not be exact, are counted by a scan."""
+    seen = Observation()
+    watched = rows.observe(seen, F.count(F.lit(1)).alias("selected"), F.expr("approx_top_k(kept_turns, 64, 1024)").alias("turns"), F.expr(f"approx_top_k(coalesce(category, 'None'), {most}, 131072)").alias("categories"))
+
+    def counts() -> dict:
+        categories = _listed(seen.get["categories"])
+        if len(categories) >= most:
+            name = F.coalesce("category", F.lit("None")).alias("name")
+            categories = {r["name"]: r["count"] for r in rows.groupBy(name).count().orderBy(F.desc("count"), "name").collect()}
+        return {"selected": seen.get["selected"], "turns": {str(k): n for k, n in sorted((r["item"], r["count"]) for r in seen.get["turns"])}, "categories": categories}
+
+    return watched, counts
+
+
 def export_records(rows: DataFrame, system: str | None, explode: bool) -> DataFrame:
     """Rows (id, category, topic, turns, salvaged_from_turns, source_file, source_line) as records of training, one for each conversation
     or each assistant turn, with the fields of an exported line. No shuffle, so that their order is that of rows."""

@@ -265,6 +265,30 @@ def c11_review(spark, sf_dir):
     return reduce(DataFrame.unionByName, map(whole, found))
 
 
+def s5_audit_issues(spark, sf_dir):
+    """Issues of conversations in two files, each with its file's folder and line; every seventh line of a file is blank."""
+    folder = shared.folder(spark, "audited")
+    rows = conversations.nested(read(spark, sf_dir, "conversations")).select("conv_id", F.when(F.col("conv_id") % 5 > 0, F.col("conv_id").cast("string")).alias("id"), F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("turns"))
+    for k in (0, 1):
+        mine = rows.where(F.col("conv_id") % 2 == k).repartition(1).sortWithinPartitions("conv_id")
+        blank = F.when(F.col("conv_id") % 7 == 0, F.concat(F.lit("\n"), F.to_json(F.struct("id", "turns")))).otherwise(F.to_json(F.struct("id", "turns")))
+        mine.select(blank.alias("value")).write.text(f"{folder}/{k}")
+    found = jsonl.read_ordered(spark, [f"{folder}/1", f"{folder}/0"], "id string, turns array<struct<role:string,content:string>>")
+    issues, _ = conversations.row_issues(cut(found))
+    return issues.select("id", F.regexp_extract("source", r"/(\d)/[^/]*$", 1).alias("file"), "line", "turn", "reason", "user", "assistant")
+
+
+def a1_export_counts(spark, sf_dir):
+    """What an export's manifest says of the whole table, observed while the clean rows and their records are written."""
+    folder = shared.folder(spark, "exported")
+    rows = conversations.nested(read(spark, sf_dir, "conversations"), 14).withColumn("category", F.concat(F.lit("c"), (F.col("conv_id") % 300).cast("string")))
+    seen = conversations.write_clean(rows, f"{folder}/clean")
+    watched, counts = conversations.observe_selection(spark.read.parquet(f"{folder}/clean").orderBy("conv_id"))
+    watched.select("conv_id").write.parquet(f"{folder}/records")
+    found = [(kind, value, n) for kind, d in {**seen, **counts()}.items() if isinstance(d, dict) for value, n in d.items()]
+    return spark.createDataFrame([*found, ("eligible", "", seen["eligible"])], "kind string, value string, n long")
+
+
 def s4_total_order(spark, sf_dir):
     """Three files of very unequal size in a folder and one before it among the arguments: the place of each line among all,
     and whether it is the first of its language."""
@@ -461,7 +485,7 @@ QUERIES = {
         w14_job_grid, k1_jsonl_round_trip, s2_lenient_scan, t3_follow,
         p3_reply_items, p4_stored_rows, c3_token_shares, c4_pack_batches, p8_unfiltered, k3_split_answers, s4_numbered_lines, s6_in_order, p1_question_orders, w5_by_language, w9_slice, a12_common_starts,
         t1_follow_until,
-        f7_longest_runs, c4_one_shard, w15_mix, c11_review, s4_total_order, t3_growing_files, k2_append_resume, t2_notices, f22_question_ids, u1_union_tagged, j6_lookup,
+        f7_longest_runs, c4_one_shard, w15_mix, c11_review, s4_total_order, t3_growing_files, k2_append_resume, t2_notices, f22_question_ids, u1_union_tagged, j6_lookup, s5_audit_issues, a1_export_counts,
     )
 }
 
@@ -641,4 +665,16 @@ SELECT run_id, due AS label, n AS successful, t AS "at" FROM f WHERE due IS NOT
     "f22_question_ids": f"""SELECT format('{{}}-{{:04d}}-{{:03d}}', conv_id, turn // 20, row_number() OVER (PARTITION BY conv_id, turn // 20 ORDER BY turn) - 1) AS id, {cs.strip("text")} AS question {_SAID.format('user')}""",
     "u1_union_tagged": """SELECT doc_id, lang, NULL AS quality, 'documents' AS part FROM documents UNION ALL SELECT doc_id, NULL, quality, 'labels' FROM labels UNION ALL SELECT item_id, NULL, NULL, 'benchmark' FROM benchmark""",
     "j6_lookup": """SELECT u.conv_id, u.turn, u.text AS question, a.text AS reply FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'""",
+    "s5_audit_issues": f"""WITH c AS (SELECT conv_id, sum(1 + (conv_id % 7 = 0)::INT) OVER (PARTITION BY conv_id % 2 ORDER BY conv_id)::BIGINT AS line FROM (SELECT DISTINCT conv_id FROM conversations)),
+k AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations),
+a AS ({cs.SQL["l4_echo_audit"]}),
+p AS ({cs.PREVIOUS})
+SELECT CASE WHEN conv_id % 5 > 0 THEN conv_id::VARCHAR ELSE 'None' END AS id, (conv_id % 2)::VARCHAR AS file, line, place::INTEGER AS turn, reason, {cs.strip("replace(coalesce(user_text, ''), '\\n', chr(10))")} AS user, {cs.strip("replace(coalesce(text, ''), '\\n', chr(10))")} AS assistant
+  FROM a JOIN c USING (conv_id) JOIN k USING (conv_id, turn) JOIN p USING (conv_id, turn)""",
+    "a1_export_counts": f"""WITH c AS ({cs.SQL["c1_clean_rows"]}), k AS ({cs.SQL["c2_salvage"]})
+SELECT 'rejects' AS kind, reason AS value, count(*) AS n FROM c WHERE conv_id NOT IN (SELECT conv_id FROM k) GROUP BY reason
+UNION ALL SELECT 'salvaged', reason, count(*) FROM c JOIN k USING (conv_id) WHERE reason <> 'ok' GROUP BY reason
+UNION ALL SELECT 'turns', kept_turns::VARCHAR, count(*) FROM k GROUP BY kept_turns
+UNION ALL SELECT 'categories', 'c' || conv_id % 300, count(*) FROM k GROUP BY conv_id % 300
+UNION ALL SELECT 'eligible', '', count(*) FROM k""",
 }
