@@ -1,15 +1,17 @@
 """License scans in DataFrame operations: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 Every line of a file that mentions a licence is a header, by itself and with its neighbours (one line before, two behind). Of a
-file named like LICENSE or COPYING the header is the whole text if that is short, else its opening lines: long licences name
-themselves at the top and quote each other further down. The tokens of a header become a sparse TF-IDF vector, whose
-cosines with the templates' vectors come from a join on tokens. A file has the licence of its best header, else that of the
-nearest ancestor directory with a licence file.
+file named like LICENSE or COPYING that mentions one anywhere, the headers are the whole text, its opening lines, and all windows of
+some lines, whatever its length: a licence can come behind a preface or many copyright lines. The tokens of a header
+become a sparse TF-IDF vector, whose cosines with the templates' vectors come from a join on tokens. A file has the licence of
+its best header; of a licence file that of the place where the first header lies that is about as good as the best, as long
+licences name themselves at the top and quote each other further down. A file without one has that of the nearest ancestor directory with a licence file.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +23,13 @@ DIGITS = 4  # of a returned cosine
 MENTION = r"(?i)licen[cs]|copyright|spdx|creative commons|\bCC[ -]BY|all rights reserved|permission is hereby granted|permission to use, copy|redistribution and use|public domain"
 BEFORE, BEHIND = 1, 2  # neighbours of a line that mentions a licence
 OPENING = 7  # lines with text
-WHOLE = 3000  # characters of a licence that is compared as a whole
+WINDOWS, STEP = (12, 24), 4  # lines with text of a window, short or long, and from one to the next
+WINDOW = max(WINDOWS)
+ABOUT = 0.15  # a header is about as good as the best if its cosine is at most so much below
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-_.][^/]*)?$"
+#: Licences whose text begins with, or holds, that of another. A window can cut off what makes the difference, so that the
+#: longer one counts where it is about as good.
+EXTENDS = {"BSD": ["BSD-2-Clause", "BSD-3-Clause"], "BSD-2-Clause": ["BSD-3-Clause"]}
 TOKEN = r"[a-z]+|[0-9]+(?:\.[0-9]+)?"
 #: Notices and openings of common licences, and short licences in full. A licence can have several. GPL and BSD
 #: without a version are what a notice without one can tell.
@@ -96,15 +103,20 @@ def template_vectors(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 
 
 def headers(text: Column, whole: Column) -> Column:
-    """(line, header) of each header; of a licence file the opening (line -1), or a short text as a whole (line -2)."""
+    """(line, header) of each header; of a licence file the whole text (line -2), the opening (line -1) and the windows, by their first
+    line among those with text."""
     lines = F.split(text, "\n")
     part = lambda at, before, behind: F.array_join(F.slice(lines, F.greatest(at - before, F.lit(0)) + 1, F.least(at, F.lit(before)) + 1 + behind), " ")
     own = F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("header")))
     found = F.filter(own, lambda x: x["header"].rlike(MENTION))
     near = F.transform(found, lambda x: F.struct(x["line"].alias("line"), part(x["line"], BEFORE, BEHIND).alias("header")))
-    opening = F.struct(F.lit(-1).alias("line"), F.array_join(F.slice(F.filter(lines, lambda x: x.rlike(r"\S")), 1, OPENING), " ").alias("header"))
+    said = F.filter(lines, lambda x: x.rlike(r"\S"))
+    opening = F.struct(F.lit(-1).alias("line"), F.array_join(F.slice(said, 1, OPENING), " ").alias("header"))
     full = F.struct(F.lit(-2).alias("line"), F.regexp_replace(text, "\n", " ").alias("header"))
-    return F.when(whole & (F.length(text) <= WHOLE), F.array(full)).when(whole, F.array(opening)).otherwise(F.array_distinct(F.concat(found, near)))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(said) - 1, F.lit(0)), F.lit(STEP))
+    window = lambda n: lambda i: F.struct(i.alias("line"), F.array_join(F.slice(said, i + 1, F.lit(n)), " ").alias("header"))
+    windows = [F.transform(starts, window(n)) for n in WINDOWS]
+    return F.when(whole, F.concat(F.array(full, opening), *windows)).otherwise(F.array_distinct(F.concat(found, near)))
 
 
 def matches(files: DataFrame) -> DataFrame:
@@ -117,7 +129,7 @@ def matches(files: DataFrame) -> DataFrame:
     hits = vectors.groupBy("token").agg(F.collect_list(F.struct("template", "license", "weight")).alias("hits")).join(idf, "token")
     unknown = math.log(1.0 + len(TEMPLATES)) + 1.0
     whole = F.col("path").rlike(LICENCE_FILE)
-    found = files.where(whole | F.col("text").rlike(MENTION)).select("path", "hash", F.explode(headers(F.col("text"), whole)).alias("h")).select("path", "hash", F.col("h.line").alias("line"), F.xxhash64("h.header").alias("view"), F.explode(tokens(F.col("h.header"))).alias("token"))
+    found = files.where(F.col("text").rlike(MENTION)).select("path", "hash", F.explode(headers(F.col("text"), whole)).alias("h")).select("path", "hash", F.col("h.line").alias("line"), F.xxhash64("h.header").alias("view"), F.explode(tokens(F.col("h.header"))).alias("token"))
     # Files of equal path and text are one file: their terms are counted together, which changes no cosine.
     terms = found.groupBy("path", "hash", "line", "view", "token").agg(F.count("*").alias("tf"))
     weighed = terms.join(F.broadcast(hits), "token", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
@@ -127,7 +139,16 @@ def matches(files: DataFrame) -> DataFrame:
     length = F.sqrt(F.max(F.when(F.col("template") < 0, F.col("dot"))))
     cosines = sums.groupBy("path", "hash", "line", "view").agg(length.alias("length"), F.collect_list(F.when(F.col("template") >= 0, F.struct("dot", "template", "license"))).alias("all"))
     best = F.array_max(F.transform("all", lambda x: F.struct(F.round(x["dot"] / F.col("length"), DIGITS).alias("score"), (-F.col("line")).alias("line"), (-x["template"]).alias("template"), x["license"].alias("license"))))
-    return cosines.select("path", "hash", best.alias("best")).where(F.col("best.score") >= LEAST_COSINE).groupBy("path", "hash").agg(F.max("best").alias("best")).select("path", "hash", "best.license", "best.score")
+    enough = cosines.select("path", "hash", best.alias("best")).where(F.col("best.score") >= LEAST_COSINE)
+    found = enough.groupBy("path", "hash").agg(F.max("best").alias("top"), F.collect_list(F.when(whole, F.col("best"))).alias("all"))
+    good = F.filter("all", lambda x: x["score"] >= F.col("top.score") - ABOUT)
+    # Lines are negative here. The best from the first of these to a window behind it, as that may cut a licence in two.
+    near = F.filter(good, lambda x: x["line"] >= F.array_max(F.transform(good, lambda y: y["line"])) - WINDOW)
+    placed = found.select("path", "hash", "top", near.alias("near")).withColumn("first", F.array_max("near"))
+    longer = lambda x: reduce(lambda a, b: a | b, ((F.col("first.license") == short) & x["license"].isin(more) for short, more in EXTENDS.items()))
+    for _ in EXTENDS:
+        placed = placed.withColumn("first", F.coalesce(F.array_max(F.filter("near", longer)), "first"))
+    return placed.select("path", "hash", F.when(whole, F.col("first.license")).otherwise(F.col("top.license")).alias("license"), F.when(whole, F.col("first.score")).otherwise(F.col("top.score")).alias("score"))
 
 
 def parent(path: Column) -> Column:
@@ -166,7 +187,7 @@ def document_path() -> Column:
     source and language is the file <source>/<lang>/12/1234.txt, and each hundredth document the LICENSE of its directory."""
     number = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
     folder = F.coalesce(F.floor(F.col("doc_id") / 100).cast("string"), F.lit("none"))
-    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), folder, F.when(F.col("doc_id") % 100 == 0, "LICENSE").otherwise(F.concat(number, F.lit(".txt"))))
+    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), folder, F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("LICENSE-"), number)).otherwise(F.concat(number, F.lit(".txt"))))
 
 
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,28 +195,40 @@ def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _values = ", ".join("({}, '{}', '{}')".format(i, x, t.replace("'", "''")) for i, (x, t) in enumerate(TEMPLATES))
+_longer = ", ".join(f"('{a}', '{b}')" for a, more in EXTENDS.items() for b in more)
 OP8_SQL = rf"""
 WITH listed(template, license, text) AS (VALUES {_values}),
 tt AS (SELECT template, license, token, count(*) AS tf FROM (SELECT template, license, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS token FROM listed) GROUP BY ALL),
 idf AS (SELECT token, ln({1.0 + len(TEMPLATES)} / (1.0 + count(*))) + 1.0 AS idf FROM tt GROUP BY token),
 tw AS (SELECT template, license, token, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS weight FROM tt JOIN idf USING (token)),
 d AS (
-  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines, coalesce(doc_id % 100 = 0, false) AS whole,
+  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines, coalesce(doc_id % 2 = 0, false) AS whole,
     concat_ws('/', coalesce(source, 'unknown'), coalesce(lang, 'unknown'), coalesce(CAST(CAST(floor(doc_id / 100) AS BIGINT) AS VARCHAR), 'none')) AS folder
   FROM documents),
+w AS (SELECT doc_id, text, list_filter(lines, lambda x: regexp_matches(x, '\S')) AS said FROM d WHERE whole AND regexp_matches(text, '{MENTION}')),
 mentions AS (SELECT doc_id, lines, line FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS line FROM d WHERE NOT whole AND regexp_matches(text, '{MENTION}')) WHERE regexp_matches(lines[line + 1], '{MENTION}')),
 h AS (
   SELECT doc_id, line, 1 AS view, lines[line + 1] AS header FROM mentions
   UNION ALL SELECT doc_id, line, 2, array_to_string(lines[greatest(line - {BEFORE}, 0) + 1 : line + 1 + {BEHIND}], ' ') FROM mentions
-  UNION ALL SELECT doc_id, -1, 3, array_to_string(list_filter(lines, lambda x: regexp_matches(x, '\S'))[1 : {OPENING}], ' ') FROM d WHERE whole AND length(text) > {WHOLE}
-  UNION ALL SELECT doc_id, -2, 4, replace(text, chr(10), ' ') FROM d WHERE whole AND length(text) <= {WHOLE}),
+  UNION ALL SELECT doc_id, -1, 3, array_to_string(said[1 : {OPENING}], ' ') FROM w
+  UNION ALL SELECT doc_id, -2, 4, replace(text, chr(10), ' ') FROM w
+  UNION ALL SELECT doc_id, line, n, array_to_string(said[line + 1 : line + n], ' ') FROM (SELECT doc_id, said, n, unnest(range(0, greatest(len(said), 1), {STEP})) AS line FROM w, (VALUES {", ".join(f"({n})" for n in WINDOWS)}) t(n))),
 dt AS (SELECT doc_id, line, view, token, count(*) AS tf FROM (SELECT doc_id, line, view, unnest(regexp_extract_all(lower(header), '{TOKEN}')) AS token FROM h) GROUP BY ALL),
 dw AS (SELECT doc_id, line, view, token, tf * coalesce(idf, ln({1.0 + len(TEMPLATES)}) + 1.0) AS w FROM dt LEFT JOIN idf USING (token)),
 len AS (SELECT doc_id, line, view, sqrt(sum(w * w)) AS length FROM dw GROUP BY ALL),
-cos AS (SELECT doc_id, line, template, license, round(sum(w * weight) / any_value(length), {DIGITS}) AS score FROM dw JOIN tw USING (token) JOIN len USING (doc_id, line, view) GROUP BY doc_id, line, view, template, license),
-best AS (SELECT doc_id, license, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line, template) AS k FROM cos WHERE score >= {LEAST_COSINE}) WHERE k = 1),
+cos AS (SELECT doc_id, line, view, template, license, round(sum(w * weight) / any_value(length), {DIGITS}) AS score FROM dw JOIN tw USING (token) JOIN len USING (doc_id, line, view) GROUP BY doc_id, line, view, template, license),
+each AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, line, view ORDER BY score DESC, template) AS k FROM cos WHERE score >= {LEAST_COSINE}) WHERE k = 1),
+good AS (SELECT doc_id, line, template, license, score, whole, min(line) OVER (PARTITION BY doc_id) AS first
+  FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS top FROM each) JOIN d USING (doc_id) WHERE score >= top - {ABOUT} OR NOT whole),
+near AS (SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY score DESC, line, template) AS of_license, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line, template) AS of_all FROM good WHERE line <= first + {WINDOW} OR NOT whole),
+ext(short, more) AS (VALUES {_longer}),
+b1 AS (SELECT * FROM near WHERE of_all = 1),
+b2 AS (SELECT * FROM (SELECT n.*, row_number() OVER (PARTITION BY n.doc_id ORDER BY n.score DESC, n.line, n.template) AS i FROM b1 JOIN ext ON short = b1.license JOIN near n ON n.doc_id = b1.doc_id AND n.license = more AND n.whole) WHERE i = 1),
+c2 AS (SELECT doc_id, license, score FROM b2 UNION ALL SELECT doc_id, license, score FROM b1 WHERE doc_id NOT IN (SELECT doc_id FROM b2)),
+b3 AS (SELECT * FROM (SELECT n.*, row_number() OVER (PARTITION BY n.doc_id ORDER BY n.score DESC, n.line, n.template) AS i FROM c2 JOIN ext ON short = c2.license JOIN near n ON n.doc_id = c2.doc_id AND n.license = more AND n.whole) WHERE i = 1),
+best AS (SELECT doc_id, license, score FROM b3 UNION ALL SELECT doc_id, license, score FROM c2 WHERE doc_id NOT IN (SELECT doc_id FROM b3)),
 given AS (SELECT folder, license, score FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY score DESC, license DESC) AS k FROM best JOIN d USING (doc_id) WHERE whole) WHERE k = 1)
-SELECT d.doc_id, d.folder || '/' || CASE WHEN whole THEN 'LICENSE' ELSE coalesce(CAST(d.doc_id AS VARCHAR), 'none') || '.txt' END AS path,
+SELECT d.doc_id, d.folder || '/' || CASE WHEN whole THEN 'LICENSE-' || d.doc_id ELSE coalesce(CAST(d.doc_id AS VARCHAR), 'none') || '.txt' END AS path,
   coalesce(best.license, given.license) AS license, coalesce(best.score, given.score) AS score,
   CASE WHEN best.license IS NOT NULL AND whole THEN 'file' WHEN best.license IS NOT NULL THEN 'header' WHEN given.license IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin
 FROM d LEFT JOIN best USING (doc_id) LEFT JOIN given ON d.folder = given.folder
