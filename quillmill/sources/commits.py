@@ -3,7 +3,8 @@
 A table folder holds staged/<run>-<batch>-<attempt>/ with the files of an attempt and log/<run>-<batch>.json for each
 batch that counts. The manifest is written beside its place and moved there last, so a batch is there wholly or not at all.
 An attempt that was killed leaves files that no manifest names; when the batch comes again its manifest is written once, and if it is
-there already the batch is skipped. Readers go by the manifests. The files are Spark's, in any store that Spark writes to.
+there already the batch is skipped. Readers go by the manifests. The files are Spark's, in any store that Spark writes to; where several
+writers send the same batch at the same time, the store's rename must not replace a file that is there, as HDFS's doesn't.
 """
 
 from __future__ import annotations
