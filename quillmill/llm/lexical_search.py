@@ -27,6 +27,7 @@ from quillmill.llm.common import checkpoint_dir, cut, table
 
 BEST = 20
 POSTINGS = 1_000_000  # of a shard; the document that exceeds it is its last
+DOCUMENT = 4  # postings that a document counts for beside its own, so that short ones don't fill a shard without end
 BLOCK = 16 << 20  # bytes of the items that are searched for at once, beside the last of them
 MERGE = 1_024  # lists of best documents that meet before all do
 DOCUMENTS = b""  # in place of a term, as no term is empty: the row of a shard's documents
@@ -94,7 +95,8 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", postings:
     and tokens its occurrences there; and one with the empty term for the documents themselves, (doc_ids, lengths).
 
     Null texts, and such without a term, are not in it; neither doc_ids nor texts need differ, and a doc_id may be null.
-    Whole texts are read, and terms have any length. A shard is at most `postings` and one document.
+    Whole texts are read, and terms have any length. A shard has at most `postings` (each document counts for a few beside its
+    own) and one document.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
     id_type = rows.schema["doc_id"].dataType
@@ -109,7 +111,7 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", postings:
                 found = terms(t.as_py())
                 if found:
                     waiting.append((i, Counter(found), len(found)))
-                    held += len(waiting[-1][1])
+                    held += len(waiting[-1][1]) + DOCUMENT
                 if held >= postings:
                     yield shard_rows(shard, waiting, schema)
                     shard, held, waiting = shard + 1, 0, []
