@@ -1,8 +1,8 @@
 """License scans in DataFrame operations: TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
 Every line of a file that mentions a licence is a header, by itself and with its neighbours (one line before, two behind). Of a
-file named like LICENSE or COPYING that mentions one anywhere, the headers are the whole text, its opening lines, and all windows of
-some lines, whatever its length: a licence can come behind a preface or many copyright lines. The tokens of a header
+file named like LICENSE or COPYING that mentions one anywhere, the headers are its opening lines, all windows of some lines that
+mention one, whatever its length, and a short text as a whole: a licence can come behind a preface or many copyright lines. The tokens of a header
 become a sparse TF-IDF vector, whose cosines with the templates' vectors come from a join on tokens. A file has the licence of
 its best header; of a licence file that of the place where the first header lies that is about as good as the best, as long
 licences name themselves at the top and quote each other further down. A file without one has that of the nearest ancestor directory with a licence file.
@@ -25,6 +25,7 @@ BEFORE, BEHIND = 1, 2  # neighbours of a line that mentions a licence
 OPENING = 7  # lines with text
 WINDOWS, STEP = (12, 24), 4  # lines with text of a window, short or long, and from one to the next
 WINDOW = max(WINDOWS)
+WHOLE = 3000  # characters up to which a text is compared as a whole as well; in a longer one a licence is a part, which windows find
 ABOUT = 0.15  # a header is about as good as the best if its cosine is at most so much below
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-_.][^/]*)?$"
 #: Licences whose text begins with, or holds, that of another. A window can cut off what makes the difference, so that the
@@ -103,8 +104,8 @@ def template_vectors(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 
 
 def headers(text: Column, whole: Column) -> Column:
-    """(line, header) of each header; of a licence file the whole text (line -2), the opening (line -1) and the windows, by their first
-    line among those with text."""
+    """(line, header) of each header; of a licence file the opening (line -1), all windows that mention a licence, by their first
+    line among those with text, and a short text as a whole (line -2)."""
     lines = F.split(text, "\n")
     part = lambda at, before, behind: F.array_join(F.slice(lines, F.greatest(at - before, F.lit(0)) + 1, F.least(at, F.lit(before)) + 1 + behind), " ")
     own = F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("header")))
@@ -116,7 +117,8 @@ def headers(text: Column, whole: Column) -> Column:
     starts = F.sequence(F.lit(0), F.greatest(F.size(said) - 1, F.lit(0)), F.lit(STEP))
     window = lambda n: lambda i: F.struct(i.alias("line"), F.array_join(F.slice(said, i + 1, F.lit(n)), " ").alias("header"))
     windows = [F.transform(starts, window(n)) for n in WINDOWS]
-    return F.when(whole, F.concat(F.array(full, opening), *windows)).otherwise(F.array_distinct(F.concat(found, near)))
+    telling = F.filter(F.concat(*windows), lambda x: x["header"].rlike(MENTION))
+    return F.when(whole, F.concat(F.when(F.length(text) <= WHOLE, F.array(full, opening)).otherwise(F.array(opening)), telling)).otherwise(F.array_distinct(F.concat(found, near)))
 
 
 def matches(files: DataFrame) -> DataFrame:
@@ -211,8 +213,8 @@ h AS (
   SELECT doc_id, line, 1 AS view, lines[line + 1] AS header FROM mentions
   UNION ALL SELECT doc_id, line, 2, array_to_string(lines[greatest(line - {BEFORE}, 0) + 1 : line + 1 + {BEHIND}], ' ') FROM mentions
   UNION ALL SELECT doc_id, -1, 3, array_to_string(said[1 : {OPENING}], ' ') FROM w
-  UNION ALL SELECT doc_id, -2, 4, replace(text, chr(10), ' ') FROM w
-  UNION ALL SELECT doc_id, line, n, array_to_string(said[line + 1 : line + n], ' ') FROM (SELECT doc_id, said, n, unnest(range(0, greatest(len(said), 1), {STEP})) AS line FROM w, (VALUES {", ".join(f"({n})" for n in WINDOWS)}) t(n))),
+  UNION ALL SELECT doc_id, -2, 4, replace(text, chr(10), ' ') FROM w WHERE length(text) <= {WHOLE}
+  UNION ALL SELECT * FROM (SELECT doc_id, line, n, array_to_string(said[line + 1 : line + n], ' ') AS header FROM (SELECT doc_id, said, n, unnest(range(0, greatest(len(said), 1), {STEP})) AS line FROM w, (VALUES {", ".join(f"({n})" for n in WINDOWS)}) t(n))) WHERE regexp_matches(header, '{MENTION}')),
 dt AS (SELECT doc_id, line, view, token, count(*) AS tf FROM (SELECT doc_id, line, view, unnest(regexp_extract_all(lower(header), '{TOKEN}')) AS token FROM h) GROUP BY ALL),
 dw AS (SELECT doc_id, line, view, token, tf * coalesce(idf, ln({1.0 + len(TEMPLATES)}) + 1.0) AS w FROM dt LEFT JOIN idf USING (token)),
 len AS (SELECT doc_id, line, view, sqrt(sum(w * w)) AS length FROM dw GROUP BY ALL),
