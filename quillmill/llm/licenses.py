@@ -124,15 +124,16 @@ def headers(text: Column, whole: Column) -> Column:
 def matches(files: DataFrame) -> DataFrame:
     """(path, hash, license, score): of each distinct file (path, hash, text) with headers the best-matching template's licence.
 
-    One pass over the texts: the terms of a header meet the templates' vectors in a broadcast, and each gives its share of the
+    One pass over the texts, of which those that mention a licence are shuffled: the terms of a header meet the templates' vectors in a broadcast, and each gives its share of the
     products, by template, and of the squared length.
     """
     vectors, idf = template_vectors(files.sparkSession)
     hits = vectors.groupBy("token").agg(F.collect_list(F.struct("template", "license", "weight")).alias("hits")).join(idf, "token")
     unknown = math.log(1.0 + len(TEMPLATES)) + 1.0
     whole = F.col("path").rlike(LICENCE_FILE)
-    found = files.where(F.col("text").rlike(MENTION)).select("path", "hash", F.explode(headers(F.col("text"), whole)).alias("h")).select("path", "hash", F.col("h.line").alias("line"), F.xxhash64("h.header").alias("view"), F.explode(tokens(F.col("h.header"))).alias("token"))
-    # Files of equal path and text are one file: their terms are counted together, which changes no cosine.
+    # Files of equal path and text are one file, which meets in one task; all that follows is grouped within files, so nothing else is shuffled.
+    one = files.where(F.col("text").rlike(MENTION)).groupBy("path", "hash").agg(F.first("text").alias("text"))
+    found = one.select("path", "hash", F.explode(headers(F.col("text"), whole)).alias("h")).select("path", "hash", F.col("h.line").alias("line"), F.xxhash64("h.header").alias("view"), F.explode(tokens(F.col("h.header"))).alias("token"))
     terms = found.groupBy("path", "hash", "line", "view", "token").agg(F.count("*").alias("tf"))
     weighed = terms.join(F.broadcast(hits), "token", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
     none = F.array(F.struct(F.lit(-1).alias("template"), F.lit("").alias("license"), F.col("w").alias("weight")))
