@@ -22,11 +22,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmill.llm.common import append_columns, cut, fresh, small, smallest, table
+from quillmill.llm.common import append_columns, cut, fresh, smallest, table
 
 RADIUS = 4
 SHINGLE = 4
@@ -340,33 +340,28 @@ def shared(one: np.ndarray, other: np.ndarray) -> int:
 
 def exact_links(docs: DataFrame, distinct: DataFrame, groups: DataFrame, shingle: int, seed: int, least: float, most: int = SETS) -> DataFrame:
     """Links (a, b) whose connected components are those of all pairs within a group that have an exact similarity of `least`
-    or more. docs is (doc_id, text, node), groups are the candidates' components (node, root).
+    or more. docs is (doc_id, text, h1, h2), groups are the candidates' components (node, root).
 
-    The sets of shingle hashes are made for the candidates only, each from the copies of its text with the least doc_id. Small
-    groups share bins of about `most` hashes. Of a larger group each member is first compared with its root alone, which links
-    most members of a dense group; what is left over then meets itself and the linked ones, in pairs of blocks of about `most`
-    hashes. Two members that are both linked to the root need no comparison.
+    The sets of shingle hashes are made for the candidates only, each from the copies of its text with the least doc_id; texts
+    meet the candidates in one shuffle. Small groups share bins of about `most` hashes. Of a larger group each member is first
+    compared with its root alone, which links most members of a dense group; what is left over then meets itself and the linked
+    ones, in pairs of blocks of about `most` hashes. Two members that are both linked to the root need no comparison.
     """
     inside = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
-    members = cut(distinct.join(inside, "node").select("node", "root", "least", "size", "sketch"))
+    members = cut(distinct.join(inside, "node").select("node", "h1", "h2", "root", "least", "size", "sketch"))
     sizes = cut(members.groupBy("root").agg(F.sum("size").alias("n")))
     bins = max(1, math.ceil((sizes.where(F.col("n") <= most).agg(F.sum("n")).first()[0] or 0) / most))
-    hot = cut(sizes.where(F.col("n") > most).select("root"))
-    hot = small(hot, 8) or hot
-    own = docs.withColumnRenamed("doc_id", "_id")
 
     def make():
         return lambda values: [pa.array([np.unique(shingle_hashes(t, shingle, seed)).astype("<u8").tobytes() for t in values], pa.binary())]
 
-    def with_sets(some: DataFrame) -> DataFrame:
-        about = some.select("node", "least")
-        about = small(about, 16) or about  # few candidates are broadcast, so that no text is shuffled
-        texts = own.join(about, "node").where(F.col("_id").eqNullSafe(F.col("least"))).select("node", "text")
-        sets = append_columns(texts, "text", [("hashes", T.BinaryType())], make).groupBy("node").agg(F.first("hashes").alias("hashes"))
-        return some.join(sets, "node").select("node", "root", "size", "sketch", "hashes")
-
-    cells = with_sets(cut(members.join(hot, "root", "left_anti"))).select(F.lit("bin").alias("kind"), F.pmod(F.xxhash64("root"), F.lit(bins)).alias("bin"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(False).alias("side"), "root", "node", "size", "sketch", "hashes")
-    if sizes.where(F.col("n") > most).limit(1).count() == 0:
+    texts = docs.withColumnRenamed("doc_id", "_id").join(members.select("node", "h1", "h2", "least"), ["h1", "h2"]).where(F.col("_id").eqNullSafe(F.col("least"))).select("node", "text")
+    sets = append_columns(texts, "text", [("hashes", T.BinaryType())], make).groupBy("node").agg(F.first("hashes").alias("hashes"))
+    whole = members.join(sets, "node").join(sizes, "root").select("node", "root", "size", "sketch", "hashes", "n")
+    some_hot = sizes.where(F.col("n") > most).limit(1).count() > 0
+    whole = cut(whole) if some_hot else whole
+    cells = whole.where(F.col("n") <= most).select(F.lit("bin").alias("kind"), F.pmod(F.xxhash64("root"), F.lit(bins)).alias("bin"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(False).alias("side"), "root", "node", "size", "sketch", "hashes")
+    if not some_hot:
         return cells.groupBy("kind", "bin", "i", "j").applyInPandas(star_of(least), "a long, b long")
 
     def near_head():
@@ -380,14 +375,13 @@ def exact_links(docs: DataFrame, distinct: DataFrame, groups: DataFrame, shingle
 
         return run
 
-    large = cut(with_sets(cut(members.join(hot, "root", "left_semi"))))
+    large = whole.where(F.col("n") > most).drop("n")
     heads = cut(large.where("node = root").select("root", F.col("hashes").alias("head")))
-    heads = small(heads, 16 + F.octet_length("head")) or heads
     paired = large.join(heads, "root").select("node", "root", "size", "sketch", F.struct("hashes", "head").alias("pair"))
     judged = cut(append_columns(paired, "pair", [("near", T.BooleanType())], near_head).select("node", "root", "size", "sketch", "pair.hashes", "near"))
     count = lambda c: F.ceil(F.coalesce(F.sum(F.when(c, F.col("size"))), F.lit(0)) / most).cast("int")
     parts = cut(judged.groupBy("root").agg(count(F.col("near")).alias("linked"), count(~F.col("near")).alias("left")).where(F.col("left") > 0))
-    dealt = judged.join(small(parts, 16) or parts, "root")
+    dealt = judged.join(parts, "root")
     mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ["root", "node", "size", "sketch", "hashes"]
@@ -444,26 +438,30 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     one row as well. Of rows with equal doc_id and text one is kept: where other columns differ, that with the smallest hash of
     these as JSON. No rows give no rows.
     """
-    k, h, tie, stays, open_ = (fresh(docs, x) for x in ("_kept_id", "_kept_hash", "_tie", "_stays", "_open"))
-    read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("node"))
+    k, h1, h2, row = (fresh(docs, x) for x in ("_kept", "_h1", "_h2", "_row"))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
+    # A text is known by two hashes, 128 bits.
+    own = docs.withColumns({h1: F.xxhash64(F.col(text)), h2: F.xxhash64(F.lit(1), F.col(text))})
+    tie = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    read = own.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(h1).alias("h1"), F.col(h2).alias("h2"), tie.alias("tie"))
     # One row for each text: a text of many copies is hashed by many tasks, and its signature aggregated before the shuffle.
     signed = with_signature(read, "text", shingle, seed).drop("text")
-    distinct = cut(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("fp", "size", "sketch", "bands"))))
+    place = lambda d, t: F.struct(d.isNull().alias("z"), d.alias("doc_id"), t.alias("tie"))
+    by_text = signed.groupBy("h1", "h2").agg(F.min(place(F.col("doc_id"), F.col("tie"))).alias("first"), F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("fp", "size", "sketch", "bands")))
+    distinct = cut(by_text.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", F.col("first.doc_id").alias("least"), "first", "n", "fp", "size", "sketch", "bands"))
     candidates = components(candidate_links(distinct, radius, leaf, block))
-    roots = components(exact_links(read, distinct, candidates, shingle, seed, least, most))
-    rooted = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("z"), "least", "node")).alias("kept")).select("kept.node", F.lit(True).alias("stays"))
+    roots = components(exact_links(read.drop("tie"), distinct, candidates, shingle, seed, least, most))
+    rooted = distinct.select("node", "h1", "h2", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("z"), "least", "h1", "h2", "node")).alias("kept")).select("kept.node", F.lit(True).alias("stays"))
     # A verdict for each text that goes or has several rows; any other row stays.
-    several = F.col("n") > 1
-    verdict = cut(distinct.select("node", "least", "n").join(kept, "node", "left").where("stays IS NULL OR n > 1").select(F.col("node").alias(h), F.col("least").alias(k), (F.col("stays") & several).alias(stays)))
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
-    own = docs.withColumn(tie, F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)).withColumn(h + "_", F.xxhash64(F.col(text)))
-    few = small(verdict, 17)
-    judged = own.join(verdict if few is None else few, own[h + "_"] == verdict[h], "left").withColumn(open_, F.col(h).isNull())
-    one = lambda df: df.where(F.col(open_) | (F.coalesce(F.col(stays), F.lit(False)) & F.col(doc_id).eqNullSafe(F.col(k)))).withColumn(tie, F.row_number().over(Window.partitionBy(h + "_", open_).orderBy(tie))).where(F.col(open_) | (F.col(tie) == 1))
-    # With a broadcast only rows of texts with several rows are shuffled; else the join has brought a text's rows together.
-    rows = one(judged) if few is None else judged.where(open_).unionByName(one(judged.where(~F.col(open_))))
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+    verdict = cut(distinct.select("node", "h1", "h2", "first", "n").join(kept, "node", "left").where("stays IS NULL OR n > 1").select(F.col("h1").alias(h1), F.col("h2").alias(h2), F.col("first").alias(k), "stays"))
+    single = own.join(verdict.select(h1, h2), [h1, h2], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    # Of several rows that stays which is not above the minimum, known beforehand. As no equality it stays out of the join's key, so
+    # that both joins read one shuffle of docs. Rows that are wholly alike become one by an aggregation with a key of its own: so
+    # Spark can split a hot text in the join, and pre-aggregates it.
+    several = own.join(verdict.where("stays").select(h1, h2, k), [h1, h2]).where(place(F.col(doc_id), tie) <= F.col(k))
+    one = several.groupBy(F.array(h1, h2).alias(k)).agg(F.first(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias(row))
+    return single.unionByName(one.select(*(F.col(f"{row}.`{c}`") for c in docs.columns)))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

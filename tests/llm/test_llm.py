@@ -772,9 +772,14 @@ def test_rows_of_one_text(spark):
     first = [tuple(r) for r in simhash.keep_one(df).orderBy("doc_id").collect()]
     assert [r[0] for r in first] == [3, 8]
     assert first == [tuple(r) for r in simhash.keep_one(df.repartition(5)).orderBy("doc_id").collect()]
-    limits = simhash.small
-    simhash.small = lambda df, row_bytes: None  # as where the verdicts are too many for a broadcast
-    try:
-        assert first == [tuple(r) for r in simhash.keep_one(df).orderBy("doc_id").collect()]
-    finally:
-        simhash.small = limits
+    many = df.unionByName(df.where("doc_id = 3").crossJoin(spark.range(3000)).drop("id"))  # a hot text, and rows wholly alike
+    assert first == [tuple(r) for r in simhash.keep_one(many.repartition(5)).orderBy("doc_id").collect()]
+
+
+def test_near_dedup_shuffles_texts_once_for_its_result(spark):
+    """Both joins of the result read one exchange of the rows."""
+    rows = spark.createDataFrame([(k, f"text number {k % 7} of some words", "x") for k in range(40)], "doc_id long, text string, lang string")
+    df = simhash.keep_one(rows)
+    assert sorted(r["doc_id"] for r in df.collect()) == list(range(7))
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
