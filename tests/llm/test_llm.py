@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import math
 import os
@@ -378,6 +379,14 @@ def test_op6_long_headers(spark):
         assert {r["page_id"]: r["url"] for r in warc.round_trip(pages, split=split).collect()} == dict(enumerate(urls))
 
 
+def test_op6_long_page(spark):
+    """A page whose record, compressed, is longer than a range: the ranges that it runs through own none of its bytes."""
+    html = base64.b64encode(np.random.default_rng(16).bytes(18_000_000)).decode()
+    pages = spark.createDataFrame([(1, "u", "before"), (2, "u", html), (3, "u", "behind")], "page_id long, url string, html string").coalesce(1)
+    got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in warc.round_trip(pages).collect()}
+    assert got == {k: (len(x), hashlib.sha1(x.encode()).hexdigest()) for k, x in ((1, "before"), (2, html), (3, "behind"))}
+
+
 def test_op6_spreads_ranges(spark):
     pages = spark.createDataFrame([(k, "u", hashlib.sha256(str(k).encode()).hexdigest() * 8) for k in range(400)], "page_id long, url string, html string").coalesce(1)
     folder = f"file://{warc.checkpoint_dir(spark).removeprefix('file:')}/spread-{time.time_ns()}"
