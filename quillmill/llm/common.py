@@ -57,18 +57,18 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def append_columns(df: DataFrame, read: str, fields: list[tuple[str, T.DataType]], make: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
+def append_columns(df: DataFrame, read: str, fields: list[tuple[str, T.DataType]], make: Callable[[], Callable[[list], list[pa.Array]]], as_list: bool = True) -> DataFrame:
     """df with further columns that Python computes from column `read`, batch by batch.
 
-    make() runs once in each task and returns a function from a list of values to one Arrow array for each field. All
-    columns of df pass through untouched; the caller picks names that df does not have.
+    make() runs once in each task and returns a function from a list of values (an Arrow array where as_list is False) to
+    one Arrow array for each field. All columns of df pass through untouched; the caller picks names that df does not have.
     """
     schema = T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            new = work(batch.column(read).to_pylist())
+            new = work(batch.column(read).to_pylist() if as_list else batch.column(read))
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *(n for n, _ in fields)])
 
     return df.mapInArrow(run, schema)

@@ -4,11 +4,13 @@ import math
 import os
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -550,6 +552,68 @@ def test_op9_score(spark):
     assert math.isclose(total, 1, rel_tol=1e-5)
 
 
+ODD_TEXTS = ["".join(chr(i) + "aB" for i in range(256)), "  Ab  c\u00e9 D\x1cE\x85 \u00dc ", "", " \n\t", None, "x", "x" * 70 + " Y", "\u00c9" * 40, "y" * 64 + "\x00 " + "Z" * 65, "\x00", " \x00 ", "a b"]
+
+
+@pytest.mark.parametrize("size", [1, 50, 1 << 20])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_op9_tokens_by_arrays(kind, size):
+    found = [words[a:b].to_pylist() for first, words in language_model.token_arrays(pa.array(ODD_TEXTS, kind), size) for a, b in zip(first[:-1], first[1:], strict=True)]
+    assert found == [language_model.tokens(x) for x in ODD_TEXTS]
+    plain = [(x or "").encode().lower().split() for x in ODD_TEXTS]
+    assert [[w if len(w) <= 64 else None for w in p] + [b""] for p in plain] == [[None if len(w) == 17 and w[:1] == b" " else w for w in f] for f in found]
+
+
+def test_op9_counts_in_parts(spark):
+    texts = [*ODD_TEXTS, *(" ".join(f"w{(i * k) % 31}" for k in range(12)) for i in range(40))]
+    docs, want = spark.createDataFrame([(x,) for x in texts], "text string").repartition(2), Counter(w for x in texts for w in language_model.tokens(x))
+    for flush in (1, 20, 400_000):
+        assert {bytes(r["token"]): r["c"] for r in language_model.count_tokens(docs, "text", flush).collect()} == want
+
+
+def test_op9_long_text_among_short_ones(spark):
+    """More text in a batch than is cut into words at once: rows keep their own tokens."""
+    texts = {i: x for i, x in enumerate([*ODD_TEXTS, "lorem ipsum dolor " * 250_000, *ODD_TEXTS, "unseen words only"])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    rows = {r["doc_id"]: r for r in language_model.score_documents(docs, head=8, tail=4, dim=3, table_size=6).collect()}
+    c = Counter(w for d, x in texts.items() if zlib.crc32(str(d).encode()) % 7 != 2 for w in language_model.tokens(x))
+    n = sum(c.values()) + len(c) + 1
+    for d, x in texts.items():
+        own = language_model.tokens(x)
+        assert (rows[d]["n_tokens"], rows[d]["n_known"]) == (len(own), sum(w in c for w in own)), d
+        assert math.isclose(rows[d]["base_score"], sum(math.log10((c[w] + 1) / n) for w in own), rel_tol=1e-9), d
+        assert math.isfinite(rows[d]["score"]), d
+
+
+@pytest.mark.parametrize("dim", [24, 5])
+def test_op9_step(dim):
+    """A step is the gradient of the noise-contrastive objective, and makes no array of batch times noise."""
+    rng, n, m, k = np.random.default_rng(3), 50, language_model.BATCH, language_model.NOISE
+    share = rng.random(n) + 0.1
+    share /= share.sum()
+    trainer = language_model.Trainer(language_model.Weights.start(share, dim).flat, share, dim)
+    old = language_model.Weights(n, dim, trainer.w.flat.astype(np.float64))
+    before, last, target, noise = (rng.integers(0, n, size) for size in (m, m, m, k))
+    tracemalloc.start()
+    trainer.step(before, last, target, noise, 0.05)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    q, g = old.query(before, last), language_model.Weights(n, dim, np.zeros(len(old.flat)))
+    up = 1 / (1 + np.exp((q * old.O[target]).sum(axis=1) + old.b[target] - np.log(k * share[target])))
+    down = -1 / (1 + np.exp(-(q @ old.O[noise].T + old.b[noise] - np.log(k * share[noise]))))
+    dq = up[:, None] * old.O[target] + down @ old.O[noise]
+    np.add.at(g.O, target, up[:, None] * q)
+    np.add.at(g.O, noise, down.T @ q)
+    np.add.at(g.b, target, up)
+    np.add.at(g.b, noise, down.sum(axis=0))
+    for i, context in enumerate((before, last)):
+        np.add.at(g.R, context, dq @ old.C[i].T)
+        g.C[i] += old.R[context].T @ dq
+    assert np.allclose(trainer.g.flat, g.flat, rtol=1e-3, atol=1e-2)
+    assert np.allclose(trainer.w.flat, old.flat + 0.05 * g.flat / np.sqrt(1 + g.flat**2), atol=1e-4)
+    assert most < 4 * m * k
+
+
 def test_normalised(spark):
     w = language_model.Weights.start(np.full(9, 1 / 9), 4)
     z = language_model.normalisers(spark, w)
